@@ -50,7 +50,8 @@ def main() -> int:
     args = sys.argv[1:]
     sf_dir = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     spark = build_session(
-        "check", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false"
+        "check", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false"
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, failed = connect(sf_dir), entry.oracle_sql(), 0
