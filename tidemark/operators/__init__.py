@@ -1,6 +1,6 @@
 """DataFrame-to-DataFrame operators."""
 
-from .control import advance_watermarks, audit_row, watermark_seed
+from .control import Copy, advance_watermarks, copy_log, failure_messages, watermark_seed
 from .increment import high_water_mark, pull_increment
 from .latest import keep_latest, merge_latest
 from .quality import has_values, split_corrupt, valid_key
@@ -8,9 +8,11 @@ from .scd import scd1_upsert, scd2_changed_keys, scd2_upsert
 from .skew import HotKeys, hot_keys, skew_join
 
 __all__ = [
+    "Copy",
     "HotKeys",
     "advance_watermarks",
-    "audit_row",
+    "copy_log",
+    "failure_messages",
     "has_values",
     "high_water_mark",
     "hot_keys",

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import log_time
-from ..schemas import COPY_LOG, FEED_COPY_LOG, WATERMARK
+from ..schemas import COPY_LOG, WATERMARK
 
 # The relational tables under control and their first mark.
 CONTROLLED = ("Customers", "Products", "Stores", "Orders", "OrderDetails")
 SCHEMA_NAME = "sales"
 DELTA_COLUMN = "ModifiedDate"
 FIRST_MARK = datetime(1900, 1, 1)
+# Fixed value: longest message the log keeps.
+MESSAGE_LENGTH = 500
 
 # Fixed value: text reported for a failure without a recorded message.
 NO_MESSAGE = "No error message available"
@@ -44,29 +49,41 @@ def advance_watermarks(control: DataFrame, marks: DataFrame) -> DataFrame:
     )
 
 
-def audit_row(
-    spark: SparkSession,
-    table: str,
-    *,
-    log_id: int,
-    schema_name: str | None = None,
-    rows_read: int | None = None,
-    rows_copied: int | None = None,
-    error: str | None = None,
-    seconds: int | None = None,
-    at: datetime | None = None,
+@dataclass(frozen=True)
+class Copy:
+    """Outcome of one copy. A failed one has an error and no counts."""
+
+    table: str
+    schema_name: str | None = None
+    rows_read: int | None = None
+    rows_copied: int | None = None
+    error: str | None = None
+    seconds: int | None = None
+    at: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
+
+
+def copy_log(
+    spark: SparkSession, copies: Sequence[Copy], schema: T.StructType = COPY_LOG, next_id: int = 1
 ) -> DataFrame:
-    """One copy-log row; ``at`` is UTC. Feeds have no schema name and one column less.
+    """Log rows, one per copy and numbered from ``next_id``.
 
-    A failed copy has an error and no counts. The log time is wall-clock time
-    of the log zone.
+    ``FEED_COPY_LOG`` leaves the schema name out. ``at`` is UTC; the log time is
+    wall-clock time of the log zone.
     """
-    feed = schema_name is None
-    names = (table,) if feed else (table, schema_name)
-    moment = at or datetime.now(timezone.utc)
-    row = (log_id, *names, rows_read, rows_copied, error, seconds, moment)
-    log = spark.createDataFrame([row], FEED_COPY_LOG if feed else COPY_LOG)
-    return log.withColumn("LOGTIME", log_time(F.col("LOGTIME")))
+    rows = []
+    for log_id, copy in enumerate(copies, start=next_id):
+        row = {
+            "ID": log_id,
+            "TABLENAME": copy.table,
+            "SCHEMANAME": copy.schema_name,
+            "ROWREAD": copy.rows_read,
+            "ROWCOPIED": copy.rows_copied,
+            "ERRORMESSAGE": copy.error and copy.error[:MESSAGE_LENGTH],
+            "COPYDURATION": copy.seconds,
+            "LOGTIME": copy.at,
+        }
+        rows.append(tuple(row[name] for name in schema.names))
+    return spark.createDataFrame(rows, schema).withColumn("LOGTIME", log_time(F.col("LOGTIME")))
 
 
 def failure_messages(log: DataFrame) -> DataFrame:

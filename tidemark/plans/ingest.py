@@ -4,20 +4,18 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.control import advance_watermarks, audit_row
+from ..operators.control import Copy, advance_watermarks, copy_log
 from ..operators.increment import high_water_mark, pull_increment
 from ..schemas import COPY_LOG, FEED_COPY_LOG
 from ..sources.sinks import write_csv, write_json
 
-# The feeds, and the length of a logged message.
+# The feeds.
 FEEDS = ("inventory", "payment", "shipping")
-MESSAGE_LENGTH = 500
 
 
 class IngestResult(NamedTuple):
@@ -46,38 +44,31 @@ def ingest_increments(
     rows move in Spark jobs. Running a batch again replaces its files.
     """
     paths: dict[str, str] = {}
-    log: list[DataFrame] = []
+    log: list[Copy] = []
     marks: list[tuple[str, object]] = []
     for row in control.collect():
-        name, started = row.TABLENAME, time.monotonic()
+        name, column, last = row.TABLENAME, row.DELTACOL, row.LASTPROCESSEDVALUE
+        started = time.monotonic()
         try:
             source = read(row.SCHEMANAME, name)
-            fresh = pull_increment(source, row.DELTACOL, row.LASTPROCESSEDVALUE)
-            mark = high_water_mark(fresh, row.DELTACOL).first()["max"]
+            mark = high_water_mark(pull_increment(source, column, last), column).first()["max"]
             copied = 0
             if mark is not None:
                 path = batch_folder(raw_root, row.FOLDERNAME, batch)
-                pulled = pull_increment(source, row.DELTACOL, row.LASTPROCESSEDVALUE, mark)
-                copied = _copy(pulled, lambda df, path=path: write_csv(df, path))
+                copied = _copy(pull_increment(source, column, last, mark), path, write_csv)
                 paths[name] = path
                 marks.append((name, mark))
             outcome = {"rows_read": copied, "rows_copied": copied}
         except Exception as error:  # any source or sink failure belongs in the log
-            outcome = {"error": str(error)[:MESSAGE_LENGTH]}
-        log.append(
-            audit_row(
-                spark,
-                name,
-                log_id=next_log_id + len(log),
-                schema_name=row.SCHEMANAME,
-                seconds=int(time.monotonic() - started),
-                **outcome,
-            )
-        )
+            outcome = {"error": str(error)}
+        seconds = int(time.monotonic() - started)
+        log.append(Copy(name, row.SCHEMANAME, seconds=seconds, **outcome))
     mark_type = control.schema["LASTPROCESSEDVALUE"].dataType.simpleString()
     new_marks = spark.createDataFrame(marks, f"TABLENAME string, max {mark_type}")
     return IngestResult(
-        paths, _union(spark, log, COPY_LOG), advance_watermarks(control, new_marks)
+        paths,
+        copy_log(spark, log, COPY_LOG, next_log_id),
+        advance_watermarks(control, new_marks),
     )
 
 
@@ -91,34 +82,22 @@ def ingest_feeds(
 ) -> IngestResult:
     """Copy every feed in full to JSON lines; failures are logged per feed."""
     paths: dict[str, str] = {}
-    log: list[DataFrame] = []
+    log: list[Copy] = []
     for name in feeds:
         started = time.monotonic()
         path = batch_folder(raw_root, name, batch)
         try:
-            copied = _copy(read(name), lambda df, path=path: write_json(df, path))
+            copied = _copy(read(name), path, write_json)
             paths[name] = path
             outcome = {"rows_read": copied, "rows_copied": copied}
         except Exception as error:  # as above
-            outcome = {"error": str(error)[:MESSAGE_LENGTH]}
-        log.append(
-            audit_row(
-                spark,
-                name,
-                log_id=next_log_id + len(log),
-                seconds=int(time.monotonic() - started),
-                **outcome,
-            )
-        )
-    return IngestResult(paths, _union(spark, log, FEED_COPY_LOG), None)
-
-
-def _copy(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+            outcome = {"error": str(error)}
+        log.append(Copy(name, seconds=int(time.monotonic() - started), **outcome))
+    return IngestResult(paths, copy_log(spark, log, FEED_COPY_LOG, next_log_id), None)
+
+
+def _copy(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]) -> int:
     """Write and count in the same pass."""
     seen = Observation()
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
     return seen.get["rows"]
-
-
-def _union(spark: SparkSession, rows: list[DataFrame], schema) -> DataFrame:
-    return reduce(DataFrame.unionByName, rows, spark.createDataFrame([], schema))

@@ -42,6 +42,7 @@ EVENTS = T.StructType(
 )
 
 _written: dict[tuple[str, str, str], str] = {}
+_tables: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
@@ -60,10 +61,13 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], ob
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFrame:
-    path = _once(
-        spark, sf_dir, name, lambda p: build(spark, sf_dir).write.mode("overwrite").parquet(p)
-    )
-    return spark.read.parquet(path)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _tables:
+        path = _once(
+            spark, sf_dir, name, lambda p: build(spark, sf_dir).write.mode("overwrite").parquet(p)
+        )
+        _tables[key] = spark.read.parquet(path)
+    return _tables[key]
 
 
 def _plain_moments(df: DataFrame) -> DataFrame:
@@ -98,7 +102,7 @@ def _stored_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _product_target(spark: SparkSession, sf_dir: str, hashed: Callable) -> DataFrame:
-    source = _silver("products")(spark, sf_dir)
+    source = _stored_silver(spark, sf_dir, "products")
     key = F.col("ProductID")
     loaded = F.to_timestamp(F.lit("2025-01-01"))
     names = ["ProductID", *gold.PRODUCT_TRACKED]
@@ -122,7 +126,7 @@ def _product_target(spark: SparkSession, sf_dir: str, hashed: Callable) -> DataF
 def _customer_target(spark: SparkSession, sf_dir: str, hashed: Callable) -> DataFrame:
     key = F.col("CustomerID")
     names = ["CustomerID", *gold.CUSTOMER_TRACKED]
-    source = _silver("customer")(spark, sf_dir).filter(key % 3 != 0).select(*names)
+    source = _stored_silver(spark, sf_dir, "customer").filter(key % 3 != 0).select(*names)
 
     def version(rows: DataFrame, city, created: str, until: str, by: str, active: int):
         changed = rows.withColumn("City", city)
@@ -154,7 +158,7 @@ def _plain_hash_piped(*names: str):
 def scd1_product(spark: SparkSession, sf_dir: str, changed_by: str = "columns") -> DataFrame:
     hashed = row_hash if changed_by == "columns" else _plain_hash_piped
     target = _product_target(spark, sf_dir, hashed)
-    source = _silver("products")(spark, sf_dir)
+    source = _stored_silver(spark, sf_dir, "products")
     return _plain_moments(
         gold.dim_product(target, source, AS_OF, changed_by).drop("HASHVALUE")
     )
@@ -163,7 +167,7 @@ def scd1_product(spark: SparkSession, sf_dir: str, changed_by: str = "columns")
 def scd2_customer(spark: SparkSession, sf_dir: str, against: str = "active") -> DataFrame:
     hashed = row_hash if against == "active" else row_hash_plain
     target = _customer_target(spark, sf_dir, hashed)
-    source = _silver("customer")(spark, sf_dir)
+    source = _stored_silver(spark, sf_dir, "customer")
     return _plain_moments(
         gold.dim_customer(target, source, AS_OF, against).drop("HASHVALUE")
     )
@@ -172,7 +176,7 @@ def scd2_customer(spark: SparkSession, sf_dir: str, against: str = "active") ->
 def scd2_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2_changed_keys(
         _customer_target(spark, sf_dir, row_hash),
-        _silver("customer")(spark, sf_dir),
+        _stored_silver(spark, sf_dir, "customer"),
         "CustomerID",
         gold.CUSTOMER_TRACKED,
     )
@@ -413,7 +417,7 @@ def _on_fact(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _dim(build: Callable[[DataFrame], DataFrame], name: str) -> Query:
-    return lambda spark, d: build(_silver(name)(spark, d))
+    return lambda spark, d: build(_stored_silver(spark, d, name))
 
 
 def queries() -> dict[str, Query]:
@@ -466,12 +470,12 @@ def queries() -> dict[str, Query]:
         "scd2_changed_keys": scd2_changed,
         "kpi_daily_sales": _on_fact(kpi.daily_sales),
         "kpi_product": lambda s, d: kpi.product_performance(
-            _stored_fact(s, d), _silver("products")(s, d)
+            _stored_fact(s, d), _stored_silver(s, d, "products")
         ),
         "kpi_customer": _kpi_customer(active_only=False),
         "kpi_customer_active": _kpi_customer(active_only=True),
         "kpi_store": lambda s, d: kpi.store_performance(
-            _stored_fact(s, d), _silver("stores")(s, d)
+            _stored_fact(s, d), _stored_silver(s, d, "stores")
         ),
         "kpi_delivery": _on_fact(kpi.delivery_performance),
         "kpi_payment": _on_fact(kpi.payment_success_rate),

@@ -11,8 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_opened: dict[tuple[str, str], DataFrame] = {}
+
+
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the files once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _opened:
+        _opened[key] = spark.read.parquet(path)
+    return _opened[key]
 
 
 def _ts(text: str) -> Column:
