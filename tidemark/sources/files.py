@@ -74,7 +74,7 @@ def list_files(spark: SparkSession, folder: str, only: str = "*") -> DataFrame:
         .load(folder)
         .select(
             F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_name").alias("name"),
+            F.substring_index("path", "/", -1).alias("name"),
             "length",
             F.col("modificationTime").alias("modified"),
         )
