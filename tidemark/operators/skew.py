@@ -41,7 +41,9 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Hot
         .groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("part"))
         .agg(F.expr(f"approx_top_k_accumulate(k, {_SKETCH_ENTRIES})").alias("sketch"))
     )
-    top = sketches.agg(
+    # Grouped by a constant: without a key, merging a partition that holds no
+    # sketch fails.
+    top = sketches.groupBy(F.lit(0).alias("all")).agg(
         F.expr(
             f"approx_top_k_estimate(approx_top_k_combine(sketch, {_SKETCH_ENTRIES}), "
             f"{MAX_HOT_KEYS})"
