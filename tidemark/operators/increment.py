@@ -21,8 +21,12 @@ def pull_increment(
     plain comparisons that reach the scan.
     """
 
+    kind = df.schema[delta_col].dataType
+
     def bound(value: object) -> Column:
-        return F.lit(value).cast(df.schema[delta_col].dataType)
+        # A wall-clock column is compared with the wall-clock text of the mark.
+        wall_clock = kind.typeName() == "timestamp_ntz"
+        return F.lit(str(value) if wall_clock else value).cast(kind)
 
     rows = df.filter(F.col(delta_col) > bound(after))
     return rows if up_to is None else rows.filter(F.col(delta_col) <= bound(up_to))

@@ -37,11 +37,12 @@ def merge_latest(
 ) -> DataFrame:
     """Stored rows (one per key) brought up to date by a batch (one per key).
 
-    A stored row gives way unless its version is higher. Both sides are unique
-    by key, so the join cannot skew; stored rows bucketed by key stay in place.
+    A stored row gives way to a higher (version, ties) only, so a row sent again
+    unchanged keeps its stored copy with its load time. Both sides are unique by
+    key, so the join cannot skew; stored rows bucketed by key stay in place.
     """
     order = [version, *ties]
-    newer = F.struct(*(F.col(f"s.{n}") for n in order)) >= F.struct(
+    newer = F.struct(*(F.col(f"s.{n}") for n in order)) > F.struct(
         *(F.col(f"t.{n}") for n in order)
     )
     columns = {name: (F.col(f"s.{name}"), F.col(f"s.{name}")) for name in stored.columns}

@@ -8,6 +8,7 @@ from .gold import (
     dim_shipment,
     dim_store,
     fact_sales,
+    months_touched,
     refresh_fact,
 )
 from .ingest import IngestResult, ingest_feeds, ingest_increments
@@ -20,11 +21,13 @@ from .kpi import (
     product_performance,
     store_performance,
 )
+from .lakehouse import Lakehouse
 from .silver import SILVER, SilverSpec, refine
 
 __all__ = [
     "SILVER",
     "IngestResult",
+    "Lakehouse",
     "SilverSpec",
     "customer_kpi",
     "daily_sales",
@@ -39,6 +42,7 @@ __all__ = [
     "ingest_feeds",
     "ingest_increments",
     "monthly_sales",
+    "months_touched",
     "payment_success_rate",
     "product_performance",
     "refine",

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import stamp
 from ..operators.scd import scd1_upsert, scd2_upsert
 from ..operators.skew import ROWS_PER_TASK, hot_keys, skew_join
+from ..sources.versions import remove_folder
 
 FACT_PARTITION = "OrderMonth"
 
@@ -102,36 +103,32 @@ def refresh_fact(fact: DataFrame, path: str, months: Sequence[str] | None = None
     ``rebalance`` evens out the files: a dominant month is split, small ones are
     packed.
     """
+    spark = fact.sparkSession
     monthly = fact.withColumn(FACT_PARTITION, _month("OrderDate"))
     mode = "static"
     if months is not None:
+        # Reaches the order scan below the joins, so other months are not built.
         monthly = monthly.filter(F.col(FACT_PARTITION).isin(*months))
         mode = "dynamic"
+    written = Observation()
     (
-        monthly.hint("rebalance", FACT_PARTITION)
+        monthly.observe(written, F.collect_set(FACT_PARTITION).alias("months"))
+        .hint("rebalance", FACT_PARTITION)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy(FACT_PARTITION)
         .parquet(path)
     )
-    if months is not None:
-        _drop_emptied(fact.sparkSession, monthly, path, months)
+    # A refreshed month that no order is left in keeps its old folder in a
+    # dynamic overwrite.
+    for month in set(months or ()) - set(written.get["months"]):
+        remove_folder(spark, f"{path}/{FACT_PARTITION}={month}")
 
 
 def _month(name: str) -> Column:
     return F.date_format(name, "yyyy-MM").alias(FACT_PARTITION)
 
 
-def _drop_emptied(
-    spark: SparkSession, monthly: DataFrame, path: str, months: Sequence[str]
-) -> None:
-    """Remove refreshed months that no order is left in; a dynamic overwrite keeps them."""
-    kept = {row[0] for row in monthly.select(FACT_PARTITION).distinct().collect()}
-    for month in set(months) - kept:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{FACT_PARTITION}={month}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def dim_store(stores: DataFrame) -> DataFrame:
     return stores.select("StoreID", "StoreName", "City", "Province", "region")
 

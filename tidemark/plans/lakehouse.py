@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions import stamp
 from ..operators.control import watermark_seed
 from ..operators.latest import merge_latest
-from ..sources.versions import current_version, publish, read_current, version_path
+from ..sources.versions import (
+    current_version,
+    folder_exists,
+    publish,
+    read_current,
+    read_history,
+    version_path,
+)
 from . import gold, kpi
 from .ingest import ingest_feeds, ingest_increments
 from .silver import SILVER, SilverSpec, refine
@@ -27,11 +38,15 @@ RELATIONAL = {
 
 @dataclass
 class Lakehouse:
-    """Folders of one installation and the steps of a run, each repeatable by batch."""
+    """Folders of one installation and the steps of one run, each repeatable by batch.
+
+    Every layer is stored before the next reads it, so a lost executor costs the
+    repetition of a step at most. ``as_of`` is the load time of the run.
+    """
 
     spark: SparkSession
     root: str
-    as_of: object = None
+    as_of: object = field(default_factory=lambda: datetime.now(timezone.utc))
     fact_path: str = field(init=False)
 
     def __post_init__(self) -> None:
@@ -42,6 +57,9 @@ class Lakehouse:
         return self.spark.read.parquet(path)
 
     def gold(self, name: str) -> DataFrame:
+        if name == "dim_customer":
+            root = f"{self.root}/gold/{name}"
+            return read_history(self.spark, root, schemas.DIM_CUSTOMER, "IS_ACTIVE")
         return self.spark.read.parquet(self._at(f"gold/{name}"))
 
     def fact(self) -> DataFrame:
@@ -103,11 +121,8 @@ class Lakehouse:
         publish(merge_latest(stored, good, spec.key, spec.version, spec.ties), root, batch)
 
     def build_gold(self, batch: int) -> None:
-        silver, as_of = self.silver, self.as_of
-        fact = gold.fact_sales(
-            silver("orderdetails"), silver("orders"), silver("payment"), silver("shipping"), as_of
-        )
-        gold.refresh_fact(fact, self.fact_path)
+        self.build_fact()
+        silver = self.silver
         for name, dim, source in (
             ("dim_store", gold.dim_store, "stores"),
             ("dim_inventory", gold.dim_inventory, "inventory"),
@@ -115,13 +130,38 @@ class Lakehouse:
             ("dim_shipment", gold.dim_shipment, "shipping"),
         ):
             publish(dim(silver(source)), f"{self.root}/gold/{name}", batch)
-        for name, schema, upsert, source in (
-            ("dim_product", schemas.DIM_PRODUCT, gold.dim_product, "products"),
-            ("dim_customer", schemas.DIM_CUSTOMER, gold.dim_customer, "customer"),
-        ):
-            root = f"{self.root}/gold/{name}"
-            stored = read_current(self.spark, root, schema, before=batch)
-            publish(upsert(stored, silver(source), as_of), root, batch)
+
+        root = f"{self.root}/gold/dim_product"
+        stored = read_current(self.spark, root, schemas.DIM_PRODUCT, before=batch)
+        publish(gold.dim_product(stored, silver("products"), self.as_of), root, batch)
+
+        # Only the open versions are merged; a version folder adds what it closes.
+        root = f"{self.root}/gold/dim_customer"
+        stored = read_current(self.spark, root, schemas.DIM_CUSTOMER, before=batch)
+        merged = gold.dim_customer(
+            stored.filter(F.col("IS_ACTIVE") == 1), silver("customer"), self.as_of
+        )
+        publish(merged, root, batch, partition_by=["IS_ACTIVE"])
+
+    def build_fact(self) -> None:
+        """Store the fact, after the first run only the months this run touched."""
+        inputs = {
+            "orderdetails": "OrderID", "orders": "OrderID",
+            "payment": "order_id", "shipping": "order_id",
+        }
+        silver = {name: self.silver(name) for name in inputs}
+        months = None
+        if folder_exists(self.spark, f"{self.fact_path}/_SUCCESS"):
+            loaded_now = F.col("ingestion_timestamp") == stamp(self.as_of)
+            changed = [
+                df.filter(loaded_now).select(F.col(inputs[name]).alias("OrderID"))
+                for name, df in silver.items()
+            ]
+            months = gold.months_touched(
+                silver["orders"], reduce(DataFrame.union, changed), self.fact()
+            )
+        fact = gold.fact_sales(*silver.values(), as_of=self.as_of)
+        gold.refresh_fact(fact, self.fact_path, months)
 
     def build_kpis(self, batch: int) -> None:
         fact = self.fact()

@@ -3,7 +3,7 @@
 from .files import file_row_counts, list_files, read_csv, read_json, split_drops
 from .sinks import append_table, create_table, overwrite_table, quarantine, write_csv, write_json
 from .tables import read_jdbc, table
-from .versions import current_version, publish, read_current, register_view
+from .versions import current_version, publish, read_current, read_history, register_view
 
 __all__ = [
     "append_table",
@@ -16,6 +16,7 @@ __all__ = [
     "quarantine",
     "read_csv",
     "read_current",
+    "read_history",
     "read_jdbc",
     "read_json",
     "register_view",

@@ -10,22 +10,40 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _PREFIX = "version="
 
 
-def _finished(spark: SparkSession, root: str) -> list[int]:
-    jvm = spark._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+def _folder(spark: SparkSession, path: str):
+    """File system and path object of a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _folder(spark, path)
+    return fs.exists(folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _folder(spark, path)
+    fs.delete(folder, True)
+
+
+def finished_versions(spark: SparkSession, root: str, before: int | None = None) -> list[int]:
+    """Versions written to the end, oldest first, optionally older than ``before``."""
+    fs, base = _folder(spark, root)
     if not fs.exists(base):
         return []
+    names = (entry.getPath().getName() for entry in fs.listStatus(base))
+    versions = (int(name[len(_PREFIX) :]) for name in names if name.startswith(_PREFIX))
     return sorted(
-        int(entry.getPath().getName()[len(_PREFIX) :])
-        for entry in fs.listStatus(base)
-        if entry.getPath().getName().startswith(_PREFIX)
-        and fs.exists(jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS"))
+        v
+        for v in versions
+        if (before is None or v < before)
+        and folder_exists(spark, f"{version_path(root, v)}/_SUCCESS")
     )
 
 
@@ -35,7 +53,7 @@ def version_path(root: str, version: int) -> str:
 
 def current_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
     """Newest finished version, optionally older than ``before``."""
-    done = [v for v in _finished(spark, root) if before is None or v < before]
+    done = finished_versions(spark, root, before)
     return done[-1] if done else None
 
 
@@ -49,6 +67,28 @@ def read_current(
     return spark.read.schema(schema).parquet(version_path(root, version))
 
 
+def read_history(
+    spark: SparkSession, root: str, schema: T.StructType, flag: str, before: int | None = None
+) -> DataFrame:
+    """Open rows of the newest version and closed rows of all of them.
+
+    For states published with ``partition_by=[flag]`` whose versions hold the
+    rows open at the time (flag 1) and those closed by it (flag 0). Closed rows
+    are thus written once and never copied from version to version.
+    """
+    done = finished_versions(spark, root, before)
+    if not done:
+        return spark.createDataFrame([], schema)
+    number = F.col("version").cast("long")
+    kept = (number == done[-1]) | ((F.col(flag) == 0) & number.isin(*done))
+    return (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.LongType())]))
+        .parquet(root)
+        .filter(kept)
+        .select(*schema.names)
+    )
+
+
 def publish(
     df: DataFrame, root: str, version: int, partition_by: Sequence[str] = ()
 ) -> DataFrame:

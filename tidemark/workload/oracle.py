@@ -483,6 +483,7 @@ def oracle_sql() -> dict[str, str]:
                 FROM fact GROUP BY ALL"""
         ),
     }
+    sql["lakehouse_run"] = sql["kpi_daily_sales"]
     names = {"lines": "orderdetails"}
     for name in SILVER:
         sql[f"silver_{names.get(name, name)}"] = _with(f"SELECT * FROM silver_{name}", name)

@@ -17,6 +17,7 @@ from ..operators.latest import keep_latest, merge_latest
 from ..operators.quality import has_values, valid_key
 from ..operators.scd import scd2_changed_keys
 from ..plans import gold, ingest, kpi
+from ..plans.lakehouse import Lakehouse
 from ..plans.silver import SILVER, refine
 from ..session import shared_dir
 from ..sources.files import file_row_counts, read_csv, read_json, split_drops
@@ -406,6 +407,24 @@ def _third_of(spark: SparkSession, folder: str) -> int:
     return max(1, ceil(files / 3))
 
 
+# All layers in one run, from source tables and feeds to a stored KPI table.
+
+SOURCE_TABLES = {"Customers": "customer", "Products": "products", "Stores": "stores",
+                 "Orders": "orders", "OrderDetails": "orderdetails"}
+
+
+def lakehouse_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def run(path: str) -> None:
+        Lakehouse(spark, path).run(
+            1,
+            lambda _, name: retail.RAW[SOURCE_TABLES[name]](spark, sf_dir),
+            lambda name: retail.RAW[name](spark, sf_dir),
+        )
+
+    path = _once(spark, sf_dir, "lakehouse", run)
+    return Lakehouse(spark, path).gold("gold_sales_summary")
+
+
 def _kpi_customer(active_only: bool) -> Query:
     return lambda spark, d: kpi.customer_kpi(
         _stored_fact(spark, d), scd2_customer(spark, d), active_only
@@ -480,4 +499,5 @@ def queries() -> dict[str, Query]:
         "kpi_delivery": _on_fact(kpi.delivery_performance),
         "kpi_payment": _on_fact(kpi.payment_success_rate),
         "kpi_monthly": _on_fact(kpi.monthly_sales),
+        "lakehouse_run": lakehouse_run,
     }
