@@ -78,7 +78,7 @@ def test_hot_keys(spark):
 pairs = st.lists(st.integers(1, 4), max_size=14)
 
 
-@settings(max_examples=10, deadline=None,
+@settings(max_examples=6, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(pairs, st.sets(st.integers(1, 4)), pairs, pairs)
 def test_spread_fact_equals_brute_force(spark, lines, orders, payment, shipping):

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tidemark.operators import has_values, keep_latest, merge_latest, valid_key
-from tidemark.operators.merge import unique_by
+from tidemark.operators.merge import is_small, unique_by
 
 KVT = "k long, v int, t string"
 
@@ -51,7 +51,7 @@ some_rows = st.lists(
     st.tuples(st.integers(1, 4), version, st.sampled_from("abc")), min_size=1, max_size=20
 )
 few = settings(
-    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 
 
@@ -74,15 +74,27 @@ def test_keep_latest_matches_brute_force_and_is_idempotent(spark, data):
 
 
 @few
-@given(some_rows, some_rows)
-def test_merge_latest_equals_latest_of_both(spark, old, new):
+@given(some_rows, some_rows, st.booleans())
+def test_merge_latest_equals_latest_of_both(spark, old, new, small):
     def latest(data):
         return keep_latest(spark.createDataFrame(data, KVT), "k", "v", ["t"])
 
-    merged = merge_latest(latest(old), latest(new), "k", "v", ["t"])
+    merged = merge_latest(latest(old), latest(new), "k", "v", ["t"], small)
     assert rows(merged) == newest(old + new)
 
 
+def test_a_small_batch_leaves_the_stored_side_in_place(spark, tmp_path):
+    spark.createDataFrame([(1, 1, "a")], KVT).write.parquet(str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    batch = spark.createDataFrame([(1, 2, "b"), (2, 1, "c")], KVT)
+    merged = merge_latest(stored, batch, "k", "v", small_source=is_small(batch))
+    assert rows(merged) == [(1, 2, "b"), (2, 1, "c")]
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    scan = next(i for i, line in enumerate(plan.splitlines()) if "FileScan parquet [k" in line)
+    path_up = plan.splitlines()[:scan]
+    assert "BroadcastHashJoin" in plan and not any("Exchange hash" in line for line in path_up)
+
+
 def test_unique_by(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, t string")
     assert rows(unique_by(df, "k")) == [(1, "a"), (2, "b")]

@@ -47,7 +47,7 @@ def test_upserts_equal_one_batch(spark, tmp_path):
             drop_stream(spark, str(folder), schema, files_per_batch=per_batch),
             root,
             schema,
-            lambda state, batch: merge_latest(state, batch, "k", "v", ["t"]),
+            lambda state, batch, small: merge_latest(state, batch, "k", "v", ["t"], small),
             key="k",
             version="v",
             ties=["t"],
@@ -75,7 +75,7 @@ def test_history_from_a_stream(spark, tmp_path):
             drop_stream(spark, str(folder), schema),
             root,
             schemas.DIM_CUSTOMER,
-            dim_customer,
+            lambda state, batch, small: dim_customer(state, batch, small_source=small),
             key="CustomerID",
             version="v",
             checkpoint=str(tmp_path / "check"),

@@ -29,6 +29,6 @@ def row_hash_plain(*names: str, separator: str | None = None) -> Column:
 
 
 def rows_differ(left: str, right: str, names: Sequence[str]) -> Column:
-    """True when any named column differs between two aliases, NULL equal to NULL."""
-    same = (F.col(f"{left}.{n}").eqNullSafe(F.col(f"{right}.{n}")) for n in names)
+    """True when any column differs between two prefixes, NULL being equal to NULL."""
+    same = (F.col(f"{left}{n}").eqNullSafe(F.col(f"{right}{n}")) for n in names)
     return ~reduce(lambda a, b: a & b, same)

@@ -1,4 +1,4 @@
-"""Merge of a source into a target as one full outer join.
+"""Merge of a source into a target by key.
 
 Parquet tables have no row-level MERGE, so a merge yields the whole new state
 and the caller publishes it as a new version (see ``sources.versions``).
@@ -11,6 +11,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# A source of at most this many rows is broadcast (some tens of megabytes).
+SMALL_ROWS = 200_000
+
 
 def unique_by(df: DataFrame, key: str) -> DataFrame:
     """The same rows; the query fails when a key occurs twice.
@@ -23,14 +26,47 @@ def unique_by(df: DataFrame, key: str) -> DataFrame:
     return counted.filter(once.isNull()).drop("_copies")
 
 
+def pair_up(
+    target: DataFrame, source: DataFrame, key: str, small_source: bool = False
+) -> DataFrame:
+    """Rows of both sides next to each other, as ``t_<column>`` and ``s_<column>``.
+
+    ``_stored`` and ``_sent`` are NULL where a side has no row. In general this
+    is one full outer join, which shuffles both sides once. With
+    ``small_source`` (see :func:`is_small`) the source is broadcast instead and
+    the target, however large, is scanned in place: once in full and once by
+    key, to find the source rows it does not have yet.
+    """
+    t = target.select(
+        *(F.col(c).alias(f"t_{c}") for c in target.columns), F.lit(True).alias("_stored")
+    )
+    s = unique_by(source, key).select(
+        *(F.col(c).alias(f"s_{c}") for c in source.columns), F.lit(True).alias("_sent")
+    )
+    on_key = F.col(f"t_{key}") == F.col(f"s_{key}")
+    if not small_source:
+        return t.join(s, on_key, "full_outer")
+    matched = t.join(F.broadcast(s), on_key, "left")
+    met = t.join(F.broadcast(s), on_key, "inner").select(F.col(f"t_{key}").alias("_met"))
+    new = s.join(met, F.col(f"s_{key}") == F.col("_met"), "left_anti")
+    return matched.unionByName(new, allowMissingColumns=True)
+
+
+def is_small(stored_source: DataFrame) -> bool:
+    """Whether a source may be broadcast: checked by counting, for stored parquet
+    from its footers."""
+    return stored_source.count() <= SMALL_ROWS
+
+
 def merge_rows(
     target: DataFrame,
     source: DataFrame,
     key: str,
     update_when: Column,
     columns: Mapping[str, tuple[Column | None, Column]],
+    small_source: bool = False,
 ) -> DataFrame:
-    """New state of ``target`` (alias ``t``) after merging ``source`` (alias ``s``).
+    """New state of ``target`` after merging ``source``; see :func:`pair_up`.
 
     ``columns`` gives per target column the value on update (None keeps the
     stored one) and the value on insert. Rows on one side only are kept or
@@ -38,21 +74,12 @@ def merge_rows(
     """
     insert = F.col("_stored").isNull()
     update = F.col("_sent").isNotNull() & F.coalesce(update_when, F.lit(False))
-    joined = (
-        target.withColumn("_stored", F.lit(1))
-        .alias("t")
-        .join(
-            unique_by(source, key).withColumn("_sent", F.lit(1)).alias("s"),
-            F.col(f"t.{key}") == F.col(f"s.{key}"),
-            "full_outer",
-        )
-    )
 
     def merged(name: str) -> Column:
         on_update, on_insert = columns[name]
         value = F.when(insert, on_insert)
         if on_update is not None:
             value = value.when(update, on_update)
-        return value.otherwise(F.col(f"t.{name}")).alias(name)
+        return value.otherwise(F.col(f"t_{name}")).alias(name)
 
-    return joined.select(*map(merged, target.columns))
+    return pair_up(target, source, key, small_source).select(*map(merged, target.columns))

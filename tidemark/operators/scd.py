@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import OPEN_END, row_hash, row_hash_plain, rows_differ, stamp
-from .merge import merge_rows, unique_by
+from .merge import merge_rows, pair_up, unique_by
 
 # Audit labels written by the loads.
 INSERTED_BY = "databricks"
@@ -25,6 +25,7 @@ def scd1_upsert(
     tracked: Sequence[str],
     as_of: object = None,
     changed_by: str = "columns",
+    small_source: bool = False,
 ) -> DataFrame:
     """New state of a dimension that keeps one row per key.
 
@@ -35,19 +36,19 @@ def scd1_upsert(
     now = stamp(as_of)
     if changed_by == "hash":
         hashed = row_hash_plain(key, *tracked, separator="||")
-        differs = F.col("t.HASHVALUE") != F.col("s.HASHVALUE")
+        differs = F.col("t_HASHVALUE") != F.col("s_HASHVALUE")
     else:
         hashed = row_hash(key, *tracked)
-        differs = rows_differ("t", "s", tracked)
+        differs = rows_differ("t_", "s_", tracked)
     fresh = source.select(key, *tracked).withColumn("HASHVALUE", hashed)
     columns: dict[str, tuple[Column | None, Column]] = {
-        name: (F.col(f"s.{name}"), F.col(f"s.{name}")) for name in fresh.columns
+        name: (F.col(f"s_{name}"), F.col(f"s_{name}")) for name in fresh.columns
     }
     columns["CREATEDDATE"] = (None, now)
     columns["CREATEDBY"] = (None, F.lit(INSERTED_BY))
     columns["UPDATEDDATE"] = (now, now)
     columns["UPDATEDBY"] = (F.lit(SCD1_UPDATED_BY), F.lit(INSERTED_BY))
-    return merge_rows(target, fresh, key, differs, columns)
+    return merge_rows(target, fresh, key, differs, columns, small_source)
 
 
 def scd2_upsert(
@@ -57,6 +58,7 @@ def scd2_upsert(
     tracked: Sequence[str],
     as_of: object = None,
     against: str = "active",
+    small_source: bool = False,
 ) -> DataFrame:
     """New state of a dimension that keeps every version of a key.
 
@@ -69,31 +71,24 @@ def scd2_upsert(
         return _against_history(target, source, key, tracked, as_of)
     fresh = source.select(key, *tracked).withColumn("HASHVALUE", row_hash(key, *tracked))
     is_active = F.col("IS_ACTIVE").eqNullSafe(F.lit(1))
-    pairs = (
-        target.filter(is_active)
-        .withColumn("_stored", F.lit(1))
-        .alias("t")
-        .join(
-            unique_by(fresh, key).withColumn("_sent", F.lit(1)).alias("s"),
-            F.col(f"t.{key}") == F.col(f"s.{key}"),
-            "full_outer",
-        )
-    )
+    pairs = pair_up(target.filter(is_active), fresh, key, small_source)
     inserted = F.col("_stored").isNull()
-    changed = F.col("_stored").isNotNull() & F.col("_sent").isNotNull() & rows_differ(
-        "t", "s", tracked
+    changed = (
+        F.col("_stored").isNotNull()
+        & F.col("_sent").isNotNull()
+        & rows_differ("t_", "s_", tracked)
     )
     # A changed key yields two rows, the closed version and the new one.
     sides = F.when(changed, F.array(F.lit("old"), F.lit("new"))).otherwise(
         F.array(F.when(inserted, F.lit("new")).otherwise(F.lit("old")))
     )
-    new_row = _new_version("s", key, tracked, as_of)
+    new_row = _new_version("s_", key, tracked, as_of)
     closed = _closing(as_of)
     current = pairs.withColumn("_changed", changed).withColumn("_side", F.explode(sides)).select(
         *(
             F.when(F.col("_side") == "new", new_row[name])
-            .when(F.col("_changed"), closed.get(name, F.col(f"t.{name}")))
-            .otherwise(F.col(f"t.{name}"))
+            .when(F.col("_changed"), closed.get(name, F.col(f"t_{name}")))
+            .otherwise(F.col(f"t_{name}"))
             .alias(name)
             for name in target.columns
         )
@@ -111,7 +106,7 @@ def scd2_changed_keys(
         source.select(key, *tracked)
         .alias("new")
         .join(active.alias("old"), F.col(f"new.{key}") == F.col(f"old.{key}"), "inner")
-        .where(rows_differ("new", "old", tracked))
+        .where(rows_differ("new.", "old.", tracked))
         .select(F.col(f"new.{key}").alias("MergeKey"), "new.*")
     )
 
@@ -141,16 +136,16 @@ def _against_history(
             )
         )
     )
-    row = _new_version("s", key, tracked, as_of)
+    row = _new_version("s.", key, tracked, as_of)
     inserts = new.alias("s").select(*(row[name].alias(name) for name in target.columns))
     past = target.filter(~F.col("IS_ACTIVE").eqNullSafe(F.lit(1)))
     return past.union(kept).union(inserts)
 
 
 def _new_version(
-    alias: str, key: str, tracked: Sequence[str], as_of: object
+    prefix: str, key: str, tracked: Sequence[str], as_of: object
 ) -> dict[str, Column]:
-    row = {name: F.col(f"{alias}.{name}") for name in (key, *tracked, "HASHVALUE")}
+    row = {name: F.col(f"{prefix}{name}") for name in (key, *tracked, "HASHVALUE")}
     row["CREATEDDATE"] = stamp(as_of)
     row["CREATEDBY"] = F.lit(INSERTED_BY)
     row["UPDATEDDATE"] = F.to_timestamp(F.lit(OPEN_END))

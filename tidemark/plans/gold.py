@@ -91,7 +91,9 @@ def months_touched(orders: DataFrame, changed: DataFrame, stored: DataFrame | No
     changed = changed.select("OrderID").distinct()
     now = orders.join(changed, "OrderID", "left_semi").select(_month("OrderDate"))
     if stored is not None:
-        now = now.union(stored.join(changed, "OrderID", "left_semi").select(FACT_PARTITION))
+        # One row per order and month before the join, however many sales it has.
+        then = stored.select("OrderID", FACT_PARTITION).distinct()
+        now = now.union(then.join(changed, "OrderID", "left_semi").select(FACT_PARTITION))
     return sorted(row[0] for row in now.distinct().collect() if row[0] is not None)
 
 
@@ -157,14 +159,26 @@ CUSTOMER_TRACKED = ("FullName", "City", "Email")
 
 
 def dim_product(
-    target: DataFrame, products: DataFrame, as_of: object = None, changed_by: str = "columns"
+    target: DataFrame,
+    products: DataFrame,
+    as_of: object = None,
+    changed_by: str = "columns",
+    small_source: bool = False,
 ) -> DataFrame:
     """Current product dimension: changed products replace their stored row."""
-    return scd1_upsert(target, products, "ProductID", PRODUCT_TRACKED, as_of, changed_by)
+    return scd1_upsert(
+        target, products, "ProductID", PRODUCT_TRACKED, as_of, changed_by, small_source
+    )
 
 
 def dim_customer(
-    target: DataFrame, customers: DataFrame, as_of: object = None, against: str = "active"
+    target: DataFrame,
+    customers: DataFrame,
+    as_of: object = None,
+    against: str = "active",
+    small_source: bool = False,
 ) -> DataFrame:
     """Customer dimension with history: a change closes the open version and adds one."""
-    return scd2_upsert(target, customers, "CustomerID", CUSTOMER_TRACKED, as_of, against)
+    return scd2_upsert(
+        target, customers, "CustomerID", CUSTOMER_TRACKED, as_of, against, small_source
+    )

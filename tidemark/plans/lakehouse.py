@@ -14,6 +14,7 @@ from .. import schemas
 from ..functions import stamp
 from ..operators.control import watermark_seed
 from ..operators.latest import merge_latest
+from ..operators.merge import is_small
 from ..sources.versions import (
     current_version,
     folder_exists,
@@ -109,16 +110,24 @@ class Lakehouse:
     def refine_table(self, spec: SilverSpec, path: str, batch: int) -> None:
         """Silver state with one raw batch merged in, and its rejected records.
 
-        The text is parsed once into a typed staging copy that both outputs read.
+        The text is parsed once into a typed staging copy that both outputs read,
+        and the batch is cleaned once, so that its size is known before the merge.
         """
-        staged = f"{self.root}/staging/{spec.name}/batch={batch}"
-        spec.read(self.spark, path).write.mode("overwrite").parquet(staged)
-        parsed = self.spark.read.schema(schemas.with_corrupt(spec.schema)).parquet(staged)
+        parsed = self._stage(spec.read(self.spark, path), f"parsed/{spec.name}", batch)
         good, bad = refine(spec, parsed, self.as_of)
         bad.write.mode("overwrite").parquet(f"{self.root}/quarantine/{spec.name}/batch={batch}")
+        clean = self._stage(good, f"clean/{spec.name}", batch)
         root = f"{self.root}/silver/{spec.name}"
-        stored = read_current(self.spark, root, good.schema, before=batch)
-        publish(merge_latest(stored, good, spec.key, spec.version, spec.ties), root, batch)
+        stored = read_current(self.spark, root, clean.schema, before=batch)
+        merged = merge_latest(
+            stored, clean, spec.key, spec.version, spec.ties, small_source=is_small(clean)
+        )
+        publish(merged, root, batch)
+
+    def _stage(self, df: DataFrame, name: str, batch: int) -> DataFrame:
+        path = f"{self.root}/staging/{name}/batch={batch}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def build_gold(self, batch: int) -> None:
         self.build_fact()

@@ -21,14 +21,20 @@ MOMENTS = {
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, *, only: str | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    *,
+    only: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV files with a declared schema; unparsable records stay as text.
 
     Columns bind by position. ``path`` may hold wildcards; ``only`` restricts
-    the scan to matching file names.
+    the scan to matching file names. ``multi_line`` is for line breaks inside
+    quoted text; each file is then read by one task.
     """
-    reader = _permissive(spark, schema).options(**CSV_DIALECT)
+    reader = _permissive(spark, schema).options(**CSV_DIALECT).option("multiLine", multi_line)
     if only:
         reader = reader.option("pathGlobFilter", only)
     return _check_whole_record(reader.csv(path))

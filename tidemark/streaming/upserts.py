@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..operators.latest import keep_latest
+from ..operators.merge import is_small
 from ..sources.versions import publish, read_current
 
-Merge = Callable[[DataFrame, DataFrame], DataFrame]
+# merge(state, batch, small_source)
+Merge = Callable[[DataFrame, DataFrame, bool], DataFrame]
 
 
 def upsert_stream(
@@ -27,14 +29,19 @@ def upsert_stream(
 ) -> None:
     """Merge all data available now into the state under ``state_root`` and stop.
 
-    ``merge(state, batch)`` is one of the batch upserts; the batch it gets holds
-    the newest row per key. Batch *n* reads the newest state before *n* and
-    writes version *n*, so a repeated batch gives the same state again.
+    ``merge(state, batch, small_source)`` is one of the batch upserts; the batch
+    it gets holds the newest row per key, and a small one need not move the
+    state. Batch *n* reads the newest state before *n* and writes version *n*,
+    so a repeated batch gives the same state again.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         state = read_current(batch.sparkSession, state_root, schema, before=batch_id)
-        publish(merge(state, keep_latest(batch, key, version, ties)), state_root, batch_id)
+        newest = keep_latest(batch, key, version, ties).persist()
+        try:
+            publish(merge(state, newest, is_small(newest)), state_root, batch_id)
+        finally:
+            newest.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(apply)

@@ -391,7 +391,9 @@ def upsert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             stream.select(*STATE.names),
             f"{path}/state",
             STATE,
-            lambda state, batch: merge_latest(state, batch, "user_id", "ts", ["event_id"]),
+            lambda state, batch, small: merge_latest(
+                state, batch, "user_id", "ts", ["event_id"], small
+            ),
             key="user_id",
             version="ts",
             ties=["event_id"],
