@@ -133,10 +133,23 @@ def test_refresh_replaces_only_the_months_given(spark, tmp_path):
     # Order 2 moves from February to March, where order 3 changes too.
     now = fact((1, 1, 9.0), (2, 3, 2.0), (3, 3, 3.0))
     orders = now.select("OrderID", "OrderDate")
-    changed = spark.createDataFrame([(2,), (3,)], "OrderID long")
-    months = months_touched(orders, changed, stored)
+    changed = spark.createDataFrame([(2, 2), (3, 3)], "key long, OrderID long")
+    months = months_touched(orders, {"OrderID": changed}, stored)
     assert months == ["2026-02", "2026-03"]
     for _ in range(2):
         refresh_fact(now, path, months)
         stored = spark.read.parquet(path)
         assert rows(stored, "OrderID", "SalesAmount") == [(1, 1.0), (2, 2.0), (3, 3.0)]
+
+
+def test_a_payment_that_moves_touches_both_orders(spark):
+    orders = spark.createDataFrame(
+        [(1, dt.date(2026, 1, 1)), (2, dt.date(2026, 2, 1)), (3, dt.date(2026, 3, 1))],
+        "OrderID long, OrderDate date",
+    )
+    stored = spark.createDataFrame(
+        [(1, 7, "2026-01"), (3, 8, "2026-03")], "OrderID long, payment_id long, OrderMonth string"
+    )
+    moved = spark.createDataFrame([(7, 2)], "key long, OrderID long")
+    assert months_touched(orders, {"payment_id": moved}, stored) == ["2026-01", "2026-02"]
+    assert months_touched(orders, {"payment_id": moved}, None) == ["2026-02"]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -82,19 +83,26 @@ def fact_sales(
     )
 
 
-def months_touched(orders: DataFrame, changed: DataFrame, stored: DataFrame | None) -> list[str]:
-    """Months (``yyyy-MM``) to refresh when the orders in ``changed`` (OrderID) changed.
+def months_touched(
+    orders: DataFrame, changed: Mapping[str, DataFrame], stored: DataFrame | None
+) -> list[str]:
+    """Months (``yyyy-MM``) of the fact to refresh after changes to its inputs.
 
-    That is where those orders are now and, for orders that moved, where the
-    stored fact still has them. The list is as long as the calendar, not the data.
+    ``changed`` gives, per key column of the fact, the changed rows of that input
+    as (key, OrderID). Touched are the months in which their orders are now, and
+    those in which the stored fact shows the changed keys: an order may have
+    moved to another month, a payment to another order. The list is as long as
+    the calendar, not the data.
     """
-    changed = changed.select("OrderID").distinct()
-    now = orders.join(changed, "OrderID", "left_semi").select(_month("OrderDate"))
+    order_ids = reduce(DataFrame.union, (rows.select("OrderID") for rows in changed.values()))
+    months = orders.join(order_ids.distinct(), "OrderID", "left_semi").select(_month("OrderDate"))
     if stored is not None:
-        # One row per order and month before the join, however many sales it has.
-        then = stored.select("OrderID", FACT_PARTITION).distinct()
-        now = now.union(then.join(changed, "OrderID", "left_semi").select(FACT_PARTITION))
-    return sorted(row[0] for row in now.distinct().collect() if row[0] is not None)
+        for column, rows in changed.items():
+            # One row per key and month before the join, however many sales it has.
+            shown = stored.select(F.col(column).alias("key"), FACT_PARTITION).distinct()
+            keys = rows.select("key").distinct()
+            months = months.union(shown.join(keys, "key", "left_semi").select(FACT_PARTITION))
+    return sorted(row[0] for row in months.distinct().collect() if row[0] is not None)
 
 
 def refresh_fact(fact: DataFrame, path: str, months: Sequence[str] | None = None) -> None:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +35,14 @@ RELATIONAL = {
     "stores": "Stores",
 }
 
+# Inputs of the fact, in its order, with their key in the fact and their order column.
+FACT_INPUTS = {
+    "orderdetails": ("OrderDetailID", "OrderID"),
+    "orders": ("OrderID", "OrderID"),
+    "payment": ("payment_id", "order_id"),
+    "shipping": ("shipment_id", "order_id"),
+}
+
 
 @dataclass
 class Lakehouse:
@@ -153,24 +160,24 @@ class Lakehouse:
         publish(merged, root, batch, partition_by=["IS_ACTIVE"])
 
     def build_fact(self) -> None:
-        """Store the fact, after the first run only the months this run touched."""
-        inputs = {
-            "orderdetails": "OrderID", "orders": "OrderID",
-            "payment": "order_id", "shipping": "order_id",
-        }
-        silver = {name: self.silver(name) for name in inputs}
+        """Store the fact; after the first run only the months touched since."""
+        inputs = [self.silver(name) for name in FACT_INPUTS]
         months = None
         if folder_exists(self.spark, f"{self.fact_path}/_SUCCESS"):
-            loaded_now = F.col("ingestion_timestamp") == stamp(self.as_of)
-            changed = [
-                df.filter(loaded_now).select(F.col(inputs[name]).alias("OrderID"))
-                for name, df in silver.items()
-            ]
-            months = gold.months_touched(
-                silver["orders"], reduce(DataFrame.union, changed), self.fact()
-            )
-        fact = gold.fact_sales(*silver.values(), as_of=self.as_of)
-        gold.refresh_fact(fact, self.fact_path, months)
+            stored, loaded = self.fact(), F.col("ingestion_timestamp")
+            built = stored.agg(F.max("created_at")).first()[0]
+            # This run, and any earlier one that did not get as far as the fact.
+            recent = loaded == stamp(self.as_of)
+            if built is not None:
+                recent = recent | (loaded > F.lit(built))
+            changed = {
+                key: df.filter(recent).select(
+                    F.col(key).alias("key"), F.col(order).alias("OrderID")
+                )
+                for df, (key, order) in zip(inputs, FACT_INPUTS.values())
+            }
+            months = gold.months_touched(self.silver("orders"), changed, stored)
+        gold.refresh_fact(gold.fact_sales(*inputs, as_of=self.as_of), self.fact_path, months)
 
     def build_kpis(self, batch: int) -> None:
         fact = self.fact()
