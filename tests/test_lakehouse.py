@@ -62,11 +62,9 @@ def root(spark, tmp_path_factory):
     Lakehouse(spark, path, "2026-03-01 00:00:00").run(1, *sources(spark, FIRST))
     first = state(Lakehouse(spark, path))
     assert first["fact"] == [(11, 10.0, 1, 1), (21, 5.0, None, None)]
-    # Repeating a run leaves the same state.
-    Lakehouse(spark, path, "2026-03-01 00:00:00").run(1, *sources(spark, FIRST))
-    assert state(Lakehouse(spark, path)) == first
-    Lakehouse(spark, path, "2026-04-01 00:00:00").run(2, *sources(spark, SECOND))
-    Lakehouse(spark, path, "2026-04-01 00:00:00").run(2, *sources(spark, SECOND))
+    # The second run is repeated, as after a failure; the tests see its state once.
+    for _ in range(2):
+        Lakehouse(spark, path, "2026-04-01 00:00:00").run(2, *sources(spark, SECOND))
     return path
 
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable
+from functools import partial
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.control import Copy, advance_watermarks, copy_log
 from ..operators.increment import high_water_mark, pull_increment
 from ..schemas import COPY_LOG, FEED_COPY_LOG
+from ..session import run_together
 from ..sources.sinks import write_csv, write_json
 
 # The feeds.
@@ -40,35 +42,36 @@ def ingest_increments(
 
     ``read(schema, table)`` opens a source. The new mark is taken first and
     bounds the copy. A failed table is logged, keeps its mark, and does not stop
-    the others. Only the control table (one row per source) is looped over; all
-    rows move in Spark jobs. Running a batch again replaces its files.
+    the others. Only the control table (one row per source) reaches the driver;
+    all rows move in Spark jobs. Running a batch again replaces its files.
     """
-    paths: dict[str, str] = {}
-    log: list[Copy] = []
-    marks: list[tuple[str, object]] = []
-    for row in control.collect():
-        name, column, last = row.TABLENAME, row.DELTACOL, row.LASTPROCESSEDVALUE
+
+    def copy(row: Row) -> tuple[Copy, object, str]:
+        column, last = row.DELTACOL, row.LASTPROCESSEDVALUE
+        path = batch_folder(raw_root, row.FOLDERNAME, batch)
         started = time.monotonic()
+        mark = None
         try:
-            source = read(row.SCHEMANAME, name)
-            mark = high_water_mark(pull_increment(source, column, last), column).first()["max"]
+            source = read(row.SCHEMANAME, row.TABLENAME)
+            newest = high_water_mark(pull_increment(source, column, last), column).first()["max"]
             copied = 0
-            if mark is not None:
-                path = batch_folder(raw_root, row.FOLDERNAME, batch)
-                copied = _copy(pull_increment(source, column, last, mark), path, write_csv)
-                paths[name] = path
-                marks.append((name, mark))
+            if newest is not None:
+                copied = _copy(pull_increment(source, column, last, newest), path, write_csv)
+            mark = newest
             outcome = {"rows_read": copied, "rows_copied": copied}
         except Exception as error:  # any source or sink failure belongs in the log
             outcome = {"error": str(error)}
         seconds = int(time.monotonic() - started)
-        log.append(Copy(name, row.SCHEMANAME, seconds=seconds, **outcome))
+        return Copy(row.TABLENAME, row.SCHEMANAME, seconds=seconds, **outcome), mark, path
+
+    done = run_together(spark, (partial(copy, row) for row in control.collect()))
+    moved = [(entry.table, mark) for entry, mark, _ in done if mark is not None]
     mark_type = control.schema["LASTPROCESSEDVALUE"].dataType.simpleString()
-    new_marks = spark.createDataFrame(marks, f"TABLENAME string, max {mark_type}")
+    marks = spark.createDataFrame(moved, f"TABLENAME string, max {mark_type}")
     return IngestResult(
-        paths,
-        copy_log(spark, log, COPY_LOG, next_log_id),
-        advance_watermarks(control, new_marks),
+        {entry.table: path for entry, mark, path in done if mark is not None},
+        copy_log(spark, [entry for entry, _, _ in done], COPY_LOG, next_log_id),
+        advance_watermarks(control, marks),
     )
 
 
@@ -81,19 +84,23 @@ def ingest_feeds(
     next_log_id: int = 1,
 ) -> IngestResult:
     """Copy every feed in full to JSON lines; failures are logged per feed."""
-    paths: dict[str, str] = {}
-    log: list[Copy] = []
-    for name in feeds:
+
+    def copy(name: str) -> tuple[Copy, str]:
         started = time.monotonic()
         path = batch_folder(raw_root, name, batch)
         try:
             copied = _copy(read(name), path, write_json)
-            paths[name] = path
             outcome = {"rows_read": copied, "rows_copied": copied}
         except Exception as error:  # as above
             outcome = {"error": str(error)}
-        log.append(Copy(name, seconds=int(time.monotonic() - started), **outcome))
-    return IngestResult(paths, copy_log(spark, log, FEED_COPY_LOG, next_log_id), None)
+        return Copy(name, seconds=int(time.monotonic() - started), **outcome), path
+
+    done = run_together(spark, (partial(copy, name) for name in feeds))
+    return IngestResult(
+        {entry.table: path for entry, path in done if entry.error is None},
+        copy_log(spark, [entry for entry, _ in done], FEED_COPY_LOG, next_log_id),
+        None,
+    )
 
 
 def _copy(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]) -> int:

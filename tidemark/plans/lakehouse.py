@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from ..functions import stamp
 from ..operators.control import watermark_seed
 from ..operators.latest import merge_latest
 from ..operators.merge import is_small
+from ..session import run_together
 from ..sources.versions import (
     current_version,
     folder_exists,
@@ -81,8 +83,10 @@ class Lakehouse:
     ) -> None:
         """Ingest, refine and publish one batch, layer after layer."""
         paths = self.ingest(batch, read_table, read_feed)
-        for name, path in paths.items():
-            self.refine_table(SILVER[name], path, batch)
+        run_together(
+            self.spark,
+            [partial(self.refine_table, SILVER[name], path, batch) for name, path in paths.items()],
+        )
         self.build_gold(batch)
         self.build_kpis(batch)
 
@@ -137,26 +141,33 @@ class Lakehouse:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def build_gold(self, batch: int) -> None:
-        self.build_fact()
-        silver = self.silver
-        for name, dim, source in (
-            ("dim_store", gold.dim_store, "stores"),
-            ("dim_inventory", gold.dim_inventory, "inventory"),
-            ("dim_payment", gold.dim_payment, "payment"),
-            ("dim_shipment", gold.dim_shipment, "shipping"),
-        ):
-            publish(dim(silver(source)), f"{self.root}/gold/{name}", batch)
+        projections = {
+            "dim_store": gold.dim_store(self.silver("stores")),
+            "dim_inventory": gold.dim_inventory(self.silver("inventory")),
+            "dim_payment": gold.dim_payment(self.silver("payment")),
+            "dim_shipment": gold.dim_shipment(self.silver("shipping")),
+        }
+        run_together(
+            self.spark,
+            [
+                self.build_fact,
+                partial(self.build_dim_product, batch),
+                partial(self.build_dim_customer, batch),
+                *self._publications(projections, batch),
+            ],
+        )
 
+    def build_dim_product(self, batch: int) -> None:
         root = f"{self.root}/gold/dim_product"
         stored = read_current(self.spark, root, schemas.DIM_PRODUCT, before=batch)
-        publish(gold.dim_product(stored, silver("products"), self.as_of), root, batch)
+        publish(gold.dim_product(stored, self.silver("products"), self.as_of), root, batch)
 
-        # Only the open versions are merged; a version folder adds what it closes.
+    def build_dim_customer(self, batch: int) -> None:
+        """Only the open versions are merged; a version folder adds what it closes."""
         root = f"{self.root}/gold/dim_customer"
         stored = read_current(self.spark, root, schemas.DIM_CUSTOMER, before=batch)
-        merged = gold.dim_customer(
-            stored.filter(F.col("IS_ACTIVE") == 1), silver("customer"), self.as_of
-        )
+        is_open = stored.filter(F.col("IS_ACTIVE") == 1)
+        merged = gold.dim_customer(is_open, self.silver("customer"), self.as_of)
         publish(merged, root, batch, partition_by=["IS_ACTIVE"])
 
     def build_fact(self) -> None:
@@ -181,13 +192,19 @@ class Lakehouse:
 
     def build_kpis(self, batch: int) -> None:
         fact = self.fact()
-        for name, table in (
-            ("gold_sales_summary", kpi.daily_sales(fact)),
-            ("gold_product_performance", kpi.product_performance(fact, self.gold("dim_product"))),
-            ("gold_customer_kpi", kpi.customer_kpi(fact, self.gold("dim_customer"))),
-            ("gold_store_performance", kpi.store_performance(fact, self.gold("dim_store"))),
-        ):
-            publish(table, f"{self.root}/gold/{name}", batch)
+        tables = {
+            "gold_sales_summary": kpi.daily_sales(fact),
+            "gold_product_performance": kpi.product_performance(fact, self.gold("dim_product")),
+            "gold_customer_kpi": kpi.customer_kpi(fact, self.gold("dim_customer")),
+            "gold_store_performance": kpi.store_performance(fact, self.gold("dim_store")),
+        }
+        run_together(self.spark, self._publications(tables, batch))
+
+    def _publications(self, tables: dict[str, DataFrame], batch: int) -> list[partial]:
+        return [
+            partial(publish, table, f"{self.root}/gold/{name}", batch)
+            for name, table in tables.items()
+        ]
 
     def _at(self, folder: str) -> str:
         root = f"{self.root}/{folder}"

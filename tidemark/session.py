@@ -4,9 +4,18 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+Result = TypeVar("Result")
+
+# Independent jobs submitted at a time; one's last tasks overlap another's first.
+JOBS_AT_ONCE = 4
+
 # Settings every job of this package is designed around. Shuffle width is left
 # to the cluster: AQE coalesces down from whatever the session starts with.
 DEFAULTS = {
@@ -48,3 +57,12 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         if root is None:
             root = _fallback_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
     return os.path.join(root, "tidemark", spark.sparkContext.applicationId, *parts)
+
+
+def run_together(
+    spark: SparkSession, jobs: Iterable[Callable[[], Result]], at_once: int = JOBS_AT_ONCE
+) -> list[Result]:
+    """Results of independent driver steps, in order; the first failure is raised."""
+    with ThreadPoolExecutor(at_once) as pool:
+        steps = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [step.result() for step in steps]
