@@ -80,7 +80,7 @@ pairs = st.lists(st.integers(1, 4), max_size=14)
 
 @settings(max_examples=6, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(pairs, st.sets(st.integers(1, 4)), pairs, pairs)
+@given(pairs, st.sets(st.integers(1, 4)), st.one_of(st.just([1, 3]), pairs), pairs)
 def test_spread_fact_equals_brute_force(spark, lines, orders, payment, shipping):
     """With a limit of two rows per task nearly every order counts as heavy."""
     data = (
@@ -91,6 +91,23 @@ def test_spread_fact_equals_brute_force(spark, lines, orders, payment, shipping)
     assert keys(fact) == expected(*data)
 
 
+def test_heavy_lines_alone_keep_one_shuffle_per_input(spark, tmp_path):
+    data = ([(i, 1) for i in range(1, 9)], [1, 2], [(1, 1)], [(7, 2)])
+    stored = []
+    for i, frame in enumerate(frames(spark, *data)):
+        frame.write.parquet(str(tmp_path / str(i)))
+        stored.append(spark.read.parquet(str(tmp_path / str(i))))
+    fact = fact_sales(*stored, rows_per_task=4)
+    assert keys(fact) == expected(*data)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fact_sales(*stored, rows_per_task=4)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.toString().count("Exchange hashpartitioning") == 4
+    assert plan.toString().count("SortMergeJoin") == 3
+
+
 def test_heavy_keys_are_spread(spark):
     left = spark.range(4000).select(F.lit(1).cast("long").alias("lk"), F.col("id").alias("l"))
     right = spark.createDataFrame([(1, "a")], "rk long, r string")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from math import ceil
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows of one key that a single task can join comfortably.
@@ -57,6 +57,42 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Hot
     return {row["item"]: row["count"] for row in found.collect()}
 
 
+def spread(
+    df: DataFrame, key: str, hot: HotKeys, by: list[str], name: str, rows_per_task: int
+) -> DataFrame:
+    """The rows with a salt: a stable one out of several for heavy keys, 0 for others.
+
+    ``by`` names columns that tell the rows of one key apart. The salt depends on
+    the row alone, so a repeated task places it alike.
+    """
+    parts = _parts(df, hot, key, rows_per_task)
+    salted = df.join(parts, F.col(key) == F.col("_key"), "left").withColumn(
+        name, F.pmod(F.xxhash64(*by), F.coalesce(F.col("_parts"), F.lit(1))).cast("int")
+    )
+    return salted.drop("_key", "_parts")
+
+
+def copy_to_salts(
+    df: DataFrame, key: str, hot: HotKeys, name: str, rows_per_task: int
+) -> DataFrame:
+    """The rows, those of a heavy key once per salt that :func:`spread` gives it."""
+    if not hot:
+        return df.withColumn(name, F.lit(0))
+    parts = _parts(df, hot, key, rows_per_task)
+    salts = F.sequence(F.lit(0), F.coalesce(F.col("_parts") - 1, F.lit(0)).cast("int"))
+    copied = df.join(parts, F.col(key) == F.col("_key"), "left").withColumn(
+        name, F.explode(salts)
+    )
+    return copied.drop("_key", "_parts")
+
+
+def _parts(df: DataFrame, hot: HotKeys, key: str, rows_per_task: int) -> DataFrame:
+    """Salts per heavy key; twice MAX_HOT_KEYS rows at most (two frames' keys)."""
+    kind = df.schema[key].dataType.simpleString()
+    rows = [(value, ceil(count / rows_per_task)) for value, count in hot.items()]
+    return F.broadcast(df.sparkSession.createDataFrame(rows, f"_key {kind}, _parts long"))
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -81,58 +117,23 @@ def skew_join(
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
     left_hot, right_hot = left_hot or {}, right_hot or {}
+    on_key = F.col(left_key) == F.col(right_key)
     if not left_hot and not right_hot:
-        return left.join(right, F.col(left_key) == F.col(right_key), how)
-
-    cells = [
-        (
-            key,
-            max(1, ceil(left_hot.get(key, 0) / rows_per_task)),
-            max(1, ceil(right_hot.get(key, 0) / rows_per_task)),
-            key in right_hot,
-        )
-        for key in {*left_hot, *right_hot}
-    ]
-    key_type = left.schema[left_key].dataType.simpleString()
-    grid = left.sparkSession.createDataFrame(
-        cells, f"_key {key_type}, _rows int, _cols int, _partnered boolean"
-    )
-    grid = F.broadcast(grid)  # at most 2 * MAX_HOT_KEYS rows by construction
-    split_rows = any(rows > 1 for _, rows, _, _ in cells)
-    split_cols = any(cols > 1 for _, _, cols, _ in cells)
-
-    l = left.join(grid, F.col(left_key) == F.col("_key"), "left").withColumn(
-        "_row", _salt(left_spread or left.columns, "_rows")
-    )
-    l = l.withColumn("_col", _copies("_cols") if split_cols else F.lit(0))
-    l = l.drop("_key", "_rows", "_cols")
-    r = right.join(grid, F.col(right_key) == F.col("_key"), "left").withColumn(
-        "_rcol", _salt(right_spread or right.columns, "_cols")
-    )
-    r = r.withColumn("_rrow", _copies("_rows") if split_rows else F.lit(0))
-    r = r.drop("_key", "_rows", "_cols", "_partnered").withColumn("_hit", F.lit(True))
-
-    joined = l.join(
-        r,
-        (F.col(left_key) == F.col(right_key))
-        & (F.col("_row") == F.col("_rrow"))
-        & (F.col("_col") == F.col("_rcol")),
+        return left.join(right, on_key, how)
+
+    by_left, by_right = left_spread or left.columns, right_spread or right.columns
+    rows = spread(left, left_key, left_hot, by_left, "_row", rows_per_task)
+    rows = copy_to_salts(rows, left_key, right_hot, "_col", rows_per_task)
+    cols = spread(right, right_key, right_hot, by_right, "_rcol", rows_per_task)
+    cols = copy_to_salts(cols, right_key, left_hot, "_rrow", rows_per_task)
+    joined = rows.join(
+        cols.withColumn("_hit", F.lit(True)),
+        on_key & (F.col("_row") == F.col("_rrow")) & (F.col("_col") == F.col("_rcol")),
         how,
     )
-    if how == "left":
+    if how == "left" and right_hot:
         # A copy that met nobody in its own cell is not an unmatched row: the
         # key has partners in other cells.
-        joined = joined.filter(
-            F.col("_hit").isNotNull() | ~F.coalesce(F.col("_partnered"), F.lit(False))
-        )
+        partnered = F.coalesce(F.col(left_key).isin(*right_hot), F.lit(False))
+        joined = joined.filter(F.col("_hit").isNotNull() | ~partnered)
     return joined.select(*left.columns, *right.columns)
-
-
-def _salt(spread: list[str], parts: str) -> Column:
-    """Stable salt from the row itself, so a retried task places it alike."""
-    parts_or_one = F.coalesce(F.col(parts), F.lit(1))
-    return F.pmod(F.xxhash64(*spread), parts_or_one.cast("long")).cast("int")
-
-
-def _copies(parts: str) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(parts), F.lit(1)) - 1))

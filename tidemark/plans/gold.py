@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 
 from ..functions import stamp
 from ..operators.scd import scd1_upsert, scd2_upsert
-from ..operators.skew import ROWS_PER_TASK, hot_keys, skew_join
+from ..operators.skew import (
+    ROWS_PER_TASK,
+    HotKeys,
+    copy_to_salts,
+    hot_keys,
+    skew_join,
+    spread,
+)
 from ..sources.versions import remove_folder
 
 FACT_PARTITION = "OrderMonth"
@@ -45,25 +52,12 @@ def fact_sales(
         line_hot = hot_keys(lines, "OrderID", limit)
         pay_hot = hot_keys(payment, "p_order", limit)
         ship_hot = hot_keys(shipping, "s_order", limit)
-    # Rows per order after the payments are attached, as far as they are heavy.
-    paid_hot = {
-        key: line_hot.get(key, 1) * pay_hot.get(key, 1) for key in {*line_hot, *pay_hot}
-    }
-
-    # Orders are unique by key, so only the line side can be heavy here.
-    sold = skew_join(
-        lines, orders, "OrderID", "o_id", "inner", left_hot=line_hot,
-        rows_per_task=limit, left_spread=["OrderDetailID"],
-    )
-    paid = skew_join(
-        sold, payment, "OrderID", "p_order", "left", left_hot=line_hot, right_hot=pay_hot,
-        rows_per_task=limit, left_spread=["OrderDetailID"], right_spread=["payment_id"],
-    )
-    shipped = skew_join(
-        paid, shipping, "OrderID", "s_order", "left", left_hot=paid_hot, right_hot=ship_hot,
-        rows_per_task=limit, left_spread=["OrderDetailID", "payment_id"],
-        right_spread=["shipment_id"],
-    )
+    if pay_hot or ship_hot:
+        shipped = _join_heavy(
+            lines, orders, payment, shipping, line_hot, pay_hot, ship_hot, limit
+        )
+    else:
+        shipped = _join_on_order(lines, orders, payment, shipping, line_hot, limit)
     return shipped.select(
         "OrderDetailID",
         "OrderID",
@@ -83,6 +77,63 @@ def fact_sales(
     )
 
 
+def _join_on_order(
+    lines: DataFrame,
+    orders: DataFrame,
+    payment: DataFrame,
+    shipping: DataFrame,
+    line_hot: HotKeys,
+    limit: int,
+) -> DataFrame:
+    """The three joins on the order, in one stage after one shuffle per input.
+
+    Lines of heavy orders are spread over salts that the few other rows of those
+    orders are copied to; all joins share the salt and with it the shuffle.
+    """
+    sides = [(orders, "o_id", "inner"), (payment, "p_order", "left"), (shipping, "s_order", "left")]
+    joined = lines
+    if line_hot:
+        joined = spread(lines, "OrderID", line_hot, ["OrderDetailID"], "_salt", limit)
+    for side, key, how in sides:
+        same = F.col("OrderID") == F.col(key)
+        if line_hot:
+            side = copy_to_salts(side, key, line_hot, f"_{key}_salt", limit)
+            same = same & (F.col("_salt") == F.col(f"_{key}_salt"))
+        joined = joined.join(side, same, how)
+    return joined
+
+
+def _join_heavy(
+    lines: DataFrame,
+    orders: DataFrame,
+    payment: DataFrame,
+    shipping: DataFrame,
+    line_hot: HotKeys,
+    pay_hot: HotKeys,
+    ship_hot: HotKeys,
+    limit: int,
+) -> DataFrame:
+    """The same joins when an order dominates the payments or shipments as well."""
+    # Orders are unique by key, so only the line side can be heavy here.
+    sold = skew_join(
+        lines, orders, "OrderID", "o_id", "inner", left_hot=line_hot,
+        rows_per_task=limit, left_spread=["OrderDetailID"],
+    )
+    paid = skew_join(
+        sold, payment, "OrderID", "p_order", "left", left_hot=line_hot, right_hot=pay_hot,
+        rows_per_task=limit, left_spread=["OrderDetailID"], right_spread=["payment_id"],
+    )
+    # Rows per order after the payments are attached, as far as they are heavy.
+    paid_hot = {
+        key: line_hot.get(key, 1) * pay_hot.get(key, 1) for key in {*line_hot, *pay_hot}
+    }
+    return skew_join(
+        paid, shipping, "OrderID", "s_order", "left", left_hot=paid_hot, right_hot=ship_hot,
+        rows_per_task=limit, left_spread=["OrderDetailID", "payment_id"],
+        right_spread=["shipment_id"],
+    )
+
+
 def months_touched(
     orders: DataFrame, changed: Mapping[str, DataFrame], stored: DataFrame | None
 ) -> list[str]:
