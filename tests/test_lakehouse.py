@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.plans import Lakehouse
 from tidemark.sources import current_version
+from tidemark.sources.versions import finished_versions
 
 UTC = dt.timezone.utc
 
@@ -90,9 +91,9 @@ def test_state_after_two_runs(spark, root):
 
 def test_second_run_pulled_news_only(spark, root):
     log = spark.read.parquet(f"{root}/control/log/batch=2")
-    assert rows(log, "TABLENAME", "ROWCOPIED", "ERRORMESSAGE") == [
-        ("Customers", 1, None), ("OrderDetails", 1, None), ("Orders", 1, None),
-        ("Products", 1, None), ("Stores", 0, None),
+    assert rows(log, "ID", "TABLENAME", "ROWCOPIED", "ERRORMESSAGE") == [
+        (6, "Customers", 1, None), (7, "Products", 1, None), (8, "Stores", 0, None),
+        (9, "Orders", 1, None), (10, "OrderDetails", 1, None),
     ]
     feeds = spark.read.parquet(f"{root}/control/feed_log/batch=2")
     assert rows(feeds, "TABLENAME", "ROWREAD") == [
@@ -113,3 +114,12 @@ def test_closed_versions_are_stored_once(spark, root):
     raw = spark.read.parquet(f"{root}/gold/dim_customer")
     assert rows(raw, "version", "City", "IS_ACTIVE") == [(1, "X", 1), (2, "X", 0), (2, "Y", 1)]
     assert current_version(spark, f"{root}/gold/dim_customer") == 2
+
+
+def test_prune_keeps_the_state_and_the_history(spark, root):
+    lake = Lakehouse(spark, root)
+    before = state(lake)
+    lake.prune(keep=1)
+    assert state(Lakehouse(spark, root)) == before
+    assert finished_versions(spark, f"{root}/silver/orders") == [2]
+    assert finished_versions(spark, f"{root}/gold/dim_customer") == [1, 2]

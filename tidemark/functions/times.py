@@ -25,5 +25,6 @@ def day_diff(end: str, start: str) -> Column:
 
 
 def log_time(moment: Column) -> Column:
-    """A UTC moment as wall-clock time of the log zone."""
-    return F.from_utc_timestamp(moment, LOG_ZONE)
+    """A moment as wall-clock time of the log zone, whatever the session zone."""
+    wall_clock = F.convert_timezone(None, F.lit(LOG_ZONE), moment.cast("timestamp_ntz"))
+    return wall_clock.cast("timestamp")

@@ -18,10 +18,12 @@ from ..operators.merge import is_small
 from ..session import run_together
 from ..sources.versions import (
     current_version,
+    drop_old_versions,
     folder_exists,
     publish,
     read_current,
     read_history,
+    remove_folder,
     version_path,
 )
 from . import gold, kpi
@@ -45,6 +47,13 @@ FACT_INPUTS = {
     "shipping": ("shipment_id", "order_id"),
 }
 
+# Gold tables whose newest version is the whole table.
+GOLD_STATES = (
+    "dim_store", "dim_inventory", "dim_payment", "dim_shipment", "dim_product",
+    "gold_sales_summary", "gold_product_performance", "gold_customer_kpi",
+    "gold_store_performance",
+)
+
 
 @dataclass
 class Lakehouse:
@@ -89,6 +98,7 @@ class Lakehouse:
         )
         self.build_gold(batch)
         self.build_kpis(batch)
+        remove_folder(self.spark, f"{self.root}/staging")
 
     def ingest(
         self,
@@ -104,12 +114,17 @@ class Lakehouse:
             if before is None
             else self.spark.read.parquet(version_path(control_root, before))
         )
+        log, feed_log = f"{self.root}/control/log", f"{self.root}/control/feed_log"
         tables = ingest_increments(
-            self.spark, control, read_table, f"{self.root}/raw/tables", batch
-        )
-        feeds = ingest_feeds(self.spark, read_feed, f"{self.root}/raw/feeds", batch)
-        tables.audit.write.mode("overwrite").parquet(f"{self.root}/control/log/batch={batch}")
-        feeds.audit.write.mode("overwrite").parquet(f"{self.root}/control/feed_log/batch={batch}")
+            self.spark, control, read_table, f"{self.root}/raw/tables", batch,
+            self._next_log_id(log, batch),
+        )
+        feeds = ingest_feeds(
+            self.spark, read_feed, f"{self.root}/raw/feeds", batch,
+            next_log_id=self._next_log_id(feed_log, batch),
+        )
+        tables.audit.write.mode("overwrite").parquet(f"{log}/batch={batch}")
+        feeds.audit.write.mode("overwrite").parquet(f"{feed_log}/batch={batch}")
         publish(tables.control, control_root, batch)
         landed = {
             silver: tables.paths[source]
@@ -118,6 +133,12 @@ class Lakehouse:
         }
         return {**landed, **feeds.paths}
 
+    def _next_log_id(self, log: str, batch: int) -> int:
+        if not folder_exists(self.spark, log):
+            return 1
+        earlier = self.spark.read.parquet(log).filter(F.col("batch") < batch)
+        return (earlier.agg(F.max("ID")).first()[0] or 0) + 1
+
     def refine_table(self, spec: SilverSpec, path: str, batch: int) -> None:
         """Silver state with one raw batch merged in, and its rejected records.
 
@@ -200,6 +221,13 @@ class Lakehouse:
         }
         run_together(self.spark, self._publications(tables, batch))
 
+    def prune(self, keep: int = 2) -> None:
+        """Drop all but the newest states; customer history is in its old ones and stays."""
+        for name in SILVER:
+            drop_old_versions(self.spark, f"{self.root}/silver/{name}", keep)
+        for name in GOLD_STATES:
+            drop_old_versions(self.spark, f"{self.root}/gold/{name}", keep)
+
     def _publications(self, tables: dict[str, DataFrame], batch: int) -> list[partial]:
         return [
             partial(publish, table, f"{self.root}/gold/{name}", batch)

@@ -109,3 +109,15 @@ def register_view(spark: SparkSession, name: str, root: str) -> None:
         raise ValueError(f"nothing published under {root}")
     path = version_path(root, version)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+
+
+def drop_old_versions(spark: SparkSession, root: str, keep: int) -> None:
+    """Remove all but the newest ``keep`` finished versions.
+
+    Not for states read with :func:`read_history`, whose old versions hold the
+    closed rows.
+    """
+    if keep < 1:
+        raise ValueError("the current version cannot be dropped")
+    for version in finished_versions(spark, root)[:-keep]:
+        remove_folder(spark, version_path(root, version))
