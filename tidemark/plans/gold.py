@@ -149,8 +149,9 @@ def months_touched(
     months = orders.join(order_ids.distinct(), "OrderID", "left_semi").select(_month("OrderDate"))
     if stored is not None:
         for column, rows in changed.items():
-            # One row per key and month before the join, however many sales it has.
-            shown = stored.select(F.col(column).alias("key"), FACT_PARTITION).distinct()
+            # Changes are few next to the fact: with a broadcast of them, which the
+            # planner decides by size, the fact is scanned by key and stays in place.
+            shown = stored.select(F.col(column).alias("key"), FACT_PARTITION)
             keys = rows.select("key").distinct()
             months = months.union(shown.join(keys, "key", "left_semi").select(FACT_PARTITION))
     return sorted(row[0] for row in months.distinct().collect() if row[0] is not None)

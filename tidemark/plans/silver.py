@@ -1,7 +1,7 @@
 """Raw records to clean, current tables: one job, one spec per table.
 
 The order of the steps shows in the result and is fixed: key check, reference
-check, parse check, business rule, text and derived columns, newest version.
+check, parse check, business rule, text columns, newest version, derived columns.
 An invalid newest version is removed before the newest is chosen, so an older
 valid one takes its place.
 """
@@ -53,7 +53,12 @@ def _unchanged(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class SilverSpec:
-    """What distinguishes one silver table from the others."""
+    """What distinguishes one silver table from the others.
+
+    ``tidy`` makes the columns as stored; ``derive`` adds columns that follow
+    from them, which are computed for the surviving rows only and so neither
+    sorted nor shuffled.
+    """
 
     name: str
     schema: T.StructType
@@ -62,7 +67,8 @@ class SilverSpec:
     version: str
     required: tuple[str, ...] = ()
     rule: Callable[[], Column] | None = None
-    shape: Callable[[DataFrame], DataFrame] = _unchanged
+    tidy: Callable[[DataFrame], DataFrame] = _unchanged
+    derive: Callable[[DataFrame], DataFrame] = _unchanged
     ties: tuple[str, ...] = field(default=())
 
     def read(self, spark: SparkSession, path: str | list[str], **options: object) -> DataFrame:
@@ -70,58 +76,68 @@ class SilverSpec:
         return reader(spark, path, self.schema, **options)
 
 
-def _shape_products(df: DataFrame) -> DataFrame:
+def _tidy_products(df: DataFrame) -> DataFrame:
     return df.withColumns(
-        {
-            "ProductName": title_case("ProductName"),
-            "Category": title_case("Category"),
-            "price_category": band("Price", PRICE_BANDS, LOWEST_BAND),
-        }
+        {"ProductName": title_case("ProductName"), "Category": title_case("Category")}
     )
 
 
-def _shape_customers(df: DataFrame) -> DataFrame:
+def _grade_products(df: DataFrame) -> DataFrame:
+    return df.withColumn("price_category", band("Price", PRICE_BANDS, LOWEST_BAND))
+
+
+def _tidy_customers(df: DataFrame) -> DataFrame:
     named = df.withColumn("FullName", full_name("FirstName", "LastName"))
     return named.drop("FirstName", "LastName")
 
 
-def _shape_orders(df: DataFrame) -> DataFrame:
-    dated = df.withColumn("OrderDate", F.to_date("OrderDate"))
-    return dated.withColumns(
-        {"OrderYear": F.year("OrderDate"), "OrderMonth": F.month("OrderDate")}
-    )
+def _tidy_orders(df: DataFrame) -> DataFrame:
+    return df.withColumn("OrderDate", F.to_date("OrderDate"))
+
 
+def _date_orders(df: DataFrame) -> DataFrame:
+    return df.withColumns({"OrderYear": F.year("OrderDate"), "OrderMonth": F.month("OrderDate")})
 
-def _shape_order_details(df: DataFrame) -> DataFrame:
+
+def _price_order_details(df: DataFrame) -> DataFrame:
     return df.withColumn("UnitPrice", unit_price("TotalAmount", "Quantity"))
 
 
-def _shape_stores(df: DataFrame) -> DataFrame:
-    tidy = df.withColumns(
+def _tidy_stores(df: DataFrame) -> DataFrame:
+    return df.withColumns(
         {
             "StoreName": title_case("StoreName"),
             "City": title_case("City"),
             "Province": upper_trim("Province"),
         }
     )
-    return tidy.withColumn("region", group_of("Province", REGIONS, OTHER_REGION))
 
 
-def _shape_payment(df: DataFrame) -> DataFrame:
-    tidy = df.withColumns(
+def _locate_stores(df: DataFrame) -> DataFrame:
+    return df.withColumn("region", group_of("Province", REGIONS, OTHER_REGION))
+
+
+def _tidy_payment(df: DataFrame) -> DataFrame:
+    return df.withColumns(
         {
             "payment_status": upper_trim("payment_status"),
             "payment_method": title_case("payment_method"),
         }
     )
-    return tidy.withColumn("is_success", equals_flag("payment_status", PAID))
 
 
-def _shape_shipping(df: DataFrame) -> DataFrame:
-    tidy = df.withColumns(
+def _flag_payment(df: DataFrame) -> DataFrame:
+    return df.withColumn("is_success", equals_flag("payment_status", PAID))
+
+
+def _tidy_shipping(df: DataFrame) -> DataFrame:
+    return df.withColumns(
         {"shipment_status": upper_trim("shipment_status"), "carrier": title_case("carrier")}
     )
-    return tidy.withColumns(
+
+
+def _flag_shipping(df: DataFrame) -> DataFrame:
+    return df.withColumns(
         {
             "delivery_days": day_diff("delivery_date", "shipment_date"),
             "is_delivered": equals_flag("shipment_status", DELIVERED),
@@ -138,35 +154,36 @@ def _specs() -> list[SilverSpec]:
     return [
         SilverSpec(
             "products", schemas.PRODUCTS, "csv", "ProductID", "ModifiedDate",
-            rule=lambda: F.col("Price") >= 0, shape=_shape_products,
+            rule=lambda: F.col("Price") >= 0, tidy=_tidy_products, derive=_grade_products,
             ties=("Price", "ProductName", "Category"),
         ),
         SilverSpec(
             "customer", schemas.CUSTOMERS, "csv", "CustomerID", "ModifiedDate",
-            shape=_shape_customers, ties=("FullName", "City", "Email"),
+            tidy=_tidy_customers, ties=("FullName", "City", "Email"),
         ),
         SilverSpec(
             "orders", schemas.ORDERS, "csv", "OrderID", "ModifiedDate",
-            required=("CustomerID", "StoreID"), shape=_shape_orders,
+            required=("CustomerID", "StoreID"), tidy=_tidy_orders, derive=_date_orders,
             ties=("OrderDate", "CustomerID", "StoreID"),
         ),
         SilverSpec(
             "orderdetails", schemas.ORDER_DETAILS, "csv", "OrderDetailID", "ModifiedDate",
-            rule=_line_rule, shape=_shape_order_details,
+            rule=_line_rule, derive=_price_order_details,
             ties=("TotalAmount", "Quantity", "ProductID", "OrderID"),
         ),
         SilverSpec(
             "stores", schemas.STORES, "csv", "StoreID", "ModifiedDate",
-            shape=_shape_stores, ties=("StoreName", "City", "Province"),
+            tidy=_tidy_stores, derive=_locate_stores, ties=("StoreName", "City", "Province"),
         ),
         SilverSpec(
             "payment", schemas.PAYMENT, "json", "payment_id", "modified_date",
-            required=("order_id",), rule=lambda: F.col("amount") >= 0, shape=_shape_payment,
+            required=("order_id",), rule=lambda: F.col("amount") >= 0, tidy=_tidy_payment,
+            derive=_flag_payment,
             ties=("payment_time", "amount", "payment_status", "payment_method", "order_id"),
         ),
         SilverSpec(
             "shipping", schemas.SHIPPING, "json", "shipment_id", "modified_date",
-            required=("order_id",), shape=_shape_shipping,
+            required=("order_id",), tidy=_tidy_shipping, derive=_flag_shipping,
             ties=("delivery_date", "shipment_date", "shipment_status", "carrier", "order_id"),
         ),
         SilverSpec(
@@ -196,5 +213,5 @@ def refine(
     good = split_corrupt(usable, spec.key, as_of).good
     if spec.rule is not None:
         good = good.filter(spec.rule())
-    latest = keep_latest(spec.shape(good), spec.key, spec.version, spec.ties)
-    return Split(latest.withColumn("ingestion_timestamp", stamp(as_of)), bad)
+    latest = keep_latest(spec.tidy(good), spec.key, spec.version, spec.ties)
+    return Split(spec.derive(latest).withColumn("ingestion_timestamp", stamp(as_of)), bad)

@@ -10,9 +10,15 @@ from pyspark.sql import types as T
 from .files import CSV_DIALECT, MOMENTS
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV folder with a header per file and all text quoted."""
-    df.write.mode(mode).options(**CSV_DIALECT, **MOMENTS).option("quoteAll", True).csv(path)
+def write_csv(
+    df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 0
+) -> None:
+    """CSV folder with a header per file and all text quoted.
+
+    ``rows_per_file`` starts a new file after that many rows (0: never).
+    """
+    writer = df.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
+    writer.options(**CSV_DIALECT, **MOMENTS).option("quoteAll", True).csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
