@@ -2,7 +2,7 @@
 
 from .classify import band, equals_flag, group_of, mapped
 from .hashing import row_hash, row_hash_plain, rows_differ
-from .numbers import exact_avg, exact_sum, percent_of, unit_price
+from .numbers import cents, exact_avg, exact_sum, from_cents, percent_of, unit_price
 from .text import full_name, title_case, upper_trim
 from .times import LOG_ZONE, OPEN_END, day_diff, log_time, stamp
 
@@ -10,10 +10,12 @@ __all__ = [
     "LOG_ZONE",
     "OPEN_END",
     "band",
+    "cents",
     "day_diff",
     "equals_flag",
     "exact_avg",
     "exact_sum",
+    "from_cents",
     "full_name",
     "group_of",
     "log_time",

@@ -5,12 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+CENTS = 100
+
+
+def cents(value: str | Column) -> Column:
+    """A money amount as whole cents, halves rounded away from zero."""
+    amount = _column(value)
+    return (amount * CENTS + F.signum(amount) * 0.5).cast("bigint")
+
+
+def from_cents(total: Column) -> Column:
+    return total.cast("double") / CENTS
 
 
 def exact_sum(value: str | Column) -> Column:
-    """Sum of a money column in cents, so that any partitioning gives one answer."""
-    return F.sum(_column(value).cast(MONEY)).cast("double")
+    """Sum of a money column in whole cents, so that any partitioning gives one answer.
+
+    Integer sums stay in the fast aggregation path; in ANSI mode (the default)
+    a total beyond 64 bits is an error, not a wrong number.
+    """
+    return from_cents(F.sum(cents(value)))
 
 
 def exact_avg(value: str | Column) -> Column:

@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import exact_avg, exact_sum, percent_of
-from ..functions.numbers import MONEY
+from ..functions import cents, exact_avg, exact_sum, from_cents, percent_of
 
 
 def daily_sales(fact: DataFrame) -> DataFrame:
@@ -124,11 +123,11 @@ def monthly_sales(fact: DataFrame) -> DataFrame:
 
 
 def _amount() -> Column:
-    return F.sum(F.col("SalesAmount").cast(MONEY))
+    return F.sum(cents("SalesAmount"))
 
 
 def _total(amount: Column) -> Column:
-    return F.sum(amount).cast("double")
+    return from_cents(F.sum(amount))
 
 
 def _lines_with(name: str, value: int) -> Column:
