@@ -105,6 +105,13 @@ def test_text_round_trip_keeps_microseconds_and_quotes(spark, tmp_path):
     assert '"1"' in texts and '"2"' in texts
 
 
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    write_lines(tmp_path / "a.csv", "k,t", '"1","a', 'b"', '"2","c"')
+    schema = schemas._schema("k long, t string")
+    df = read_csv(spark, str(tmp_path), schema, multi_line=True)
+    assert rows(df, "k", "t", schemas.CORRUPT) == [(1, "a\nb", None), (2, "c", None)]
+
+
 def test_empty_text_does_not_survive_csv(spark, tmp_path):
     schema = schemas._schema("k long, t string")
     write_csv(spark.createDataFrame([(1, "")], schema), str(tmp_path / "c"))
