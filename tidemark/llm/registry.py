@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import oracle, rules
+from . import bpe, oracle, rules, shards
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [rules.op1_isolation_rules]
+    found = [rules.op1_isolation_rules, bpe.op2_byte_bpe, shards.op9_vector_packing]
     return {query.__name__: query for query in found}
 
 
