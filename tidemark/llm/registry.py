@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, oracle, rules, shards
+from . import bpe, grade, langid, oracle, rules, shards, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [rules.op1_isolation_rules, bpe.op2_byte_bpe, shards.op9_vector_packing]
+    found = [
+        rules.op1_isolation_rules,
+        bpe.op2_byte_bpe,
+        grade.op7_ordinal_quality,
+        langid.op8_language_filters,
+        shards.op9_vector_packing,
+        toxicity.op10_toxic_segments,
+    ]
     return {query.__name__: query for query in found}
 
 
