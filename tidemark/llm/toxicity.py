@@ -32,8 +32,10 @@ BUCKETS = 1 << 18
 # Bound of the fitting sample: documents per label.
 SAMPLE_PER_LABEL = 4000
 PRIOR_TOKENS = 20_000.0
+STEM = 4  # first bytes of a word; they speak for words too rare to be learned
 DRIFT = 0.5
 SIGNIFICANT = 0.01
+NOTABLE = 1.0  # surprises below this do not count towards a text's total
 MAX_SURPRISE = 60.0
 
 # ASCII letters and digits in lower case; other ASCII separates words.
@@ -44,8 +46,14 @@ _PLAIN = bytes(
 
 
 def token_block(texts: list[bytes]) -> tuple[tokens.Block, np.ndarray]:
+    """Words of the texts, and for each the bucket of the word and that of its stem."""
     block = tokens.Block([t.translate(_PLAIN) for t in texts])
-    return block, (block.word_hashes() % np.uint64(BUCKETS)).astype(np.int64)
+    stem_ends = np.minimum(block.ends, block.starts + STEM)
+    stems = tokens.span_hashes(block.data, block.starts, stem_ends, tokens.WORD_BASE)
+    words = block.word_hashes() % np.uint64(BUCKETS)
+    return block, np.column_stack([words, stems % np.uint64(BUCKETS) + np.uint64(BUCKETS)]).astype(
+        np.int64
+    )
 
 
 @dataclass
@@ -61,7 +69,7 @@ class ToxicModel:
     def segments(self, texts: list[bytes]) -> list[list[tuple[int, int, float]]]:
         """Maximal-scoring segments of each text: first word, end word, score."""
         block, buckets = token_block(texts)
-        scores = self.scores[buckets]
+        scores = self.scores[buckets].max(1) - DRIFT
         total = np.concatenate(([0.0], np.cumsum(scores)))
         places = np.flatnonzero(scores > 0)
         cuts = np.searchsorted(places, block.first)
@@ -73,6 +81,11 @@ class ToxicModel:
             found.append([(s - first, e - first, v) for s, e, v in maximal_segments(rises)])
         return found
 
+    def total_surprise(self, segments: list[tuple[int, int, float]], n_words: int) -> float:
+        """Sum of the surprises of all segments that are not to be expected."""
+        rated = [self.surprise(v, n_words) for *_, v in segments]
+        return min(MAX_SURPRISE, sum(r for r in rated if r >= NOTABLE))
+
     def surprise(self, score: float, n_words: int) -> float:
         """-ln of the chance that an ordinary text of this length has such a segment."""
         x = self.rate * (score - self.mode) - np.log(max(n_words, 1))
@@ -106,33 +119,36 @@ def maximal_segments(rises: Iterator[tuple[int, float, float]]) -> list[tuple[in
 
 
 def token_scores(counts: np.ndarray) -> np.ndarray:
-    """Scores from token counts (2, BUCKETS) of label 0 and 1.
+    """Scores from the counts (2, 2 * BUCKETS) of words and stems under label 0 and 1.
 
     The Dirichlet prior spreads PRIOR_TOKENS over tokens by their overall share. A
     log-odds ratio within one standard error of 0 counts as 0.
     """
-    all_tokens = counts.sum(0) + 0.5
-    prior = PRIOR_TOKENS * all_tokens / all_tokens.sum()
-    smooth = counts + prior
-    rest = smooth.sum(1, keepdims=True) - smooth
-    odds = np.log(smooth) - np.log(rest)
-    ratio = odds[1] - odds[0]
-    error = np.sqrt((1.0 / smooth).sum(0))
-    return np.sign(ratio) * np.maximum(np.abs(ratio) - error, 0.0) - DRIFT
+    scores = []
+    for part in (counts[:, :BUCKETS], counts[:, BUCKETS:]):
+        all_tokens = part.sum(0) + 0.5
+        smooth = part + PRIOR_TOKENS * all_tokens / all_tokens.sum()
+        rest = smooth.sum(1, keepdims=True) - smooth
+        odds = np.log(smooth) - np.log(rest)
+        ratio = odds[1] - odds[0]
+        error = np.sqrt((1.0 / smooth).sum(0))
+        scores.append(np.sign(ratio) * np.maximum(np.abs(ratio) - error, 0.0))
+    return np.concatenate(scores)
 
 
 def _token_counts(sample: DataFrame) -> np.ndarray:
-    """Token counts per label, summed by Spark; bounded by 2 * BUCKETS."""
+    """Word and stem counts per label, summed by Spark; bounded by 4 * BUCKETS."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, BUCKETS), np.int64)
+        counts = np.zeros((2, 2 * BUCKETS), np.int64)
         for batch in batches:
             texts = texts_of(batch)
             labels = np.array(batch.column("label").to_pylist(), np.int64)
             for start, end in blocks(texts):
                 block, buckets = token_block(texts[start:end])
-                of = labels[start:end][block.word_text()]
-                counts += np.bincount(of * BUCKETS + buckets, minlength=2 * BUCKETS).reshape(2, -1)
+                of = labels[start:end][block.word_text()] * 2 * BUCKETS
+                cells = (of[:, None] + buckets).ravel()
+                counts += np.bincount(cells, minlength=4 * BUCKETS).reshape(2, -1)
         label, bucket = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(x) for x in (label, bucket, counts[label, bucket])],
@@ -141,7 +157,7 @@ def _token_counts(sample: DataFrame) -> np.ndarray:
 
     found = sample.mapInArrow(run, "label long, bucket long, n long")
     table = found.groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros((2, BUCKETS))
+    counts = np.zeros((2, 2 * BUCKETS))
     counts[table["label"].to_numpy(int), table["bucket"].to_numpy(int)] = table["n"]
     return counts
 
@@ -152,12 +168,17 @@ def fit(sample: DataFrame, share_toxic: float) -> ToxicModel:
 
     def best(texts: list[bytes]) -> dict[str, object]:
         block, _ = token_block(texts)
-        top = [max((v for *_, v in s), default=0.0) for s in model.segments(texts)]
-        return {"top": np.array(top), "n_words": block.n_words.astype(np.int64)}
+        found = [[v for *_, v in s] for s in model.segments(texts)]
+        return {
+            "top": np.array([max(v, default=0.0) for v in found]),
+            "values": pa.array(found, pa.list_(pa.float64())),
+            "n_words": block.n_words.astype(np.int64),
+        }
 
     ranked = by_block(
-        sample.withColumn("doc_id", F.col("label").cast("long")), best, "top double, n_words long"
-    ).toPandas()
+        sample.withColumn("doc_id", F.col("label").cast("long")), best,
+        "top double, values array<double>, n_words long",
+    ).toPandas()
     toxic = ranked["doc_id"].to_numpy(int) == 1
     top, n_words = ranked["top"].to_numpy(), ranked["n_words"].to_numpy()
     usual = ~toxic & (n_words > 0)
@@ -166,7 +187,9 @@ def fit(sample: DataFrame, share_toxic: float) -> ToxicModel:
         model.rate = float(np.pi / np.sqrt(6.0) / max(top[usual].std(), 0.5))
         shifted = top[usual] - np.log(n_words[usual]) / model.rate
         model.mode = float(shifted.mean() - np.euler_gamma / model.rate)
-    surprise = np.array([model.surprise(t, n) if n else 0.0 for t, n in zip(top, n_words)])
+    surprise = np.array(
+        [model.total_surprise([(0, 0, v) for v in vs], n) for vs, n in zip(ranked["values"], n_words)]
+    )
     model.slope, model.intercept = _logistic(surprise, toxic)
     # The sample has other shares of the labels than the table.
     share = min(max(share_toxic, 1e-6), 1 - 1e-6)
@@ -215,7 +238,7 @@ def toxic_passages(docs: DataFrame, labels: DataFrame, learn_from: Column | None
         for i, segments in enumerate(model.segments(texts)):
             n = int(block.n_words[i])
             rated = [(s, e, v, model.surprise(v, n)) for s, e, v in segments]
-            surprise[i] = max((r[3] for r in rated), default=0.0)
+            surprise[i] = model.total_surprise(segments, n)
             passages.append([
                 {"start": int(s), "end": int(e), "score": float(v)}
                 for s, e, v, unlikely in rated if unlikely >= -np.log(SIGNIFICANT)
