@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, grade, langid, oracle, rules, shards, toxicity
+from . import bpe, decontaminate, grade, langid, oracle, rules, shards, simhash, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         rules.op1_isolation_rules,
         bpe.op2_byte_bpe,
+        decontaminate.op3_edit_decontamination,
+        simhash.op6_simhash_grid,
         grade.op7_ordinal_quality,
         langid.op8_language_filters,
         shards.op9_vector_packing,

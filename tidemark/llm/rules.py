@@ -175,18 +175,21 @@ def isolation_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     A document is kept if it passes the base rules (20 words, at most 30 % of words
     in repeated 8-word windows) and its score is below the calibrated cut. The
-    forest is fitted on the TREES * ROWS_PER_TREE documents with the lowest hash;
+    forest is fitted on about TREES * ROWS_PER_TREE documents, those whose hashed ids lie
+    in the share of the hash range that holds so many;
     the cut is calibrated on all labelled documents. A NULL or empty text has no
     words and fails; repeated rows are judged alike, each on its own; an empty table
     gives an empty result. Columns other than doc_id and text are ignored.
     """
     stats = stored(rule_statistics(docs), "rules")
+    usable = stats.filter(F.col("n_words") >= MIN_WORDS)
+    share = min(1.0, TREES * ROWS_PER_TREE / max(usable.count(), 1))
+    place = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30))
     sample = (
-        stats.filter(F.col("n_words") >= MIN_WORDS)
-        .select(F.xxhash64("doc_id", F.lit(3)).alias("_h"), *STATISTICS)
-        .orderBy("_h", *STATISTICS)
-        .limit(TREES * ROWS_PER_TREE)
+        usable.filter(place < int(share * (1 << 30)))
+        .select(*STATISTICS)
         .toPandas()
+        .sort_values(list(STATISTICS))
     )
     schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in stats.schema)}, score double"
     if len(sample):
