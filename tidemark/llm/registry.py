@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, grade, langid, oracle, rules, shards, simhash, toxicity
+from . import (
+    bpe,
+    decontaminate,
+    grade,
+    langid,
+    oracle,
+    pii,
+    rules,
+    shards,
+    simhash,
+    toxicity,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         rules.op1_isolation_rules,
         bpe.op2_byte_bpe,
         decontaminate.op3_edit_decontamination,
+        pii.op4_weak_supervision_pii,
         simhash.op6_simhash_grid,
         grade.op7_ordinal_quality,
         langid.op8_language_filters,
