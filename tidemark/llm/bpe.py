@@ -26,6 +26,8 @@ OVERLAP = 512
 # A token that ends closer than this to a chunk's end may continue in the whole text
 # (the longest contraction has three characters).
 MARGIN = 4
+# Texts whose tokens are held at a time; bounds a Python worker's memory.
+ROWS_AT_ONCE = 256
 
 
 def default_vocabulary() -> str:
@@ -154,10 +156,12 @@ def _per_row(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [work(value) for value in batch.column(source).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(made, pa.binary())], names=[*batch.schema.names, target]
-            )
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                made = [work(value) for value in part.column(source).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(made, pa.binary())], names=[*part.schema.names, target]
+                )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     return df.mapInArrow(run, f"{schema}, {target} binary")
@@ -180,7 +184,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
 
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     whole = _per_row(docs.filter(F.char_length("text") <= CHUNK), tokens, "text", "ids")
-    cut = _per_row(pieces(docs, pattern), tokens, "text", "ids")
+    cut = _per_row(pieces(docs, pattern), tokens, "text", "ids").drop("text")
     joined = F.aggregate(
         F.array_sort(F.collect_list(F.struct("piece", "ids"))),
         F.lit(b""),
