@@ -16,6 +16,7 @@ from . import (
     rules,
     shards,
     simhash,
+    substrings,
     toxicity,
 )
 
@@ -26,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         bpe.op2_byte_bpe,
         decontaminate.op3_edit_decontamination,
         pii.op4_weak_supervision_pii,
+        substrings.op5_super_kmers,
         simhash.op6_simhash_grid,
         grade.op7_ordinal_quality,
         langid.op8_language_filters,
