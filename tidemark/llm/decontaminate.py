@@ -305,5 +305,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Rows of ``docs``, with all their columns, in which no item is found. A row without
+    doc_id cannot be told from others without one: it goes if one of them has a hit."""
+    hits = contaminated(docs, benchmark).select(F.col("doc_id").alias("_hit_id")).distinct()
+    hits = stored(hits, "decontaminate-hits")
+    return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("_hit_id")), "left_anti")
+
+
 def op3_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

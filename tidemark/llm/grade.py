@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from . import tokens
 from .common import blocks, by_block, read, sampled_texts, stratified_ids, texts_of
@@ -23,6 +24,7 @@ FEATURES = 1 << 14
 SAMPLE_PER_GRADE = 2500
 STEPS = 80
 PENALTY = 1e-4
+KEEP_AT = 0.5
 
 
 def word_features(texts: list[bytes]) -> tuple[np.ndarray, tokens.Block]:
@@ -138,6 +140,34 @@ def _sample_matrix(sample: DataFrame) -> tuple[np.ndarray, ...]:
     )
 
 
+def fit_ratings(docs: DataFrame, ratings: DataFrame) -> Judge:
+    """Judge fitted on at most SAMPLE_PER_GRADE rated documents of each grade."""
+    clean = ratings.filter("grade >= 0").select("doc_id", F.col("grade").cast("int").alias("grade"))
+    sample = sampled_texts(docs, stratified_ids(clean, "grade", SAMPLE_PER_GRADE), "grade-sample")
+    rows, features, values, grades = _sample_matrix(sample)
+    seen = np.unique(grades)
+    if len(seen) < 2:
+        return Judge(None, float(seen[0]) if len(seen) else 0.0)
+    return Judge(fit(rows, features, values, grades, int(grades.max()) + 1))
+
+
+@dataclass
+class Judge:
+    """A model, or the only grade there is when nothing can be learned."""
+
+    model: OrdinalModel | None
+    only: float = 0.0
+
+    def __call__(self, texts: list[bytes], accept: int) -> tuple[np.ndarray, np.ndarray]:
+        """Expected grade and P(grade >= accept) of each text."""
+        if self.model is None:
+            some = tokens.Block(texts).n_words > 0
+            return np.where(some, self.only, 0.0), some * 1.0
+        above, n_words = self.model.exceedance(texts)
+        above[n_words == 0] = 0.0
+        return above.sum(1), above[:, accept - 1].copy()
+
+
 def grade_documents(docs: DataFrame, ratings: DataFrame, accept: int = 1) -> DataFrame:
     """doc_id, expected_grade, tail_prob = P(grade >= accept), and kept (at least 0.5).
 
@@ -148,26 +178,26 @@ def grade_documents(docs: DataFrame, ratings: DataFrame, accept: int = 1) -> Dat
     learned: every text with a word gets the only grade (or 0) and is kept. Repeated
     rows are judged alike; an empty table gives no rows; other columns are ignored.
     """
-    clean = ratings.filter("grade >= 0").select("doc_id", F.col("grade").cast("int").alias("grade"))
-    sample = sampled_texts(docs, stratified_ids(clean, "grade", SAMPLE_PER_GRADE), "grade-sample")
-    rows, features, values, grades = _sample_matrix(sample)
-    seen = np.unique(grades)
-    if len(seen) < 2:
-        only = float(seen[0]) if len(seen) else 0.0
-        model = None
-    else:
-        only, model = 0.0, fit(rows, features, values, grades, int(grades.max()) + 1)
+    judge = fit_ratings(docs, ratings)
 
-    def judge(texts: list[bytes]) -> dict[str, object]:
-        if model is None:
-            some = tokens.Block(texts).n_words > 0
-            return {"expected_grade": np.where(some, only, 0.0), "tail_prob": some * 1.0, "kept": some}
-        above, n_words = model.exceedance(texts)
-        above[n_words == 0] = 0.0
-        tail = above[:, accept - 1]
-        return {"expected_grade": above.sum(1), "tail_prob": tail.copy(), "kept": tail >= 0.5}
+    def work(texts: list[bytes]) -> dict[str, object]:
+        expected, tail = judge(texts, accept)
+        return {"expected_grade": expected, "tail_prob": tail, "kept": tail >= KEEP_AT}
+
+    return by_block(docs, work, "expected_grade double, tail_prob double, kept boolean")
+
+
+def keep_graded(docs: DataFrame, ratings: DataFrame, accept: int = 1) -> DataFrame:
+    """Rows of ``docs``, with all their columns, that :func:`grade_documents` keeps."""
+    judge = fit_ratings(docs, ratings)
+
+    @F.arrow_udf(BooleanType())
+    def passes(text: pa.Array) -> pa.Array:
+        texts = texts_of(pa.RecordBatch.from_arrays([text], names=["text"]))
+        parts = [judge(texts[start:end], accept)[1] >= KEEP_AT for start, end in blocks(texts)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0, bool))
 
-    return by_block(docs, judge, "expected_grade double, tail_prob double, kept boolean")
+    return docs.filter(passes("text"))
 
 
 def ratings_from_labels(labels: DataFrame) -> DataFrame:

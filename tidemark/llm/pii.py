@@ -275,6 +275,10 @@ def accepted(base: Column, candidates: Column, weights: list[float]) -> Column:
     )
 
 
+# Names that columns of the documents are not expected to have.
+_BASE, _CANDIDATES = "_pii_base", "_pii_candidates"
+
+
 def find_spans(docs: DataFrame) -> DataFrame:
     """doc_id, ``base`` and ``spans``: arrays of (start, rank, kind, stop), by start and kind.
 
@@ -283,20 +287,21 @@ def find_spans(docs: DataFrame) -> DataFrame:
     doc_id and text are ignored. Without candidates nothing is added to the base spans.
     """
     found = stored(with_spans(docs.select("doc_id", "text")).drop("text"), "pii-spans")
-    weights = classifier(found)
-    return found.select("doc_id", "base", all_spans(weights).alias("spans"))
+    weights = classifier(found.select(F.col(_CANDIDATES).alias("candidates")))
+    return found.select("doc_id", F.col(_BASE).alias("base"), all_spans(weights).alias("spans"))
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` and the columns ``base`` and ``candidates``."""
+    """``docs`` with columns of base spans and of candidates."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select("*", base_spans(text).alias("base"), candidate_spans(text).alias("candidates"))
+    return docs.select(
+        "*", base_spans(text).alias(_BASE), candidate_spans(text).alias(_CANDIDATES)
+    )
 
 
 def all_spans(weights: list[float]) -> Column:
-    return F.array_sort(
-        F.concat("base", accepted(F.col("base"), F.col("candidates"), weights))
-    )
+    base, candidates = F.col(_BASE), F.col(_CANDIDATES)
+    return F.array_sort(F.concat(base, accepted(base, candidates, weights)))
 
 
 def redacted(text: Column, spans: Column) -> Column:
@@ -323,6 +328,24 @@ def redacted(text: Column, spans: Column) -> Column:
     )
 
 
+def redact_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` with all spans of ``text`` replaced by their kinds, and ``n_chars``, if
+    there, counting the new text. A NULL text stays NULL; other columns are untouched.
+
+    The classifier is trained on the candidates of all documents, which are stored
+    first; the spans themselves are found again on the way to the new texts.
+    """
+    candidates = docs.select(candidate_spans(F.coalesce("text", F.lit(""))).alias("candidates"))
+    weights = classifier(stored(candidates.filter(F.size("candidates") > 0), "pii-candidates"))
+    found = with_spans(docs).withColumn("_pii_spans", all_spans(weights))
+    text = F.when(F.col("text").isNotNull(), redacted(F.col("text"), F.col("_pii_spans")))
+    done = found.withColumn("text", text).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        counted = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        done = done.withColumn("n_chars", counted)
+    return done
+
+
 def _of_kind(spans: Column, kind: str) -> Column:
     return F.filter(spans, lambda s: s["kind"] == kind)
 

@@ -240,6 +240,23 @@ def classes(marked: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return rooted.join(least, "root").select("fp", "root", "component_id")
 
 
+def keep_representatives(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row, with all columns, of each group of near-duplicates: that with the
+    smallest doc_id. Of several such rows, as in repeated rows, one stays. A group
+    without any doc_id keeps one of its rows."""
+    marked = stored(docs.select("doc_id", simhash("text").alias("fp")), "simhash-prints")
+    names = ("_near_fp", "_near_root", "_near_id")
+    found = classes(marked, max_bits).toDF(*names)
+    joined = docs.withColumn("_near_print", simhash("text")).join(
+        found, F.col("_near_print") == F.col("_near_fp")
+    )
+    return (
+        joined.filter(F.col("doc_id").eqNullSafe(F.col("_near_id")))
+        .dropDuplicates(["_near_root"])
+        .drop("_near_print", *names)
+    )
+
+
 def op6_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read(spark, sf_dir, "documents"))
     return found.select(
