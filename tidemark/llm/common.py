@@ -14,13 +14,22 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 # Text handed to one vectorised step at a time, in bytes; a longer text goes alone.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1_000_000
+# Rows per Arrow batch where the session leaves Spark's default, which is meant for
+# narrow rows: ten thousand texts at a time would fill a Python worker.
+TEXTS_PER_BATCH = 500
+_ARROW_ROWS, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(_ARROW_ROWS) == _ARROW_DEFAULT:
+        spark.conf.set(_ARROW_ROWS, str(TEXTS_PER_BATCH))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared work folder and read again.
 
@@ -70,6 +79,7 @@ def by_block(
                     [ids, *(pa.array(v) for v in found.values())], names=["doc_id", *found]
                 )
 
+    small_batches(df.sparkSession)
     id_type = df.schema["doc_id"].dataType.simpleString()
     return df.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {schema}")
 
@@ -108,5 +118,6 @@ def sampled_texts(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
 
     The ids are a bounded sample, so they are broadcast and the texts stay in place.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
     return stored(texts.repartition(24), name)
