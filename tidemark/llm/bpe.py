@@ -19,7 +19,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read, small_batches, stored
+from .common import read, prepare, stored
 
 CHUNK = 1 << 15  # code points
 OVERLAP = 512
@@ -174,7 +174,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
     its bytes. A NULL text counts as empty and has no tokens; repeated rows are encoded
     each; an empty table gives no rows; other columns are ignored.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     pattern = pattern or default_pattern()
     with open(vocabulary or default_vocabulary(), "rb") as file:
         ranks = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -197,6 +197,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
 
 def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes of its ids end to end."""
+    prepare(encoded.sparkSession)
     with open(vocabulary or default_vocabulary(), "rb") as file:
         ranks = encoded.sparkSession.sparkContext.broadcast(file.read())
     pattern = default_pattern()

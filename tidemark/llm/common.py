@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable, Iterator
 from functools import reduce
+from pathlib import Path
 from uuid import uuid4
 
 import pyarrow as pa
@@ -25,9 +28,29 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
+_shipped: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> None:
+    """Make a session ready for the Python steps of this folder: batches of texts that
+    fit a worker, and this package on the executors, as with ``--py-files``."""
     if spark.conf.get(_ARROW_ROWS) == _ARROW_DEFAULT:
         spark.conf.set(_ARROW_ROWS, str(TEXTS_PER_BATCH))
+    package = Path(__file__).parents[1]
+    application = spark.sparkContext.applicationId
+    if application not in _shipped and package.is_dir():
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as target:
+            for file in sorted(package.rglob("*.py")):
+                target.write(file, file.relative_to(package.parent))
+        path = spark._jvm.org.apache.hadoop.fs.Path(
+            shared_dir(spark, "code", uuid4().hex, f"{package.name}.zip")
+        )
+        stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+        stream.write(bytearray(packed.getvalue()))
+        stream.close()
+        spark.sparkContext.addPyFile(path.toString())
+        _shipped.add(application)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -79,7 +102,7 @@ def by_block(
                     [ids, *(pa.array(v) for v in found.values())], names=["doc_id", *found]
                 )
 
-    small_batches(df.sparkSession)
+    prepare(df.sparkSession)
     id_type = df.schema["doc_id"].dataType.simpleString()
     return df.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {schema}")
 
@@ -118,6 +141,6 @@ def sampled_texts(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
 
     The ids are a bounded sample, so they are broadcast and the texts stay in place.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
     return stored(texts.repartition(24), name)

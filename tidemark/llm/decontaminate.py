@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import blocks, read, small_batches, stored, texts_of
+from .common import blocks, read, prepare, stored, texts_of
 
 # Edits per word of an item up to which a passage counts as a copy of it.
 EDIT_RATE = 0.2
@@ -256,7 +256,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     row, so repeated rows and items give no more; an empty table gives none; columns
     other than ids and texts are ignored.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     items = stored(item_words(benchmark), "decontaminate-items")
     found = suspicious_windows(docs, build_screen(items))
     windows = stored(

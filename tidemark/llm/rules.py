@@ -154,19 +154,18 @@ def fit_forest(sample: np.ndarray, trees: int = TREES, seed: int = 0) -> Isolati
 
 
 def calibrated_cut(counts: list[tuple[int, int, int]]) -> float:
-    """Score at which labelled rows of quality 0 and 1 are told apart best.
+    """Score at which most labelled rows of quality 0 and 1 are judged rightly.
 
-    ``counts`` has (bin, quality, rows). Both classes weigh alike; without rows of
-    both there is nothing to calibrate on and nothing is rejected.
+    ``counts`` has (bin, quality, rows). Without rows of both qualities there is nothing
+    to calibrate on and nothing is rejected.
     """
     good, bad = np.zeros(BINS + 1), np.zeros(BINS + 1)
     for place, quality, rows in counts:
         (good if quality else bad)[place] += rows
     if not good.sum() or not bad.sum():
         return 1.0
-    right = np.concatenate(([0], np.cumsum(good)))[:-1] / good.sum()
-    right += 1 - np.concatenate(([0], np.cumsum(bad)))[:-1] / bad.sum()
-    best = np.flatnonzero(right >= right.max() - 1e-12)
+    right = np.cumsum(good) - good + bad.sum() - (np.cumsum(bad) - bad)
+    best = np.flatnonzero(right == right.max())
     return float(best[len(best) // 2]) / BINS
 
 
@@ -177,7 +176,7 @@ def isolation_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     in repeated 8-word windows) and its score is below the calibrated cut. The
     forest is fitted on about TREES * ROWS_PER_TREE documents, those whose hashed ids lie
     in the share of the hash range that holds so many;
-    the cut is calibrated on all labelled documents. A NULL or empty text has no
+    the cut is calibrated on all labelled documents that pass the base rules. A NULL or empty text has no
     words and fails; repeated rows are judged alike, each on its own; an empty table
     gives an empty result. Columns other than doc_id and text are ignored.
     """
@@ -206,17 +205,18 @@ def isolation_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     scored = stats.mapInArrow(score, schema)
     known = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").select("doc_id", "quality")
+    failed = (F.col("n_words") < MIN_WORDS) | (
+        F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PERCENT
+    )
     counts = (
-        scored.select("doc_id", F.floor(F.col("score") * BINS).cast("int").alias("bin"))
+        scored.filter(~failed)
+        .select("doc_id", F.floor(F.col("score") * BINS).cast("int").alias("bin"))
         .join(known, "doc_id")
         .groupBy("bin", "quality")
         .count()
         .collect()
     )
     cut = calibrated_cut([tuple(r) for r in counts])
-    failed = (F.col("n_words") < MIN_WORDS) | (
-        F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PERCENT
-    )
     return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"),

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import read, small_batches, stored, texts_of
+from .common import read, prepare, stored, texts_of
 from .components import components
 
 MAX_BITS = 3
@@ -220,7 +220,7 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     is then NULL). Repeated rows each get a row; an empty table gives none; columns
     other than doc_id and text are ignored.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     marked = stored(docs.select("doc_id", simhash("text").alias("fp")), "simhash-prints")
     return marked.join(classes(marked, max_bits), "fp").select("doc_id", "fp", "component_id")
 
@@ -245,7 +245,7 @@ def keep_representatives(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame
     """One row, with all columns, of each group of near-duplicates: that with the
     smallest doc_id. Of several such rows, as in repeated rows, one stays. A group
     without any doc_id keeps one of its rows."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     marked = stored(docs.select("doc_id", simhash("text").alias("fp")), "simhash-prints")
     names = ("_near_fp", "_near_root", "_near_id")
     found = classes(marked, max_bits).toDF(*names)

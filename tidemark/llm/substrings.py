@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import blocks, read, small_batches, stored, texts_of
+from .common import blocks, read, prepare, stored, texts_of
 
 WINDOW = 20
 MINIMISER = 5
@@ -235,7 +235,7 @@ def _bucket_repeats(blobs: list[bytes]) -> pa.RecordBatch:
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """(doc, place, size): runs of repeated windows, by first word and number of windows."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = _doc(docs)
     hot, size = frequent_minimisers(docs)
     rows = packed_runs(docs, hot, max(1, -(-size * EXPANSION // BUCKET_BYTES)))
