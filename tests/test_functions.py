@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
@@ -109,6 +110,11 @@ def test_sums_do_not_depend_on_order(spark):
     df = spark.createDataFrame(cents, "x double")
     got = df.agg(exact_sum("x"), exact_avg("x")).first()
     assert tuple(got) == (0.3, 0.3 / 5)
+    # Nothing below a cent is lost, and amounts beyond six decimals count as well.
+    small = spark.createDataFrame([(0.004,)] * 1000 + [(1.005,), (-2.5,)], "x double")
+    assert small.agg(exact_sum("x")).first()[0] == 2.505
+    tiny = spark.createDataFrame([(1.25e-9,)] * 4, "x double")
+    assert tiny.agg(exact_sum("x")).first()[0] == pytest.approx(5e-9, rel=1e-9)
     none = df.filter("x > 1e10").agg(
         exact_avg("x"), percent_of(F.sum(F.lit(1)), F.count(F.lit(1)))
     ).first()

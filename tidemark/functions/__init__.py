@@ -2,20 +2,20 @@
 
 from .classify import band, equals_flag, group_of, mapped
 from .hashing import row_hash, row_hash_plain, rows_differ
-from .numbers import cents, exact_avg, exact_sum, from_cents, percent_of, unit_price
+from .numbers import amount_sums, amount_total, exact_avg, exact_sum, percent_of, unit_price
 from .text import full_name, title_case, upper_trim
 from .times import LOG_ZONE, OPEN_END, day_diff, log_time, stamp
 
 __all__ = [
     "LOG_ZONE",
     "OPEN_END",
+    "amount_sums",
+    "amount_total",
     "band",
-    "cents",
     "day_diff",
     "equals_flag",
     "exact_avg",
     "exact_sum",
-    "from_cents",
     "full_name",
     "group_of",
     "log_time",

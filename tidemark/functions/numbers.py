@@ -5,26 +5,47 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CENTS = 100
+# Amounts are split exactly into units, millionths and what a double holds beyond them.
+MILLION = 1_000_000
 
 
-def cents(value: str | Column) -> Column:
-    """A money amount as whole cents, halves rounded away from zero."""
-    amount = _column(value)
-    return (amount * CENTS + F.signum(amount) * 0.5).cast("bigint")
+def _parts(value: Column) -> list[Column]:
+    """Whole units, whole millionths and the rest of an amount; together the amount itself.
+
+    Sums of the first two are integers and so do not depend on the order of the rows;
+    the rest of an amount with up to six decimals is 0. In ANSI mode (the default) a
+    sum beyond 64 bits is an error, not a wrong number.
+    """
+    units = F.floor(value)
+    millionths = F.rint((value - units) * MILLION)
+    rest = value - (units * MILLION + millionths) / MILLION
+    return [units.cast("bigint"), millionths.cast("bigint"), rest]
+
+
+def amount_sums(value: str | Column, name: str) -> list[Column]:
+    """Partial sums of an amount, as columns ``name``_units, _millionths and _rest."""
+    parts = _parts(_column(value))
+    return [F.sum(part).alias(f"{name}_{what}") for part, what in zip(parts, PARTS)]
 
 
-def from_cents(total: Column) -> Column:
-    return total.cast("double") / CENTS
+PARTS = ("units", "millionths", "rest")
+
+
+def amount_total(name: str, times: str | Column | None = None) -> Column:
+    """Total of partial sums made by :func:`amount_sums`, each counted ``times`` times."""
+    count = F.lit(1) if times is None else _column(times)
+    return _total(*(F.sum(F.col(f"{name}_{what}") * count) for what in PARTS))
 
 
 def exact_sum(value: str | Column) -> Column:
-    """Sum of a money column in whole cents, so that any partitioning gives one answer.
+    """Sum of a double column without rounding any amount, the same for any partitioning
+    as long as amounts have at most six decimals."""
+    return _total(*(F.sum(part) for part in _parts(_column(value))))
 
-    Integer sums stay in the fast aggregation path; in ANSI mode (the default)
-    a total beyond 64 bits is an error, not a wrong number.
-    """
-    return from_cents(F.sum(cents(value)))
+
+def _total(units: Column, millionths: Column, rest: Column) -> Column:
+    whole = units.cast("decimal(20,0)") * MILLION + millionths.cast("decimal(20,0)")
+    return (whole / MILLION).cast("double") + rest
 
 
 def exact_avg(value: str | Column) -> Column:

@@ -18,3 +18,21 @@ def upper_trim(name: str) -> Column:
 def full_name(*names: str) -> Column:
     """Parts joined by one space; NULL parts are skipped, all NULL gives ''."""
     return F.concat_ws(" ", *names)
+
+
+def code_breaks(name: str) -> Column:
+    """Text on one line: line breaks, and the percent sign itself, as percent codes."""
+    text = F.col(name)
+    for plain, coded in BREAKS:
+        text = F.replace(text, F.lit(plain), F.lit(coded))
+    return text
+
+
+def decode_breaks(name: str) -> Column:
+    text = F.col(name)
+    for plain, coded in reversed(BREAKS):
+        text = F.replace(text, F.lit(coded), F.lit(plain))
+    return text
+
+
+BREAKS = (("%", "%25"), ("\n", "%0A"), ("\r", "%0D"))

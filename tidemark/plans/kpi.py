@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import cents, exact_avg, exact_sum, from_cents, percent_of
+from ..functions import amount_sums, amount_total, exact_avg, exact_sum, percent_of
 
 
 def daily_sales(fact: DataFrame) -> DataFrame:
@@ -26,13 +26,13 @@ def daily_sales(fact: DataFrame) -> DataFrame:
 def product_performance(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Sales and quantity per product name and category, best first."""
     per_key = fact.groupBy("ProductID").agg(
-        _amount().alias("amount"), F.sum("Quantity").alias("quantity")
+        *amount_sums("SalesAmount", "amount"), F.sum("Quantity").alias("quantity")
     )
     return (
         per_key.join(products.select("ProductID", "ProductName", "Category"), "ProductID")
         .groupBy("ProductName", "Category")
         .agg(
-            _total(F.col("amount")).alias("total_sales"),
+            amount_total("amount").alias("total_sales"),
             F.sum("quantity").alias("total_quantity"),
         )
         .orderBy(F.col("total_sales").desc())
@@ -55,9 +55,9 @@ def customer_kpi(fact: DataFrame, customers: DataFrame, active_only: bool = Fals
         .groupBy("FullName")
         .agg(
             F.sum("orders").alias("total_orders"),
-            _total(F.col("amount") * F.col("versions")).alias("total_spent"),
+            amount_total("amount", "versions").alias("total_spent"),
             F.try_divide(
-                _total(F.col("amount") * F.col("versions")),
+                amount_total("amount", "versions"),
                 F.sum(F.col("lines") * F.col("versions")),
             ).alias("avg_order_value"),
         )
@@ -75,7 +75,7 @@ def store_performance(fact: DataFrame, stores: DataFrame) -> DataFrame:
         .join(places, "StoreID")
         .groupBy("StoreName", "City")
         .agg(
-            _total(F.col("amount") * F.col("copies")).alias("total_sales"),
+            amount_total("amount", "copies").alias("total_sales"),
             F.sum("orders").alias("total_orders"),
         )
     )
@@ -89,7 +89,7 @@ def _per_key_and_order(fact: DataFrame, key: str) -> DataFrame:
     counts may be added up. Only this step shuffles at the size of the orders.
     """
     return fact.groupBy(key).agg(
-        _amount().alias("amount"),
+        *amount_sums("SalesAmount", "amount"),
         F.count("SalesAmount").alias("lines"),
         F.count_distinct("OrderID").alias("orders"),
     )
@@ -122,13 +122,5 @@ def monthly_sales(fact: DataFrame) -> DataFrame:
     )
 
 
-def _amount() -> Column:
-    return F.sum(cents("SalesAmount"))
-
-
-def _total(amount: Column) -> Column:
-    return from_cents(F.sum(amount))
-
-
 def _lines_with(name: str, value: int) -> Column:
     return F.sum(F.when(F.col(name) == value, 1).otherwise(0))
