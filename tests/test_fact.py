@@ -7,9 +7,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.operators import hot_keys, skew_join
-from tidemark.plans import fact_sales, refresh_fact
-from tidemark.plans.gold import months_touched
+from tidemark.operators import Side, heavy_keys, join_all
+from tidemark.plans import fact_sales
 
 LINES = "OrderDetailID long, OrderID long, ProductID long, Quantity int, TotalAmount double"
 ORDERS = "OrderID long, CustomerID long, StoreID long, OrderDate date"
@@ -52,6 +51,11 @@ def test_fan_out_and_orphans(spark):
     ]
 
 
+def _moved(plan):
+    """Exchanges that deal rows by order and cell."""
+    return sum("Exchange hashpartitioning" in line and "_cell" in line for line in plan.splitlines())
+
+
 def test_one_shuffle_per_input(spark, tmp_path):
     data = ([(10, 1)], [1], [(1, 1)], [(7, 1)])
     stored = []
@@ -63,16 +67,38 @@ def test_one_shuffle_per_input(spark, tmp_path):
         plan = fact_sales(*stored)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("Exchange hashpartitioning") == 4
-    assert plan.count("SortMergeJoin") == 3 and "Cartesian" not in plan
+    assert _moved(plan) == 4 and "Cartesian" not in plan
     assert "Python" not in plan
 
 
-def test_hot_keys(spark):
-    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
-    assert hot_keys(df, "k", 500) == {7: 1001}
-    assert hot_keys(df, "k", 1001) == {}
-    assert hot_keys(df.filter("k < 0"), "k", 0) == {}
+def test_heavy_keys_without_a_limit_to_their_number(spark):
+    left = spark.range(9000).select((F.col("id") % 3000).alias("k"), F.col("id").alias("l"))
+    right = spark.range(6000).select((F.col("id") % 3000).alias("r"), F.col("id").alias("x"))
+    sides = [Side(left, "k", ("l",)), Side(right, "r", ("x",))]
+    assert heavy_keys(sides, 6).count() == 0
+    # No side of a key is large, but the product of its rows is.
+    assert heavy_keys(sides, 5).count() == 3000
+    joined = join_all(sides, ["inner"], heavy_keys(sides, 2))
+    assert joined.count() == joined.distinct().count() == 3000 * 3 * 2
+
+
+def test_two_medium_sides_with_a_large_product(spark):
+    left = spark.range(900).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("l"))
+    right = spark.range(800).select(F.lit(1).cast("long").alias("r"), F.col("id").alias("x"))
+    sides = [Side(left, "k", ("l",)), Side(right, "r", ("x",))]
+    heavy = heavy_keys(sides, 1000)
+    assert rows(heavy, "key", "cuts_0", "cuts_1") == [(1, 720, 1)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        per_task = (
+            join_all(sides, ["left"], heavy).groupBy(F.spark_partition_id()).count().collect()
+        )
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in per_task) == 900 * 800
+    assert len(per_task) == 4 and max(r["count"] for r in per_task) < 300_000
 
 
 pairs = st.lists(st.integers(1, 4), max_size=14)
@@ -82,7 +108,7 @@ pairs = st.lists(st.integers(1, 4), max_size=14)
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(pairs, st.sets(st.integers(1, 4)), st.one_of(st.just([1, 3]), pairs), pairs)
 def test_spread_fact_equals_brute_force(spark, lines, orders, payment, shipping):
-    """With a limit of two rows per task nearly every order counts as heavy."""
+    """With a limit of two joined rows per task nearly every order counts as heavy."""
     data = (
         list(enumerate(lines, 1)), sorted(orders), list(enumerate(payment, 100)),
         list(enumerate(shipping, 200)),
@@ -104,69 +130,30 @@ def test_heavy_lines_alone_keep_one_shuffle_per_input(spark, tmp_path):
         plan = fact_sales(*stored, rows_per_task=4)._jdf.queryExecution().executedPlan()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.toString().count("Exchange hashpartitioning") == 4
-    assert plan.toString().count("SortMergeJoin") == 3
-
-
-def test_heavy_keys_are_spread(spark):
-    left = spark.range(4000).select(F.lit(1).cast("long").alias("lk"), F.col("id").alias("l"))
-    right = spark.createDataFrame([(1, "a")], "rk long, r string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = skew_join(left, right, "lk", "rk", left_hot=hot_keys(left, "lk", 100),
-                           rows_per_task=100, left_spread=["l"])
-        per_task = joined.groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(r["count"] for r in per_task) == 4000
-    assert len(per_task) == 4 and max(r["count"] for r in per_task) < 2000
+    assert _moved(plan.toString()) == 4
 
 
 def test_left_rows_without_key_survive(spark):
     left = spark.createDataFrame([(None, 1), (1, 2), (2, 3)], "lk long, l int")
     right = spark.createDataFrame([(1, i) for i in range(9)], "rk long, r int")
-    joined = skew_join(left, right, "lk", "rk", "left", right_hot=hot_keys(right, "rk", 2),
-                       rows_per_task=2)
+    sides = [Side(left, "lk", ("l",)), Side(right, "rk", ("r",))]
+    joined = join_all(sides, ["left"], heavy_keys(sides, 2))
     assert joined.count() == 11
     assert rows(joined.filter("r is null"), "lk", "l") == [(2, 3), (None, 1)]
 
 
-def test_refresh_replaces_only_the_months_given(spark, tmp_path):
-    path = str(tmp_path / "fact")
-
-    def fact(*dated):
-        return spark.createDataFrame(
-            [(o, dt.date(2026, m, 1), a) for o, m, a in dated],
-            "OrderID long, OrderDate date, SalesAmount double",
-        )
-
-    refresh_fact(fact((1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0)), path)
-    refresh_fact(fact((1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0)), path)
-    stored = spark.read.parquet(path)
-    assert rows(stored, "OrderID") == [(1,), (2,), (3,)]
-
-    # Order 2 moves from February to March, where order 3 changes too.
-    now = fact((1, 1, 9.0), (2, 3, 2.0), (3, 3, 3.0))
-    orders = now.select("OrderID", "OrderDate")
-    changed = spark.createDataFrame([(2, 2), (3, 3)], "key long, OrderID long")
-    months = months_touched(orders, {"OrderID": changed}, stored)
-    assert months == ["2026-02", "2026-03"]
-    for _ in range(2):
-        refresh_fact(now, path, months)
-        stored = spark.read.parquet(path)
-        assert rows(stored, "OrderID", "SalesAmount") == [(1, 1.0), (2, 2.0), (3, 3.0)]
-
-
-def test_a_payment_that_moves_touches_both_orders(spark):
-    orders = spark.createDataFrame(
-        [(1, dt.date(2026, 1, 1)), (2, dt.date(2026, 2, 1)), (3, dt.date(2026, 3, 1))],
-        "OrderID long, OrderDate date",
-    )
-    stored = spark.createDataFrame(
-        [(1, 7, "2026-01"), (3, 8, "2026-03")], "OrderID long, payment_id long, OrderMonth string"
-    )
-    moved = spark.createDataFrame([(7, 2)], "key long, OrderID long")
-    assert months_touched(orders, {"payment_id": moved}, stored) == ["2026-01", "2026-02"]
-    assert months_touched(orders, {"payment_id": moved}, None) == ["2026-02"]
+def test_inputs_are_reduced_to_the_touched_orders_before_they_move(spark, tmp_path):
+    data = ([(10, 1), (20, 2)], [1, 2], [(1, 1)], [(7, 2)])
+    stored = []
+    for i, frame in enumerate(frames(spark, *data)):
+        frame.write.parquet(str(tmp_path / str(i)))
+        stored.append(spark.read.parquet(str(tmp_path / str(i))))
+    spark.createDataFrame([(2,)], "OrderID long").write.parquet(str(tmp_path / "touched"))
+    touched = spark.read.parquet(str(tmp_path / "touched"))
+    fact = fact_sales(*stored, only_orders=touched)
+    assert keys(fact) == [(20, 2, None, 7)]
+    plan = fact._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    # Below each of the four inputs' own joins there is nothing but the semi-join and a scan.
+    assert sum("Join LeftSemi" in line for line in plan) == 4
+    for name in ("OrderDetailID", "o_id", "p_order", "s_order"):
+        assert any(name in line for line in plan)

@@ -82,7 +82,7 @@ def test_copy_log(spark):
     assert log.schema.names == schemas.COPY_LOG.names
     assert rows(log, "ID", "TABLENAME", "ROWREAD", "ROWCOPIED", F.length("ERRORMESSAGE"),
                 F.hour("LOGTIME")) == [
-        (8, "Orders", 3, 3, None, 8), (9, "Stores", None, None, 500, 8),
+        (8, "Orders", 3, 3, None, 8), (9, "Stores", None, None, 600, 8),
     ]
     feed = copy_log(spark, [Copy("payment", at=at)], schemas.FEED_COPY_LOG)
     assert feed.schema.names == schemas.FEED_COPY_LOG.names

@@ -26,7 +26,7 @@ def run_products(spark, *snapshots, **options):
     for day, snapshot in enumerate(snapshots, start=1):
         source = spark.createDataFrame(snapshot, PRODUCT)
         moment = f"2026-01-0{day} 00:00:00"
-        state = dim_product(state, source, moment, small_source=day % 2 == 0, **options)
+        state = dim_product(state, source, moment, **options)
     return state
 
 
@@ -35,7 +35,7 @@ def run_customers(spark, *snapshots, **options):
     for day, snapshot in enumerate(snapshots, start=1):
         source = spark.createDataFrame(snapshot, CUSTOMER)
         moment = f"2026-01-0{day} 00:00:00"
-        state = dim_customer(state, source, moment, small_source=day % 2 == 0, **options)
+        state = dim_customer(state, source, moment, **options)
     return state
 
 

@@ -5,24 +5,24 @@ from .increment import high_water_mark, pull_increment
 from .latest import keep_latest, merge_latest
 from .quality import has_values, split_corrupt, valid_key
 from .scd import scd1_upsert, scd2_changed_keys, scd2_upsert
-from .skew import HotKeys, hot_keys, skew_join
+from .skew import Side, heavy_keys, join_all
 
 __all__ = [
     "Copy",
-    "HotKeys",
+    "Side",
     "advance_watermarks",
     "copy_log",
     "failure_messages",
     "has_values",
+    "heavy_keys",
     "high_water_mark",
-    "hot_keys",
+    "join_all",
     "keep_latest",
     "merge_latest",
     "pull_increment",
     "scd1_upsert",
     "scd2_changed_keys",
     "scd2_upsert",
-    "skew_join",
     "split_corrupt",
     "valid_key",
     "watermark_seed",

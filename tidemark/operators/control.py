@@ -18,8 +18,6 @@ CONTROLLED = ("Customers", "Products", "Stores", "Orders", "OrderDetails")
 SCHEMA_NAME = "sales"
 DELTA_COLUMN = "ModifiedDate"
 FIRST_MARK = datetime(1900, 1, 1)
-# Fixed value: longest message the log keeps.
-MESSAGE_LENGTH = 500
 
 # Fixed value: text reported for a failure without a recorded message.
 NO_MESSAGE = "No error message available"
@@ -78,7 +76,7 @@ def copy_log(
             "SCHEMANAME": copy.schema_name,
             "ROWREAD": copy.rows_read,
             "ROWCOPIED": copy.rows_copied,
-            "ERRORMESSAGE": copy.error and copy.error[:MESSAGE_LENGTH],
+            "ERRORMESSAGE": copy.error,
             "COPYDURATION": copy.seconds,
             "LOGTIME": copy.at,
         }

@@ -38,17 +38,16 @@ def merge_latest(
     key: str,
     version: str,
     ties: Sequence[str] = (),
-    small_source: bool = False,
 ) -> DataFrame:
     """Stored rows (one per key) brought up to date by a batch (one per key).
 
     A stored row gives way to a higher (version, ties) only, so a row sent again
     unchanged keeps its stored copy with its load time. Both sides are unique by
-    key, so the join cannot skew; see ``merge.pair_up`` for how it is done.
+    key, so the join cannot skew.
     """
     order = [version, *ties]
     newer = F.struct(*(F.col(f"s_{n}") for n in order)) > F.struct(
         *(F.col(f"t_{n}") for n in order)
     )
     columns = {name: (F.col(f"s_{name}"), F.col(f"s_{name}")) for name in stored.columns}
-    return merge_rows(stored, batch, key, newer, columns, small_source)
+    return merge_rows(stored, batch, key, newer, columns)

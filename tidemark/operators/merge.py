@@ -11,9 +11,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A source of at most this many rows is broadcast (some tens of megabytes).
-SMALL_ROWS = 200_000
-
 
 def unique_by(df: DataFrame, key: str) -> DataFrame:
     """The same rows; the query fails when a key occurs twice.
@@ -26,16 +23,12 @@ def unique_by(df: DataFrame, key: str) -> DataFrame:
     return counted.filter(once.isNull()).drop("_copies")
 
 
-def pair_up(
-    target: DataFrame, source: DataFrame, key: str, small_source: bool = False
-) -> DataFrame:
+def pair_up(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Rows of both sides next to each other, as ``t_<column>`` and ``s_<column>``.
 
-    ``_stored`` and ``_sent`` are NULL where a side has no row. In general this
-    is one full outer join, which shuffles both sides once. With
-    ``small_source`` (see :func:`is_small`) the source is broadcast instead and
-    the target, however large, is scanned in place: once in full and once by
-    key, to find the source rows it does not have yet.
+    ``_stored`` and ``_sent`` are NULL where a side has no row. One full outer join
+    whatever the sizes; a small batch is kept from moving a large state by giving it
+    only the parts of the state that its keys lie in (see ``sources.versions``).
     """
     t = target.select(
         *(F.col(c).alias(f"t_{c}") for c in target.columns), F.lit(True).alias("_stored")
@@ -43,19 +36,7 @@ def pair_up(
     s = unique_by(source, key).select(
         *(F.col(c).alias(f"s_{c}") for c in source.columns), F.lit(True).alias("_sent")
     )
-    on_key = F.col(f"t_{key}") == F.col(f"s_{key}")
-    if not small_source:
-        return t.join(s, on_key, "full_outer")
-    matched = t.join(F.broadcast(s), on_key, "left")
-    met = t.join(F.broadcast(s), on_key, "inner").select(F.col(f"t_{key}").alias("_met"))
-    new = s.join(met, F.col(f"s_{key}") == F.col("_met"), "left_anti")
-    return matched.unionByName(new, allowMissingColumns=True)
-
-
-def is_small(stored_source: DataFrame) -> bool:
-    """Whether a source may be broadcast: checked by counting, for stored parquet
-    from its footers."""
-    return stored_source.count() <= SMALL_ROWS
+    return t.join(s, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer")
 
 
 def merge_rows(
@@ -64,7 +45,6 @@ def merge_rows(
     key: str,
     update_when: Column,
     columns: Mapping[str, tuple[Column | None, Column]],
-    small_source: bool = False,
 ) -> DataFrame:
     """New state of ``target`` after merging ``source``; see :func:`pair_up`.
 
@@ -82,4 +62,4 @@ def merge_rows(
             value = value.when(update, on_update)
         return value.otherwise(F.col(f"t_{name}")).alias(name)
 
-    return pair_up(target, source, key, small_source).select(*map(merged, target.columns))
+    return pair_up(target, source, key).select(*map(merged, target.columns))

@@ -25,7 +25,8 @@ def scd1_upsert(
     tracked: Sequence[str],
     as_of: object = None,
     changed_by: str = "columns",
-    small_source: bool = False,
+    inserted_by: str = INSERTED_BY,
+    updated_by: str = SCD1_UPDATED_BY,
 ) -> DataFrame:
     """New state of a dimension that keeps one row per key.
 
@@ -45,10 +46,10 @@ def scd1_upsert(
         name: (F.col(f"s_{name}"), F.col(f"s_{name}")) for name in fresh.columns
     }
     columns["CREATEDDATE"] = (None, now)
-    columns["CREATEDBY"] = (None, F.lit(INSERTED_BY))
+    columns["CREATEDBY"] = (None, F.lit(inserted_by))
     columns["UPDATEDDATE"] = (now, now)
-    columns["UPDATEDBY"] = (F.lit(SCD1_UPDATED_BY), F.lit(INSERTED_BY))
-    return merge_rows(target, fresh, key, differs, columns, small_source)
+    columns["UPDATEDBY"] = (F.lit(updated_by), F.lit(inserted_by))
+    return merge_rows(target, fresh, key, differs, columns)
 
 
 def scd2_upsert(
@@ -58,7 +59,6 @@ def scd2_upsert(
     tracked: Sequence[str],
     as_of: object = None,
     against: str = "active",
-    small_source: bool = False,
 ) -> DataFrame:
     """New state of a dimension that keeps every version of a key.
 
@@ -71,7 +71,7 @@ def scd2_upsert(
         return _against_history(target, source, key, tracked, as_of)
     fresh = source.select(key, *tracked).withColumn("HASHVALUE", row_hash(key, *tracked))
     is_active = F.col("IS_ACTIVE").eqNullSafe(F.lit(1))
-    pairs = pair_up(target.filter(is_active), fresh, key, small_source)
+    pairs = pair_up(unique_by(target.filter(is_active), key), fresh, key)
     inserted = F.col("_stored").isNull()
     changed = (
         F.col("_stored").isNotNull()

@@ -1,139 +1,118 @@
-"""Joins that stay balanced when one key holds a large share of the rows.
+"""A chain of joins on one key that stays balanced whatever a key's share of the rows.
 
-Adaptive execution splits an oversized partition of a sort-merge join, but not
-the right side of a left outer join, and not inside a chain of joins that share
-one shuffle. These helpers find the few heavy keys and spread only those.
+Adaptive execution splits an oversized partition of a sort-merge join, but not the right
+side of a left outer join, and not inside a chain of joins that share one shuffle. Here
+every key whose joined rows exceed what a task should make is laid out as a grid of cells:
+each input deals its rows of the key along its own dimension and repeats them along the
+others, so every combination of rows meets in exactly one cell. Other keys have cell 0.
 """
 
 from __future__ import annotations
 
-from math import ceil
-from typing import Any
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one key that a single task can join comfortably.
+from ..session import shared_dir
+
+# Joined rows of one key that a single task can make comfortably.
 ROWS_PER_TASK = 1_000_000
-# At most this many heavy keys are handled per frame; it bounds what is collected
-# and broadcast. More keys than that above the limit means none of them holds
-# more than a thousandth of the rows, which adaptive execution copes with.
-MAX_HOT_KEYS = 1_000
-_SKETCH_ENTRIES = 10_000
-_SKETCH_GROUPS = 256
 
-HotKeys = dict[Any, int]
+CELL = "_cell"
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
-    """Keys with more than ``rows_per_task`` rows and about how many they have.
+@dataclass(frozen=True)
+class Side:
+    """An input of the chain: its key, and columns that tell rows of one key apart.
 
-    One narrow scan into frequent-item sketches of fixed size, merged in two
-    levels; only the final short list reaches the driver. Every key returned
-    does occur in ``df``. A frame that is small as a whole is only counted, which
-    stored parquet answers from its footers.
+    A side that is unique by its key need not be counted.
     """
-    if df.count() <= rows_per_task:
-        return {}
-    sketches = (
-        df.filter(F.col(key).isNotNull())
-        .select(F.col(key).alias("k"))
-        .groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("part"))
-        .agg(F.expr(f"approx_top_k_accumulate(k, {_SKETCH_ENTRIES})").alias("sketch"))
-    )
-    # Grouped by a constant: without a key, merging a partition that holds no
-    # sketch fails.
-    top = sketches.groupBy(F.lit(0).alias("all")).agg(
-        F.expr(
-            f"approx_top_k_estimate(approx_top_k_combine(sketch, {_SKETCH_ENTRIES}), "
-            f"{MAX_HOT_KEYS})"
-        ).alias("top")
-    )
-    found = (
-        top.select(F.explode("top").alias("t"))
-        .select("t.item", "t.count")
-        .filter(F.col("count") > rows_per_task)
-    )
-    return {row["item"]: row["count"] for row in found.collect()}
-
 
-def spread(
-    df: DataFrame, key: str, hot: HotKeys, by: list[str], name: str, rows_per_task: int
-) -> DataFrame:
-    """The rows with a salt: a stable one out of several for heavy keys, 0 for others.
+    rows: DataFrame
+    key: str
+    apart: tuple[str, ...]
+    unique: bool = False
 
-    ``by`` names columns that tell the rows of one key apart. The salt depends on
-    the row alone, so a repeated task places it alike.
-    """
-    parts = _parts(df, hot, key, rows_per_task)
-    salted = df.join(parts, F.col(key) == F.col("_key"), "left").withColumn(
-        name, F.pmod(F.xxhash64(*by), F.coalesce(F.col("_parts"), F.lit(1))).cast("int")
-    )
-    return salted.drop("_key", "_parts")
 
+def heavy_keys(sides: Sequence[Side], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys whose joined rows exceed ``rows_per_task``, with the cuts of every side.
 
-def copy_to_salts(
-    df: DataFrame, key: str, hot: HotKeys, name: str, rows_per_task: int
-) -> DataFrame:
-    """The rows, those of a heavy key once per salt that :func:`spread` gives it."""
-    if not hot:
-        return df.withColumn(name, F.lit(0))
-    parts = _parts(df, hot, key, rows_per_task)
-    salts = F.sequence(F.lit(0), F.coalesce(F.col("_parts") - 1, F.lit(0)).cast("int"))
-    copied = df.join(parts, F.col(key) == F.col("_key"), "left").withColumn(
-        name, F.explode(salts)
+    One count over the key columns of all sides, folded before its only shuffle; the
+    product of a key's rows decides. The result (key, n_0, cuts_0, n_1, cuts_1, ...) is
+    stored and joined, never collected, so there is no limit to the number of keys.
+    """
+    counted = reduce(
+        DataFrame.unionByName,
+        (
+            side.rows.filter(F.col(side.key).isNotNull()).select(
+                F.col(side.key).alias("key"),
+                *(F.lit(int(i == j)).cast("long").alias(f"n_{j}") for j in range(len(sides))),
+            )
+            for i, side in enumerate(sides)
+            if not side.unique
+        ),
     )
-    return copied.drop("_key", "_parts")
-
-
-def _parts(df: DataFrame, hot: HotKeys, key: str, rows_per_task: int) -> DataFrame:
-    """Salts per heavy key; twice MAX_HOT_KEYS rows at most (two frames' keys)."""
-    kind = df.schema[key].dataType.simpleString()
-    rows = [(value, ceil(count / rows_per_task)) for value, count in hot.items()]
-    return F.broadcast(df.sparkSession.createDataFrame(rows, f"_key {kind}, _parts long"))
-
-
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    how: str = "inner",
-    left_hot: HotKeys | None = None,
-    right_hot: HotKeys | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
-    left_spread: list[str] | None = None,
-    right_spread: list[str] | None = None,
+    names = [f"n_{i}" for i in range(len(sides))]
+    sums = counted.groupBy("key").agg(*(F.sum(n).alias(n) for n in names))
+    rows = reduce(Column.__mul__, (F.greatest(F.col(n), F.lit(1)).cast("double") for n in names))
+    found = sums.withColumn("_left", rows / rows_per_task).filter("n_0 > 0 AND _left > 1")
+    for name in names:
+        # Cut a side no finer than its rows, and leave the rest to the next one.
+        cuts = F.least(F.ceil("_left"), F.greatest(F.col(name), F.lit(1)))
+        found = found.withColumn(f"cuts_{name[2:]}", cuts).withColumn("_left", F.col("_left") / cuts)
+    path = shared_dir(found.sparkSession, "heavy-keys", uuid4().hex)
+    found.drop("_left").write.parquet(path)
+    return found.sparkSession.read.parquet(path)
+
+
+def in_cells(sides: Sequence[Side], heavy: DataFrame) -> list[DataFrame]:
+    """The rows of each side with their cell, and the rows per side of a heavy key as
+    ``_n_<side>`` on the first one (NULL for other keys)."""
+    numbers = range(len(sides))
+    placed = []
+    for i, side in enumerate(sides):
+        own = heavy.select(
+            F.col("key").alias("_key"), *(F.col(f"cuts_{j}").alias(f"_cuts_{j}") for j in numbers),
+            *((F.col(f"n_{j}").alias(f"_n_{j}") for j in numbers) if i == 0 else ()),
+        )
+        rows = side.rows.join(own, F.col(side.key) == F.col("_key"), "left")
+        cell = F.lit(0).cast("long")
+        for j in numbers:
+            cuts = F.coalesce(F.col(f"_cuts_{j}"), F.lit(1))
+            if j == i:
+                at = F.pmod(F.xxhash64(*side.apart), cuts)
+            else:
+                rows = rows.withColumn(f"_at_{j}", F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1)))
+                at = F.col(f"_at_{j}")
+            cell = cell * cuts + at
+        placed.append(
+            rows.withColumn(CELL if i == 0 else f"{CELL}_{i}", cell).drop(
+                "_key", *(f"_cuts_{j}" for j in numbers), *(f"_at_{j}" for j in numbers)
+            )
+        )
+    return placed
+
+
+def join_all(
+    sides: Sequence[Side], how: Sequence[str], heavy: DataFrame
 ) -> DataFrame:
-    """Inner or left equi-join on differently named keys; all columns of both sides.
-
-    A heavy key is laid out as a grid of (row salt, column salt) cells: each of
-    its left rows goes to one row of cells and each right row to one column, so
-    every pair meets in exactly one cell. Other keys use cell (0, 0), and with no
-    heavy key at all the join is a plain one. ``right_hot`` must come from
-    ``hot_keys(right, ...)``: a heavy key is then known to have a partner.
-    ``*_spread`` name columns that tell rows of one key apart.
+    """The first side joined with each other one on its key, ``how`` inner or left.
+
+    All joins have the same keys, so each side is shuffled once. A copy of a row that
+    met nobody in its own cell is no unmatched row if its key has partners elsewhere.
     """
-    if how not in ("inner", "left"):
-        raise ValueError(f"unsupported join type {how!r}")
-    left_hot, right_hot = left_hot or {}, right_hot or {}
-    on_key = F.col(left_key) == F.col(right_key)
-    if not left_hot and not right_hot:
-        return left.join(right, on_key, how)
-
-    by_left, by_right = left_spread or left.columns, right_spread or right.columns
-    rows = spread(left, left_key, left_hot, by_left, "_row", rows_per_task)
-    rows = copy_to_salts(rows, left_key, right_hot, "_col", rows_per_task)
-    cols = spread(right, right_key, right_hot, by_right, "_rcol", rows_per_task)
-    cols = copy_to_salts(cols, right_key, left_hot, "_rrow", rows_per_task)
-    joined = rows.join(
-        cols.withColumn("_hit", F.lit(True)),
-        on_key & (F.col("_row") == F.col("_rrow")) & (F.col("_col") == F.col("_rcol")),
-        how,
-    )
-    if how == "left" and right_hot:
-        # A copy that met nobody in its own cell is not an unmatched row: the
-        # key has partners in other cells.
-        partnered = F.coalesce(F.col(left_key).isin(*right_hot), F.lit(False))
-        joined = joined.filter(F.col("_hit").isNotNull() | ~partnered)
-    return joined.select(*left.columns, *right.columns)
+    first, *others = in_cells(sides, heavy)
+    joined = first
+    for i, (side, rows, kind) in enumerate(zip(sides[1:], others, how), start=1):
+        rows = rows.withColumn(f"_hit_{i}", F.lit(True))
+        on = (F.col(sides[0].key) == F.col(side.key)) & (F.col(CELL) == F.col(f"{CELL}_{i}"))
+        joined = joined.join(rows, on, kind)
+        if kind == "left":
+            elsewhere = F.coalesce(F.col(f"_n_{i}") > 0, F.lit(False))
+            joined = joined.filter(F.col(f"_hit_{i}").isNotNull() | ~elsewhere)
+    names = [n for side in sides for n in side.rows.columns]
+    return joined.select(*names)
