@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.plans import Lakehouse
+from tidemark.operators import watermark_seed
+from tidemark.plans import SILVER, IngestFailed, Lakehouse, ingest
 from tidemark.sources import current_version
-from tidemark.sources.versions import finished_versions
+from tidemark.sources.versions import finished_versions, state_versions
 
 UTC = dt.timezone.utc
 
@@ -79,14 +81,17 @@ def state(lake):
     }
 
 
+AFTER_SECOND = {
+    "fact": [(11, 30.0, 1, 1), (21, 5.0, 0, None)],
+    "customer": [(1, "X", 0), (1, "Y", 1)],
+    "product": [(1, 100.0, "LOW")],
+    "store": [(1, "ON", "EAST")],
+    "daily": [(dt.date(2026, 1, 5), 30.0), (dt.date(2026, 1, 7), 5.0)],
+}
+
+
 def test_state_after_two_runs(spark, root):
-    assert state(Lakehouse(spark, root)) == {
-        "fact": [(11, 30.0, 1, 1), (21, 5.0, 0, None)],
-        "customer": [(1, "X", 0), (1, "Y", 1)],
-        "product": [(1, 100.0, "LOW")],
-        "store": [(1, "ON", "EAST")],
-        "daily": [(dt.date(2026, 1, 5), 30.0), (dt.date(2026, 1, 7), 5.0)],
-    }
+    assert state(Lakehouse(spark, root)) == AFTER_SECOND
 
 
 def test_second_run_pulled_news_only(spark, root):
@@ -111,9 +116,10 @@ def test_unchanged_rows_keep_their_load_time(spark, root):
 
 
 def test_closed_versions_are_stored_once(spark, root):
-    raw = spark.read.parquet(f"{root}/gold/dim_customer")
-    assert rows(raw, "version", "City", "IS_ACTIVE") == [(1, "X", 1), (2, "X", 0), (2, "Y", 1)]
-    assert current_version(spark, f"{root}/gold/dim_customer") == 2
+    folder = f"{root}/gold/dim_customer"
+    closed = spark.read.parquet(f"{folder}/closed")
+    assert rows(closed, "version", "City", "IS_ACTIVE") == [(2, "X", 0)]
+    assert current_version(spark, f"{root}/control/watermark") == 2
 
 
 def test_prune_keeps_the_state_and_the_history(spark, root):
@@ -121,5 +127,100 @@ def test_prune_keeps_the_state_and_the_history(spark, root):
     before = state(lake)
     lake.prune(keep=1)
     assert state(Lakehouse(spark, root)) == before
-    assert finished_versions(spark, f"{root}/silver/orders") == [2]
-    assert finished_versions(spark, f"{root}/gold/dim_customer") == [1, 2]
+    assert state_versions(spark, f"{root}/silver/orders") == [2]
+    assert finished_versions(spark, f"{root}/gold/gold_customer_kpi") == [2]
+
+
+def lake(spark, tmp_path, day=1):
+    return Lakehouse(spark, str(tmp_path / "lake"), f"2026-05-{day:02d} 00:00:00", parts=2)
+
+
+def test_a_failed_batch_loses_nothing(spark, tmp_path, monkeypatch):
+    lake(spark, tmp_path).run(1, *sources(spark, FIRST))
+    first = state(lake(spark, tmp_path))
+    for step in ("build_gold", "build_kpis"):
+        with monkeypatch.context() as patched:
+            patched.setattr(Lakehouse, step, lambda self: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                lake(spark, tmp_path, 2).run(2, *sources(spark, SECOND))
+        assert state(lake(spark, tmp_path)) == first
+    lake(spark, tmp_path, 3).run(3, *sources(spark, SECOND))
+    assert state(lake(spark, tmp_path)) == AFTER_SECOND
+
+
+def test_a_batch_without_changes(spark, tmp_path):
+    lake(spark, tmp_path).run(1, *sources(spark, FIRST))
+    first = state(lake(spark, tmp_path))
+    lake(spark, tmp_path, 2).run(2, *sources(spark, FIRST))
+    lake(spark, tmp_path, 3).run(3, *sources(spark, FIRST), compact=True)
+    lake(spark, tmp_path, 4).run(4, *sources(spark, FIRST))
+    assert state(lake(spark, tmp_path)) == first
+
+
+def test_undated_orders_come_and_go_once(spark, tmp_path):
+    undated = {**FIRST, "Orders": [*FIRST["Orders"], (4, 1, 1, None, at(8))],
+               "OrderDetails": [*FIRST["OrderDetails"], (41, 4, 1, 1, 4.0, at(8))]}
+    more = {**undated, "OrderDetails": [*undated["OrderDetails"], (42, 4, 1, 1, 6.0, at(9, 3))]}
+    dated = {**more, "Orders": [*more["Orders"], (4, 1, 1, at(5, 3), at(10, 3))]}
+    shown = []
+    for batch, tables in enumerate((undated, more, dated), start=1):
+        lake(spark, tmp_path, batch).run(batch, *sources(spark, tables))
+        fact = lake(spark, tmp_path).fact().filter("OrderID = 4")
+        shown.append(rows(fact, "OrderDetailID", "SalesAmount", F.month("OrderDate")))
+    assert shown == [
+        [(41, 4.0, None)], [(41, 4.0, None), (42, 6.0, None)], [(41, 4.0, 3), (42, 6.0, 3)],
+    ]
+
+
+def test_empty_tables_and_line_breaks(spark, tmp_path):
+    tables = {**FIRST, "Stores": [],
+              "Products": [(1, "usb\n hub 5%0A", "a\r\nb", 600.0, at(1))]}
+    lake(spark, tmp_path).run(1, *sources(spark, tables))
+    done = lake(spark, tmp_path)
+    assert done.silver("stores").count() == 0 and done.gold("dim_store").count() == 0
+    assert rows(done.silver("products"), "ProductName", "Category") == [
+        ("Usb\n Hub 5%0a", "A\r\nb")
+    ]
+    assert spark.read.parquet(f"{tmp_path}/lake/quarantine/products").count() == 0
+
+
+def test_a_failed_copy_is_logged_and_ends_the_run(spark, tmp_path):
+    tables, feeds = sources(spark, FIRST)
+
+    def broken(name):
+        if name == "shipping":
+            raise OSError("no route to the feed")
+        return feeds(name)
+
+    with pytest.raises(IngestFailed, match="no route to the feed"):
+        lake(spark, tmp_path).run(1, tables, broken)
+    log = spark.read.parquet(f"{tmp_path}/lake/control/feed_log")
+    assert rows(log.filter("ERRORMESSAGE IS NOT NULL"), "TABLENAME") == [("shipping",)]
+    with pytest.raises(ValueError, match="nothing published"):
+        lake(spark, tmp_path).fact()
+
+
+def test_a_new_column_reaches_silver(spark, tmp_path):
+    lake(spark, tmp_path).run(1, *sources(spark, FIRST))
+    wider = replace(SILVER["payment"], schema=SILVER["payment"].schema.add("currency", "string"))
+    second = lake(spark, tmp_path, 2)
+    second.specs = {**SILVER, "payment": wider}
+    tables, feeds = sources(spark, FIRST)
+    new = spark.createDataFrame(
+        [(9, 1.0, at(9), 1, "card", "failed", at(9), "CAD")], wider.schema
+    )
+    second.run(2, tables, lambda n: new if n == "payment" else feeds(n))
+    found = lake(spark, tmp_path).silver("payment")
+    assert rows(found, "payment_id", "currency") == [(1, None), (9, "CAD")]
+
+
+def test_a_row_lost_on_the_way_shows_in_the_log(spark, tmp_path, monkeypatch):
+    def lossy(df, path):
+        ingest.write_csv(df.filter("OrderID <> 2"), path, coded_breaks=True)
+
+    monkeypatch.setattr(ingest, "write_coded_csv", lossy)
+    control = watermark_seed(spark).filter("TABLENAME = 'Orders'")
+    done = ingest.ingest_increments(
+        spark, control, sources(spark, FIRST)[0], str(tmp_path / "raw"), 1
+    )
+    assert rows(done.audit, "ROWREAD", "ROWCOPIED") == [(3, 2)]

@@ -8,10 +8,11 @@ from .gold import (
     dim_shipment,
     dim_store,
     fact_sales,
-    months_touched,
-    refresh_fact,
+    months_of,
+    refreshed_months,
+    touched_orders,
 )
-from .ingest import IngestResult, ingest_feeds, ingest_increments
+from .ingest import IngestFailed, IngestResult, ingest_feeds, ingest_increments
 from .kpi import (
     customer_kpi,
     daily_sales,
@@ -26,6 +27,7 @@ from .silver import SILVER, SilverSpec, refine
 
 __all__ = [
     "SILVER",
+    "IngestFailed",
     "IngestResult",
     "Lakehouse",
     "SilverSpec",
@@ -42,10 +44,11 @@ __all__ = [
     "ingest_feeds",
     "ingest_increments",
     "monthly_sales",
-    "months_touched",
+    "months_of",
     "payment_success_rate",
     "product_performance",
     "refine",
-    "refresh_fact",
+    "refreshed_months",
     "store_performance",
+    "touched_orders",
 ]

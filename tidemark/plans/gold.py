@@ -2,25 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import stamp
 from ..operators.scd import scd1_upsert, scd2_upsert
-from ..operators.skew import (
-    ROWS_PER_TASK,
-    HotKeys,
-    copy_to_salts,
-    hot_keys,
-    skew_join,
-    spread,
-)
-from ..sources.versions import remove_folder
+from ..operators.skew import ROWS_PER_TASK, Side, heavy_keys, join_all
 
-FACT_PARTITION = "OrderMonth"
+# Month of orders without a date.
+UNDATED = "undated"
 
 
 def fact_sales(
@@ -29,15 +23,16 @@ def fact_sales(
     payment: DataFrame,
     shipping: DataFrame,
     as_of: object = None,
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int = ROWS_PER_TASK,
+    only_orders: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order line, payment and shipment of its order.
 
-    Lines without an order fall away; orders without payment or shipment keep
-    their lines with NULLs. All joins are on the order, so each input is
-    shuffled once. Orders that dominate an input are found first (a narrow scan
-    of the key of each stored input) and spread; ``rows_per_task=None`` skips
-    that.
+    Lines without an order fall away; orders without payment or shipment keep their lines
+    with NULLs. All joins are on the order, so each input is shuffled once; orders with
+    more than ``rows_per_task`` joined rows are spread (see ``operators.skew``).
+    ``only_orders`` (OrderID, distinct) limits the fact to these orders: every input is
+    reduced to them before it is joined.
     """
     lines = lines.select("OrderDetailID", "OrderID", "ProductID", "Quantity", "TotalAmount")
     orders = orders.select(F.col("OrderID").alias("o_id"), "CustomerID", "StoreID", "OrderDate")
@@ -45,20 +40,20 @@ def fact_sales(
                              "payment_id")
     shipping = shipping.select(F.col("order_id").alias("s_order"), "is_delivered", "shipment_id",
                                "delivery_days")
-
-    line_hot = pay_hot = ship_hot = {}
-    limit = rows_per_task or ROWS_PER_TASK
-    if rows_per_task:
-        line_hot = hot_keys(lines, "OrderID", limit)
-        pay_hot = hot_keys(payment, "p_order", limit)
-        ship_hot = hot_keys(shipping, "s_order", limit)
-    if pay_hot or ship_hot:
-        shipped = _join_heavy(
-            lines, orders, payment, shipping, line_hot, pay_hot, ship_hot, limit
-        )
-    else:
-        shipped = _join_on_order(lines, orders, payment, shipping, line_hot, limit)
-    return shipped.select(
+    sides = [
+        Side(lines, "OrderID", ("OrderDetailID",)),
+        Side(orders, "o_id", ("o_id",), unique=True),
+        Side(payment, "p_order", ("payment_id",)),
+        Side(shipping, "s_order", ("shipment_id",)),
+    ]
+    if only_orders is not None:
+        wanted = only_orders.select(F.col("OrderID").alias("_wanted"))
+        sides = [
+            replace(s, rows=s.rows.join(wanted, F.col(s.key) == F.col("_wanted"), "left_semi"))
+            for s in sides
+        ]
+    joined = join_all(sides, ["inner", "left", "left"], heavy_keys(sides, rows_per_task))
+    return joined.select(
         "OrderDetailID",
         "OrderID",
         "ProductID",
@@ -77,118 +72,34 @@ def fact_sales(
     )
 
 
-def _join_on_order(
-    lines: DataFrame,
-    orders: DataFrame,
-    payment: DataFrame,
-    shipping: DataFrame,
-    line_hot: HotKeys,
-    limit: int,
-) -> DataFrame:
-    """The three joins on the order, in one stage after one shuffle per input.
+def order_month(name: str = "OrderDate") -> Column:
+    """Month of an order (``yyyy-MM``), with a month of its own for orders without date."""
+    return F.coalesce(F.date_format(name, "yyyy-MM"), F.lit(UNDATED))
 
-    Lines of heavy orders are spread over salts that the few other rows of those
-    orders are copied to; all joins share the salt and with it the shuffle.
-    """
-    sides = [(orders, "o_id", "inner"), (payment, "p_order", "left"), (shipping, "s_order", "left")]
-    joined = lines
-    if line_hot:
-        joined = spread(lines, "OrderID", line_hot, ["OrderDetailID"], "_salt", limit)
-    for side, key, how in sides:
-        same = F.col("OrderID") == F.col(key)
-        if line_hot:
-            side = copy_to_salts(side, key, line_hot, f"_{key}_salt", limit)
-            same = same & (F.col("_salt") == F.col(f"_{key}_salt"))
-        joined = joined.join(side, same, how)
-    return joined
-
-
-def _join_heavy(
-    lines: DataFrame,
-    orders: DataFrame,
-    payment: DataFrame,
-    shipping: DataFrame,
-    line_hot: HotKeys,
-    pay_hot: HotKeys,
-    ship_hot: HotKeys,
-    limit: int,
-) -> DataFrame:
-    """The same joins when an order dominates the payments or shipments as well."""
-    # Orders are unique by key, so only the line side can be heavy here.
-    sold = skew_join(
-        lines, orders, "OrderID", "o_id", "inner", left_hot=line_hot,
-        rows_per_task=limit, left_spread=["OrderDetailID"],
-    )
-    paid = skew_join(
-        sold, payment, "OrderID", "p_order", "left", left_hot=line_hot, right_hot=pay_hot,
-        rows_per_task=limit, left_spread=["OrderDetailID"], right_spread=["payment_id"],
-    )
-    # Rows per order after the payments are attached, as far as they are heavy.
-    paid_hot = {
-        key: line_hot.get(key, 1) * pay_hot.get(key, 1) for key in {*line_hot, *pay_hot}
-    }
-    return skew_join(
-        paid, shipping, "OrderID", "s_order", "left", left_hot=paid_hot, right_hot=ship_hot,
-        rows_per_task=limit, left_spread=["OrderDetailID", "payment_id"],
-        right_spread=["shipment_id"],
-    )
 
+def touched_orders(changed: Iterable[tuple[DataFrame, str]]) -> DataFrame:
+    """Distinct OrderID over changed rows, given with the name of their order column."""
+    ids = (rows.select(F.col(name).alias("OrderID")) for rows, name in changed)
+    return reduce(DataFrame.union, ids).filter("OrderID IS NOT NULL").distinct()
 
-def months_touched(
-    orders: DataFrame, changed: Mapping[str, DataFrame], stored: DataFrame | None
-) -> list[str]:
-    """Months (``yyyy-MM``) of the fact to refresh after changes to its inputs.
 
-    ``changed`` gives, per key column of the fact, the changed rows of that input
-    as (key, OrderID). Touched are the months in which their orders are now, and
-    those in which the stored fact shows the changed keys: an order may have
-    moved to another month, a payment to another order. The list is as long as
-    the calendar, not the data.
-    """
-    order_ids = reduce(DataFrame.union, (rows.select("OrderID") for rows in changed.values()))
-    months = orders.join(order_ids.distinct(), "OrderID", "left_semi").select(_month("OrderDate"))
-    if stored is not None:
-        for column, rows in changed.items():
-            # Changes are few next to the fact: with a broadcast of them, which the
-            # planner decides by size, the fact is scanned by key and stays in place.
-            shown = stored.select(F.col(column).alias("key"), FACT_PARTITION)
-            keys = rows.select("key").distinct()
-            months = months.union(shown.join(keys, "key", "left_semi").select(FACT_PARTITION))
-    return sorted(row[0] for row in months.distinct().collect() if row[0] is not None)
-
-
-def refresh_fact(fact: DataFrame, path: str, months: Sequence[str] | None = None) -> None:
-    """Store the fact by month of order, replacing whole months.
-
-    ``months`` limits the refresh to what a batch touched; without it all of the
-    fact is replaced. Run again, it replaces the same months with the same rows.
-    ``rebalance`` evens out the files: a dominant month is split, small ones are
-    packed.
+def months_of(orders: Iterable[DataFrame], touched: DataFrame) -> list[str]:
+    """Months in which the touched orders are, in any of the given states of the orders.
+
+    The list is as long as the calendar, not the data.
     """
-    spark = fact.sparkSession
-    monthly = fact.withColumn(FACT_PARTITION, _month("OrderDate"))
-    mode = "static"
-    if months is not None:
-        # Reaches the order scan below the joins, so other months are not built.
-        monthly = monthly.filter(F.col(FACT_PARTITION).isin(*months))
-        mode = "dynamic"
-    written = Observation()
-    (
-        monthly.observe(written, F.collect_set(FACT_PARTITION).alias("months"))
-        .hint("rebalance", FACT_PARTITION)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
-        .partitionBy(FACT_PARTITION)
-        .parquet(path)
+    months = (
+        df.join(touched, "OrderID", "left_semi").select(order_month().alias("month"))
+        for df in orders
     )
-    # A refreshed month that no order is left in keeps its old folder in a
-    # dynamic overwrite.
-    for month in set(months or ()) - set(written.get["months"]):
-        remove_folder(spark, f"{path}/{FACT_PARTITION}={month}")
+    found = reduce(DataFrame.union, months).distinct().collect()
+    return sorted(row[0] for row in found)
 
 
-def _month(name: str) -> Column:
-    return F.date_format(name, "yyyy-MM").alias(FACT_PARTITION)
+def refreshed_months(stored: DataFrame, touched: DataFrame, rebuilt: DataFrame) -> DataFrame:
+    """Stored rows of some months with the touched orders' rows exchanged."""
+    kept = stored.join(touched, "OrderID", "left_anti")
+    return kept.select(*rebuilt.columns).unionByName(rebuilt)
 
 
 def dim_store(stores: DataFrame) -> DataFrame:
@@ -223,12 +134,9 @@ def dim_product(
     products: DataFrame,
     as_of: object = None,
     changed_by: str = "columns",
-    small_source: bool = False,
 ) -> DataFrame:
     """Current product dimension: changed products replace their stored row."""
-    return scd1_upsert(
-        target, products, "ProductID", PRODUCT_TRACKED, as_of, changed_by, small_source
-    )
+    return scd1_upsert(target, products, "ProductID", PRODUCT_TRACKED, as_of, changed_by)
 
 
 def dim_customer(
@@ -236,9 +144,6 @@ def dim_customer(
     customers: DataFrame,
     as_of: object = None,
     against: str = "active",
-    small_source: bool = False,
 ) -> DataFrame:
     """Customer dimension with history: a change closes the open version and adds one."""
-    return scd2_upsert(
-        target, customers, "CustomerID", CUSTOMER_TRACKED, as_of, against, small_source
-    )
+    return scd2_upsert(target, customers, "CustomerID", CUSTOMER_TRACKED, as_of, against)

@@ -14,6 +14,7 @@ from ..operators.control import Copy, advance_watermarks, copy_log
 from ..operators.increment import high_water_mark, pull_increment
 from ..schemas import COPY_LOG, FEED_COPY_LOG
 from ..session import run_together
+from ..sources.files import CSV_DIALECT
 from ..sources.sinks import write_csv, write_json
 
 # The feeds.
@@ -43,7 +44,8 @@ def ingest_increments(
     ``read(schema, table)`` opens a source. The new mark is taken first and
     bounds the copy. A failed table is logged, keeps its mark, and does not stop
     the others. Only the control table (one row per source) reaches the driver;
-    all rows move in Spark jobs. Running a batch again replaces its files.
+    all rows move in Spark jobs. Running a batch again replaces its files. The files
+    have coded line breaks (see ``write_csv``).
     """
 
     def copy(row: Row) -> tuple[Copy, object, str]:
@@ -54,11 +56,11 @@ def ingest_increments(
         try:
             source = read(row.SCHEMANAME, row.TABLENAME)
             newest = high_water_mark(pull_increment(source, column, last), column).first()["max"]
-            copied = 0
+            outcome = {"rows_read": 0, "rows_copied": 0}
             if newest is not None:
-                copied = _copy(pull_increment(source, column, last, newest), path, write_csv)
+                news = pull_increment(source, column, last, newest)
+                outcome = _copy(news, path, write_coded_csv, count_csv)
             mark = newest
-            outcome = {"rows_read": copied, "rows_copied": copied}
         except Exception as error:  # any source or sink failure belongs in the log
             outcome = {"error": str(error)}
         seconds = int(time.monotonic() - started)
@@ -89,8 +91,7 @@ def ingest_feeds(
         started = time.monotonic()
         path = batch_folder(raw_root, name, batch)
         try:
-            copied = _copy(read(name), path, write_json)
-            outcome = {"rows_read": copied, "rows_copied": copied}
+            outcome = _copy(read(name), path, write_json, count_lines)
         except Exception as error:  # as above
             outcome = {"error": str(error)}
         return Copy(name, seconds=int(time.monotonic() - started), **outcome), path
@@ -103,8 +104,40 @@ def ingest_feeds(
     )
 
 
-def _copy(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]) -> int:
-    """Write and count in the same pass."""
+def _copy(
+    df: DataFrame,
+    path: str,
+    write: Callable[[DataFrame, str], None],
+    count: Callable[[SparkSession, str], int],
+) -> dict[str, int]:
+    """Rows read, counted on their way to the writer, and rows found in what it wrote."""
     seen = Observation()
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
-    return seen.get["rows"]
+    return {"rows_read": seen.get["rows"], "rows_copied": count(df.sparkSession, path)}
+
+
+def write_coded_csv(df: DataFrame, path: str) -> None:
+    write_csv(df, path, coded_breaks=True)
+
+
+def count_csv(spark: SparkSession, path: str) -> int:
+    """Records of CSV files in which none spans lines."""
+    return spark.read.options(**CSV_DIALECT).schema("first string").csv(path).count()
+
+
+def count_lines(spark: SparkSession, path: str) -> int:
+    return spark.read.text(path).count()
+
+
+class IngestFailed(RuntimeError):
+    """Raised after logging when a table or feed could not be copied."""
+
+
+def require_success(*audits: DataFrame) -> None:
+    failed = [
+        f"{row.TABLENAME}: {row.ERRORMESSAGE}"
+        for audit in audits
+        for row in audit.filter("ERRORMESSAGE IS NOT NULL").collect()
+    ]
+    if failed:
+        raise IngestFailed("; ".join(failed))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import partial
@@ -14,20 +14,29 @@ from .. import schemas
 from ..functions import stamp
 from ..operators.control import watermark_seed
 from ..operators.latest import merge_latest
-from ..operators.merge import is_small
 from ..session import run_together
+from ..sources.sinks import quarantine
 from ..sources.versions import (
+    KEY_PARTS,
+    State,
     current_version,
+    drop_newer,
+    drop_old_states,
     drop_old_versions,
+    finished_versions,
     folder_exists,
+    load_state,
+    merge_parts,
     publish,
-    read_current,
-    read_history,
+    read_parts,
     remove_folder,
+    union_schema,
     version_path,
+    widened,
+    write_parts,
 )
 from . import gold, kpi
-from .ingest import ingest_feeds, ingest_increments
+from .ingest import ingest_feeds, ingest_increments, require_success
 from .silver import SILVER, SilverSpec, refine
 
 # Silver table -> name of its relational source; the others are feeds.
@@ -39,7 +48,7 @@ RELATIONAL = {
     "stores": "Stores",
 }
 
-# Inputs of the fact, in its order, with their key in the fact and their order column.
+# Inputs of the fact, in its order, with their key and their order column.
 FACT_INPUTS = {
     "orderdetails": ("OrderDetailID", "OrderID"),
     "orders": ("OrderID", "OrderID"),
@@ -47,72 +56,99 @@ FACT_INPUTS = {
     "shipping": ("shipment_id", "order_id"),
 }
 
-# Gold tables whose newest version is the whole table.
-GOLD_STATES = (
-    "dim_store", "dim_inventory", "dim_payment", "dim_shipment", "dim_product",
-    "gold_sales_summary", "gold_product_performance", "gold_customer_kpi",
-    "gold_store_performance",
+# Gold tables whose newest version is the whole table, and those kept in parts.
+GOLD_TABLES = (
+    "dim_store", "dim_inventory", "dim_payment", "dim_shipment", "gold_sales_summary",
+    "gold_product_performance", "gold_customer_kpi", "gold_store_performance",
 )
+GOLD_STATES = ("fact_sales", "dim_product", "dim_customer/open", "dim_customer/closed")
 
 
 @dataclass
 class Lakehouse:
     """Folders of one installation and the steps of one run, each repeatable by batch.
 
-    Every layer is stored before the next reads it, so a lost executor costs the
-    repetition of a step at most. ``as_of`` is the load time of the run.
+    A batch counts once its marks are published, which is its last step. Until then
+    readers see the state of the batch before, and a later batch starts from that state
+    too: what a failed batch left is neither read nor added to, and its sources are
+    pulled again. Every layer is stored before the next reads it, so a lost executor
+    costs the repetition of a step at most. ``as_of`` is the load time of the run.
     """
 
     spark: SparkSession
     root: str
     as_of: object = field(default_factory=lambda: datetime.now(timezone.utc))
-    fact_path: str = field(init=False)
-
-    def __post_init__(self) -> None:
-        self.fact_path = f"{self.root}/gold/fact_sales"
+    specs: Mapping[str, SilverSpec] = field(default_factory=lambda: SILVER)
+    parts: int = KEY_PARTS
+    keep: int = 2
+    _batch: int | None = field(default=None, init=False)
+    _last: int | None = field(default=None, init=False)  # last finished batch
+    _compact: bool = field(default=False, init=False)
 
     def silver(self, name: str) -> DataFrame:
-        path = self._at(f"silver/{name}")
-        return self.spark.read.parquet(path)
+        return self._read(f"silver/{name}")
 
     def gold(self, name: str) -> DataFrame:
         if name == "dim_customer":
-            root = f"{self.root}/gold/{name}"
-            return read_history(self.spark, root, schemas.DIM_CUSTOMER, "IS_ACTIVE")
-        return self.spark.read.parquet(self._at(f"gold/{name}"))
+            closed = self._read(f"gold/{name}/closed")
+            return self._read(f"gold/{name}/open").unionByName(closed)
+        if name in GOLD_STATES:
+            return self._read(f"gold/{name}")
+        root = f"{self.root}/gold/{name}"
+        done = [v for v in finished_versions(self.spark, root) if self._counts(v)]
+        if not done:
+            raise ValueError(f"nothing published under {root}")
+        return self.spark.read.parquet(version_path(root, done[-1]))
 
     def fact(self) -> DataFrame:
-        return self.spark.read.parquet(self.fact_path)
+        return self._read("gold/fact_sales")
 
     def run(
         self,
         batch: int,
         read_table: Callable[[str, str], DataFrame],
         read_feed: Callable[[str], DataFrame],
+        compact: bool = False,
     ) -> None:
-        """Ingest, refine and publish one batch, layer after layer."""
-        paths = self.ingest(batch, read_table, read_feed)
-        run_together(
-            self.spark,
-            [partial(self.refine_table, SILVER[name], path, batch) for name, path in paths.items()],
-        )
-        self.build_gold(batch)
-        self.build_kpis(batch)
+        """Ingest, refine and publish one batch, layer after layer.
+
+        A layer is built only if all of the one before succeeded; a failed copy is
+        logged and ends the run. The newest batch may be repeated, but no earlier one.
+        ``compact`` gathers the closed customer versions of all batches in one part.
+        """
+        newest = current_version(self.spark, self._control)
+        if newest is not None and newest > batch:
+            raise ValueError(f"batch {newest} is already there")
+        self._batch, self._compact = batch, compact
+        self._last = current_version(self.spark, self._control, before=batch)
+        try:
+            self._drop_unfinished()
+            control, paths = self.ingest(batch, read_table, read_feed)
+            run_together(
+                self.spark,
+                [partial(self.refine_table, spec, paths.get(name)) for name, spec in self.specs.items()],
+            )
+            self.build_gold()
+            self.build_kpis()
+            publish(control, self._control, batch)
+        finally:
+            self._batch = None
+        self._last = batch
         remove_folder(self.spark, f"{self.root}/staging")
+        self.prune(self.keep)
 
     def ingest(
         self,
         batch: int,
         read_table: Callable[[str, str], DataFrame],
         read_feed: Callable[[str], DataFrame],
-    ) -> dict[str, str]:
-        """Land the batch; returns the raw folder per silver table that got rows."""
-        control_root = f"{self.root}/control/watermark"
-        before = current_version(self.spark, control_root, before=batch)
+    ) -> tuple[DataFrame, dict[str, str]]:
+        """Land the batch: the moved marks, and the raw folder per silver table with rows."""
+        before = current_version(self.spark, self._control, before=batch)
         control = (
             watermark_seed(self.spark)
             if before is None
-            else self.spark.read.parquet(version_path(control_root, before))
+            else self.spark.read.parquet(version_path(self._control, before))
         )
         log, feed_log = f"{self.root}/control/log", f"{self.root}/control/feed_log"
         tables = ingest_increments(
@@ -125,13 +161,13 @@ class Lakehouse:
         )
         tables.audit.write.mode("overwrite").parquet(f"{log}/batch={batch}")
         feeds.audit.write.mode("overwrite").parquet(f"{feed_log}/batch={batch}")
-        publish(tables.control, control_root, batch)
+        require_success(tables.audit, feeds.audit)
         landed = {
             silver: tables.paths[source]
             for silver, source in RELATIONAL.items()
             if source in tables.paths
         }
-        return {**landed, **feeds.paths}
+        return tables.control, {**landed, **feeds.paths}
 
     def _next_log_id(self, log: str, batch: int) -> int:
         if not folder_exists(self.spark, log):
@@ -139,29 +175,51 @@ class Lakehouse:
         earlier = self.spark.read.parquet(log).filter(F.col("batch") < batch)
         return (earlier.agg(F.max("ID")).first()[0] or 0) + 1
 
-    def refine_table(self, spec: SilverSpec, path: str, batch: int) -> None:
+    def refine_table(self, spec: SilverSpec, path: str | None) -> None:
         """Silver state with one raw batch merged in, and its rejected records.
 
-        The text is parsed once into a typed staging copy that both outputs read,
-        and the batch is cleaned once, so that its size is known before the merge.
+        The text is parsed once into a typed staging copy that both outputs read. Only
+        the parts of the state with keys of the batch are rewritten; a column that is
+        new in the batch is added to the state. Without a raw folder the state stays.
         """
-        parsed = self._stage(spec.read(self.spark, path), f"parsed/{spec.name}", batch)
+        root, base = f"{self.root}/silver/{spec.name}", self._base(f"silver/{spec.name}")
+        if path is None:
+            if base is None:
+                empty = refine(spec, self.spark.createDataFrame([], spec.schema), self.as_of).good
+                write_parts(empty, root, self._batch, F.lit("0"))
+            return
+        options = {"coded_breaks": True} if spec.format == "csv" else {}
+        parsed = self._stage(spec.read(self.spark, path, **options), f"parsed/{spec.name}")
         good, bad = refine(spec, parsed, self.as_of)
-        bad.write.mode("overwrite").parquet(f"{self.root}/quarantine/{spec.name}/batch={batch}")
-        clean = self._stage(good, f"clean/{spec.name}", batch)
-        root = f"{self.root}/silver/{spec.name}"
-        stored = read_current(self.spark, root, clean.schema, before=batch)
-        merged = merge_latest(
-            stored, clean, spec.key, spec.version, spec.ties, small_source=is_small(clean)
-        )
-        publish(merged, root, batch)
+        rejected = f"{self.root}/quarantine/{spec.name}/batch={self._batch}"
+        remove_folder(self.spark, rejected)
+        quarantine(bad, rejected)
+        clean = self._stage(good, f"clean/{spec.name}")
+        schema = union_schema(base.schema, clean.schema) if base else clean.schema
+        merge_parts(
+            self.spark, root, self._batch, widened(clean, schema), spec.key,
+            lambda stored, batch: merge_latest(stored, batch, spec.key, spec.version, spec.ties),
+            base, schema, self.parts,
+        )
 
-    def _stage(self, df: DataFrame, name: str, batch: int) -> DataFrame:
-        path = f"{self.root}/staging/{name}/batch={batch}"
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/staging/{name}/batch={self._batch}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def build_gold(self, batch: int) -> None:
+    def changed(self, name: str) -> DataFrame:
+        """Silver rows that this batch added or replaced; only parts it wrote are read."""
+        state = load_state(self.spark, f"{self.root}/silver/{name}", self._counts)
+        written = [part for part, version in state.parts.items() if version == self._batch]
+        rows = read_parts(self.spark, f"{self.root}/silver/{name}", state, only=written)
+        return rows.filter(F.col("ingestion_timestamp") == stamp(self.as_of))
+
+    def before(self, name: str) -> DataFrame:
+        """Silver rows as the batch before left them."""
+        state = self._base(f"silver/{name}")
+        return read_parts(self.spark, f"{self.root}/silver/{name}", state, self.silver(name).schema)
+
+    def build_gold(self) -> None:
         projections = {
             "dim_store": gold.dim_store(self.silver("stores")),
             "dim_inventory": gold.dim_inventory(self.silver("inventory")),
@@ -172,46 +230,73 @@ class Lakehouse:
             self.spark,
             [
                 self.build_fact,
-                partial(self.build_dim_product, batch),
-                partial(self.build_dim_customer, batch),
-                *self._publications(projections, batch),
+                self.build_dim_product,
+                self.build_dim_customer,
+                *self._publications(projections),
             ],
         )
 
-    def build_dim_product(self, batch: int) -> None:
+    def build_dim_product(self) -> None:
+        """Only products that changed are merged, into the parts they lie in."""
         root = f"{self.root}/gold/dim_product"
-        stored = read_current(self.spark, root, schemas.DIM_PRODUCT, before=batch)
-        publish(gold.dim_product(stored, self.silver("products"), self.as_of), root, batch)
+        merge_parts(
+            self.spark, root, self._batch, self.changed("products"), "ProductID",
+            lambda stored, products: gold.dim_product(stored, products, self.as_of),
+            self._base("gold/dim_product"), schemas.DIM_PRODUCT, self.parts,
+        )
 
-    def build_dim_customer(self, batch: int) -> None:
-        """Only the open versions are merged; a version folder adds what it closes."""
-        root = f"{self.root}/gold/dim_customer"
-        stored = read_current(self.spark, root, schemas.DIM_CUSTOMER, before=batch)
-        is_open = stored.filter(F.col("IS_ACTIVE") == 1)
-        merged = gold.dim_customer(is_open, self.silver("customer"), self.as_of)
-        publish(merged, root, batch, partition_by=["IS_ACTIVE"])
+    def build_dim_customer(self) -> None:
+        """Customers that changed are merged with the open versions; what that closes is
+        added to the closed ones as a part of its own."""
+        root, name = f"{self.root}/gold/dim_customer", "gold/dim_customer"
+        changed = self.changed("customer")
+        merged: list[DataFrame] = []
+
+        def merge(stored: DataFrame, customers: DataFrame) -> DataFrame:
+            versions = gold.dim_customer(stored, customers, self.as_of)
+            merged.append(self._stage(versions, "merged/dim_customer"))
+            return merged[0].filter("IS_ACTIVE = 1")
+
+        merge_parts(
+            self.spark, f"{root}/open", self._batch, changed, "CustomerID", merge,
+            self._base(f"{name}/open"), schemas.DIM_CUSTOMER, self.parts,
+        )
+        closed = merged[0].filter("IS_ACTIVE = 0")
+        base, part = self._base(f"{name}/closed"), [f"batch-{self._batch}"]
+        if self._compact and base is not None:
+            closed = read_parts(self.spark, f"{root}/closed", base).unionByName(closed)
+            base = None
+        write_parts(closed, f"{root}/closed", self._batch, F.lit(part[0]), base, part)
 
     def build_fact(self) -> None:
-        """Store the fact; after the first run only the months touched since."""
+        """Store the fact; after the first batch only months with touched orders.
+
+        Touched are the orders of changed rows, as they are now and as they were. Only
+        their rows are built anew; the other rows of their months are taken over.
+        """
+        root, base = f"{self.root}/gold/fact_sales", self._base("gold/fact_sales")
         inputs = [self.silver(name) for name in FACT_INPUTS]
-        months = None
-        if folder_exists(self.spark, f"{self.fact_path}/_SUCCESS"):
-            stored, loaded = self.fact(), F.col("ingestion_timestamp")
-            built = stored.agg(F.max("created_at")).first()[0]
-            # This run, and any earlier one that did not get as far as the fact.
-            recent = loaded == stamp(self.as_of)
-            if built is not None:
-                recent = recent | (loaded > F.lit(built))
-            changed = {
-                key: df.filter(recent).select(
-                    F.col(key).alias("key"), F.col(order).alias("OrderID")
-                )
-                for df, (key, order) in zip(inputs, FACT_INPUTS.values())
-            }
-            months = gold.months_touched(self.silver("orders"), changed, stored)
-        gold.refresh_fact(gold.fact_sales(*inputs, as_of=self.as_of), self.fact_path, months)
-
-    def build_kpis(self, batch: int) -> None:
+        if base is None:
+            fact = gold.fact_sales(*inputs, as_of=self.as_of)
+            write_parts(fact, root, self._batch, gold.order_month())
+            return
+        changed = []
+        for name, (key, order) in FACT_INPUTS.items():
+            rows = self.changed(name)
+            earlier = self.before(name).join(rows.select(key), key, "left_semi")
+            changed += [(rows, order), (earlier, order)]
+        touched = self._stage(gold.touched_orders(changed), "touched_orders")
+        states = [self.silver("orders"), self.before("orders")]
+        months = gold.months_of(states, touched)
+        if not months:
+            write_parts(self.fact().limit(0), root, self._batch, gold.order_month(), base, [])
+            return
+        rebuilt = gold.fact_sales(*inputs, as_of=self.as_of, only_orders=touched)
+        stored = read_parts(self.spark, root, base, only=months)
+        fact = gold.refreshed_months(stored, touched, rebuilt)
+        write_parts(fact, root, self._batch, gold.order_month(), base, months)
+
+    def build_kpis(self) -> None:
         fact = self.fact()
         tables = {
             "gold_sales_summary": kpi.daily_sales(fact),
@@ -219,24 +304,50 @@ class Lakehouse:
             "gold_customer_kpi": kpi.customer_kpi(fact, self.gold("dim_customer")),
             "gold_store_performance": kpi.store_performance(fact, self.gold("dim_store")),
         }
-        run_together(self.spark, self._publications(tables, batch))
+        run_together(self.spark, self._publications(tables))
 
     def prune(self, keep: int = 2) -> None:
-        """Drop all but the newest states; customer history is in its old ones and stays."""
-        for name in SILVER:
-            drop_old_versions(self.spark, f"{self.root}/silver/{name}", keep)
+        """Drop all but the newest states. Parts that those refer to stay."""
+        for name in self.specs:
+            drop_old_states(self.spark, f"{self.root}/silver/{name}", keep)
         for name in GOLD_STATES:
+            drop_old_states(self.spark, f"{self.root}/gold/{name}", keep)
+        for name in GOLD_TABLES:
             drop_old_versions(self.spark, f"{self.root}/gold/{name}", keep)
+        drop_old_versions(self.spark, self._control, keep)
 
-    def _publications(self, tables: dict[str, DataFrame], batch: int) -> list[partial]:
+    def _publications(self, tables: dict[str, DataFrame]) -> list[partial]:
         return [
-            partial(publish, table, f"{self.root}/gold/{name}", batch)
+            partial(publish, table, f"{self.root}/gold/{name}", self._batch)
             for name, table in tables.items()
         ]
 
-    def _at(self, folder: str) -> str:
-        root = f"{self.root}/{folder}"
-        version = current_version(self.spark, root)
-        if version is None:
-            raise ValueError(f"nothing published under {root}")
-        return version_path(root, version)
+    @property
+    def _control(self) -> str:
+        return f"{self.root}/control/watermark"
+
+    def _drop_unfinished(self) -> None:
+        """Remove what came after the last finished batch before this one."""
+        last = -1 if self._last is None else self._last
+        states = [*(f"silver/{name}" for name in self.specs), *(f"gold/{n}" for n in GOLD_STATES)]
+        for folder in (*states, *(f"gold/{name}" for name in GOLD_TABLES)):
+            drop_newer(self.spark, f"{self.root}/{folder}", last)
+
+    def _counts(self, version: int) -> bool:
+        """Whether a state is that of a finished batch or of the current one."""
+        if self._batch is None and self._last is None:
+            self._last = current_version(self.spark, self._control)
+        return version == self._batch or (self._last is not None and version <= self._last)
+
+    def _base(self, folder: str) -> State | None:
+        """State in parts that the current batch starts from."""
+        return load_state(
+            self.spark, f"{self.root}/{folder}",
+            lambda version: version != self._batch and self._counts(version),
+        )
+
+    def _read(self, folder: str) -> DataFrame:
+        state = load_state(self.spark, f"{self.root}/{folder}", self._counts)
+        if state is None:
+            raise ValueError(f"nothing published under {self.root}/{folder}")
+        return read_parts(self.spark, f"{self.root}/{folder}", state)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -43,9 +45,9 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session without that setting gets a temporary folder; a cluster
-    session without it is an error, since a machine-local path would be lost
-    with its machine.
+    Only a local session without that setting gets a temporary folder, which goes with
+    the process; a cluster session without it is an error, since a machine-local path
+    would be lost with its machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -55,6 +57,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         root = _fallback_dirs.get(sc.applicationId)
         if root is None:
             root = _fallback_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+            atexit.register(shutil.rmtree, root, ignore_errors=True)
     return os.path.join(root, "tidemark", spark.sparkContext.applicationId, *parts)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import decode_breaks
 from ..schemas import CORRUPT, with_corrupt
 
 # The dialect of the landed text files.
@@ -27,17 +28,28 @@ def read_csv(
     *,
     only: str | None = None,
     multi_line: bool = False,
+    coded_breaks: bool = False,
 ) -> DataFrame:
     """CSV files with a declared schema; unparsable records stay as text.
 
     Columns bind by position. ``path`` may hold wildcards; ``only`` restricts
     the scan to matching file names. ``multi_line`` is for line breaks inside
-    quoted text; each file is then read by one task.
+    quoted text; each file is then read by one task. ``coded_breaks`` is for
+    files written by ``write_csv`` with that option.
     """
     reader = _permissive(spark, schema).options(**CSV_DIALECT).option("multiLine", multi_line)
     if only:
         reader = reader.option("pathGlobFilter", only)
-    return _check_whole_record(reader.csv(path))
+    rows = check_whole_record(reader.csv(path))
+    if coded_breaks:
+        rows = rows.withColumns(
+            {n: decode_breaks(n) for n in text_columns(rows) if n != CORRUPT}
+        )
+    return rows
+
+
+def text_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
 def read_json(
@@ -48,7 +60,7 @@ def read_json(
     One record per line splits across tasks. ``multi_line`` is for documents
     that spread over lines; each file is then read by one task.
     """
-    return _check_whole_record(
+    return check_whole_record(
         _permissive(spark, schema).option("multiLine", multi_line).json(path)
     )
 
@@ -61,7 +73,7 @@ def _permissive(spark: SparkSession, schema: T.StructType) -> DataFrameReader:
     )
 
 
-def _check_whole_record(df: DataFrame) -> DataFrame:
+def check_whole_record(df: DataFrame) -> DataFrame:
     """The same rows, parsed in full whatever columns a query goes on to use.
 
     Text readers convert, and so check, only the columns a query needs: a record

@@ -7,16 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .files import CSV_DIALECT, MOMENTS
+from ..functions.text import code_breaks
+from .files import CSV_DIALECT, MOMENTS, text_columns
 
 
 def write_csv(
-    df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 0
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    rows_per_file: int = 0,
+    coded_breaks: bool = False,
 ) -> None:
     """CSV folder with a header per file and all text quoted.
 
-    ``rows_per_file`` starts a new file after that many rows (0: never).
+    ``rows_per_file`` starts a new file after that many rows (0: never). With
+    ``coded_breaks`` a record never spans lines, whatever its texts hold, so that big
+    files can be split; ``read_csv`` with the same option restores them.
     """
+    if coded_breaks:
+        df = df.withColumns({n: code_breaks(n) for n in text_columns(df)})
     writer = df.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
     writer.options(**CSV_DIALECT, **MOMENTS).option("quoteAll", True).csv(path)
 

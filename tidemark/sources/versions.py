@@ -3,13 +3,18 @@
 A new state goes to its own ``version=<n>`` folder and counts once its
 ``_SUCCESS`` file is there; the state it was computed from stays untouched. A
 repeated run of the same version replaces only its own folder.
+
+A large state is kept in parts. A version then holds the parts that a batch touched,
+and its parts list, written last, says which version each part of the state is in.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,39 +72,11 @@ def read_current(
     return spark.read.schema(schema).parquet(version_path(root, version))
 
 
-def read_history(
-    spark: SparkSession, root: str, schema: T.StructType, flag: str, before: int | None = None
-) -> DataFrame:
-    """Open rows of the newest version and closed rows of all of them.
-
-    For states published with ``partition_by=[flag]`` whose versions hold the
-    rows open at the time (flag 1) and those closed by it (flag 0). Closed rows
-    are thus written once and never copied from version to version.
-    """
-    done = finished_versions(spark, root, before)
-    if not done:
-        return spark.createDataFrame([], schema)
-    number = F.col("version").cast("long")
-    kept = (number == done[-1]) | ((F.col(flag) == 0) & number.isin(*done))
-    return (
-        spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.LongType())]))
-        .parquet(root)
-        .filter(kept)
-        .select(*schema.names)
-    )
-
-
-def publish(
-    df: DataFrame, root: str, version: int, partition_by: Sequence[str] = ()
-) -> DataFrame:
+def publish(df: DataFrame, root: str, version: int) -> DataFrame:
     """Write a state as ``version`` and return it as read back."""
-    spark = df.sparkSession
     path = version_path(root, version)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def register_view(spark: SparkSession, name: str, root: str) -> None:
@@ -112,12 +89,198 @@ def register_view(spark: SparkSession, name: str, root: str) -> None:
 
 
 def drop_old_versions(spark: SparkSession, root: str, keep: int) -> None:
-    """Remove all but the newest ``keep`` finished versions.
-
-    Not for states read with :func:`read_history`, whose old versions hold the
-    closed rows.
-    """
+    """Remove all but the newest ``keep`` finished versions of a state without parts."""
     if keep < 1:
         raise ValueError("the current version cannot be dropped")
     for version in finished_versions(spark, root)[:-keep]:
         remove_folder(spark, version_path(root, version))
+
+
+# States in parts.
+
+PART = "state_part"
+# Parts of a state that is dealt by a hash of its key.
+KEY_PARTS = 16
+
+
+@dataclass(frozen=True)
+class State:
+    """Schema of a state in parts, and the version that holds each part."""
+
+    schema: T.StructType
+    parts: dict[str, int]
+
+
+def key_part(key: str, parts: int = KEY_PARTS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("string")
+
+
+def _list_path(root: str, version: int) -> str:
+    return f"{root}/_parts-{version:012d}.json"
+
+
+# Whether a version counts.
+Valid = Callable[[int], bool]
+
+
+def state_versions(spark: SparkSession, root: str, valid: Valid | None = None) -> list[int]:
+    """Versions with a parts list, oldest first, only ``valid`` ones if given."""
+    fs, base = _folder(spark, root)
+    if not fs.exists(base):
+        return []
+    names = (entry.getPath().getName() for entry in fs.listStatus(base))
+    found = (int(n[7:-5]) for n in names if n.startswith("_parts-") and n.endswith(".json"))
+    return sorted(v for v in found if valid is None or valid(v))
+
+
+def load_state(spark: SparkSession, root: str, valid: Valid | None = None) -> State | None:
+    """Newest parts list, only of ``valid`` versions if given."""
+    done = state_versions(spark, root, valid)
+    return _load(spark, root, done[-1]) if done else None
+
+
+def _load(spark: SparkSession, root: str, version: int) -> State:
+    fs, path = _folder(spark, _list_path(root, version))
+    stream = fs.open(path)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    found = json.loads(text)
+    return State(T.StructType.fromJson(found["schema"]), found["parts"])
+
+
+def read_parts(
+    spark: SparkSession, root: str, state: State | None, schema: T.StructType | None = None,
+    only: Iterable[str] | None = None,
+) -> DataFrame:
+    """Rows of a state, of some of its parts if ``only`` is given; empty without a state.
+
+    With a wider ``schema`` the columns that a part was written without are NULL.
+    """
+    schema = schema or state.schema
+    chosen = set(state.parts if state else ())
+    if only is not None:
+        chosen &= set(only)
+    if not chosen:
+        return spark.createDataFrame([], schema)
+    paths = [f"{version_path(root, state.parts[p])}/{PART}={p}" for p in sorted(chosen)]
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def write_parts(
+    df: DataFrame, root: str, version: int, part: Column, base: State | None = None,
+    replaced: Iterable[str] | None = None,
+) -> State:
+    """Write ``df`` as the parts ``replaced`` of a state, taking the others from ``base``.
+
+    Without ``replaced``, ``df`` is the whole state. ``rebalance`` evens out the files: a
+    dominant part is split, small ones are packed. The list is written under another name
+    and renamed, so a reader sees the old state or the new one.
+    """
+    spark, path = df.sparkSession, version_path(root, version)
+    (
+        df.withColumn(PART, part)
+        .hint("rebalance", PART)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(PART)
+        .parquet(path)
+    )
+    fs, folder = _folder(spark, path)
+    names = [entry.getPath().getName() for entry in fs.listStatus(folder)]
+    written = [n[len(PART) + 1 :] for n in names if n.startswith(f"{PART}=")]
+    kept = {} if replaced is None or base is None else base.parts
+    parts = {p: v for p, v in kept.items() if p not in set(replaced or ())}
+    state = State(df.schema, {**parts, **dict.fromkeys(written, version)})
+    _, target = _folder(spark, _list_path(root, version))
+    _, draft = _folder(spark, f"{root}/_draft-{version:012d}.json")
+    stream = fs.create(draft, True)
+    stream.write(
+        bytearray(json.dumps({"schema": df.schema.jsonValue(), "parts": state.parts}), "utf-8")
+    )
+    stream.close()
+    fs.delete(target, False)
+    fs.rename(draft, target)
+    return state
+
+
+def merge_parts(
+    spark: SparkSession, root: str, version: int, source: DataFrame, key: str,
+    merge: Callable[[DataFrame, DataFrame], DataFrame], base: State | None,
+    schema: T.StructType, parts: int = KEY_PARTS,
+) -> State:
+    """Merge ``source`` into the parts of a state that its keys lie in; the others stay.
+
+    ``source`` should be stored, as it is read twice. ``schema`` is that of the state;
+    where it is wider than before, stored rows have NULL in the new columns.
+    """
+    touched = [r[0] for r in source.select(key_part(key, parts)).distinct().collect()]
+    stored = read_parts(spark, root, base, schema, touched)
+    merged = merge(stored, source)
+    return write_parts(merged, root, version, key_part(key, parts), base, touched)
+
+
+def widened(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the columns of ``schema``, NULL where it has none."""
+    known = set(df.columns)
+    return df.select(
+        *(F.col(f.name) if f.name in known else F.lit(None).cast(f.dataType).alias(f.name)
+          for f in schema.fields)
+    )
+
+
+def union_schema(first: T.StructType, second: T.StructType) -> T.StructType:
+    """Fields of both, those of ``first`` leading; one name must have one type."""
+    known = {f.name: f for f in first.fields}
+    for field in second.fields:
+        if field.name in known and known[field.name].dataType != field.dataType:
+            raise TypeError(f"{field.name}: {known[field.name].dataType} and {field.dataType}")
+        known.setdefault(field.name, field)
+    return T.StructType([T.StructField(f.name, f.dataType) for f in known.values()])
+
+
+def drop_newer(spark: SparkSession, root: str, version: int) -> None:
+    """Remove everything after ``version``, parts lists first: what a batch that did not
+    finish has left."""
+    fs, base = _folder(spark, root)
+    if not fs.exists(base):
+        return
+    names = sorted(entry.getPath().getName() for entry in fs.listStatus(base))
+    for name in names:
+        digits = name.removeprefix("_parts-").removeprefix(_PREFIX).removesuffix(".json")
+        if digits.isdigit() and int(digits) > version:
+            remove_folder(spark, f"{root}/{name}")
+
+
+def drop_old_states(spark: SparkSession, root: str, keep: int) -> None:
+    """Remove the parts lists before the newest ``keep`` and all parts that none of those
+    kept refers to."""
+    if keep < 1:
+        raise ValueError("the current state cannot be dropped")
+    done = state_versions(spark, root)
+    used = {
+        (version, part)
+        for v in done[-keep:]
+        for part, version in _load(spark, root, v).parts.items()
+    }
+    for v in done[:-keep]:
+        fs, path = _folder(spark, _list_path(root, v))
+        fs.delete(path, False)
+    newest = done[-keep:][0] if done else 0
+    fs, base = _folder(spark, root)
+    if not fs.exists(base):
+        return
+    names = [entry.getPath().getName() for entry in fs.listStatus(base)]
+    for number in sorted(int(n[len(_PREFIX) :]) for n in names if n.startswith(_PREFIX)):
+        if number >= newest:
+            continue
+        mine = {part for version, part in used if version == number}
+        if not mine:
+            remove_folder(spark, version_path(root, number))
+            continue
+        _, folder = _folder(spark, version_path(root, number))
+        for entry in fs.listStatus(folder):
+            name = entry.getPath().getName()
+            if name.startswith(f"{PART}=") and name[len(PART) + 1 :] not in mine:
+                remove_folder(spark, f"{version_path(root, number)}/{name}")
