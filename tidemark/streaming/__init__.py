@@ -1,6 +1,6 @@
 """Structured Streaming: dropped files and continuous upserts."""
 
 from .drops import drop_stream, land_drops
-from .upserts import upsert_stream
+from .upserts import read_stream_state, upsert_stream
 
-__all__ = ["drop_stream", "land_drops", "upsert_stream"]
+__all__ = ["drop_stream", "land_drops", "read_stream_state", "upsert_stream"]

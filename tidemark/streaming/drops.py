@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.files import CSV_DIALECT, MOMENTS
+from ..schemas import CORRUPT, with_corrupt
+from ..sources.files import CSV_DIALECT, MOMENTS, check_whole_record
 
 
 def drop_stream(
@@ -15,24 +18,55 @@ def drop_stream(
     *,
     only: str = "*.csv",
     files_per_batch: int | None = None,
+    header: bool = True,
 ) -> DataFrame:
-    """Rows of the CSV files that appear in a folder. A header alone adds nothing."""
+    """Rows of the CSV files that appear in a folder. A header alone adds nothing.
+
+    The corrupt-record column holds a record with too few or too many fields, or with a
+    field that does not fit its type; it is NULL for a sound record.
+    """
     reader = (
-        spark.readStream.schema(schema).options(**CSV_DIALECT).option("pathGlobFilter", only)
+        spark.readStream.schema(with_corrupt(schema))
+        .options(**CSV_DIALECT)
+        .option("header", header)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("pathGlobFilter", only)
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(folder)
+    return check_whole_record(reader.csv(folder))
 
 
 def land_drops(
-    stream: DataFrame, target: str, checkpoint: str, fmt: str = "csv", timeout: int | None = None
+    stream: DataFrame,
+    target: str,
+    checkpoint: str,
+    fmt: str = "csv",
+    timeout: float | None = None,
+    quarantine: str | None = None,
 ) -> None:
     """Append everything that is there now to ``target`` and stop.
 
     The checkpoint remembers the files taken, so the next call reads only newer
-    ones, also after a failure in between.
+    ones, also after a failure in between. Damaged records go to the parquet folder
+    ``quarantine`` instead; without one, the first of them ends the run with an error.
+    With ``timeout`` (seconds) a run that takes longer is stopped and raises.
     """
+    damaged = F.col(CORRUPT).isNotNull()
+    if quarantine:
+        rejected = stream.filter(damaged).select(CORRUPT)
+        _run(rejected, quarantine, f"{checkpoint}/quarantine", "parquet", timeout)
+        good = stream.filter(~damaged)
+    else:
+        sound = F.assert_true(~damaged, F.concat(F.lit("damaged record: "), F.col(CORRUPT)))
+        good = stream.filter(sound.isNull())
+    _run(good.drop(CORRUPT), target, f"{checkpoint}/landed", fmt, timeout)
+
+
+def _run(
+    stream: DataFrame, target: str, checkpoint: str, fmt: str, timeout: float | None
+) -> None:
     writer = stream.writeStream.format(fmt).outputMode("append")
     if fmt == "csv":
         writer = writer.options(**CSV_DIALECT, **MOMENTS).option("quoteAll", True)
@@ -42,4 +76,13 @@ def land_drops(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination(timeout)
+    finish(query, timeout)
+
+
+def finish(query: StreamingQuery, timeout: float | None) -> None:
+    """Wait for the end of a query; stop it and raise when that takes too long."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
+        query.stop()
+        raise TimeoutError(f"stream {query.id} was stopped after {timeout} s")

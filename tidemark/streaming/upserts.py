@@ -3,16 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from zlib import crc32
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.latest import keep_latest
-from ..operators.merge import is_small
-from ..sources.versions import publish, read_current
+from ..operators.quality import has_values
+from ..schemas import CORRUPT
+from ..session import shared_dir
+from ..sources.versions import (
+    KEY_PARTS,
+    drop_old_states,
+    load_state,
+    merge_parts,
+    read_parts,
+)
+from .drops import finish
 
-# merge(state, batch, small_source)
-Merge = Callable[[DataFrame, DataFrame, bool], DataFrame]
+# merge(state, batch)
+Merge = Callable[[DataFrame, DataFrame], DataFrame]
+
+# Earlier states that stay after a micro-batch, for readers that still use them.
+STATES_KEPT = 2
+
+
+def read_stream_state(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The state as the last finished micro-batch left it."""
+    return read_parts(spark, root, load_state(spark, root), schema)
 
 
 def upsert_stream(
@@ -25,23 +44,36 @@ def upsert_stream(
     version: str,
     ties: Sequence[str] = (),
     checkpoint: str,
-    timeout: int | None = None,
+    timeout: float | None = None,
+    quarantine: str | None = None,
+    parts: int = KEY_PARTS,
 ) -> None:
     """Merge all data available now into the state under ``state_root`` and stop.
 
-    ``merge(state, batch, small_source)`` is one of the batch upserts; the batch
-    it gets holds the newest row per key, and a small one need not move the
-    state. Batch *n* reads the newest state before *n* and writes version *n*,
-    so a repeated batch gives the same state again.
+    ``merge(state, batch)`` is one of the batch upserts; it gets the newest row per key
+    of the micro-batch, and the parts of the state with those keys, which alone are
+    rewritten. Micro-batch *n* starts from the newest state before *n* and writes state
+    *n*, so a repeated one gives the same state again; old states are dropped.
+
+    Damaged records and rows without a key are not merged; the damaged ones go to
+    ``quarantine`` (a folder per micro-batch) if that is given.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        state = read_current(batch.sparkSession, state_root, schema, before=batch_id)
-        newest = keep_latest(batch, key, version, ties).persist()
-        try:
-            publish(merge(state, newest, is_small(newest)), state_root, batch_id)
-        finally:
-            newest.unpersist()
+        spark = batch.sparkSession
+        staged = shared_dir(spark, "upserts", f"{crc32(state_root.encode())}-{batch_id}")
+        batch.write.mode("overwrite").parquet(staged)
+        rows = spark.read.schema(batch.schema).parquet(staged)
+        if CORRUPT in rows.columns:
+            damaged = F.col(CORRUPT).isNotNull()
+            if quarantine:
+                rejected = rows.filter(damaged).select(CORRUPT)
+                rejected.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id:012d}")
+            rows = rows.filter(~damaged).drop(CORRUPT)
+        newest = keep_latest(has_values(rows, key), key, version, ties)
+        base = load_state(spark, state_root, lambda number: number < batch_id)
+        merge_parts(spark, state_root, batch_id, newest, key, merge, base, schema, parts)
+        drop_old_states(spark, state_root, STATES_KEPT)
 
     query = (
         stream.writeStream.foreachBatch(apply)
@@ -49,4 +81,4 @@ def upsert_stream(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination(timeout)
+    finish(query, timeout)
