@@ -6,6 +6,7 @@ Usage: python tests/check_oracle.py [folder] [query ...]
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -51,8 +52,9 @@ def main() -> int:
     sf_dir = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     spark = build_session(
         "check", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-        spark__ui__showConsoleProgress="false"
-    )
+        spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="check-oracle-"),
+    )
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, failed = connect(sf_dir), entry.oracle_sql(), 0
     for name, query in entry.queries().items():

@@ -64,6 +64,7 @@ RAW = {
                l_partkey AS ProductID,
                CASE WHEN l_partkey % 223 = 1 THEN 0 ELSE l_quantity::INTEGER END AS Quantity,
                CASE WHEN l_partkey % 211 = 0 THEN -l_extendedprice
+                    WHEN l_partkey % 3 = 1 THEN (round(l_extendedprice * 1000) + 4) / 1000
                     ELSE l_extendedprice END AS TotalAmount,
                l_shipdate::TIMESTAMP AS ModifiedDate
         FROM lineitem""",
@@ -223,12 +224,15 @@ def _on_fact(query: str, *silver: str, extra: dict | None = None) -> str:
 
 
 def _money(column: str) -> str:
-    return f"sum({column}::DECIMAL(18,2))::DOUBLE"
+    return f"sum({column}::DECIMAL(24,6))::DOUBLE"
 
 
 # Stored dimensions that the upserts start from: see queries.py.
 PRODUCT_TARGET = """
-    SELECT ProductID, ProductName, Category,
+    SELECT ProductID,
+           CASE WHEN ProductID % 7 = 3 THEN ProductName || '||' || Category
+                ELSE ProductName END AS ProductName,
+           CASE WHEN ProductID % 7 <> 3 THEN Category END AS Category,
            CASE WHEN ProductID % 5 = 0 THEN Price + 1 ELSE Price END AS Price,
            price_category, ModifiedDate, TIMESTAMP '2025-01-01' AS CREATEDDATE,
            'databricks' AS CREATEDBY, TIMESTAMP '2025-01-01' AS UPDATEDDATE,
@@ -239,19 +243,29 @@ PRODUCT_TARGET = """
            TIMESTAMP '2025-01-01', 'databricks', TIMESTAMP '2025-01-01', 'databricks'
     FROM silver_products WHERE ProductID % 10 = 1"""
 
-SCD1 = """
+
+def _scd1(differs: str) -> str:
+    return f"""
     SELECT ProductID, ProductName, Category, Price, price_category, ModifiedDate,
            CREATEDDATE, CREATEDBY, UPDATEDDATE, UPDATEDBY
     FROM product_target t
     WHERE NOT EXISTS (SELECT 1 FROM silver_products s WHERE s.ProductID = t.ProductID
-                      AND s.Price IS DISTINCT FROM t.Price)
+                      AND {differs})
     UNION ALL
     SELECT s.ProductID, s.ProductName, s.Category, s.Price, s.price_category, s.ModifiedDate,
            coalesce(t.CREATEDDATE, TIMESTAMP '2026-01-01'), 'databricks',
            TIMESTAMP '2026-01-01',
            CASE WHEN t.ProductID IS NULL THEN 'databricks' ELSE 'databricks-updated' END
     FROM silver_products s LEFT JOIN product_target t ON s.ProductID = t.ProductID
-    WHERE t.ProductID IS NULL OR s.Price IS DISTINCT FROM t.Price"""
+    WHERE t.ProductID IS NULL OR {differs}"""
+
+
+SCD1 = _scd1(
+    """(s.Price IS DISTINCT FROM t.Price OR s.ProductName IS DISTINCT FROM t.ProductName
+        OR s.Category IS DISTINCT FROM t.Category)"""
+)
+_HASHED = "concat_ws('||', {0}.ProductName, {0}.Category, {0}.Price, {0}.ModifiedDate)"
+SCD1_BY_HASH = _scd1(f"{_HASHED.format('s')} <> {_HASHED.format('t')}")
 
 CUSTOMER_TARGET = """
     SELECT CustomerID, FullName,
@@ -298,7 +312,7 @@ SCD2_HISTORY = _scd2(
 _CUSTOMER_DIM = {"customer_target": CUSTOMER_TARGET, "dim_customer": SCD2}
 
 
-def _customer_kpi(condition: str) -> str:
+def _customer_kpi(condition: str, dim: dict | None = None) -> str:
     return _on_fact(
         f"""SELECT d.FullName, count(DISTINCT f.OrderID) AS total_orders,
                    {_money("f.SalesAmount")} AS total_spent,
@@ -306,10 +320,48 @@ def _customer_kpi(condition: str) -> str:
             FROM fact f JOIN dim_customer d ON f.CustomerID = d.CustomerID {condition}
             GROUP BY d.FullName""",
         "customer",
-        extra=_CUSTOMER_DIM,
+        extra=dim or _CUSTOMER_DIM,
     )
 
 
+# Tables after two batches, the first of which saw the rows modified until FIRST_CUT.
+FIRST_CUT = "TIMESTAMP '1998-02-01'"
+LOADED, LATER = "TIMESTAMP '2026-01-01'", "TIMESTAMP '2026-02-01'"
+
+
+def _first(name: str, version: str) -> dict[str, str]:
+    raw = _SILVER_INPUT[name]
+    body = SILVER[name].replace(raw, f"(SELECT * FROM {raw} WHERE {version} <= {FIRST_CUT})")
+    return {f"first_{name}": body}
+
+
+LAKE_PRODUCT = f"""
+    SELECT s.ProductID, s.ProductName, s.Category, s.Price, s.price_category, s.ModifiedDate,
+           CASE WHEN f.ProductID IS NULL THEN {LATER} ELSE {LOADED} END AS CREATEDDATE,
+           'databricks' AS CREATEDBY,
+           CASE WHEN s.ModifiedDate = f.ModifiedDate THEN {LOADED} ELSE {LATER} END
+             AS UPDATEDDATE,
+           CASE WHEN s.ModifiedDate <> f.ModifiedDate THEN 'databricks-updated'
+                ELSE 'databricks' END AS UPDATEDBY
+    FROM silver_products s LEFT JOIN first_products f ON s.ProductID = f.ProductID"""
+
+_SAME_CUSTOMER = """(f.FullName IS NOT DISTINCT FROM s.FullName
+    AND f.City IS NOT DISTINCT FROM s.City AND f.Email IS NOT DISTINCT FROM s.Email)"""
+LAKE_CUSTOMER = f"""
+    SELECT s.CustomerID, s.FullName, s.City, s.Email,
+           CASE WHEN f.CustomerID IS NOT NULL AND {_SAME_CUSTOMER} THEN {LOADED}
+                ELSE {LATER} END AS CREATEDDATE,
+           'databricks' AS CREATEDBY, TIMESTAMP '9999-01-01' AS UPDATEDDATE,
+           'databricks' AS UPDATEDBY, 1 AS IS_ACTIVE
+    FROM silver_customer s LEFT JOIN first_customer f ON s.CustomerID = f.CustomerID
+    UNION ALL
+    SELECT f.CustomerID, f.FullName, f.City, f.Email, {LOADED}, 'databricks', {LATER},
+           'Databricks-Updated', 0
+    FROM first_customer f JOIN silver_customer s ON s.CustomerID = f.CustomerID
+    WHERE NOT {_SAME_CUSTOMER}"""
+_FIRST_CUSTOMER = _first("customer", "ModifiedDate")
+
+
 # Damage done to the raw files, see queries.py.
 _BAD_PRICE = "ProductID % 37 = 1"
 _BAD_KEY = "ProductID % 41 = 2"
@@ -322,6 +374,8 @@ _CSV_PRODUCTS = {
 _CSV_LINE = """'"' || {key} || '","' || ProductName || '","' || Category || '","' || {price}
     || '","' || strftime(ModifiedDate, '%Y-%m-%d %H:%M:%S') || '"'"""
 
+_SHORT_LINE = "o_orderkey % 37 = 5"
+_LONG_LINE = "o_orderkey % 31 = 7"
 _JSON_BAD_DATE = "o_orderkey % 43 = 3"
 _JSON_BROKEN = "o_orderkey % 47 = 5"
 
@@ -345,12 +399,19 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 4, 'Broken', 'sales', NULL, NULL, true""",
         "incremental_land": """SELECT event_id, ts::TIMESTAMP AS ts, user_id, event_type, value,
             props FROM events""",
-        "feed_land": """SELECT o_orderkey AS payment_id, o_totalprice AS amount,
-            o_orderkey AS order_id, o_orderpriority AS payment_method FROM orders""",
+        "failed_copies": """
+            SELECT unnest(['Orders', 'LineItem', 'Events']) AS TABLENAME,
+                   'No error message available' AS ERRORMESSAGE
+            UNION ALL SELECT 'Broken', 'PATH_NOT_FOUND'""",
+        "log_times": """SELECT event_id,
+            timezone('America/New_York', timezone('UTC', ts::TIMESTAMP)) AS LOGTIME FROM events""",
+        "feed_land": _with("SELECT * FROM raw_payment", raw=("raw_payment",)),
+        "feed_land_shipping": _with("SELECT * FROM raw_shipping", raw=("raw_shipping",)),
+        "feed_land_inventory": _with("SELECT * FROM raw_inventory", raw=("raw_inventory",)),
         "csv_quarantine_good": _with(
             f"""SELECT ProductID, {title("ProductName")} AS ProductName,
                        {title("Category")} AS Category, Price::DOUBLE AS Price, ModifiedDate,
-                       'LOW' AS price_category
+                       'LOW' AS price_category, TIMESTAMP '2026-01-01' AS ingestion_timestamp
                 FROM csv_products
                 WHERE ProductID <> 0 AND NOT ({_BAD_PRICE}) AND NOT ({_BAD_KEY})""",
             extra=_CSV_PRODUCTS,
@@ -360,13 +421,14 @@ def oracle_sql() -> dict[str, str]:
                        {_CSV_LINE.format(
                            key=f"CASE WHEN {_BAD_KEY} THEN 'x' ELSE '' END || ProductID",
                            price=f"CASE WHEN {_BAD_PRICE} THEN 'n/a' ELSE Price::VARCHAR END",
-                       )} AS _corrupt_record
+                       )} AS _corrupt_record, TIMESTAMP '2026-01-01' AS error_time
                 FROM csv_products WHERE {_BAD_PRICE} OR {_BAD_KEY}""",
             extra=_CSV_PRODUCTS,
         ),
         "csv_quarantine_key_first": _with(
             f"""SELECT ProductID,
-                       {_CSV_LINE.format(key="ProductID", price="'n/a'")} AS _corrupt_record
+                       {_CSV_LINE.format(key="ProductID", price="'n/a'")} AS _corrupt_record,
+                       TIMESTAMP '2026-01-01' AS error_time
                 FROM csv_products
                 WHERE ProductID <> 0 AND {_BAD_PRICE} AND NOT ({_BAD_KEY})""",
             extra=_CSV_PRODUCTS,
@@ -374,18 +436,39 @@ def oracle_sql() -> dict[str, str]:
         "json_quarantine_good": f"""
             SELECT o_orderkey AS payment_id, o_totalprice AS amount, o_orderkey AS order_id,
                    'Card' AS payment_method, upper(o_orderstatus) AS payment_status,
-                   0 AS is_success
+                   0 AS is_success, NULL::TIMESTAMP AS modified_date,
+                   NULL::TIMESTAMP AS payment_time,
+                   TIMESTAMP '2026-01-01' AS ingestion_timestamp
             FROM orders
             WHERE o_orderkey <> 0 AND NOT ({_JSON_BAD_DATE}) AND NOT ({_JSON_BROKEN})""",
         "json_quarantine_bad": f"""
             SELECT CASE WHEN NOT ({_JSON_BROKEN}) THEN o_orderkey END AS payment_id,
                    CASE WHEN {_JSON_BROKEN} THEN '{{broken ' || o_orderkey
                         ELSE '{{"payment_id":' || o_orderkey || ',"payment_time":"someday"}}'
-                   END AS _corrupt_record
+                   END AS _corrupt_record, TIMESTAMP '2026-01-01' AS error_time
             FROM orders WHERE {_JSON_BAD_DATE} OR {_JSON_BROKEN}""",
         "dropped_file_split": """
-            SELECT 'to_load' AS status, count(*) AS n_rows FROM events
+            SELECT 'to_load' AS status, count(*) AS n_rows
+            FROM (SELECT (row_number() OVER () - 1) // 2000 AS file FROM events) GROUP BY file
             UNION ALL SELECT 'empty', 0""",
+        "one_dropped_file": """SELECT event_id, ts::TIMESTAMP AS ts, user_id, event_type, value,
+            props FROM events ORDER BY event_id LIMIT 2000""",
+        "drop_stream_landed": f"""
+            SELECT o_orderkey::VARCHAR AS OrderID, o_custkey::VARCHAR AS CustomerID,
+                   o_orderstatus AS status
+            FROM orders WHERE NOT ({_SHORT_LINE}) AND NOT ({_LONG_LINE})""",
+        "drop_stream_quarantine": f"""
+            SELECT o_orderkey || ',' || o_custkey
+                   || CASE WHEN {_SHORT_LINE} THEN '' ELSE ',' || o_orderstatus || ',more' END
+                     AS _corrupt_record
+            FROM orders WHERE {_SHORT_LINE} OR {_LONG_LINE}""",
+        "named_view_scan": "SELECT * FROM supplier",
+        "catalog_scan": "SELECT * FROM supplier",
+        "format_scan": "SELECT * FROM supplier",
+        "appended_table": _with(
+            """SELECT StoreID, StoreName, City, Province, region
+               FROM silver_stores, range(2)""", "stores"
+        ),
         "dropped_file_scan": """SELECT event_id, ts::TIMESTAMP AS ts, user_id, event_type, value,
             props FROM events""",
         "file_drop_stream": """SELECT event_id, ts::TIMESTAMP AS ts, user_id, event_type, value,
@@ -411,8 +494,8 @@ def oracle_sql() -> dict[str, str]:
             "l_orderkey, l_linenumber", "l_shipdate",
             ["l_extendedprice", "l_partkey", "l_suppkey"],
         ),
-        "merge_latest": _with("SELECT * FROM silver_orders", "orders"),
-        "fact_sales": _on_fact("SELECT * FROM fact"),
+        "merge_latest": _with(f"SELECT *, {LOADED} AS ingestion_timestamp FROM silver_orders", "orders"),
+        "fact_sales": _on_fact(f"SELECT *, {LOADED} AS created_at FROM fact"),
         "dim_store": _with(
             "SELECT StoreID, StoreName, City, Province, region FROM silver_stores", "stores"
         ),
@@ -431,7 +514,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "scd1_product": _with(SCD1, "products", extra={"product_target": PRODUCT_TARGET}),
         "scd1_product_by_hash": _with(
-            SCD1, "products", extra={"product_target": PRODUCT_TARGET}
+            SCD1_BY_HASH, "products", extra={"product_target": PRODUCT_TARGET}
         ),
         "scd2_customer": _with(SCD2, "customer", extra={"customer_target": CUSTOMER_TARGET}),
         "scd2_customer_all_versions": _with(
@@ -483,8 +566,33 @@ def oracle_sql() -> dict[str, str]:
                 FROM fact GROUP BY ALL"""
         ),
     }
-    sql["lakehouse_run"] = sql["kpi_daily_sales"]
+    sql["appended_quarantine"] = (
+        f"SELECT ProductID::BIGINT AS key, _corrupt_record, error_time "
+        f"FROM ({sql['csv_quarantine_bad']}) UNION ALL "
+        f"SELECT payment_id::BIGINT, _corrupt_record, error_time FROM ({sql['json_quarantine_bad']})"
+    )
+    sql["lakehouse_run"] = sql["lakehouse_daily_sales"] = sql["kpi_daily_sales"]
+    sql["lakehouse_product_kpi"], sql["lakehouse_store_kpi"] = sql["kpi_product"], sql["kpi_store"]
+    for name in ("store", "inventory", "payment", "shipment"):
+        sql[f"lakehouse_dim_{name}"] = sql[f"dim_{name}"]
+    sql["lakehouse_second_batch"] = _on_fact("SELECT * FROM fact")
+    sql["lakehouse_after_failed_batch"] = sql["lakehouse_second_batch"]
+    sql["lakehouse_dim_product"] = _with(
+        LAKE_PRODUCT, "products", extra=_first("products", "ModifiedDate")
+    )
+    sql["lakehouse_customer_history"] = _with(LAKE_CUSTOMER, "customer", extra=_FIRST_CUSTOMER)
+    sql["lakehouse_customer_kpi"] = _customer_kpi(
+        "", {**_FIRST_CUSTOMER, "dim_customer": LAKE_CUSTOMER}
+    )
+    sql["silver_new_column"] = _with(
+        """SELECT s.*, CASE WHEN s.payment_id % 2 = 0 AND (f.payment_id IS NULL
+                                 OR s.modified_date > f.modified_date) THEN 'CAD' END AS currency
+           FROM silver_payment s LEFT JOIN first_payment f ON s.payment_id = f.payment_id""",
+        "payment", extra=_first("payment", "modified_date"),
+    )
     names = {"lines": "orderdetails"}
     for name in SILVER:
-        sql[f"silver_{names.get(name, name)}"] = _with(f"SELECT * FROM silver_{name}", name)
+        sql[f"silver_{names.get(name, name)}"] = _with(
+            f"SELECT *, {LOADED} AS ingestion_timestamp FROM silver_{name}", name
+        )
     return sql

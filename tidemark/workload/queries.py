@@ -3,27 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from math import ceil
+from dataclasses import replace
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions import OPEN_END, row_hash, row_hash_plain
-from ..operators.control import FIRST_MARK
+from ..functions import OPEN_END, log_time, row_hash, row_hash_plain
+from ..operators.control import FIRST_MARK, failure_messages
 from ..operators.increment import high_water_mark, pull_increment
 from ..operators.latest import keep_latest, merge_latest
 from ..operators.quality import has_values, valid_key
-from ..operators.scd import scd2_changed_keys
+from ..operators.scd import INSERTED_BY, SCD2_UPDATED_BY, scd2_changed_keys
 from ..plans import gold, ingest, kpi
 from ..plans.lakehouse import Lakehouse
 from ..plans.silver import SILVER, refine
 from ..session import shared_dir
 from ..sources.files import file_row_counts, read_csv, read_json, split_drops
-from ..sources.sinks import write_csv
-from ..sources.versions import read_current
-from ..streaming import drop_stream, land_drops, upsert_stream
+from ..sources.sinks import append_table, create_table, overwrite_table, quarantine, write_csv
+from ..sources.tables import table
+from ..streaming import drop_stream, land_drops, read_stream_state, upsert_stream
 from . import retail
 from .retail import given
 
@@ -42,18 +43,28 @@ EVENTS = T.StructType(
     ]
 )
 
-_written: dict[tuple[str, str, str], str] = {}
-_tables: dict[tuple[str, str, str], DataFrame] = {}
+_written: dict[tuple[str, str, int, str], str] = {}
+
+
+def _state_of_inputs(spark: SparkSession, sf_dir: str) -> int:
+    """Digest of names, sizes and times of the given files."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted(
+        (str(f.getPath()), f.getLen(), f.getModificationTime()) for f in fs.listStatus(folder)
+    )
+    return hash(tuple(files))
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
-    """Folder written by ``write`` the first time a session asks for it.
+    """Folder written by ``write`` when a session first asks for it, or when the given
+    files have changed since.
 
     Queries stand on stored silver and fact tables, as the layers of a lakehouse
     do; the folder lies in the shared work folder, so losing an executor does
     not lose it.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, _state_of_inputs(spark, sf_dir), name)
     if key not in _written:
         path = shared_dir(spark, f"{sf_dir.strip('/').replace('/', '-')}-{len(_written)}", name)
         write(path)
@@ -62,13 +73,10 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], ob
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _tables:
-        path = _once(
-            spark, sf_dir, name, lambda p: build(spark, sf_dir).write.mode("overwrite").parquet(p)
-        )
-        _tables[key] = spark.read.parquet(path)
-    return _tables[key]
+    path = _once(
+        spark, sf_dir, name, lambda p: build(spark, sf_dir).write.mode("overwrite").parquet(p)
+    )
+    return spark.read.parquet(path)
 
 
 def _plain_moments(df: DataFrame) -> DataFrame:
@@ -80,7 +88,7 @@ def _plain_moments(df: DataFrame) -> DataFrame:
 def _silver(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = retail.RAW[name](spark, sf_dir)
-        return refine(SILVER[name], raw, AS_OF).good.drop("ingestion_timestamp")
+        return _plain_moments(refine(SILVER[name], raw, AS_OF).good)
 
     return query
 
@@ -92,7 +100,7 @@ def _stored_silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = ("orderdetails", "orders", "payment", "shipping")
     fact = gold.fact_sales(*(_stored_silver(spark, sf_dir, t) for t in tables), as_of=AS_OF)
-    return fact.drop("created_at")
+    return _plain_moments(fact)
 
 
 def _stored_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,8 +115,14 @@ def _product_target(spark: SparkSession, sf_dir: str, hashed: Callable) -> DataF
     key = F.col("ProductID")
     loaded = F.to_timestamp(F.lit("2025-01-01"))
     names = ["ProductID", *gold.PRODUCT_TRACKED]
-    known = source.filter(key % 3 != 0).withColumn(
-        "Price", F.when(key % 5 == 0, F.col("Price") + 1).otherwise(F.col("Price"))
+    # Other prices; and texts that a NULL has shifted, which a plain hash cannot see.
+    shifted, name = key % 7 == 3, F.col("ProductName")
+    known = source.filter(key % 3 != 0).withColumns(
+        {
+            "Price": F.when(key % 5 == 0, F.col("Price") + 1).otherwise(F.col("Price")),
+            "ProductName": F.when(shifted, F.concat_ws("||", name, "Category")).otherwise(name),
+            "Category": F.when(~shifted, F.col("Category")),
+        }
     )
     gone = source.filter(key % 10 == 1).withColumns(
         {"ProductID": -key, "ProductName": F.lit("Gone")}
@@ -117,9 +131,9 @@ def _product_target(spark: SparkSession, sf_dir: str, hashed: Callable) -> DataF
     return rows.withColumn("HASHVALUE", hashed(*names)).withColumns(
         {
             "CREATEDDATE": loaded,
-            "CREATEDBY": F.lit("databricks"),
+            "CREATEDBY": F.lit(INSERTED_BY),
             "UPDATEDDATE": loaded,
-            "UPDATEDBY": F.lit("databricks"),
+            "UPDATEDBY": F.lit(INSERTED_BY),
         }
     )
 
@@ -134,7 +148,7 @@ def _customer_target(spark: SparkSession, sf_dir: str, hashed: Callable) -> Data
         return changed.withColumn("HASHVALUE", hashed(*names)).withColumns(
             {
                 "CREATEDDATE": F.to_timestamp(F.lit(created)),
-                "CREATEDBY": F.lit("databricks"),
+                "CREATEDBY": F.lit(INSERTED_BY),
                 "UPDATEDDATE": F.to_timestamp(F.lit(until)),
                 "UPDATEDBY": F.lit(by),
                 "IS_ACTIVE": F.lit(active),
@@ -144,10 +158,10 @@ def _customer_target(spark: SparkSession, sf_dir: str, hashed: Callable) -> Data
     city = F.col("City")
     moved = F.when(key % 5 == 0, "Elsewhere").otherwise(city)
     earlier = F.when(key % 10 == 0, city).otherwise("Before")
-    return version(source, moved, "2025-01-01", OPEN_END, "databricks", 1).unionByName(
+    return version(source, moved, "2025-01-01", OPEN_END, INSERTED_BY, 1).unionByName(
         version(
             source.filter(key % 2 == 0), earlier, "2024-01-01", "2025-01-01",
-            "Databricks-Updated", 0,
+            SCD2_UPDATED_BY, 0,
         )
     )
 
@@ -190,7 +204,7 @@ def merged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = refine(spec, raw.filter(F.col("ModifiedDate") <= cut), AS_OF).good
     second = refine(spec, raw.filter(F.col("ModifiedDate") > cut), AS_OF).good
     merged = merge_latest(first, second, spec.key, spec.version, spec.ties)
-    return merged.drop("ingestion_timestamp")
+    return _plain_moments(merged)
 
 
 # Incremental ingest of three given tables and one that does not exist.
@@ -202,28 +216,21 @@ CONTROL_DDL = (
 SOURCES = (("Orders", "o_orderdate"), ("LineItem", "l_shipdate"), ("Events", "ts"),
            ("Broken", "ts"))
 
-_ingests: dict[tuple[str, str], ingest.IngestResult] = {}
-
-
 def _ingest(spark: SparkSession, sf_dir: str) -> ingest.IngestResult:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _ingests:
-        control = spark.createDataFrame(
-            [
-                (i, name, "sales", name.lower(), f"{name.lower()}.csv", column,
-                 FIRST_MARK)
-                for i, (name, column) in enumerate(SOURCES, start=1)
-            ],
-            CONTROL_DDL,
-        )
-        _ingests[key] = ingest.ingest_increments(
-            spark,
-            control,
-            lambda _, name: given(spark, sf_dir, name.lower()),
-            shared_dir(spark, f"raw-{len(_ingests)}"),
-            batch=1,
-        )
-    return _ingests[key]
+    control = spark.createDataFrame(
+        [
+            (i, name, "sales", name.lower(), f"{name.lower()}.csv", column, FIRST_MARK)
+            for i, (name, column) in enumerate(SOURCES, start=1)
+        ],
+        CONTROL_DDL,
+    )
+    return ingest.ingest_increments(
+        spark,
+        control,
+        lambda _, name: given(spark, sf_dir, name.lower()),
+        shared_dir(spark, f"raw-{uuid4().hex}"),
+        batch=1,
+    )
 
 
 def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,33 +248,35 @@ def copy_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _ingest(spark, sf_dir).paths["Events"]
-    return read_csv(spark, path, EVENTS).drop(schemas.CORRUPT)
+    return read_csv(spark, path, EVENTS, coded_breaks=True).drop(schemas.CORRUPT)
 
 
-def feed_land(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = T.StructType([f for f in schemas.PAYMENT.fields if f.name in _FEED_COLUMNS])
-    path = _once(
-        spark,
-        sf_dir,
-        "feeds",
-        lambda p: ingest.ingest_feeds(
-            spark, lambda _: _payment_feed(spark, sf_dir), p, 1, ("payment",)
-        ),
-    )
-    landed = read_json(spark, ingest.batch_folder(path, "payment", 1), schema)
-    return landed.drop(schemas.CORRUPT)
+def failed_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message per table: what went wrong, or the default one."""
+    message = F.col("ERRORMESSAGE")
+    missing = F.when(message.contains("PATH_NOT_FOUND"), "PATH_NOT_FOUND").otherwise(message)
+    return failure_messages(_ingest(spark, sf_dir).audit).withColumn("ERRORMESSAGE", missing)
 
 
-_FEED_COLUMNS = ("payment_id", "amount", "order_id", "payment_method")
+def log_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moments of the events as the copy log would show them."""
+    events = given(spark, sf_dir, "events")
+    at = log_time(F.col("ts").cast("timestamp")).alias("LOGTIME")
+    return _plain_moments(events.select("event_id", at))
 
 
-def _payment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return given(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("payment_id"),
-        F.col("o_totalprice").alias("amount"),
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_orderpriority").alias("payment_method"),
-    )
+def feed_land(name: str) -> Query:
+    """A feed landed with the two others, read back whole."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _once(
+            spark, sf_dir, "feeds",
+            lambda p: ingest.ingest_feeds(spark, lambda n: retail.RAW[n](spark, sf_dir), p, 1),
+        )
+        landed = read_json(spark, ingest.batch_folder(path, name, 1), SILVER[name].schema)
+        return _plain_moments(landed.drop(schemas.CORRUPT))
+
+    return query
 
 
 # Raw files with damaged records.
@@ -318,8 +327,8 @@ def csv_quarantine(part: str, quarantine_first: bool = True) -> Query:
         raw = spec.read(spark, _csv_products(spark, sf_dir))
         split = refine(spec, raw, AS_OF, quarantine_first)
         if part == "bad":
-            return split.bad.drop("error_time")
-        return _plain_moments(split.good.drop("ingestion_timestamp"))
+            return _plain_moments(split.bad)
+        return _plain_moments(split.good)
 
     return query
 
@@ -329,50 +338,55 @@ def json_quarantine(part: str) -> Query:
         spec = SILVER["payment"]
         split = refine(spec, spec.read(spark, _json_payments(spark, sf_dir)), AS_OF)
         if part == "bad":
-            return split.bad.drop("error_time")
-        return split.good.select(*_FEED_COLUMNS, "payment_status", "is_success")
+            return _plain_moments(split.bad)
+        return _plain_moments(split.good)
 
     return query
 
 
-# Dropped event files.
+# Dropped event files of this many rows at most.
+DROPPED_ROWS = 2_000
 
 
 def _drops(spark: SparkSession, sf_dir: str) -> str:
     """Events as dropped CSV files, and one file with a header only."""
 
     def write(path: str) -> None:
-        events = given(spark, sf_dir, "events")
-        # Some six files from a small table, one per written partition from a large one.
-        per_file = min(ceil(events.count() / 6), 5_000_000)
-        write_csv(events, path, rows_per_file=per_file)
+        write_csv(given(spark, sf_dir, "events"), path, rows_per_file=DROPPED_ROWS)
         write_csv(spark.createDataFrame([], EVENTS), path, mode="append")
 
     return _once(spark, sf_dir, "drops", write)
 
 
 def dropped_file_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status and rows of every file; the files hold DROPPED_ROWS rows, but for the last."""
     split = split_drops(file_row_counts(spark, _drops(spark, sf_dir), EVENTS))
-
-    def total(files: DataFrame, status: str) -> DataFrame:
-        return files.agg(F.sum("n_rows").alias("n_rows")).select(
-            F.lit(status).alias("status"), "n_rows"
-        )
-
-    return total(split.to_load, "to_load").unionByName(total(split.empty, "empty"))
+    to_load = split.to_load.select(F.lit("to_load").alias("status"), "n_rows")
+    return to_load.unionByName(split.empty.select(F.lit("empty").alias("status"), "n_rows"))
 
 
 def dropped_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_csv(spark, _drops(spark, sf_dir), EVENTS, only="part-*.csv")
+    """All files of a folder by a pattern in the path."""
+    rows = read_csv(spark, f"{_drops(spark, sf_dir)}/part-*.csv", EVENTS)
     return rows.drop(schemas.CORRUPT)
 
 
+def one_dropped_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file with the smallest event alone, by its name; the events of the others, the
+    header-only file among them, are left out."""
+    rows = read_csv(spark, _drops(spark, sf_dir), EVENTS)
+    first = rows.select("event_id", F.col("_metadata.file_name").alias("name")).orderBy("event_id")
+    name = first.first()["name"]
+    one = read_csv(spark, _drops(spark, sf_dir), EVENTS, only=name).drop(schemas.CORRUPT)
+    return one
+
+
 def file_drop_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in EVENTS.fields])
     drops = _drops(spark, sf_dir)
 
     def run(path: str) -> None:
-        stream = drop_stream(spark, drops, texts, files_per_batch=_third_of(spark, drops))
+        stream = drop_stream(spark, drops, texts, files_per_batch=FILES_PER_BATCH)
         land_drops(stream, f"{path}/landed", f"{path}/checkpoint")
 
     path = _once(spark, sf_dir, "event_data", run)
@@ -388,14 +402,12 @@ def upsert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     drops = _drops(spark, sf_dir)
 
     def run(path: str) -> None:
-        stream = drop_stream(spark, drops, EVENTS, files_per_batch=_third_of(spark, drops))
+        stream = drop_stream(spark, drops, EVENTS, files_per_batch=FILES_PER_BATCH)
         upsert_stream(
-            stream.select(*STATE.names),
+            stream.select(*STATE.names, schemas.CORRUPT),
             f"{path}/state",
             STATE,
-            lambda state, batch, small: merge_latest(
-                state, batch, "user_id", "ts", ["event_id"], small
-            ),
+            lambda state, batch: merge_latest(state, batch, "user_id", "ts", ["event_id"]),
             key="user_id",
             version="ts",
             ties=["event_id"],
@@ -403,32 +415,172 @@ def upsert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     path = _once(spark, sf_dir, "event_state", run)
-    return read_current(spark, f"{path}/state", STATE)
+    return read_stream_state(spark, f"{path}/state", STATE)
+
+
+FILES_PER_BATCH = 16
+
+
+def _damaged_drops(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as dropped lines, some with a field too many or too few."""
+    key = F.col("o_orderkey")
+    line = F.concat_ws(",", key, "o_custkey", "o_orderstatus")
+    line = F.when(key % 31 == 7, F.concat(line, F.lit(",more"))).otherwise(line)
+    line = F.when(key % 37 == 5, F.concat_ws(",", key, "o_custkey")).otherwise(line)
+
+    lines = given(spark, sf_dir, "orders").select(line.alias("value"))
+    return _once(spark, sf_dir, "damaged_drops", lines.write.text)
+
+
+def drop_stream_quarantine(part: str) -> Query:
+    """Order lines from a stream of dropped files: what landed, or what was rejected."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        schema = T.StructType(
+            [T.StructField(n, T.StringType()) for n in ("OrderID", "CustomerID", "status")]
+        )
+        source = _damaged_drops(spark, sf_dir)
+
+        def run(path: str) -> None:
+            # Text files without header: every line counts.
+            stream = drop_stream(spark, source, schema, only="part-*.txt", header=False)
+            land_drops(
+                stream, f"{path}/landed", f"{path}/checkpoint", quarantine=f"{path}/bad"
+            )
+
+        path = _once(spark, sf_dir, "damaged_stream", run)
+        if part == "bad":
+            return spark.read.parquet(f"{path}/bad")
+        return read_csv(spark, f"{path}/landed", schema).drop(schemas.CORRUPT)
+
+    return query
+
+
+# Named tables and appends.
+
+
+def named_scan(prefix: str) -> Query:
+    """Suppliers through a name: a view, or a stored table by its catalog name."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = given(spark, sf_dir, "supplier")
+        name = f"{prefix}_{uuid4().hex}"
+        if prefix == "view":
+            source.createOrReplaceTempView(name)
+            return table(spark, name)
+        if prefix == "path":
+            return table(spark, f"parquet.`{sf_dir}/supplier.parquet`")
+        overwrite_table(source, f"default.{name}")
+        return table(spark, f"spark_catalog.default.{name}")
+
+    return query
 
 
-def _third_of(spark: SparkSession, folder: str) -> int:
-    files = spark.read.format("binaryFile").load(folder).select("path").count()
-    return max(1, ceil(files / 3))
+def appended_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores created empty, once more without effect, and appended to twice."""
+    name = f"stores_{uuid4().hex}"
+    stores = gold.dim_store(_stored_silver(spark, sf_dir, "stores"))
+    for _ in range(2):
+        create_table(spark, name, stores.schema)
+        append_table(stores, name)
+    return table(spark, name)
 
 
-# All layers in one run, from source tables and feeds to a stored KPI table.
+def appended_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected payments of two runs in one folder."""
+    path = shared_dir(spark, f"quarantine-{uuid4().hex}")
+    for part in ("csv", "json"):
+        bad = (csv_quarantine if part == "csv" else json_quarantine)("bad")(spark, sf_dir)
+        key = "ProductID" if part == "csv" else "payment_id"
+        quarantine(bad.withColumn("key", F.col(key).cast("long")).drop(key), path)
+    return spark.read.parquet(path)
+
+
+# All layers, batch after batch, from source tables and feeds to stored gold tables.
 
 SOURCE_TABLES = {"Customers": "customer", "Products": "products", "Stores": "stores",
                  "Orders": "orders", "OrderDetails": "orderdetails"}
+# The first batch sees the rows modified by then.
+FIRST_CUT = "1998-02-01"
+LATER = "2026-02-01 00:00:00"
+
+
+class _Interrupted(Lakehouse):
+    """A run that ends after silver and gold were written."""
+
+    def build_kpis(self) -> None:
+        raise KeyboardInterrupt
+
+
+def _batch_inputs(spark: SparkSession, sf_dir: str, until: str | None) -> tuple:
+    def rows(name: str) -> DataFrame:
+        source, version = retail.RAW[name](spark, sf_dir), SILVER[name].version
+        return source if until is None else source.filter(F.col(version) <= F.lit(until))
+
+    return (lambda _, name: rows(SOURCE_TABLES[name])), rows
+
+
+def _two_batches(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    def run(path: str) -> None:
+        Lakehouse(spark, path, AS_OF).run(1, *_batch_inputs(spark, sf_dir, FIRST_CUT))
+        Lakehouse(spark, path, LATER).run(2, *_batch_inputs(spark, sf_dir, None))
+
+    return Lakehouse(spark, _once(spark, sf_dir, "lakehouse", run))
+
+
+def lakehouse_table(name: str) -> Query:
+    """A gold table after two batches."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = _plain_moments(_two_batches(spark, sf_dir).gold(name))
+        return found.drop("HASHVALUE", "created_at")
+
+    return query
 
 
 def lakehouse_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sales after a single batch of everything."""
+
     def run(path: str) -> None:
-        Lakehouse(spark, path).run(
-            1,
-            lambda _, name: retail.RAW[SOURCE_TABLES[name]](spark, sf_dir),
-            lambda name: retail.RAW[name](spark, sf_dir),
-        )
+        Lakehouse(spark, path).run(1, *_batch_inputs(spark, sf_dir, None))
 
-    path = _once(spark, sf_dir, "lakehouse", run)
+    path = _once(spark, sf_dir, "lakehouse-single", run)
     return Lakehouse(spark, path).gold("gold_sales_summary")
 
 
+def _interrupted(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """Batch 1, a second one that ends before its marks move, and a third with a column
+    that payments did not have before."""
+    spec = SILVER["payment"]
+    wider = replace(spec, schema=spec.schema.add("currency", "string"))
+
+    def run(path: str) -> None:
+        Lakehouse(spark, path, AS_OF).run(1, *_batch_inputs(spark, sf_dir, FIRST_CUT))
+        try:
+            _Interrupted(spark, path, AS_OF).run(2, *_batch_inputs(spark, sf_dir, None))
+        except KeyboardInterrupt:
+            pass
+        tables, feeds = _batch_inputs(spark, sf_dir, None)
+        currency = F.when(F.col("payment_id") % 2 == 0, "CAD")
+        third = Lakehouse(spark, path, LATER, specs={**SILVER, "payment": wider})
+        third.run(
+            3, tables,
+            lambda n: feeds(n).withColumn("currency", currency) if n == "payment" else feeds(n),
+        )
+
+    return Lakehouse(spark, _once(spark, sf_dir, "lakehouse-interrupted", run))
+
+
+def lakehouse_after_failed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain_moments(_interrupted(spark, sf_dir).fact()).drop("created_at")
+
+
+def silver_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments with the column of the third batch, NULL in rows stored before."""
+    found = _plain_moments(_interrupted(spark, sf_dir).silver("payment"))
+    return found.drop("ingestion_timestamp")
+
+
 def _kpi_customer(active_only: bool) -> Query:
     return lambda spark, d: kpi.customer_kpi(
         _stored_fact(spark, d), scd2_customer(spark, d), active_only
@@ -453,7 +605,11 @@ def queries() -> dict[str, Query]:
         "watermark_advance": watermark_advance,
         "copy_audit": copy_audit,
         "incremental_land": incremental_land,
-        "feed_land": feed_land,
+        "feed_land": feed_land("payment"),
+        "feed_land_shipping": feed_land("shipping"),
+        "feed_land_inventory": feed_land("inventory"),
+        "failed_copies": failed_copies,
+        "log_times": log_times,
         "csv_quarantine_good": csv_quarantine("good"),
         "csv_quarantine_bad": csv_quarantine("bad"),
         "csv_quarantine_key_first": csv_quarantine("bad", quarantine_first=False),
@@ -461,6 +617,14 @@ def queries() -> dict[str, Query]:
         "json_quarantine_bad": json_quarantine("bad"),
         "dropped_file_split": dropped_file_split,
         "dropped_file_scan": dropped_file_scan,
+        "one_dropped_file": one_dropped_file,
+        "drop_stream_landed": drop_stream_quarantine("good"),
+        "drop_stream_quarantine": drop_stream_quarantine("bad"),
+        "named_view_scan": named_scan("view"),
+        "catalog_scan": named_scan("catalog"),
+        "format_scan": named_scan("path"),
+        "appended_table": appended_table,
+        "appended_quarantine": appended_quarantine,
         "file_drop_stream": file_drop_stream,
         "upsert_stream": upsert_events,
         "valid_pk": lambda s, d: valid_key(given(s, d, "customer"), "c_custkey"),
@@ -504,4 +668,17 @@ def queries() -> dict[str, Query]:
         "kpi_payment": _on_fact(kpi.payment_success_rate),
         "kpi_monthly": _on_fact(kpi.monthly_sales),
         "lakehouse_run": lakehouse_run,
+        "lakehouse_second_batch": lakehouse_table("fact_sales"),
+        "lakehouse_customer_history": lakehouse_table("dim_customer"),
+        "lakehouse_dim_product": lakehouse_table("dim_product"),
+        "lakehouse_dim_store": lakehouse_table("dim_store"),
+        "lakehouse_dim_inventory": lakehouse_table("dim_inventory"),
+        "lakehouse_dim_payment": lakehouse_table("dim_payment"),
+        "lakehouse_dim_shipment": lakehouse_table("dim_shipment"),
+        "lakehouse_daily_sales": lakehouse_table("gold_sales_summary"),
+        "lakehouse_product_kpi": lakehouse_table("gold_product_performance"),
+        "lakehouse_customer_kpi": lakehouse_table("gold_customer_kpi"),
+        "lakehouse_store_kpi": lakehouse_table("gold_store_performance"),
+        "lakehouse_after_failed_batch": lakehouse_after_failed_batch,
+        "silver_new_column": silver_new_column,
     }

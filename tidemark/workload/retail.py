@@ -11,16 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-_opened: dict[tuple[str, str], DataFrame] = {}
-
-
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; its schema is read from the files once per session."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _opened:
-        _opened[key] = spark.read.parquet(path)
-    return _opened[key]
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _ts(text: str) -> Column:
@@ -134,7 +126,9 @@ def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(part % 223 == 1, 0)
         .otherwise(F.col("l_quantity").cast("int"))
         .alias("Quantity"),
+        # Every third part is priced to a tenth of a cent.
         F.when(part % 211 == 0, -F.col("l_extendedprice"))
+        .when(part % 3 == 1, (F.round(F.col("l_extendedprice") * 1000) + 4) / 1000)
         .otherwise(F.col("l_extendedprice"))
         .alias("TotalAmount"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("ModifiedDate"),
