@@ -8,6 +8,7 @@ from dataclasses import replace
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.operators import watermark_seed
@@ -202,7 +203,10 @@ def test_a_failed_copy_is_logged_and_ends_the_run(spark, tmp_path):
 
 def test_a_new_column_reaches_silver(spark, tmp_path):
     lake(spark, tmp_path).run(1, *sources(spark, FIRST))
-    wider = replace(SILVER["payment"], schema=SILVER["payment"].schema.add("currency", "string"))
+    known = SILVER["payment"].schema
+    wider = replace(
+        SILVER["payment"], schema=T.StructType([*known.fields, T.StructField("currency", T.StringType())])
+    )
     second = lake(spark, tmp_path, 2)
     second.specs = {**SILVER, "payment": wider}
     tables, feeds = sources(spark, FIRST)

@@ -552,7 +552,9 @@ def _interrupted(spark: SparkSession, sf_dir: str) -> Lakehouse:
     """Batch 1, a second one that ends before its marks move, and a third with a column
     that payments did not have before."""
     spec = SILVER["payment"]
-    wider = replace(spec, schema=spec.schema.add("currency", "string"))
+    # A new schema: add() would change the one that all readers share.
+    currency = T.StructField("currency", T.StringType())
+    wider = replace(spec, schema=T.StructType([*spec.schema.fields, currency]))
 
     def run(path: str) -> None:
         Lakehouse(spark, path, AS_OF).run(1, *_batch_inputs(spark, sf_dir, FIRST_CUT))
@@ -561,11 +563,11 @@ def _interrupted(spark: SparkSession, sf_dir: str) -> Lakehouse:
         except KeyboardInterrupt:
             pass
         tables, feeds = _batch_inputs(spark, sf_dir, None)
-        currency = F.when(F.col("payment_id") % 2 == 0, "CAD")
+        given_as = F.when(F.col("payment_id") % 2 == 0, "CAD")
         third = Lakehouse(spark, path, LATER, specs={**SILVER, "payment": wider})
         third.run(
             3, tables,
-            lambda n: feeds(n).withColumn("currency", currency) if n == "payment" else feeds(n),
+            lambda n: feeds(n).withColumn("currency", given_as) if n == "payment" else feeds(n),
         )
 
     return Lakehouse(spark, _once(spark, sf_dir, "lakehouse-interrupted", run))
