@@ -42,14 +42,24 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
-@lru_cache(maxsize=2)
-def _encoding(ranks: bytes, pattern: str) -> tuple[tiktoken.Encoding, list[bytes]]:
-    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
-    encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+def _table(ranks: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+
+
+@lru_cache(maxsize=1)
+def _encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
+    return tiktoken.Encoding(
+        "own", pat_str=pattern, mergeable_ranks=_table(ranks), special_tokens={}
+    )
+
+
+@lru_cache(maxsize=1)
+def _token_bytes(ranks: bytes) -> list[bytes]:
+    table = _table(ranks)
     by_id = [b""] * (max(table.values()) + 1)
     for raw, rank in table.items():
         by_id[rank] = raw
-    return encoding, by_id
+    return by_id
 
 
 def boundaries(text: str, start: int, pattern: regex.Pattern) -> tuple[list, list, list, list]:
@@ -180,7 +190,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
         ranks = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def tokens(text: str) -> bytes:
-        encoding = _encoding(ranks.value, pattern)[0]
+        encoding = _encoding(ranks.value, pattern)
         return encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -200,10 +210,9 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     prepare(encoded.sparkSession)
     with open(vocabulary or default_vocabulary(), "rb") as file:
         ranks = encoded.sparkSession.sparkContext.broadcast(file.read())
-    pattern = default_pattern()
 
     def raw(ids: bytes) -> bytes:
-        by_id = _encoding(ranks.value, pattern)[1]
+        by_id = _token_bytes(ranks.value)
         return b"".join([by_id[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
     return _per_row(encoded, raw, "ids", "decoded")
