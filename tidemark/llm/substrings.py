@@ -25,6 +25,9 @@ WINDOW = 20
 MINIMISER = 5
 # Packed text per bucket, which sets the number of buckets.
 BUCKET_BYTES = 2 << 20
+# Text of super-k-mers that a task gathers before it packs them; the number of packs is
+# that of the gatherings times that of the buckets, and at most that of the super-k-mers.
+GATHER_BYTES = 24 << 20
 # A super-k-mer carries about this many times the text of its windows.
 EXPANSION = 3
 # Minimisers with more occurrences are counted by window instead; at most HOT_LIST of
@@ -159,7 +162,8 @@ def packed_runs(docs: DataFrame, hot: list[int], n_buckets: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(np.array(hot, np.int64).view(np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3).compress
+        waiting: list[tuple] = []
+        size = 0
         for batch in batches:
             texts, ids = texts_of(batch), batch.column("doc_id").to_numpy()
             for start, end in blocks(texts):
@@ -182,22 +186,38 @@ def packed_runs(docs: DataFrame, hot: list[int], n_buckets: int) -> DataFrame:
                 starts, sizes = _runs(first[sent], of[sent], least[sent])
                 lead = sent[starts]
                 bucket = (tokens.mix(least[lead]) % np.uint64(n_buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                begin = block.starts[first[lead]].tolist()
-                stop = block.ends[first[lead] + sizes + WINDOW - 2].tolist()
-                cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-                blobs, numbers = [], []
-                for group in np.split(order, cuts) if len(order) else []:
-                    strings = b"\n".join([block.raw[begin[i] : stop[i]] for i in group.tolist()])
-                    heads = np.stack([doc[lead[group]], place[lead[group]]]).astype("<i8")
-                    size = np.array([len(group)], "<i8").tobytes()
-                    blobs.append(squeeze(size + heads.tobytes() + strings))
-                    numbers.append(int(bucket[group[0]]))
-                yield _batch(len(blobs), bucket=numbers, blob=blobs)
+                begin = block.starts[first[lead]]
+                stop = block.ends[first[lead] + sizes + WINDOW - 2]
+                waiting.append((block.raw, bucket, begin, stop, doc[lead], place[lead]))
+                size += int((stop - begin).sum())
+                if size >= GATHER_BYTES:
+                    yield _packs(waiting)
+                    waiting, size = [], 0
+        if waiting:
+            yield _packs(waiting)
 
     return docs.mapInArrow(run, _ROWS)
 
 
+def _packs(waiting: list[tuple]) -> pa.RecordBatch:
+    """One compressed pack per bucket of the super-k-mers of some blocks, given as spans
+    of each block's bytes with their buckets, documents and places."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    raws = [block[0] for block in waiting]
+    of = np.repeat(np.arange(len(waiting)), [len(block[1]) for block in waiting]).tolist()
+    bucket, begin, stop, doc, place = (np.concatenate(part) for part in list(zip(*waiting))[1:])
+    begin, stop = begin.tolist(), stop.tolist()
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    blobs, numbers = [], []
+    for group in np.split(order, cuts) if len(order) else []:
+        strings = b"\n".join([raws[of[i]][begin[i] : stop[i]] for i in group.tolist()])
+        heads = np.stack([doc[group], place[group]]).astype("<i8").tobytes()
+        blobs.append(squeeze(np.array([len(group)], "<i8").tobytes() + heads + strings))
+        numbers.append(int(bucket[group[0]]))
+    return _batch(len(blobs), bucket=numbers, blob=blobs)
+
+
 def _hot_windows(
     block: tokens.Block, first: np.ndarray, doc: np.ndarray, place: np.ndarray, sent: np.ndarray,
     hashes: np.ndarray,
