@@ -139,12 +139,11 @@ def lake(spark, tmp_path, day=1):
 def test_a_failed_batch_loses_nothing(spark, tmp_path, monkeypatch):
     lake(spark, tmp_path).run(1, *sources(spark, FIRST))
     first = state(lake(spark, tmp_path))
-    for step in ("build_gold", "build_kpis"):
-        with monkeypatch.context() as patched:
-            patched.setattr(Lakehouse, step, lambda self: 1 / 0)
-            with pytest.raises(ZeroDivisionError):
-                lake(spark, tmp_path, 2).run(2, *sources(spark, SECOND))
-        assert state(lake(spark, tmp_path)) == first
+    with monkeypatch.context() as patched:
+        patched.setattr(Lakehouse, "build_kpis", lambda self: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            lake(spark, tmp_path, 2).run(2, *sources(spark, SECOND))
+    assert state(lake(spark, tmp_path)) == first
     lake(spark, tmp_path, 3).run(3, *sources(spark, SECOND))
     assert state(lake(spark, tmp_path)) == AFTER_SECOND
 
@@ -152,9 +151,8 @@ def test_a_failed_batch_loses_nothing(spark, tmp_path, monkeypatch):
 def test_a_batch_without_changes(spark, tmp_path):
     lake(spark, tmp_path).run(1, *sources(spark, FIRST))
     first = state(lake(spark, tmp_path))
-    lake(spark, tmp_path, 2).run(2, *sources(spark, FIRST))
-    lake(spark, tmp_path, 3).run(3, *sources(spark, FIRST), compact=True)
-    lake(spark, tmp_path, 4).run(4, *sources(spark, FIRST))
+    lake(spark, tmp_path, 2).run(2, *sources(spark, FIRST), compact=True)
+    lake(spark, tmp_path, 3).run(3, *sources(spark, FIRST))
     assert state(lake(spark, tmp_path)) == first
 
 
