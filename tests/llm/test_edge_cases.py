@@ -150,3 +150,13 @@ def test_stages_keep_the_columns(spark, tables, tmp_path):
             assert table.columns == docs.columns
         last = corpus_pipeline.STAGES[-1][1](spark, table, str(tmp_path))
         assert last.count() == table.count()
+
+
+def test_contamination_is_found_whatever_text_comes_before(spark):
+    items = spark.createDataFrame([(0, ITEM)], "item_id long, text string")
+    words = ITEM.split()
+    damaged = [words[:-1], [*words[:-1], "hill"], words[:-2], [*words[:-1], "hill", *["so"] * 30]]
+    texts = [(i, " ".join(w)) for i, w in enumerate([["one", "two", "three"], *damaged] * 2)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    found = rows(decontaminate.contaminated(docs, items), "doc_id", "edits")
+    assert found == [(1, 1), (2, 1), (3, 2), (4, 1), (6, 1), (7, 1), (8, 2), (9, 1)]

@@ -125,26 +125,31 @@ class Screen:
         if len(hashes) < 2 or not self.classes:
             return []
         pairs = self.masks[pair_slots(hashes)]
-        pairs[block.first[1:-1][block.first[1:-1] < len(hashes)] - 1] = 0  # across texts
+        at, text = np.arange(len(hashes)), block.word_text()
+        last = block.first[1:][text] - 1  # the last word of the text of each word
         found = []
         for number in self.classes:
             size = SIZES[number]
             has = (pairs >> np.uint64(number)) & np.uint64(1)
             total = np.concatenate(([0], np.cumsum(has.astype(np.int64))))
-            # Windows may run over the end of a text: a damaged copy can be shorter.
-            ends = np.minimum(np.arange(len(hashes)) + size - 1, len(pairs))
-            count = total[ends] - total[np.minimum(np.arange(len(hashes)), len(pairs))]
+            # Windows may run over the end of a text, as a damaged copy can be shorter, but
+            # nothing of the next text counts.
+            count = total[np.minimum(at + size - 1, last)] - total[at]
             enough = np.flatnonzero(count >= max(1, size - 1 - 2 * class_edits(number)))
             if len(enough):
-                found.append((number, _peaks(enough, count[enough], max(1, size // 4))))
+                kept = _peaks(enough, count[enough], text[enough], max(1, size // 4))
+                found.append((number, kept))
         return found
 
 
-def _peaks(places: np.ndarray, counts: np.ndarray, reach: int) -> np.ndarray:
-    """Places whose count no other place within ``reach`` exceeds, of equal ones the first."""
+def _peaks(
+    places: np.ndarray, counts: np.ndarray, texts: np.ndarray, reach: int
+) -> np.ndarray:
+    """Places whose count no other place of their text within ``reach`` exceeds, of equal
+    ones the first."""
     keep = np.ones(len(places), bool)
     for step in range(1, min(reach + 1, len(places))):
-        near = places[step:] - places[:-step] <= reach
+        near = (places[step:] - places[:-step] <= reach) & (texts[step:] == texts[:-step])
         keep[:-step] &= ~(near & (counts[step:] > counts[:-step]))
         keep[step:] &= ~(near & (counts[:-step] >= counts[step:]))
     return places[keep]
