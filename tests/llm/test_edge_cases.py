@@ -160,3 +160,14 @@ def test_contamination_is_found_whatever_text_comes_before(spark):
     docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
     found = rows(decontaminate.contaminated(docs, items), "doc_id", "edits")
     assert found == [(1, 1), (2, 1), (3, 2), (4, 1), (6, 1), (7, 1), (8, 2), (9, 1)]
+
+
+def test_overlapping_items_are_each_found(spark):
+    words = [f"w{i * i % 9973}" for i in range(150)]
+    texts = [(0, words[:100]), (1, words[50:150])]
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in texts], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, " ".join(words[30:150])), (2, " ".join(words))], "doc_id long, text string"
+    )
+    found = rows(decontaminate.contaminated(docs, items), "doc_id", "item_id", "edits")
+    assert found == [(1, 1, 0), (2, 0, 0), (2, 1, 0)]

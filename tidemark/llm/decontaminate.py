@@ -7,13 +7,16 @@ distance has become Hamming distance. Keys made of a few sampled places, repeate
 find the windows that resemble an item; an exact edit distance verifies them.
 
 A q-gram count comes first and is lossless: a window within d edits of an item keeps
-all but 2 d of its word pairs, so only windows with enough pairs are embedded.
+all but 2 d of its word pairs, so only windows with enough pairs are embedded. Every
+such window is, but in runs of windows of THIN words or more, where every few in a row
+have one that stands for them, less than a THIN-th of the window away.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +33,13 @@ MIN_ITEM_WORDS = 5
 CLASS_GROWTH = 1.1
 REPETITIONS = 64
 SAMPLED = 3
-# One bit per class and slot; the table is of fixed size, whatever the benchmark.
-PAIR_SLOTS = 1 << 22
+THIN = 64
+# One bit per class and slot. The tables grow with the benchmark up to the larger size;
+# beyond it they let more windows through, and lose none.
+PAIR_SLOTS = 1 << 22, 1 << 24
+KEY_SLOTS = 1 << 20, 1 << 24
+# Windows walked together.
+WALKED = 256
 MAX_CLASSES = 64
 
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -68,32 +76,47 @@ def words_block(texts: list[bytes]) -> tuple[tokens.Block, np.ndarray]:
     return block, block.word_hashes()
 
 
-def pair_slots(hashes: np.ndarray) -> np.ndarray:
+def pair_slots(hashes: np.ndarray, slots: int) -> np.ndarray:
     """Slot of each pair of neighbouring words."""
     pairs = tokens.mix(hashes[:-1] * np.uint64(tokens.BASE) + hashes[1:])
-    return (pairs % np.uint64(PAIR_SLOTS)).astype(np.int64)
+    return (pairs % np.uint64(slots)).astype(np.int64)
 
 
-def walk_keys(windows: np.ndarray, number: int) -> np.ndarray:
-    """LSH keys (windows, REPETITIONS) of windows of the size of a class."""
-    n, size = windows.shape
+def table_size(entries: int, least: int, most: int) -> int:
+    """Slots for a table of ``entries``, a power of two."""
+    return min(max(least, 1 << (16 * entries).bit_length()), most)
+
+
+@lru_cache(maxsize=256)
+def _walk(number: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sampled steps of each walk, and an odd factor for each step of it. The walks are
+    ordered by their last step, so that those under way are the last ones."""
     steps = 2 * size
     rng = np.random.default_rng(1000 + number)
     picked = np.sort(
         np.array([rng.choice(steps, min(SAMPLED, steps), False) for _ in range(REPETITIONS)]), 1
     )
-    salts = rng.integers(0, 1 << 63, (steps, REPETITIONS), dtype=np.uint64)
-    padded = np.column_stack([windows, np.zeros((n, steps - size + 1), np.uint64)])
-    at = np.zeros((n, REPETITIONS), np.int64)
-    rows = np.arange(n)[:, None]
+    picked = picked[np.argsort(picked[:, -1], kind="stable")]
+    return picked, rng.integers(0, 1 << 63, (steps, REPETITIONS), dtype=np.uint64) | np.uint64(1)
+
+
+def walk_keys(windows: np.ndarray, number: int) -> np.ndarray:
+    """LSH keys (windows, REPETITIONS) of windows of the size of a class."""
+    n, size = windows.shape
+    picked, factors = _walk(number, size)
+    padded = np.column_stack([windows, np.zeros((n, size + 1), np.uint64)]).ravel()
+    at = np.repeat(np.arange(n)[:, None] * (2 * size + 1), REPETITIONS, 1)
     keys = tokens.mix(
         np.arange(REPETITIONS, dtype=np.uint64) + np.uint64(number * REPETITIONS + 1)
     )[None, :].repeat(n, 0)
     for step in range(picked.max() + 1):
-        word = padded[rows, at]
-        use = (picked == step).any(1)
-        keys[:, use] = tokens.mix(keys[:, use] * np.uint64(tokens.BASE) + word[:, use])
-        at += (tokens.mix(word ^ salts[step][None, :]) & np.uint64(1)).astype(np.int64)
+        begin = int(np.searchsorted(picked[:, -1], step))
+        word = padded[at[:, begin:]]
+        use = np.flatnonzero((picked[begin:] == step).any(1))
+        if len(use):
+            now = keys[:, begin + use] * np.uint64(tokens.BASE) + word[:, use]
+            keys[:, begin + use] = tokens.mix(now)
+        at[:, begin:] += ((word * factors[step, begin:]) >> np.uint64(63)).astype(np.int64)
     return keys
 
 
@@ -118,13 +141,15 @@ class Screen:
 
     masks: np.ndarray
     classes: list[int]
+    # Which slots of a key belong to an item.
+    keys: np.ndarray
 
     def windows(self, hashes: np.ndarray, block: tokens.Block) -> list[tuple[int, np.ndarray]]:
-        """(class, first words) of the windows with enough pairs of their class, the
-        first of those that have the most pairs in their surroundings."""
+        """(class, first words) of the windows with enough pairs of their class; of long
+        ones those of a run that stand for all within less than size / THIN words."""
         if len(hashes) < 2 or not self.classes:
             return []
-        pairs = self.masks[pair_slots(hashes)]
+        pairs = self.masks[pair_slots(hashes, len(self.masks))]
         at, text = np.arange(len(hashes)), block.word_text()
         last = block.first[1:][text] - 1  # the last word of the text of each word
         found = []
@@ -137,22 +162,21 @@ class Screen:
             count = total[np.minimum(at + size - 1, last)] - total[at]
             enough = np.flatnonzero(count >= max(1, size - 1 - 2 * class_edits(number)))
             if len(enough):
-                kept = _peaks(enough, count[enough], text[enough], max(1, size // 4))
-                found.append((number, kept))
+                found.append((number, _thinned(enough, text[enough], 1 + size // THIN)))
         return found
 
+    def items_keys(self, keys: np.ndarray) -> np.ndarray:
+        """Which keys an item may have; never False for a key of one."""
+        return self.keys[(keys & np.uint64(len(self.keys) - 1)).astype(np.int64)]
+
 
-def _peaks(
-    places: np.ndarray, counts: np.ndarray, texts: np.ndarray, reach: int
-) -> np.ndarray:
-    """Places whose count no other place of their text within ``reach`` exceeds, of equal
-    ones the first."""
-    keep = np.ones(len(places), bool)
-    for step in range(1, min(reach + 1, len(places))):
-        near = (places[step:] - places[:-step] <= reach) & (texts[step:] == texts[:-step])
-        keep[:-step] &= ~(near & (counts[step:] > counts[:-step]))
-        keep[step:] &= ~(near & (counts[:-step] >= counts[step:]))
-    return places[keep]
+def _thinned(places: np.ndarray, texts: np.ndarray, every: int) -> np.ndarray:
+    """The first place of each run of consecutive ones in a text, and each ``every``-th
+    from there: a place that goes has one that stays less than ``every`` before it."""
+    new = np.ones(len(places), bool)
+    new[1:] = (places[1:] != places[:-1] + 1) | (texts[1:] != texts[:-1])
+    start = np.maximum.accumulate(np.where(new, places, 0))
+    return places[(places - start) % every == 0]
 
 
 def item_words(benchmark: DataFrame) -> DataFrame:
@@ -182,32 +206,43 @@ def item_words(benchmark: DataFrame) -> DataFrame:
 
 
 def build_screen(items: DataFrame) -> Screen:
-    """Masks of all items' word pairs; at most PAIR_SLOTS rows reach the driver."""
+    """Masks of all items' word pairs and slots of all their keys; as many rows as the
+    tables have slots reach the driver at most."""
+    sizes = items.agg(F.sum(F.size("words")), F.sum(F.size("keys"))).first()
+    slots = table_size(sizes[0] or 0, *PAIR_SLOTS)
+    keys = np.zeros(table_size(sizes[1] or 0, *KEY_SLOTS), bool)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots, numbers = [], []
+            at, numbers = [], []
             for number, words in zip(batch.column("class").to_pylist(), batch.column("words")):
-                own = pair_slots(np.array(words.as_py(), np.int64).view(np.uint64))
-                slots.append(own)
+                own = pair_slots(np.array(words.as_py(), np.int64).view(np.uint64), slots)
+                at.append(own)
                 numbers.append(np.full(len(own), 1 << number if number < 63 else -(1 << 63)))
-            if slots:
+            if at:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(slots)), pa.array(np.concatenate(numbers))],
+                    [pa.array(np.concatenate(at)), pa.array(np.concatenate(numbers))],
                     names=["slot", "mask"],
                 )
 
-    masks = np.zeros(PAIR_SLOTS, np.uint64)
+    masks = np.zeros(slots, np.uint64)
     table = (
         items.select("class", "words").mapInArrow(run, "slot long, mask long")
         .groupBy("slot").agg(F.bit_or("mask").alias("mask")).toPandas()
     )
     masks[table["slot"].to_numpy(int)] = table["mask"].to_numpy(np.int64).view(np.uint64)
-    return Screen(masks, sorted(r[0] for r in items.select("class").distinct().collect()))
+    own = (
+        items.select(F.explode("keys").alias("key"))
+        .select(F.col("key").bitwiseAND(F.lit(len(keys) - 1)).alias("slot")).distinct().toPandas()
+    )
+    keys[own["slot"].to_numpy(int)] = True
+    return Screen(masks, sorted(r[0] for r in items.select("class").distinct().collect()), keys)
 
 
 def suspicious_windows(docs: DataFrame, screen: Screen) -> DataFrame:
-    """(doc_id, class, start, region, keys) of all windows that pass the screen."""
+    """(doc_id, class, region, keys) of the windows that pass the screen and have a key
+    that an item may have; neighbouring ones, up to a window's size apart, are one row
+    with the words around all of them and the keys of any."""
     shared = docs.sparkSession.sparkContext.broadcast(screen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,33 +251,54 @@ def suspicious_windows(docs: DataFrame, screen: Screen) -> DataFrame:
             for start, end in blocks(texts):
                 block, hashes = words_block(texts[start:end])
                 for number, places in shared.value.windows(hashes, block):
-                    of = np.searchsorted(block.first, places, "right") - 1
-                    last = block.first[of + 1]
-                    cells = places[:, None] + np.arange(SIZES[number])
-                    inside = cells < last[:, None]
-                    window = np.where(inside, hashes[np.minimum(cells, len(hashes) - 1)], 0)
-                    keys = walk_keys(window.astype(np.uint64), number).view(np.int64)
+                    at, keys = _matching_keys(shared.value, hashes, block, number, places)
+                    if not len(at):
+                        continue
+                    of = np.searchsorted(block.first, at, "right") - 1
+                    cell = (at - block.first[of]) // SIZES[number]
+                    new = np.flatnonzero(np.diff(of) | np.diff(cell)) + 1
+                    heads, ends = np.append(0, new), np.append(new, len(at))
                     left, right = _reach(number)
-                    begins = np.maximum(places - left, block.first[of])
-                    stops = np.minimum(places + right, last)
+                    begins = np.maximum(at[heads] - left, block.first[of[heads]])
+                    stops = np.minimum(at[ends - 1] + right, block.first[of[heads] + 1])
                     regions = [hashes[b:e].view(np.int64) for b, e in zip(begins, stops)]
+                    own = [np.unique(keys[b:e]).view(np.int64) for b, e in zip(heads, ends)]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            ids.take(pa.array(start + of)),
-                            pa.array(np.full(len(places), number, np.int32)),
-                            pa.array(places - block.first[of]),
+                            ids.take(pa.array(start + of[heads])),
+                            pa.array(np.full(len(heads), number, np.int32)),
                             pa.array(regions, pa.list_(pa.int64())),
-                            pa.array(list(keys), pa.list_(pa.int64())),
+                            pa.array(own, pa.list_(pa.int64())),
                         ],
-                        names=["doc_id", "class", "start", "region", "keys"],
+                        names=["doc_id", "class", "region", "keys"],
                     )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {id_type}, class int, start long, region array<long>, keys array<long>"
+        run, f"doc_id {id_type}, class int, region array<long>, keys array<long>"
     )
 
 
+def _matching_keys(
+    screen: Screen, hashes: np.ndarray, block: tokens.Block, number: int, places: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Window starts and keys, one of each per key that an item may have."""
+    size = SIZES[number]
+    last = block.first[np.searchsorted(block.first, places, "right")]
+    together = max(1, min(WALKED, (1 << 22) // size))
+    starts, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for low in range(0, len(places), together):
+        part = places[low : low + together]
+        cells = part[:, None] + np.arange(size)
+        inside = cells < last[low : low + together, None]
+        window = np.where(inside, hashes[np.minimum(cells, len(hashes) - 1)], np.uint64(0))
+        keys = walk_keys(window, number)
+        rows, columns = np.nonzero(screen.items_keys(keys))
+        starts.append(part[rows])
+        found.append(keys[rows, columns])
+    return np.concatenate(starts), np.concatenate(found)
+
+
 def _reach(number: int) -> tuple[int, int]:
     """Words before and after a window's start in which a copy of an item can lie."""
     size, edits = SIZES[number], class_edits(number)
