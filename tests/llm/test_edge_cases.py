@@ -171,3 +171,16 @@ def test_overlapping_items_are_each_found(spark):
     )
     found = rows(decontaminate.contaminated(docs, items), "doc_id", "item_id", "edits")
     assert found == [(1, 1, 0), (2, 0, 0), (2, 1, 0)]
+
+
+def test_long_items_are_found(spark):
+    words = [f"w{i * i % 99991}" for i in range(10_000)]
+    items = [(0, words), (1, words[:6_500])]
+    damaged = [w if i % 12 else "changed" for i, w in enumerate(words[:6_500])]
+    texts = [["one", *words, "two"], damaged]
+    table = [(i, " ".join(w)) for i, w in items]
+    texts = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    items = spark.createDataFrame(table, "item_id long, text string")
+    found = rows(decontaminate.contaminated(docs, items), "doc_id", "item_id", "edits")
+    assert found == [(0, 0, 0), (0, 1, 0), (1, 1, sum(w == "changed" for w in damaged))]

@@ -7,9 +7,10 @@ distance has become Hamming distance. Keys made of a few sampled places, repeate
 find the windows that resemble an item; an exact edit distance verifies them.
 
 A q-gram count comes first and is lossless: a window within d edits of an item keeps
-all but 2 d of its word pairs, so only windows with enough pairs are embedded. Every
-such window is, but in runs of windows of THIN words or more, where every few in a row
-have one that stands for them, less than a THIN-th of the window away.
+all but 2 d of its word pairs, so only windows with enough pairs are embedded.
+
+Long items are searched by their pieces, since walks through long windows part for good.
+A copy within the rate of edits has a piece within it; the whole item is verified.
 """
 
 from __future__ import annotations
@@ -33,14 +34,16 @@ MIN_ITEM_WORDS = 5
 CLASS_GROWTH = 1.1
 REPETITIONS = 64
 SAMPLED = 3
-THIN = 64
 # One bit per class and slot. The tables grow with the benchmark up to the larger size;
 # beyond it they let more windows through, and lose none.
 PAIR_SLOTS = 1 << 22, 1 << 24
 KEY_SLOTS = 1 << 20, 1 << 24
 # Windows walked together.
 WALKED = 256
-MAX_CLASSES = 64
+# Words of items verified together.
+VERIFIED = 1 << 17
+# Items of twice as many words or more are cut into even pieces of at least as many.
+PIECE_WORDS = 32
 
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
@@ -50,9 +53,9 @@ def max_edits(n_words: int) -> int:
 
 
 def size_classes() -> list[int]:
-    """Smallest item size of each class; the last class is open."""
+    """Smallest size of each class of items or pieces, and one beyond the last class."""
     sizes = [MIN_ITEM_WORDS]
-    while len(sizes) < MAX_CLASSES:
+    while sizes[-1] < 2 * PIECE_WORDS:
         sizes.append(max(sizes[-1] + 1, int(np.ceil(sizes[-1] * CLASS_GROWTH))))
     return sizes
 
@@ -66,8 +69,14 @@ def class_of(n_words: int) -> int:
 
 def class_edits(number: int) -> int:
     """Edits that the longest item of a class may have."""
-    last = SIZES[number + 1] - 1 if number + 1 < len(SIZES) else SIZES[number]
-    return max_edits(last)
+    return max_edits(SIZES[number + 1] - 1)
+
+
+def pieces(words: np.ndarray) -> list[np.ndarray]:
+    """An item as a whole or, if it is long, in even parts. An edit falls into one part,
+    so a copy with at most EDIT_RATE edits per word has a part with no more either."""
+    n = max(1, len(words) // PIECE_WORDS)
+    return [words[len(words) * i // n : len(words) * (i + 1) // n] for i in range(n)]
 
 
 def words_block(texts: list[bytes]) -> tuple[tokens.Block, np.ndarray]:
@@ -143,15 +152,16 @@ class Screen:
     classes: list[int]
     # Which slots of a key belong to an item.
     keys: np.ndarray
+    # Words of the longest item with a piece in the class, 0 without pieces.
+    longest: dict[int, int]
 
     def windows(self, hashes: np.ndarray, block: tokens.Block) -> list[tuple[int, np.ndarray]]:
-        """(class, first words) of the windows with enough pairs of their class; of long
-        ones those of a run that stand for all within less than size / THIN words."""
+        """(class, first words) of all windows with enough pairs of their class."""
         if len(hashes) < 2 or not self.classes:
             return []
         pairs = self.masks[pair_slots(hashes, len(self.masks))]
-        at, text = np.arange(len(hashes)), block.word_text()
-        last = block.first[1:][text] - 1  # the last word of the text of each word
+        at = np.arange(len(hashes))
+        last = block.first[1:][block.word_text()] - 1  # of the text of each word
         found = []
         for number in self.classes:
             size = SIZES[number]
@@ -162,7 +172,7 @@ class Screen:
             count = total[np.minimum(at + size - 1, last)] - total[at]
             enough = np.flatnonzero(count >= max(1, size - 1 - 2 * class_edits(number)))
             if len(enough):
-                found.append((number, _thinned(enough, text[enough], 1 + size // THIN)))
+                found.append((number, enough))
         return found
 
     def items_keys(self, keys: np.ndarray) -> np.ndarray:
@@ -170,17 +180,9 @@ class Screen:
         return self.keys[(keys & np.uint64(len(self.keys) - 1)).astype(np.int64)]
 
 
-def _thinned(places: np.ndarray, texts: np.ndarray, every: int) -> np.ndarray:
-    """The first place of each run of consecutive ones in a text, and each ``every``-th
-    from there: a place that goes has one that stays less than ``every`` before it."""
-    new = np.ones(len(places), bool)
-    new[1:] = (places[1:] != places[:-1] + 1) | (texts[1:] != texts[:-1])
-    start = np.maximum.accumulate(np.where(new, places, 0))
-    return places[(places - start) % every == 0]
-
-
 def item_words(benchmark: DataFrame) -> DataFrame:
-    """(item_id, class, words, keys) of the items with enough words."""
+    """(item_id, class, words, keys, n_words, whole) of the pieces of the items with enough
+    words; the first piece of an item carries all its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,19 +191,26 @@ def item_words(benchmark: DataFrame) -> DataFrame:
             for i, item in enumerate(batch.column("item_id").to_pylist()):
                 words = hashes[block.first[i] : block.first[i + 1]]
                 if len(words) >= MIN_ITEM_WORDS:
-                    number = class_of(len(words))
-                    keys = walk_keys(words[None, : SIZES[number]], number)[0]
-                    rows.append((item, number, words.view(np.int64), keys.view(np.int64)))
-            names = ["item_id", "class", "words", "keys"]
-            columns = list(zip(*rows)) or [[]] * 4
-            types = [batch.schema.field("item_id").type, pa.int32(), *[pa.list_(pa.int64())] * 2]
+                    for k, piece in enumerate(pieces(words)):
+                        number = class_of(len(piece))
+                        keys = walk_keys(piece[None, : SIZES[number]], number)[0].view(np.int64)
+                        whole = None if k else words.view(np.int64)
+                        rows.append(
+                            (item, number, piece.view(np.int64), keys, len(words), whole)
+                        )
+            names = ["item_id", "class", "words", "keys", "n_words", "whole"]
+            columns = list(zip(*rows)) or [[]] * 6
+            many = pa.list_(pa.int64())
+            types = [batch.schema.field("item_id").type, pa.int32(), many, many, pa.int32(), many]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types)], names=names
             )
 
     id_type = benchmark.schema["item_id"].dataType.simpleString()
     return benchmark.select("item_id", "text").mapInArrow(
-        run, f"item_id {id_type}, class int, words array<long>, keys array<long>"
+        run,
+        f"item_id {id_type}, class int, words array<long>, keys array<long>, n_words int, "
+        "whole array<long>",
     )
 
 
@@ -236,13 +245,16 @@ def build_screen(items: DataFrame) -> Screen:
         .select(F.col("key").bitwiseAND(F.lit(len(keys) - 1)).alias("slot")).distinct().toPandas()
     )
     keys[own["slot"].to_numpy(int)] = True
-    return Screen(masks, sorted(r[0] for r in items.select("class").distinct().collect()), keys)
+    is_piece = F.col("n_words") > F.size("words")
+    longest = items.groupBy("class").agg(F.max(F.when(is_piece, F.col("n_words")).otherwise(0)))
+    found = dict(map(tuple, longest.collect()))
+    return Screen(masks, sorted(found), keys, found)
 
 
 def suspicious_windows(docs: DataFrame, screen: Screen) -> DataFrame:
     """(doc_id, class, region, keys) of the windows that pass the screen and have a key
-    that an item may have; neighbouring ones, up to a window's size apart, are one row
-    with the words around all of them and the keys of any."""
+    that an item may have; neighbouring ones, up to the size of a window or of the longest
+    item in pieces apart, are one row with the words around all and the keys of any."""
     shared = docs.sparkSession.sparkContext.broadcast(screen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,10 +267,11 @@ def suspicious_windows(docs: DataFrame, screen: Screen) -> DataFrame:
                     if not len(at):
                         continue
                     of = np.searchsorted(block.first, at, "right") - 1
-                    cell = (at - block.first[of]) // SIZES[number]
+                    longest = shared.value.longest[number]
+                    cell = (at - block.first[of]) // max(SIZES[number], longest)
                     new = np.flatnonzero(np.diff(of) | np.diff(cell)) + 1
                     heads, ends = np.append(0, new), np.append(new, len(at))
-                    left, right = _reach(number)
+                    left, right = _reach(number, longest)
                     begins = np.maximum(at[heads] - left, block.first[of[heads]])
                     stops = np.minimum(at[ends - 1] + right, block.first[of[heads] + 1])
                     regions = [hashes[b:e].view(np.int64) for b, e in zip(begins, stops)]
@@ -299,12 +312,20 @@ def _matching_keys(
     return np.concatenate(starts), np.concatenate(found)
 
 
-def _reach(number: int) -> tuple[int, int]:
-    """Words before and after a window's start in which a copy of an item can lie."""
-    size, edits = SIZES[number], class_edits(number)
-    last = SIZES[number + 1] - 1 if number + 1 < len(SIZES) else size
-    margin = edits + size // 4
-    return margin, last + edits + margin
+def _reach(number: int, longest: int) -> tuple[int, int]:
+    """Words before and after a window's start in which a copy of an item can lie, also
+    of one of up to ``longest`` words of which the window is a piece."""
+    edits = class_edits(number)
+    margin = edits + SIZES[number] // 4
+    rest = longest + max_edits(longest)
+    return margin + rest, SIZES[number + 1] - 1 + edits + margin + rest
+
+
+def _alike(sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows with items of one size, about VERIFIED words of items at a time."""
+    for size in np.unique(sizes):
+        rows = np.flatnonzero(sizes == size)
+        yield from np.split(rows, np.arange(0, len(rows), max(1, VERIFIED // size))[1:])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -330,20 +351,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .select("window", "item_id")
         .distinct()
     )
+    wholes = items.filter("whole IS NOT NULL").select("item_id", F.col("whole").alias("words"))
     near = (
         pairs.join(windows.select("window", "doc_id", "region"), "window")
-        .join(items.select("item_id", "words"), "item_id")
+        .join(wholes, "item_id")
         .select("doc_id", "item_id", "words", "region")
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [np.array(w) for w in batch.column("words").to_pylist()]
-            regions = [np.array(r) for r in batch.column("region").to_pylist()]
+            words = [w.values.to_numpy() for w in batch.column("words")]
+            regions = [r.values.to_numpy() for r in batch.column("region")]
             sizes = np.array([len(w) for w in words], np.int32)
             edits = np.zeros(len(words), np.int32)
-            for size in np.unique(sizes):
-                rows = np.flatnonzero(sizes == size)
+            for rows in _alike(sizes):
                 wide = max(len(regions[i]) for i in rows)
                 # Regions are padded with 0, which stands for no word.
                 padded = np.zeros((len(rows), wide), np.int64)
