@@ -184,3 +184,12 @@ def test_long_items_are_found(spark):
     items = spark.createDataFrame(table, "item_id long, text string")
     found = rows(decontaminate.contaminated(docs, items), "doc_id", "item_id", "edits")
     assert found == [(0, 0, 0), (0, 1, 0), (1, 1, sum(w == "changed" for w in damaged))]
+
+
+def test_clean_rows_stay_whatever_their_ids(spark):
+    items = spark.createDataFrame([(0, ITEM)], "item_id long, text string")
+    texts = [(None, f"so {ITEM}"), (None, PROSE), (None, None), (5, f"{ITEM} so"), (5, "clean"), (6, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = decontaminate.keep_uncontaminated(docs, items)
+    assert kept.columns == docs.columns
+    assert rows(kept) == [(5, "clean"), (6, ""), (None, PROSE), (None, None)]

@@ -389,11 +389,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs``, with all their columns, in which no item is found. A row without
-    doc_id cannot be told from others without one: it goes if one of them has a hit."""
-    hits = contaminated(docs, benchmark).select(F.col("doc_id").alias("_hit_id")).distinct()
-    hits = stored(hits, "decontaminate-hits")
-    return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("_hit_id")), "left_anti")
+    """Rows of ``docs``, with all their columns, in which no item is found. Texts are judged
+    by themselves, known by their digests, so rows without doc_id or with one that others
+    have too stay or go on their own."""
+    digest = F.sha2("text", 256)
+    hits = contaminated(docs.select(digest.alias("doc_id"), "text"), benchmark)
+    hits = stored(hits.select(F.col("doc_id").alias("_hit")).distinct(), "decontaminate-hits")
+    return docs.join(hits, digest == F.col("_hit"), "left_anti")
 
 
 def op3_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
