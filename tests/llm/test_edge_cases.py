@@ -193,3 +193,14 @@ def test_clean_rows_stay_whatever_their_ids(spark):
     kept = decontaminate.keep_uncontaminated(docs, items)
     assert kept.columns == docs.columns
     assert rows(kept) == [(5, "clean"), (6, ""), (None, PROSE), (None, None)]
+
+
+@pytest.mark.parametrize("hot", [0, substrings.HOT_OCCURRENCES])
+def test_texts_without_or_with_one_id_are_documents_of_their_own(spark, monkeypatch, hot):
+    monkeypatch.setattr(substrings, "HOT_OCCURRENCES", hot)
+    a, b, c, d, e = ([f"{name}{i}" for i in range(30)] for name in "abcde")
+    texts = [(1, a), (None, a + b), (None, c + d), (7, e + b), (7, c), (None, c + d)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts], "doc_id long, text string")
+    found = rows(substrings.remove_repeats(docs), "doc_id", "n_removed", "kept")
+    kept = [(1, 0, a), (7, 0, c), (7, 0, e + b), (None, 30, d), (None, 30, d), (None, 60, [])]
+    assert found == [(i, n, " ".join(w)) for i, n, w in kept]

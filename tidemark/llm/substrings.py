@@ -39,8 +39,34 @@ HOT_LIST = 100_000
 NO_ID = (1 << 63) - 1
 
 
-def _doc(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        "doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
+        F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("text_digest"),
+    )
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """doc_id, text, doc and twin: (doc, twin) is a document, that is a text with its id.
+
+    Different texts with one id, or without any, are told apart by the twin, a number in
+    the order of their digests; where the id is enough it is 0. Only the numbers of such
+    texts are stored, so the texts stay in place while these are few.
+    """
+    keyed = _keyed(docs)
+    distinct = stored(keyed.select("doc", "text_digest").distinct(), "substrings-documents")
+    several = distinct.groupBy("doc").count().filter("count > 1").select("doc")
+    ordered = (
+        distinct.join(several, "doc").repartitionByRange("doc", "text_digest")
+        .sortWithinPartitions("doc", "text_digest")
+    )
+    twins = stored(
+        ordered.select("doc", "text_digest", F.monotonically_increasing_id().alias("number")),
+        "substrings-twins",
+    )
+    return keyed.join(twins, ["doc", "text_digest"], "left").select(
+        "doc_id", "text", "doc", F.coalesce("number", F.lit(0).cast("long")).alias("twin")
+    )
 
 
 def _minimisers(block: tokens.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,33 +97,36 @@ def _window_bytes(block: tokens.Block, word: int) -> bytes:
 
 
 def repeats(
-    block: tokens.Block, first: np.ndarray, hashes: np.ndarray, docs: np.ndarray, places: np.ndarray
-) -> np.ndarray:
-    """Which windows have an equal one with a smaller (doc, place).
+    block: tokens.Block, first: np.ndarray, hashes: np.ndarray, docs: np.ndarray,
+    twins: np.ndarray, places: np.ndarray,
+) -> np.ndarray:
+    """Which windows have an equal one with a smaller (doc, twin, place).
 
     Windows are sorted by hash, document and place; neighbours with equal hashes are
     compared byte by byte (words are single-spaced), so the hash decides nothing.
     """
-    order = np.lexsort((places, docs, hashes))
+    order = np.lexsort((places, twins, docs, hashes))
     ranked = hashes[order]
     same = np.zeros(len(order), bool)
     same[1:] = ranked[1:] == ranked[:-1]
     for i in np.flatnonzero(same).tolist():
         if _window_bytes(block, first[order[i]]) != _window_bytes(block, first[order[i - 1]]):
-            return _repeats_by_bytes(block, first, docs, places)
+            return _repeats_by_bytes(block, first, docs, twins, places)
     head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
     leader = order[head]
     found = np.zeros(len(order), bool)
-    found[order] = (docs[leader] != docs[order]) | (places[leader] != places[order])
+    for values in (docs, twins, places):
+        found[order] |= values[leader] != values[order]
     return found
 
 
 def _repeats_by_bytes(
-    block: tokens.Block, first: np.ndarray, docs: np.ndarray, places: np.ndarray
+    block: tokens.Block, first: np.ndarray, docs: np.ndarray, twins: np.ndarray, places: np.ndarray
 ) -> np.ndarray:
     """The same when two different windows share a hash, which is next to impossible."""
-    earliest: dict[bytes, tuple[int, int]] = {}
-    keys = [(_window_bytes(block, w), (int(d), int(p))) for w, d, p in zip(first, docs, places)]
+    earliest: dict[bytes, tuple[int, ...]] = {}
+    at = zip(docs.tolist(), twins.tolist(), places.tolist())
+    keys = [(_window_bytes(block, w), key) for w, key in zip(first, at)]
     for window, at in keys:
         earliest[window] = min(earliest.get(window, at), at)
     return np.array([earliest[window] < at for window, at in keys], bool)
@@ -139,12 +168,12 @@ def frequent_minimisers(docs: DataFrame) -> tuple[list[int], int]:
     return sorted(r[0] for r in hot), totals.get("bytes") or 0
 
 
-_ROWS = "bucket long, blob binary, digest binary, doc long, place long, size long"
+_ROWS = "bucket long, blob binary, digest binary, doc long, twin long, place long, size long"
 
 
 def _batch(n: int, **columns: object) -> pa.RecordBatch:
     types = {"bucket": pa.int64(), "blob": pa.binary(), "digest": pa.binary(), "doc": pa.int64(),
-             "place": pa.int64(), "size": pa.int64()}
+             "twin": pa.int64(), "place": pa.int64(), "size": pa.int64()}
     values = [
         pa.array(columns[name], kind) if name in columns else pa.nulls(n, kind)
         for name, kind in types.items()
@@ -165,30 +194,33 @@ def packed_runs(docs: DataFrame, hot: list[int], n_buckets: int) -> DataFrame:
         waiting: list[tuple] = []
         size = 0
         for batch in batches:
-            texts, ids = texts_of(batch), batch.column("doc_id").to_numpy()
+            texts = texts_of(batch)
+            ids, numbers = batch.column("doc").to_numpy(), batch.column("twin").to_numpy()
             for start, end in blocks(texts):
                 block = tokens.Block([b" ".join(t.split()) for t in texts[start:end]])
                 first, least, hashes = _minimisers(block)
                 if not len(first):
                     continue
                 of = np.searchsorted(block.first, first, "right") - 1
-                doc, place = ids[start:end][of], first - block.first[of]
-                local = repeats(block, first, hashes, doc, place)
+                doc, twin = ids[start:end][of], numbers[start:end][of]
+                place = first - block.first[of]
+                local = repeats(block, first, hashes, doc, twin, place)
                 starts, sizes = _runs(first[local], of[local])
                 yield _batch(
-                    len(starts), bucket=(doc[local][starts] % n_buckets), doc=doc[local][starts],
+                    len(starts), bucket=(doc + twin)[local][starts] % n_buckets,
+                    doc=doc[local][starts], twin=twin[local][starts],
                     place=place[local][starts], size=sizes,
                 )
                 sent = np.flatnonzero(~local)
                 often = np.isin(least[sent], shared.value)
-                yield from _hot_windows(block, first, doc, place, sent[often], hashes)
+                yield from _hot_windows(block, first, doc, twin, place, sent[often], hashes)
                 sent = sent[~often]
                 starts, sizes = _runs(first[sent], of[sent], least[sent])
                 lead = sent[starts]
                 bucket = (tokens.mix(least[lead]) % np.uint64(n_buckets)).astype(np.int64)
                 begin = block.starts[first[lead]]
                 stop = block.ends[first[lead] + sizes + WINDOW - 2]
-                waiting.append((block.raw, bucket, begin, stop, doc[lead], place[lead]))
+                waiting.append((block.raw, bucket, begin, stop, doc[lead], twin[lead], place[lead]))
                 size += int((stop - begin).sum())
                 if size >= GATHER_BYTES:
                     yield _packs(waiting)
@@ -205,60 +237,62 @@ def _packs(waiting: list[tuple]) -> pa.RecordBatch:
     squeeze = zstandard.ZstdCompressor(level=3).compress
     raws = [block[0] for block in waiting]
     of = np.repeat(np.arange(len(waiting)), [len(block[1]) for block in waiting]).tolist()
-    bucket, begin, stop, doc, place = (np.concatenate(part) for part in list(zip(*waiting))[1:])
+    bucket, begin, stop, doc, twin, place = (np.concatenate(part) for part in list(zip(*waiting))[1:])
     begin, stop = begin.tolist(), stop.tolist()
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
     blobs, numbers = [], []
     for group in np.split(order, cuts) if len(order) else []:
         strings = b"\n".join([raws[of[i]][begin[i] : stop[i]] for i in group.tolist()])
-        heads = np.stack([doc[group], place[group]]).astype("<i8").tobytes()
+        heads = np.stack([doc[group], twin[group], place[group]]).astype("<i8").tobytes()
         blobs.append(squeeze(np.array([len(group)], "<i8").tobytes() + heads + strings))
         numbers.append(int(bucket[group[0]]))
     return _batch(len(blobs), bucket=numbers, blob=blobs)
 
 
 def _hot_windows(
-    block: tokens.Block, first: np.ndarray, doc: np.ndarray, place: np.ndarray, sent: np.ndarray,
-    hashes: np.ndarray,
+    block: tokens.Block, first: np.ndarray, doc: np.ndarray, twin: np.ndarray, place: np.ndarray,
+    sent: np.ndarray, hashes: np.ndarray,
 ) -> Iterator[pa.RecordBatch]:
     """Windows of frequent minimisers, by a 256-bit digest of their words."""
     if len(sent):
         digests = [sha256(_window_bytes(block, w)).digest() for w in first[sent].tolist()]
         yield _batch(
             len(sent), bucket=(hashes[sent] >> np.uint64(1)).astype(np.int64), digest=digests,
-            doc=doc[sent], place=place[sent], size=np.ones(len(sent), np.int64),
+            doc=doc[sent], twin=twin[sent], place=place[sent], size=np.ones(len(sent), np.int64),
         )
 
 
-def _unpacked(blobs: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    strings, docs, places = [], [], []
+def _unpacked(blobs: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """Super-k-mers, and the documents, twins and places of each."""
+    strings, heads = [], []
     for blob in map(zstandard.ZstdDecompressor().decompress, blobs):
         n = int(np.frombuffer(blob, "<i8", 1)[0])
-        heads = np.frombuffer(blob, "<i8", 2 * n, 8).reshape(2, n)
-        docs.append(heads[0])
-        places.append(heads[1])
-        strings += blob[8 + 16 * n :].split(b"\n")
-    return strings, np.concatenate(docs), np.concatenate(places)
+        heads.append(np.frombuffer(blob, "<i8", 3 * n, 8).reshape(3, n))
+        strings += blob[8 + 24 * n :].split(b"\n")
+    return strings, np.concatenate(heads, 1)
 
 
 def _bucket_repeats(blobs: list[bytes]) -> pa.RecordBatch:
-    strings, docs, places = _unpacked(blobs)
+    strings, heads = _unpacked(blobs)
     block = tokens.Block(strings)
     first, _, hashes = _minimisers(block)
     of = np.searchsorted(block.first, first, "right") - 1
-    doc, place = docs[of], places[of] + first - block.first[of]
-    found = repeats(block, first, hashes, doc, place)
+    doc, twin, place = heads[:, of]
+    place = place + first - block.first[of]
+    found = repeats(block, first, hashes, doc, twin, place)
     starts, sizes = _runs(first[found], of[found])
-    return _batch(len(starts), doc=doc[found][starts], place=place[found][starts], size=sizes)
+    return _batch(
+        len(starts), doc=doc[found][starts], twin=twin[found][starts],
+        place=place[found][starts], size=sizes,
+    )
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
-    """(doc, place, size): runs of repeated windows, by first word and number of windows."""
-    prepare(docs.sparkSession)
-    docs = _doc(docs)
+    """(doc, twin, place, size): runs of repeated windows of ``numbered`` texts, by first
+    word and number of windows."""
     hot, size = frequent_minimisers(docs)
-    rows = packed_runs(docs, hot, max(1, -(-size * EXPANSION // BUCKET_BYTES)))
+    rows = packed_runs(docs.select("doc", "twin", "text"), hot, max(1, -(-size * EXPANSION // BUCKET_BYTES)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, blobs = None, []
@@ -283,11 +317,12 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
         .drop("bucket", "blob"),
         "substrings-repeats",
     )
-    known = counted.filter("digest IS NULL").select("doc", "place", "size")
-    windows = counted.filter("digest IS NOT NULL").select("digest", "doc", "place", "size")
-    earliest = windows.groupBy("digest").agg(F.min(F.struct("doc", "place")).alias("earliest"))
-    late = windows.join(earliest, "digest").filter(F.struct("doc", "place") > F.col("earliest"))
-    return known.unionByName(late.select("doc", "place", "size"))
+    known = counted.filter("digest IS NULL").select("doc", "twin", "place", "size")
+    windows = counted.filter("digest IS NOT NULL").select("digest", "doc", "twin", "place", "size")
+    at = F.struct("doc", "twin", "place")
+    earliest = windows.groupBy("digest").agg(F.min(at).alias("earliest"))
+    late = windows.join(earliest, "digest").filter(at > F.col("earliest"))
+    return known.unionByName(late.select("doc", "twin", "place", "size"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -296,15 +331,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     A word goes if a window that covers it also starts earlier: in a document with a
     smaller doc_id, or earlier in the same one. Windows are judged on the input. A NULL
     or empty text, or one of fewer than 20 words, loses nothing. Rows with the same
-    doc_id are repetitions of one document and are treated alike, as are rows without
-    one, which count as the last document; an empty table gives no rows; columns other
-    than doc_id and text are ignored.
+    doc_id and text are repetitions of one document and are treated alike; different texts
+    with one doc_id are documents of their own, in the order of their digests, as are those
+    without one, which come last. An empty table gives no rows; columns other than doc_id
+    and text are ignored.
     """
+    prepare(docs.sparkSession)
+    keyed = numbered(docs)
     ranges = (
-        repeated_runs(docs).groupBy("doc").agg(F.collect_list(F.struct("place", "size")).alias("cut"))
+        repeated_runs(keyed).groupBy("doc", "twin").agg(F.collect_list(F.struct("place", "size")).alias("cut"))
     )
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    keyed = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -332,7 +369,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "n_words", "n_removed", "kept"],
                 )
 
-    joined = keyed.join(ranges, "doc", "left").select("doc_id", "text", "cut")
+    joined = keyed.join(ranges, ["doc", "twin"], "left").select("doc_id", "text", "cut")
     return joined.mapInArrow(run, f"doc_id {id_type}, n_words long, n_removed long, kept string")
 
 
