@@ -2,4 +2,84 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+# crc32 bit by bit over the characters of a key of digits; then the faults, and the
+# cheapest edits row by row: at each row the least (cost, letters) for every state.
+_REPAIR = """WITH RECURSIVE
+crc AS (
+  SELECT key, xor(list_reduce(
+      flatten(list_transform(string_split(key, ''), lambda c: list_concat([ascii(c)::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda state, op: CASE WHEN op >= 0 THEN xor(state, op)
+        ELSE xor(state >> 1, CASE WHEN state & 1 = 1 THEN 3988292384 ELSE 0 END) END,
+      4294967295::BIGINT), 4294967295) % 20 AS fault
+  FROM (SELECT DISTINCT coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations)
+),
+damaged AS (
+  SELECT conv_id, turn,
+    CASE WHEN fault = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(coalesce(text, ' '), '.!?', '') ELSE coalesce(text, ' ') END AS text,
+    unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM conversations JOIN crc ON key = coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')
+  WHERE fault <> 0
+),
+judged AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS initial,
+    row_number() OVER conversation AS place,
+    lag(left(role, 1)) OVER conversation AS before,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS rest,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen
+  FROM damaged
+  WINDOW conversation AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
+),
+faulty AS (
+  SELECT *, CASE WHEN rest = '' THEN 1 WHEN seen THEN 2 WHEN right(rest, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault
+  FROM judged
+),
+edges AS (
+  SELECT q AS before, i.ins AS inserted, i.at AS at, e.letter AS letter,
+    CASE e.letter WHEN 'D' THEN i.at WHEN 'K' THEN e.after ELSE CASE i.at WHEN 2 THEN 3 ELSE 2 END END AS after,
+    CASE e.letter WHEN 'K' THEN e.initial ELSE NULL END AS needs
+  FROM range(4) AS states(q),
+    LATERAL (SELECT NULL AS ins, q AS at UNION ALL
+             SELECT CASE q WHEN 2 THEN 'assistant' ELSE 'user' END, CASE q WHEN 2 THEN 3 ELSE 2 END) AS i,
+    (VALUES ('D', NULL, NULL), ('R', NULL, NULL), ('K', 's', 1), ('K', 'u', 2), ('K', 'a', 3)) AS e(letter, initial, after)
+  WHERE e.letter <> 'K' OR (e.initial = 's' AND i.at = 0) OR (e.initial = 'u' AND i.at <> 2) OR (e.initial = 'a' AND i.at = 2)
+),
+paths(conv_id, place, state, best) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0::BIGINT, {'cost': 0::BIGINT, 'audit': '', 'lines': ''} FROM conversations
+  UNION ALL
+  SELECT p.conv_id, f.place, e.after,
+    min({'cost': p.best.cost + CASE WHEN e.inserted IS NULL THEN 0 ELSE 2 END
+           + CASE e.letter WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END
+           + CASE WHEN f.fault = 3 AND e.letter <> 'D' THEN 1 ELSE 0 END,
+         'audit': p.best.audit || CASE WHEN e.inserted IS NULL THEN '' ELSE 'I' END || e.letter,
+         'lines': p.best.lines || CASE WHEN e.inserted IS NULL THEN '' ELSE e.inserted || ':' || chr(10) END
+           || CASE e.letter WHEN 'D' THEN '' WHEN 'K' THEN f.role || ':' || f.text || chr(10)
+              ELSE CASE e.after WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || f.text || chr(10) END})
+  FROM paths p
+  JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.place = p.place + 1
+  JOIN edges e ON e.before = p.state AND (e.needs IS NULL OR e.needs = f.initial) AND (e.letter = 'D' OR f.fault NOT IN (1, 2))
+  GROUP BY p.conv_id, f.place, e.after
+),
+sizes AS (
+  SELECT conv_id, count(*) AS n, count_if(fault = 1) AS blank, count_if(fault = 2) AS duplicate, count_if(fault = 3) AS truncated,
+    count_if(place > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+  FROM faulty GROUP BY conv_id
+),
+ends AS (
+  SELECT p.conv_id,
+    min({'cost': p.best.cost + CASE p.state WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 0 END,
+         'audit': p.best.audit || CASE p.state WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+         'lines': p.best.lines || CASE p.state WHEN 1 THEN 'user:' || chr(10) || 'assistant:' || chr(10) WHEN 2 THEN 'assistant:' || chr(10) ELSE '' END}) AS best
+  FROM paths p LEFT JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM p.conv_id
+  WHERE p.place = coalesce(s.n, 0)
+  GROUP BY p.conv_id
+)
+SELECT e.conv_id, coalesce(s.gaps, 0)::BIGINT AS gaps, coalesce(s.blank, 0)::BIGINT AS blank,
+  coalesce(s.duplicate, 0)::BIGINT AS duplicate, coalesce(s.truncated, 0)::BIGINT AS truncated,
+  coalesce(s.illegal, 0)::BIGINT AS illegal, e.best.cost::BIGINT AS cost, e.best.audit AS audit,
+  sha256(left(e.best.lines, greatest(length(e.best.lines) - 1, 0))) AS repaired_sha256
+FROM ends e LEFT JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+SQL: dict[str, str] = {"op13_scalar_repair": _REPAIR}

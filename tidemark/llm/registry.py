@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     bpe,
+    conversations,
     decontaminate,
     grade,
     langid,
@@ -33,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         langid.op8_language_filters,
         shards.op9_vector_packing,
         toxicity.op10_toxic_segments,
+        conversations.op13_scalar_repair,
     ]
     return {query.__name__: query for query in found}
 
