@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    alignment,
     bpe,
     conversations,
     decontaminate,
@@ -34,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         langid.op8_language_filters,
         shards.op9_vector_packing,
         toxicity.op10_toxic_segments,
+        alignment.op12_token_alignment,
         conversations.op13_scalar_repair,
     ]
     return {query.__name__: query for query in found}
