@@ -82,4 +82,45 @@ SELECT e.conv_id, coalesce(s.gaps, 0)::BIGINT AS gaps, coalesce(s.blank, 0)::BIG
 FROM ends e LEFT JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM e.conv_id
 """
 
-SQL: dict[str, str] = {"op13_scalar_repair": _REPAIR}
+# Distinct shingles of every class of equal sets, shared shingles counted by an
+# equality join, and the least document within reach of each class.
+_JACCARD = """
+WITH RECURSIVE
+words AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+),
+sets AS (
+  SELECT row, doc_id, list_sort(list_distinct(CASE
+      WHEN len(words) = 0 THEN []
+      WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+      ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END)) AS shingles
+  FROM words
+),
+classes AS (
+  SELECT row_number() OVER () AS class, shingles, len(shingles) AS n, count(*) AS copies, min(doc_id) AS least
+  FROM sets WHERE len(shingles) > 0 GROUP BY shingles
+),
+entries AS (SELECT class, unnest(shingles) AS shingle FROM classes),
+shared AS (
+  SELECT a.class AS a, b.class AS b, count(*) AS common FROM entries a JOIN entries b ON a.shingle = b.shingle AND a.class < b.class
+  GROUP BY a.class, b.class
+),
+one_way AS (
+  SELECT a, b FROM shared JOIN classes x ON x.class = a JOIN classes y ON y.class = b
+  WHERE 100 * common >= 80 * (x.n + y.n - common)
+),
+links AS (SELECT a, b FROM one_way UNION ALL SELECT b, a FROM one_way),
+reach(class, other) AS (
+  SELECT class, class FROM classes UNION SELECT r.class, l.b FROM reach r JOIN links l ON l.a = r.other
+),
+component AS (SELECT r.class, min(c.least) AS least FROM reach r JOIN classes c ON c.class = r.other GROUP BY r.class),
+degree AS (SELECT l.a AS class, sum(c.copies) AS links FROM links l JOIN classes c ON c.class = l.b GROUP BY l.a)
+SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, coalesce(c.copies - 1 + coalesce(d.links, 0), 0)::BIGINT AS n_links,
+  CASE WHEN c.class IS NULL THEN s.doc_id ELSE k.least END AS component_id
+FROM sets s LEFT JOIN classes c ON c.shingles = s.shingles LEFT JOIN component k ON k.class = c.class LEFT JOIN degree d ON d.class = c.class
+"""
+
+SQL: dict[str, str] = {"op11_grouped_prefix_join": _JACCARD, "op13_scalar_repair": _REPAIR}

@@ -12,6 +12,7 @@ from . import (
     conversations,
     decontaminate,
     grade,
+    jaccard,
     langid,
     oracle,
     pii,
@@ -35,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         langid.op8_language_filters,
         shards.op9_vector_packing,
         toxicity.op10_toxic_segments,
+        jaccard.op11_grouped_prefix_join,
         alignment.op12_token_alignment,
         conversations.op13_scalar_repair,
     ]
