@@ -6,20 +6,22 @@ of each, their prefixes. Documents of equal sets form a class, classes of equal
 and prefix a group; group pairs are filtered by size and by what their prefixes share,
 and only the members of the groups that are left are compared.
 
-Groups are dealt into blocks of similar documents, and only blocks in which two
-prefixes share a shingle meet, in a task of their own. A set so travels once per
-partner block instead of once per candidate, and a task holds two blocks, whatever the
-size of a family of near copies; what it returns is one row per document, not per pair.
+Groups are dealt into blocks of similar documents. Blocks meet, in a task of their own,
+if their prefixes share enough shingles, and bring those members that share enough with
+the other block. A set so travels once per partner block instead of once per candidate,
+and a task holds two blocks, whatever the size of a family of near copies; what it
+returns is one row per document, not per pair.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import blocks, prepare, read, stored, texts_of
@@ -30,7 +32,7 @@ SHINGLE = 5
 PERCENT = 80
 # Counters of the frequency sketch, two rows of them: the size is fixed, so that what is
 # merged and broadcast does not grow with the documents.
-SLOTS = 1 << 20
+SLOTS = 1 << 19
 SLICE = 1 << 14
 # Documents and shingles of a block that meets others in one task.
 BLOCK_DOCUMENTS = 256
@@ -91,7 +93,7 @@ def frequency_classes(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             found = zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist())
             for k, raw in found:
-                counts = np.frombuffer(raw, "<u4").astype(np.uint64)
+                counts = np.frombuffer(zlib.decompress(raw), "<u4").astype(np.uint64)
                 sums[k] = sums[k] + counts if k in sums else counts
         for k, counts in sums.items():
             yield _slices(counts, k)
@@ -102,7 +104,8 @@ def frequency_classes(docs: DataFrame) -> np.ndarray:
     total = np.zeros(2 * SLOTS, np.uint32)
     # As many rows as there are slices, whatever the documents.
     for row in stored(merged, "jaccard-sketch").toLocalIterator():
-        total[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = np.frombuffer(row["counts"], "<u4")
+        low = row["slice"] * SLICE
+        total[low : low + SLICE] = np.frombuffer(zlib.decompress(row["counts"]), "<u4")
     total = total.reshape(2, SLOTS).astype(np.float64)
     above = np.maximum(total - total.mean(axis=1, keepdims=True), 1)
     return np.minimum(np.rint(4 * np.log2(above)), 255).astype(np.uint8)
@@ -111,7 +114,7 @@ def frequency_classes(docs: DataFrame) -> np.ndarray:
 def _slices(counters: np.ndarray, first: int = 0) -> pa.RecordBatch:
     """Rows of ``SLICE`` counters; those beyond 32 bits stay at the largest number."""
     counters = np.minimum(counters, np.uint64(0xFFFFFFFF)).astype("<u4")
-    raw = [counters[i : i + SLICE].tobytes() for i in range(0, len(counters), SLICE)]
+    raw = [zlib.compress(counters[i : i + SLICE].tobytes(), 1) for i in range(0, len(counters), SLICE)]
     numbers = pa.array(range(first, first + len(raw)), pa.int32())
     return pa.RecordBatch.from_arrays([numbers, pa.array(raw, pa.binary())], names=["slice", "counts"])
 
@@ -170,75 +173,111 @@ def prefixes(docs: DataFrame, classes) -> DataFrame:
 
 
 def in_blocks(found: DataFrame) -> DataFrame:
-    """(key, n, family, copies, block) of every class of equal sets.
+    """``found`` with a short ``id`` of the key and the ``block`` of each document that has
+    shingles.
 
-    Classes with one ``alike`` make a block; too large ones are told apart by ``near``
-    and then by their key. Only the few large ones are listed for that, by counts.
+    Documents with one ``alike`` make a block; too large ones are told apart by ``near``
+    and then by their key. Only the few large ones are listed for that, by counts of
+    classes, so the rows of ``found`` stay where they are.
     """
-    rows = found.filter("n > 0").groupBy("key", "n", "family", "alike", "near").agg(
-        F.count("*").alias("copies")
-    )
-    rows = stored(rows, "jaccard-classes")
-    pieces = F.ceil(
-        F.greatest(F.count("*") / BLOCK_DOCUMENTS, F.sum("n") / BLOCK_SHINGLES)
-    ).cast("int")
-    large = rows.groupBy("alike").agg(pieces.alias("parts")).filter("parts > 1")
-    larger = rows.groupBy("alike", "near").agg(pieces.alias("pieces")).filter("pieces > 1")
-    own_near = F.when(F.col("parts").isNotNull(), F.col("near"))
-    piece = F.when(
-        F.col("parts").isNotNull() & F.col("pieces").isNotNull(),
-        F.pmod(F.xxhash64("key"), F.col("pieces")),
+    found = found.filter("n > 0")
+    classes = found.groupBy("key", "alike", "near", "n").agg(F.lit(1).alias("one"))
+    sizes = classes.groupBy("alike", "near").agg(
+        F.count("*").alias("classes"), F.sum("n").alias("shingles")
     )
-    return (
-        rows.join(large, "alike", "left")
-        .join(larger, ["alike", "near"], "left")
-        .select("key", "n", "family", "copies", F.xxhash64("alike", own_near, piece).alias("block"))
+    sizes = stored(sizes, "jaccard-sizes")
+    needed = F.ceil(
+        F.greatest(F.sum("classes") / BLOCK_DOCUMENTS, F.sum("shingles") / BLOCK_SHINGLES)
+    ).cast("int")
+    large = sizes.groupBy("alike").agg(needed.alias("parts")).filter("parts > 1")
+    larger = sizes.groupBy("alike", "near").agg(needed.alias("pieces")).filter("pieces > 1")
+    large, larger = stored(large, "jaccard-large"), stored(larger, "jaccard-larger")
+    is_large = F.col("parts").isNotNull()
+    piece = F.when(is_large & F.col("pieces").isNotNull(), F.pmod(F.xxhash64("key"), "pieces"))
+    block = F.xxhash64("alike", F.when(is_large, F.col("near")), piece)
+    joined = found.join(large, "alike", "left").join(larger, ["alike", "near"], "left")
+    return joined.select(*found.columns, F.xxhash64("key").alias("id"), block.alias("block"))
+
+
+def shared_shingles(placed: DataFrame, members: DataFrame) -> DataFrame:
+    """(shingle, id, block, n): the classes whose prefixes have a shingle that another
+    class has in its prefix too.
+
+    A shingle in two places gives its classes straight from the counting; only those in
+    more places are looked up again.
+    """
+    firsts = placed.select("id", F.explode("prefix").alias("shingle"))
+    counted = firsts.groupBy("shingle").agg(
+        F.count("*").alias("places"), F.min("id").alias("one"), F.max("id").alias("two")
     )
+    counted = stored(counted.filter("one < two"), "jaccard-shared")
+    many = stored(counted.filter("places > 2").select("shingle"), "jaccard-many")
+    pairs = counted.filter("places = 2").select("shingle", F.explode(F.array("one", "two")).alias("id"))
+    found = pairs.unionByName(firsts.join(many, "shingle").select("shingle", "id").distinct())
+    return stored(found.join(members.select("id", "block", "n"), "id"), "jaccard-hits")
 
 
-def meeting_blocks(found: DataFrame, members: DataFrame) -> DataFrame:
-    """(low, high): pairs of blocks in which prefixes of fitting sizes share a shingle;
-    ``low = high`` stands for a block of several classes.
+def meetings(hits: DataFrame) -> DataFrame:
+    """(low, high, block, id): the classes that are to be compared in the meeting of two
+    blocks, or of a block with itself (``low = high``).
 
-    A shingle in two places gives its pair straight from the counting; only shingles in
-    more of them are joined.
+    What two linked classes share in their prefixes is among what their blocks share and
+    among what one of them shares with the other's block, so the bound on it (see
+    :func:`group_pairs`) holds for both counts, with the sizes for which it is least.
     """
-    firsts = found.filter("n > 0").select("family", "prefix").dropDuplicates(["family"])
-    placed = (
-        members.groupBy("family", "block", "n").agg(F.lit(1).alias("one"))
-        .join(firsts, "family")
-        .select("block", "n", F.explode("prefix").alias("shingle"))
-    )
-    counted = placed.groupBy("shingle").agg(
-        F.count("*").alias("places"),
-        F.min(F.struct("block", "n")).alias("one"),
-        F.max(F.struct("block", "n")).alias("two"),
+    blocks_of = stored(
+        hits.groupBy("shingle", "block").agg(
+            F.count("*").alias("size"), F.min("n").alias("least"), F.max("n").alias("most")
+        ),
+        "jaccard-postings",
     )
-    counted = stored(counted.filter("one.block <> two.block"), "jaccard-shared")
-    two = counted.filter("places = 2").select(
-        F.col("one.block").alias("low"), F.col("two.block").alias("high"),
-        F.col("one.n").alias("n"), F.col("two.n").alias("m"),
-    )
-    # Blocks of a shingle with the sizes they hold; the join compares ranges of sizes.
-    hot = placed.join(counted.filter("places > 2").select("shingle"), "shingle")
-    hot = stored(
-        hot.groupBy("shingle", "block").agg(F.min("n").alias("n"), F.max("n").alias("most")),
-        "jaccard-hot",
+    sides = [
+        blocks_of.select(
+            "shingle", F.col("block").alias(side), F.col("least").alias(f"least_{side}"),
+            F.col("most").alias(f"most_{side}"), F.col("size").alias(f"size_{side}"),
+        )
+        for side in ("low", "high")
+    ]
+    fits = (F.col("most_low") * 100 >= F.col("least_high") * PERCENT) & (
+        F.col("most_high") * 100 >= F.col("least_low") * PERCENT
     )
-    other = hot.select(
-        "shingle", F.col("block").alias("high"), F.col("n").alias("m"), F.col("most").alias("most_m")
+    apart = (F.col("low") < F.col("high")) | ((F.col("low") == F.col("high")) & (F.col("size_low") > 1))
+    met = stored(sides[0].join(sides[1], "shingle").filter(apart & fits), "jaccard-meetings")
+    pairs = met.groupBy("low", "high").agg(
+        F.count("*").alias("shared"),
+        *(F.min(f"least_{x}").alias(f"least_{x}") for x in ("low", "high")),
+        *(F.max(f"most_{x}").alias(f"most_{x}") for x in ("low", "high")),
     )
-    fits = (F.col("most") * 100 >= F.col("m") * PERCENT) & (
-        F.col("most_m") * 100 >= F.col("n") * PERCENT
+    enough = (F.col("shared") >= _needed("most_low", "least_high")) | (
+        F.col("shared") >= _needed("most_high", "least_low")
     )
-    met = hot.withColumnRenamed("block", "low").join(other, "shingle").filter("low < high")
-    within = members.groupBy("block").agg(F.count("*").alias("size")).filter("size > 1")
-    return (
-        two.filter(f"100 * least(n, m) >= {PERCENT} * greatest(n, m)").select("low", "high")
-        .unionAll(met.filter(fits).select("low", "high"))
-        .unionAll(within.select(F.col("block").alias("low"), F.col("block").alias("high")))
-        .distinct()
-    )
+    pairs = stored(pairs.filter(enough).drop("shared"), "jaccard-pairs")
+    # Both sides of a meeting, each with the sizes of the other one.
+    ends = met.select("shingle", "low", "high").join(pairs, ["low", "high"])
+    other = {"low": "high", "high": "low"}
+    of_sides = [
+        ends.select(
+            "shingle", "low", "high", F.col(side).alias("block"),
+            F.col(f"least_{other[side]}").alias("least"), F.col(f"most_{other[side]}").alias("most"),
+        ).filter(F.lit(side == "low") | (F.col("low") < F.col("high")))
+        for side in ("low", "high")
+    ]
+    members = of_sides[0].unionByName(of_sides[1]).join(hits, ["shingle", "block"])
+    counted = members.groupBy("low", "high", "block", "id", "n", "least", "most").agg(
+        F.count("*").alias("shared")
+    )
+    enough = (F.col("shared") >= _needed("n", "least")) | (F.col("shared") >= _needed("most", "n"))
+    return counted.filter(enough).select("low", "high", "block", "id")
+
+
+def _needed(largest: str, smallest: str) -> Column:
+    """Fewest shingles that the prefixes of linked sets share, if the larger set has at
+    most ``largest`` and the smaller one at least ``smallest``: the bound is least for the
+    largest set and the smallest one that fits it."""
+    m = F.col(largest)
+    n = F.greatest(F.ceil(m * PERCENT / 100), F.least(F.col(smallest), m))
+    shared = F.ceil((n + m) * PERCENT / (100 + PERCENT))
+    return F.greatest(F.lit(1), shared - (F.ceil(m * PERCENT / 100) - 1))
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, classes) -> DataFrame:
@@ -384,10 +423,9 @@ def meet(low: list[tuple], high: list[tuple] | None) -> list[tuple[bytes, int, b
 
 
 def compare(sets: DataFrame, members: DataFrame, met: DataFrame) -> DataFrame:
-    """(key, links, root) of the linked classes of every pair of blocks that meet."""
-    ends = met.select(F.explode(F.array_distinct(F.array("low", "high"))).alias("block"), "low", "high")
+    """(key, links, root) of the linked classes of every meeting ``met`` of two blocks."""
     tasks = (
-        members.select("key", "copies", "block").join(ends, "block")
+        met.join(members.select("id", "key", "copies"), "id")
         .join(sets, "key")
         .select("low", "high", "block", "key", "copies", "shingles")
     )
@@ -415,6 +453,8 @@ def _task(pair: tuple[int, int] | None, rows: list[tuple]) -> list[tuple[bytes,
         return []
     low, high = pair
     sides = [sorted(row[1:] for row in rows if row[0] == block) for block in pair]
+    if not all(sides):
+        return []
     return meet(sides[0], None if low == high else sides[1])
 
 
@@ -443,11 +483,12 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     context = docs.sparkSession.sparkContext
     classes = context.broadcast(frequency_classes(docs))
     found = stored(prefixes(docs, classes), "jaccard-prefixes")
-    members = stored(in_blocks(found), "jaccard-blocks")
-    met = stored(meeting_blocks(found, members), "jaccard-meetings")
-    blocks_met = met.select(F.explode(F.array("low", "high")).alias("block")).distinct()
-    members = stored(members.join(blocks_met, "block", "left_semi"), "jaccard-members")
-    sets = sets_of(docs, members, classes)
+    placed = in_blocks(found)
+    members = placed.groupBy("id", "key", "n", "block").agg(F.count("*").alias("copies"))
+    members = stored(members, "jaccard-members")
+    met = stored(meetings(shared_shingles(placed, members)), "jaccard-tasks")
+    wanted = members.join(met.select("id").distinct(), "id", "left_semi")
+    sets = sets_of(docs, stored(wanted.select("key"), "jaccard-wanted"), classes)
     compared = stored(compare(sets, members, met), "jaccard-links")
     roots = components(compared.select(F.col("key").alias("a"), F.col("root").alias("b")))
 
