@@ -199,5 +199,12 @@ def test_words_are_independent(tokenizers):
         words = al.CUT.split(text)
         assert " ".join(words) == text
         for tokenizer in (a, b):
-            apart = [i for ids in tokenizer.encode(words) for i in ids]
-            assert apart == tokenizer.encode([text])[0]
+            apart, size = tokenizer.encode(words)
+            assert size.sum() == len(apart)
+            assert apart.tolist() == tokenizer.encode([text])[0].tolist()
+    every = [w for text in filter(None, TEXTS) for w in al.CUT.split(text)] * 50
+    for tokenizer in (a, b):
+        ids, size = tokenizer.encode(every)
+        at = np.cumsum(size) - size
+        for word, low, n in zip(every[:120], at, size):
+            assert ids[low : low + n].tolist() == tokenizer.encode([word])[0].tolist()

@@ -35,6 +35,7 @@ BLOCK_BYTES = 4_000_000
 CUT = re.compile(r" (?=\S)(?<=\S )")
 # Characters that are encoded, and products that are gathered, at a time.
 CHARACTERS = 1 << 18
+JOINED = 1000  # words
 PRODUCTS = 1 << 20
 # Pairs of ids that are looked up in a broadcast table (16 bytes each); more are joined.
 BROADCAST_PAIRS = 2_000_000
@@ -160,9 +161,24 @@ class ByteLevel:
             table[i] = bytes([alphabet.get(c, 0) for c in token])
         self.vocabulary = Vocabulary(table)
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast([" " + w for w in words], add_special_tokens=False)
-        return [encoding.ids for encoding in found]
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words end to end, and how many each has.
+
+        Words are encoded many at a time with one blank between them and told apart by
+        their bytes, but for those that begin or end with a blank of their own.
+        """
+        apart = np.array([not w or w[0].isspace() or w[-1].isspace() for w in words], bool)
+        order = np.concatenate((np.flatnonzero(~apart), np.flatnonzero(apart)))
+        joined, n = [words[i] for i in order.tolist()], len(words) - int(apart.sum())
+        texts = [" " + " ".join(joined[i : min(i + JOINED, n)]) for i in range(0, n, JOINED)]
+        texts += [" " + w for w in joined[n:]]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = _flat([encoding.ids for encoding in found])
+        word_ends = np.cumsum([len(w.encode()) + 1 for w in joined])
+        first = _closed(np.searchsorted(np.cumsum(self.vocabulary.length[ids]), word_ends) + 1)
+        size, place = np.diff(first), np.argsort(order)
+        skipped = first[:-1][place] - _sums(size[place])[:-1]
+        return ids[np.repeat(skipped, size[place]) + np.arange(len(ids))], size[place]
 
 
 class Pieces:
@@ -181,8 +197,13 @@ class Pieces:
         # No merge crosses a blank unless a piece goes on behind one.
         self.can_cut = not any(b" " in raw.lstrip(b" ") for raw in table)
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        return self.model.encode(words, num_threads=1) if words else []
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.model.encode(words, num_threads=1) if words else []
+        return _flat(ids), np.fromiter(map(len, ids), np.int64, len(ids))
+
+
+def _flat(ids: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
 
 
 class Alignment:
@@ -199,9 +220,7 @@ class Alignment:
         self.fits = np.ones(len(words), bool)
         for start, end in blocks(raw, CHARACTERS):
             for side, tokenizer in enumerate(sides):
-                ids = tokenizer.encode(words[start:end])
-                size = np.fromiter(map(len, ids), np.int64, len(ids))
-                flat = np.fromiter(chain.from_iterable(ids), np.int64, int(size.sum()))
+                flat, size = tokenizer.encode(words[start:end])
                 self.fits[start:end] &= _faithful(raw[start:end], flat, size, tokenizer.vocabulary)
                 found[side].append(flat)
                 n[side][start:end] = size
@@ -372,11 +391,19 @@ def _by_block(
     shared = docs.sparkSession.sparkContext.broadcast(tuple(sources))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, texts, size = [], [], 0
         for batch in batches:
-            texts = texts_of(batch)
-            for start, end in blocks(texts, BLOCK_BYTES):
-                ids = batch.column("doc_id").slice(start, end - start)
-                yield from work(Texts(texts[start:end], *_pair(*shared.value)), ids)
+            found = texts_of(batch)
+            for start, end in blocks(found, BLOCK_BYTES):
+                more = sum(map(len, found[start:end]))
+                if texts and size + more > BLOCK_BYTES:
+                    yield from work(Texts(texts, *_pair(*shared.value)), pa.concat_arrays(ids))
+                    ids, texts, size = [], [], 0
+                ids.append(batch.column("doc_id").slice(start, end - start))
+                texts += found[start:end]
+                size += more
+        if texts:
+            yield from work(Texts(texts, *_pair(*shared.value)), pa.concat_arrays(ids))
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
