@@ -71,29 +71,29 @@ def heavy_keys(sides: Sequence[Side], rows_per_task: int = ROWS_PER_TASK) -> Dat
 
 def in_cells(sides: Sequence[Side], heavy: DataFrame) -> list[DataFrame]:
     """The rows of each side with their cell, and the rows per side of a heavy key as
-    ``_n_<side>`` on the first one (NULL for other keys)."""
+    ``_n_<side>`` on the first one (NULL for other keys).
+
+    The cells are spread on the small side: a row of a heavy key is joined with the cells
+    along its own dimension, and any other row passes the join as it is, in cell 0.
+    """
     numbers = range(len(sides))
+    grid, cell = heavy, F.lit(0).cast("long")
+    for j in numbers:
+        cuts = F.col(f"cuts_{j}")
+        grid = grid.withColumn(f"at_{j}", F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1)))
+        cell = cell * cuts + F.col(f"at_{j}")
     placed = []
     for i, side in enumerate(sides):
-        own = heavy.select(
-            F.col("key").alias("_key"), *(F.col(f"cuts_{j}").alias(f"_cuts_{j}") for j in numbers),
+        own = grid.select(
+            F.col("key").alias("_key"), F.col(f"cuts_{i}").alias("_cuts"),
+            F.col(f"at_{i}").alias("_at"), cell.alias("_place"),
             *((F.col(f"n_{j}").alias(f"_n_{j}") for j in numbers) if i == 0 else ()),
         )
-        rows = side.rows.join(own, F.col(side.key) == F.col("_key"), "left")
-        cell = F.lit(0).cast("long")
-        for j in numbers:
-            cuts = F.coalesce(F.col(f"_cuts_{j}"), F.lit(1))
-            if j == i:
-                at = F.pmod(F.xxhash64(*side.apart), cuts)
-            else:
-                rows = rows.withColumn(f"_at_{j}", F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1)))
-                at = F.col(f"_at_{j}")
-            cell = cell * cuts + at
-        placed.append(
-            rows.withColumn(CELL if i == 0 else f"{CELL}_{i}", cell).drop(
-                "_key", *(f"_cuts_{j}" for j in numbers), *(f"_at_{j}" for j in numbers)
-            )
-        )
+        mine = F.pmod(F.xxhash64(*side.apart), F.col("_cuts")) == F.col("_at")
+        rows = side.rows.join(own, (F.col(side.key) == F.col("_key")) & mine, "left")
+        name = CELL if i == 0 else f"{CELL}_{i}"
+        rows = rows.withColumn(name, F.coalesce("_place", F.lit(0).cast("long")))
+        placed.append(rows.drop("_key", "_cuts", "_at", "_place"))
     return placed
 
 
