@@ -139,3 +139,28 @@ def test_feeds(spark, tmp_path):
     ]
     landed = read_json(spark, result.paths["payment"], schemas.PAYMENT)
     assert rows(landed, "payment_id", "amount") == [(1, 2.0)]
+
+
+def test_a_source_is_scanned_once_and_files_are_not_read_back(spark, tmp_path):
+    """Rows that leave the source are counted where they leave it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def pass_on(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    table = source(spark, (1, 1), (2, 2), (3, 3)).withColumn(
+        "ModifiedDate", F.col("ModifiedDate") + F.expr("INTERVAL 123456 MICROSECONDS")
+    )
+    control = watermark_seed(spark).filter("TABLENAME = 'Products'")
+    done = ingest_increments(
+        spark, control, lambda *_: table.mapInArrow(pass_on, table.schema), str(tmp_path), 1
+    )
+    assert seen.value == 3
+    assert rows(done.audit, "ROWREAD", "ROWCOPIED") == [(3, 3)]
+    mark = F.date_format("LASTPROCESSEDVALUE", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    assert rows(done.control, mark) == [("2026-01-03 00:00:00.123456",)]
+    again = ingest_increments(spark, done.control, lambda *_: table, str(tmp_path), 2)
+    assert rows(again.audit, "ROWREAD", "ROWCOPIED") == [(0, 0)] and not again.paths
+    assert [p.name for p in (tmp_path / "products").iterdir()] == ["batch=000000000001"]

@@ -7,15 +7,15 @@ from collections.abc import Callable, Iterable
 from functools import partial
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.control import Copy, advance_watermarks, copy_log
-from ..operators.increment import high_water_mark, pull_increment
+from ..operators.increment import pull_increment
 from ..schemas import COPY_LOG, FEED_COPY_LOG
 from ..session import run_together
-from ..sources.files import CSV_DIALECT
 from ..sources.sinks import write_csv, write_json
+from ..sources.versions import remove_folder
 
 # The feeds.
 FEEDS = ("inventory", "payment", "shipping")
@@ -41,11 +41,12 @@ def ingest_increments(
 ) -> IngestResult:
     """Copy what is new in every controlled table to CSV and move its mark.
 
-    ``read(schema, table)`` opens a source. The new mark is taken first and
-    bounds the copy. A failed table is logged, keeps its mark, and does not stop
-    the others. Only the control table (one row per source) reaches the driver;
-    all rows move in Spark jobs. Running a batch again replaces its files. The files
-    have coded line breaks (see ``write_csv``).
+    ``read(schema, table)`` opens a source, which is scanned once: the new mark is the
+    highest value among the rows as they are copied, so it never lies above a row that was
+    not. A failed table is logged, keeps its mark, and does not stop the others. Only the
+    control table (one row per source) reaches the driver; all rows move in Spark jobs.
+    Running a batch again replaces its files. The files have coded line breaks (see
+    ``write_csv``).
     """
 
     def copy(row: Row) -> tuple[Copy, object, str]:
@@ -54,13 +55,10 @@ def ingest_increments(
         started = time.monotonic()
         mark = None
         try:
-            source = read(row.SCHEMANAME, row.TABLENAME)
-            newest = high_water_mark(pull_increment(source, column, last), column).first()["max"]
-            outcome = {"rows_read": 0, "rows_copied": 0}
-            if newest is not None:
-                news = pull_increment(source, column, last, newest)
-                outcome = _copy(news, path, write_coded_csv, count_csv)
-            mark = newest
+            news = pull_increment(read(row.SCHEMANAME, row.TABLENAME), column, last)
+            outcome, mark = _copy(news, path, write_coded_csv, F.max(column))
+            if mark is None:
+                remove_folder(spark, path)  # nothing is new
         except Exception as error:  # any source or sink failure belongs in the log
             outcome = {"error": str(error)}
         seconds = int(time.monotonic() - started)
@@ -91,7 +89,7 @@ def ingest_feeds(
         started = time.monotonic()
         path = batch_folder(raw_root, name, batch)
         try:
-            outcome = _copy(read(name), path, write_json, count_lines)
+            outcome, _ = _copy(read(name), path, write_json)
         except Exception as error:  # as above
             outcome = {"error": str(error)}
         return Copy(name, seconds=int(time.monotonic() - started), **outcome), path
@@ -107,26 +105,21 @@ def ingest_feeds(
 def _copy(
     df: DataFrame,
     path: str,
-    write: Callable[[DataFrame, str], None],
-    count: Callable[[SparkSession, str], int],
-) -> dict[str, int]:
-    """Rows read, counted on their way to the writer, and rows found in what it wrote."""
+    write: Callable[[DataFrame, str], int],
+    mark: Column | None = None,
+) -> tuple[dict[str, int], object]:
+    """Rows that left the source and rows that reached the writer, and the ``mark`` over
+    the former; all counted while they are copied."""
     seen = Observation()
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
-    return {"rows_read": seen.get["rows"], "rows_copied": count(df.sparkSession, path)}
+    wanted = [F.count(F.lit(1)).alias("rows")]
+    if mark is not None:
+        wanted.append(mark.alias("mark"))
+    copied = write(df.observe(seen, *wanted), path)
+    return {"rows_read": seen.get["rows"], "rows_copied": copied}, seen.get.get("mark")
 
 
-def write_coded_csv(df: DataFrame, path: str) -> None:
-    write_csv(df, path, coded_breaks=True)
-
-
-def count_csv(spark: SparkSession, path: str) -> int:
-    """Records of CSV files in which none spans lines."""
-    return spark.read.options(**CSV_DIALECT).schema("first string").csv(path).count()
-
-
-def count_lines(spark: SparkSession, path: str) -> int:
-    return spark.read.text(path).count()
+def write_coded_csv(df: DataFrame, path: str) -> int:
+    return write_csv(df, path, coded_breaks=True)
 
 
 class IngestFailed(RuntimeError):

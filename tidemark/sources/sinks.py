@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import code_breaks
@@ -17,8 +18,8 @@ def write_csv(
     mode: str = "overwrite",
     rows_per_file: int = 0,
     coded_breaks: bool = False,
-) -> None:
-    """CSV folder with a header per file and all text quoted.
+) -> int:
+    """CSV folder with a header per file and all text quoted; the number of rows in it.
 
     ``rows_per_file`` starts a new file after that many rows (0: never). With
     ``coded_breaks`` a record never spans lines, whatever its texts hold, so that big
@@ -26,13 +27,24 @@ def write_csv(
     """
     if coded_breaks:
         df = df.withColumns({n: code_breaks(n) for n in text_columns(df)})
-    writer = df.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
+    rows, written = _counted(df)
+    writer = rows.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
     writer.options(**CSV_DIALECT, **MOMENTS).option("quoteAll", True).csv(path)
+    return written.get["rows"]
+
+
+def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """One JSON record per line, NULL fields left out; the number of records."""
+    rows, written = _counted(df)
+    rows.write.mode(mode).options(**MOMENTS).json(path)
+    return written.get["rows"]
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One JSON record per line; NULL fields are left out."""
-    df.write.mode(mode).options(**MOMENTS).json(path)
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with a count of the rows as the writer takes them, the last step before it.
+    A committed write has them all, so nothing need be read back to count it."""
+    written = Observation()
+    return df.observe(written, F.count(F.lit(1)).alias("rows")), written
 
 
 def overwrite_table(
