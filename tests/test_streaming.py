@@ -7,7 +7,13 @@ from tidemark import schemas
 from tidemark.operators import merge_latest
 from tidemark.plans import dim_customer
 from tidemark.sources import read_csv
-from tidemark.streaming import drop_stream, land_drops, read_stream_state, upsert_stream
+from tidemark.streaming import (
+    drop_stream,
+    drops,
+    land_drops,
+    read_stream_state,
+    upsert_stream,
+)
 
 HEADER = ",".join(schemas.EMPLOYEE_EVENTS.names)
 
@@ -99,13 +105,33 @@ def test_damaged_records_are_quarantined(spark, tmp_path):
         return drop_stream(spark, str(folder), schemas.EMPLOYEE_EVENTS)
 
     land_drops(stream(), target, check, quarantine=str(tmp_path / "bad"))
-    assert rows(read_csv(spark, target, schemas.EMPLOYEE_EVENTS), "EmployeeID") == [("1",)]
+    landed = read_csv(spark, f"{target}/*", schemas.EMPLOYEE_EVENTS)
+    assert rows(landed, "EmployeeID") == [("1",)]
     bad = spark.read.parquet(str(tmp_path / "bad"))
-    assert rows(bad) == [("2,B",), ("3,A,B,d,e,1,x,y,ninth",)]
+    assert rows(bad, schemas.CORRUPT) == [("2,B",), ("3,A,B,d,e,1,x,y,ninth",)]
     with pytest.raises(Exception, match="damaged record"):
         land_drops(stream(), str(tmp_path / "other"), str(tmp_path / "check2"))
 
 
+def test_a_repeated_micro_batch_adds_nothing(spark, tmp_path):
+    """One query parses each file; what ended between the two writes is written again."""
+    folder, target, bad = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "bad")
+    folder.mkdir()
+    drop(folder, "a.csv", 1, 2)
+    (folder / "b.csv").write_text(f"{HEADER}\n9,B\n")
+    check = tmp_path / "check"
+    land_drops(
+        drop_stream(spark, str(folder), schemas.EMPLOYEE_EVENTS), target, str(check), quarantine=bad
+    )
+    assert [p.name for p in check.iterdir()] == ["landed"]
+    again = read_csv(spark, f"{folder}/a.csv", schemas.EMPLOYEE_EVENTS)
+    for _ in range(2):
+        drops._land(again, 0, target, bad, "csv")
+    landed = read_csv(spark, f"{target}/*", schemas.EMPLOYEE_EVENTS)
+    assert rows(landed, "EmployeeID") == [("1",), ("2",)]
+    assert spark.read.parquet(bad).count() == 0
+
+
 def test_damaged_rows_do_not_reach_a_state(spark, tmp_path):
     schema = schemas._schema("k long, v int, t string")
     folder, root = tmp_path / "in", str(tmp_path / "state")
@@ -131,6 +157,7 @@ def test_a_small_batch_rewrites_only_its_part(spark, tmp_path):
             drop_stream(spark, str(folder), schema), root, schema,
             lambda state, batch: merge_latest(state, batch, "k", "v", ["t"]),
             key="k", version="v", ties=["t"], checkpoint=str(tmp_path / "check"),
+            part_bytes=2_000,
         )
 
     def size(path):

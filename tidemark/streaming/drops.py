@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import CORRUPT, with_corrupt
+from ..session import shared_dir
 from ..sources.files import CSV_DIALECT, MOMENTS, check_whole_record
+from ..sources.versions import remove_folder
 
 
 def drop_stream(
@@ -52,33 +56,48 @@ def land_drops(
     ones, also after a failure in between. Damaged records go to the parquet folder
     ``quarantine`` instead; without one, the first of them ends the run with an error.
     With ``timeout`` (seconds) a run that takes longer is stopped and raises.
+
+    With a quarantine a micro-batch is parsed once, into a staged copy that both folders
+    are written from. Each has a folder per micro-batch (``batch=<n>``), which a repeated
+    one replaces: it adds nothing twice, wherever the first attempt ended.
     """
     damaged = F.col(CORRUPT).isNotNull()
-    if quarantine:
-        rejected = stream.filter(damaged).select(CORRUPT)
-        _run(rejected, quarantine, f"{checkpoint}/quarantine", "parquet", timeout)
-        good = stream.filter(~damaged)
-    else:
+    if quarantine is None:
         sound = F.assert_true(~damaged, F.concat(F.lit("damaged record: "), F.col(CORRUPT)))
-        good = stream.filter(sound.isNull())
-    _run(good.drop(CORRUPT), target, f"{checkpoint}/landed", fmt, timeout)
-
-
-def _run(
-    stream: DataFrame, target: str, checkpoint: str, fmt: str, timeout: float | None
-) -> None:
-    writer = stream.writeStream.format(fmt).outputMode("append")
-    if fmt == "csv":
-        writer = writer.options(**CSV_DIALECT, **MOMENTS).option("quoteAll", True)
+        good = stream.filter(sound.isNull()).drop(CORRUPT)
+        writer = good.writeStream.outputMode("append").format(fmt).options(**_options(fmt))
+        writer = writer.option("path", target)
+    else:
+        writer = stream.writeStream.foreachBatch(
+            lambda batch, number: _land(batch, number, target, quarantine, fmt)
+        )
     query = (
-        writer.option("path", target)
-        .option("checkpointLocation", checkpoint)
+        writer.option("checkpointLocation", f"{checkpoint}/landed")
         .trigger(availableNow=True)
         .start()
     )
     finish(query, timeout)
 
 
+def _options(fmt: str) -> dict[str, str]:
+    return {**CSV_DIALECT, **MOMENTS, "quoteAll": "true"} if fmt == "csv" else {}
+
+
+def _land(batch: DataFrame, number: int, target: str, quarantine: str, fmt: str) -> None:
+    """Write the sound and the damaged records of one micro-batch, from one parse."""
+    spark = batch.sparkSession
+    staging = shared_dir(spark, f"drops-{sha256(target.encode()).hexdigest()}", str(number))
+    batch.write.mode("overwrite").parquet(staging)
+    rows = spark.read.schema(batch.schema).parquet(staging)
+    damaged = F.col(CORRUPT).isNotNull()
+    folder = f"batch={number:012d}"
+    rejected = rows.filter(damaged).select(CORRUPT)
+    rejected.write.mode("overwrite").parquet(f"{quarantine}/{folder}")
+    good = rows.filter(~damaged).drop(CORRUPT).write.mode("overwrite")
+    good.format(fmt).options(**_options(fmt)).save(f"{target}/{folder}")
+    remove_folder(spark, staging)
+
+
 def finish(query: StreamingQuery, timeout: float | None) -> None:
     """Wait for the end of a query; stop it and raise when that takes too long."""
     if timeout is None:
