@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark import schemas
 from tidemark.operators import watermark_seed
 from tidemark.plans import SILVER, IngestFailed, Lakehouse, ingest
+from tidemark.plans.lakehouse import _of_like_size
 from tidemark.sources import current_version
 from tidemark.sources.versions import finished_versions, state_versions
 
@@ -133,7 +134,7 @@ def test_prune_keeps_the_state_and_the_history(spark, root):
 
 
 def lake(spark, tmp_path, day=1):
-    return Lakehouse(spark, str(tmp_path / "lake"), f"2026-05-{day:02d} 00:00:00", parts=2)
+    return Lakehouse(spark, str(tmp_path / "lake"), f"2026-05-{day:02d} 00:00:00", part_bytes=2_000)
 
 
 def test_a_failed_batch_loses_nothing(spark, tmp_path, monkeypatch):
@@ -153,7 +154,65 @@ def test_a_batch_without_changes(spark, tmp_path):
     first = state(lake(spark, tmp_path))
     lake(spark, tmp_path, 2).run(2, *sources(spark, FIRST), compact=True)
     lake(spark, tmp_path, 3).run(3, *sources(spark, FIRST))
-    assert state(lake(spark, tmp_path)) == first
+    done = lake(spark, tmp_path)
+    assert state(done) == first
+    # The months that no batch touched are those of the first batch.
+    for name in ("fact_sales", "gold_sales_summary", "sums/customer", "sums/product"):
+        assert done.state(f"gold/{name}").parts == {"2026-01": 1, "2026-02": 1}
+
+
+def test_a_batch_reads_and_refreshes_what_it_touches(spark, tmp_path):
+    tables = {**FIRST, "Orders": [(i, 1, 1, at(5, 1 + i % 5), at(5)) for i in range(1, 300)],
+              "OrderDetails": [(i * 8, i, 1, 1, 2.0, at(5)) for i in range(1, 300)]}
+    lake(spark, tmp_path).run(1, *sources(spark, tables))
+    later = {**tables, "OrderDetails": [*tables["OrderDetails"], (7 * 8, 7, 1, 1, 9.0, at(9, 3))]}
+    lake(spark, tmp_path, 2).run(2, *sources(spark, later))
+    done = lake(spark, tmp_path)
+    months = {"2026-01": 1, "2026-02": 1, "2026-03": 2, "2026-04": 1, "2026-05": 1}
+    for name in ("fact_sales", "gold_sales_summary", "sums/store"):
+        assert done.state(f"gold/{name}").parts == months
+    assert rows(done.gold("gold_sales_summary"), F.sum("total_revenue")) == [(605.0,)]
+    assert rows(done.gold("gold_store_performance"), "total_sales", "total_orders") == [(605.0, 299)]
+    # One part was rewritten, and split if it had become too large.
+    by_order = done.state("gold/by_order/orderdetails").parts
+    assert sum(version == 2 for version in by_order.values()) <= 2 < len(by_order) / 2
+    seven = spark.createDataFrame([(7,)], "OrderID long")
+    found = done.of_orders("orderdetails", seven)
+    assert len(found.inputFiles()) == 1
+    assert rows(found.filter("OrderID = 7"), "OrderDetailID", "TotalAmount") == [(56, 9.0)]
+
+
+def test_a_line_that_moves_to_another_order(spark, tmp_path):
+    """The copy by order gives the line up where it was."""
+    lake(spark, tmp_path).run(1, *sources(spark, FIRST))
+    moved = {**FIRST, "OrderDetails": [*FIRST["OrderDetails"], (11, 2, 1, 2, 10.0, at(9, 3))]}
+    lake(spark, tmp_path, 2).run(2, *sources(spark, moved))
+    fact = lake(spark, tmp_path).fact()
+    assert rows(fact, "OrderDetailID", "OrderID") == [(11, 2), (21, 2)]
+
+
+def test_closed_versions_are_joined_by_size():
+    """Few parts after many batches, and each version is rewritten a few times only."""
+    sizes, rewritten, most = {}, 0, 0
+    for batch in range(64):
+        joined = _of_like_size(sizes, 100)
+        rewritten += sum(sizes[p] for p in joined)
+        sizes[f"batch-{batch}"] = 100 + sum(sizes.pop(p) for p in joined)
+        most = max(most, len(sizes))
+    assert most <= 6 and rewritten <= 64 * 100 * 6
+
+
+def test_closed_versions_of_many_batches(spark, tmp_path):
+    tables = FIRST
+    for batch in range(1, 6):
+        row = (1, "Ann", "Lee", f"City {batch}", "a@x", at(batch, 2))
+        tables = {**tables, "Customers": [*tables["Customers"], row]}
+        lake(spark, tmp_path, batch).run(batch, *sources(spark, tables))
+    done = lake(spark, tmp_path)
+    assert rows(done.gold("dim_customer"), "City", "IS_ACTIVE") == [
+        ("City 1", 0), ("City 2", 0), ("City 3", 0), ("City 4", 0), ("City 5", 1)
+    ]
+    assert len(done.state("gold/dim_customer/closed").parts) <= 2
 
 
 def test_undated_orders_come_and_go_once(spark, tmp_path):
@@ -218,7 +277,7 @@ def test_a_new_column_reaches_silver(spark, tmp_path):
 
 def test_a_row_lost_on_the_way_shows_in_the_log(spark, tmp_path, monkeypatch):
     def lossy(df, path):
-        ingest.write_csv(df.filter("OrderID <> 2"), path, coded_breaks=True)
+        return ingest.write_csv(df.filter("OrderID <> 2"), path, coded_breaks=True)
 
     monkeypatch.setattr(ingest, "write_coded_csv", lossy)
     control = watermark_seed(spark).filter("TABLENAME = 'Orders'")

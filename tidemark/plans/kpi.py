@@ -2,7 +2,10 @@
 
 Where a KPI joins a dimension, the fact is first reduced to one row per join
 key. The join then moves a row per key instead of a row per sale, and a key with
-a third of all sales is folded before it is shuffled.
+a third of all sales is folded before it is shuffled. These sums may be given for
+parts of the fact that share no order, such as its months: the totals add them up, so
+a batch needs the sums of the months it touched only. Names of result columns are fixed
+values.
 """
 
 from __future__ import annotations
@@ -25,11 +28,20 @@ def daily_sales(fact: DataFrame) -> DataFrame:
 
 def product_performance(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Sales and quantity per product name and category, best first."""
-    per_key = fact.groupBy("ProductID").agg(
+    return product_totals(product_sums(fact), products)
+
+
+def product_sums(fact: DataFrame, *by: Column) -> DataFrame:
+    """Amount and quantity per product, and per ``by``."""
+    return fact.groupBy("ProductID", *by).agg(
         *amount_sums("SalesAmount", "amount"), F.sum("Quantity").alias("quantity")
     )
+
+
+def product_totals(sums: DataFrame, products: DataFrame) -> DataFrame:
+    """:func:`product_performance` from :func:`product_sums`."""
     return (
-        per_key.join(products.select("ProductID", "ProductName", "Category"), "ProductID")
+        sums.join(products.select("ProductID", "ProductName", "Category"), "ProductID")
         .groupBy("ProductName", "Category")
         .agg(
             amount_total("amount").alias("total_sales"),
@@ -45,13 +57,17 @@ def customer_kpi(fact: DataFrame, customers: DataFrame, active_only: bool = Fals
     ``customers`` may hold several versions per customer; each version counts
     the sales again under its name unless ``active_only`` is set.
     """
+    return customer_totals(order_sums(fact, "CustomerID"), customers, active_only)
+
+
+def customer_totals(sums: DataFrame, customers: DataFrame, active_only: bool = False) -> DataFrame:
+    """:func:`customer_kpi` from :func:`order_sums` per CustomerID."""
     if active_only:
         customers = customers.filter(F.col("IS_ACTIVE") == 1)
     # Versions of a customer under one name repeat its sales but not its orders.
     names = customers.groupBy("CustomerID", "FullName").agg(F.count(F.lit(1)).alias("versions"))
     return (
-        _per_key_and_order(fact, "CustomerID")
-        .join(names, "CustomerID")
+        sums.join(names, "CustomerID")
         .groupBy("FullName")
         .agg(
             F.sum("orders").alias("total_orders"),
@@ -67,12 +83,16 @@ def customer_kpi(fact: DataFrame, customers: DataFrame, active_only: bool = Fals
 
 def store_performance(fact: DataFrame, stores: DataFrame) -> DataFrame:
     """Sales and orders per store name and city."""
+    return store_totals(order_sums(fact, "StoreID"), stores)
+
+
+def store_totals(sums: DataFrame, stores: DataFrame) -> DataFrame:
+    """:func:`store_performance` from :func:`order_sums` per StoreID."""
     places = stores.groupBy("StoreID", "StoreName", "City").agg(
         F.count(F.lit(1)).alias("copies")
     )
     return (
-        _per_key_and_order(fact, "StoreID")
-        .join(places, "StoreID")
+        sums.join(places, "StoreID")
         .groupBy("StoreName", "City")
         .agg(
             amount_total("amount", "copies").alias("total_sales"),
@@ -81,14 +101,14 @@ def store_performance(fact: DataFrame, stores: DataFrame) -> DataFrame:
     )
 
 
-def _per_key_and_order(fact: DataFrame, key: str) -> DataFrame:
-    """Amount, lines and distinct orders per customer or store.
+def order_sums(fact: DataFrame, key: str, *by: Column) -> DataFrame:
+    """Amount, lines and distinct orders per customer or store, and per ``by``.
 
-    An order has one customer and one store (the fact joins orders that are
-    unique by key), so the orders of different keys never overlap and their
+    An order has one customer, one store and one date (the fact joins orders that are
+    unique by key), so the orders of different keys or months never overlap and their
     counts may be added up. Only this step shuffles at the size of the orders.
     """
-    return fact.groupBy(key).agg(
+    return fact.groupBy(key, *by).agg(
         *amount_sums("SalesAmount", "amount"),
         F.count("SalesAmount").alias("lines"),
         F.count_distinct("OrderID").alias("orders"),

@@ -17,7 +17,8 @@ from ..operators.latest import merge_latest
 from ..session import run_together
 from ..sources.sinks import quarantine
 from ..sources.versions import (
-    KEY_PARTS,
+    ALL_KEYS,
+    PART_BYTES,
     State,
     current_version,
     drop_newer,
@@ -27,9 +28,11 @@ from ..sources.versions import (
     folder_exists,
     load_state,
     merge_parts,
+    parts_of,
     publish,
     read_parts,
     remove_folder,
+    stored_bytes,
     union_schema,
     version_path,
     widened,
@@ -56,12 +59,22 @@ FACT_INPUTS = {
     "shipping": ("shipment_id", "order_id"),
 }
 
+# Silver tables kept a second time by order, so that the rows of touched orders are found
+# in a few parts. Orders are dealt by their key, which is the order, as it is.
+BY_ORDER = ("orderdetails", "payment", "shipping")
+
+# Sums of the fact by month that KPIs add up, with their key.
+SUMS = {"product": "ProductID", "customer": "CustomerID", "store": "StoreID"}
+
 # Gold tables whose newest version is the whole table, and those kept in parts.
 GOLD_TABLES = (
-    "dim_store", "dim_inventory", "dim_payment", "dim_shipment", "gold_sales_summary",
+    "dim_store", "dim_inventory", "dim_payment", "dim_shipment",
     "gold_product_performance", "gold_customer_kpi", "gold_store_performance",
 )
-GOLD_STATES = ("fact_sales", "dim_product", "dim_customer/open", "dim_customer/closed")
+GOLD_STATES = (
+    "fact_sales", "gold_sales_summary", "dim_product", "dim_customer/open", "dim_customer/closed",
+    *(f"by_order/{name}" for name in BY_ORDER), *(f"sums/{name}" for name in SUMS),
+)
 
 
 @dataclass
@@ -79,7 +92,7 @@ class Lakehouse:
     root: str
     as_of: object = field(default_factory=lambda: datetime.now(timezone.utc))
     specs: Mapping[str, SilverSpec] = field(default_factory=lambda: SILVER)
-    parts: int = KEY_PARTS
+    part_bytes: int = PART_BYTES
     keep: int = 2
     _batch: int | None = field(default=None, init=False)
     _last: int | None = field(default=None, init=False)  # last finished batch
@@ -103,6 +116,10 @@ class Lakehouse:
     def fact(self) -> DataFrame:
         return self._read("gold/fact_sales")
 
+    def state(self, folder: str) -> State | None:
+        """Parts of a table as the last finished batch, or the current one, left them."""
+        return load_state(self.spark, f"{self.root}/{folder}", self._counts)
+
     def run(
         self,
         batch: int,
@@ -186,7 +203,7 @@ class Lakehouse:
         if path is None:
             if base is None:
                 empty = refine(spec, self.spark.createDataFrame([], spec.schema), self.as_of).good
-                write_parts(empty, root, self._batch, F.lit("0"))
+                write_parts(empty, root, self._batch, F.lit(ALL_KEYS), cover=[ALL_KEYS])
             return
         options = {"coded_breaks": True} if spec.format == "csv" else {}
         parsed = self._stage(spec.read(self.spark, path, **options), f"parsed/{spec.name}")
@@ -199,7 +216,7 @@ class Lakehouse:
         merge_parts(
             self.spark, root, self._batch, widened(clean, schema), spec.key,
             lambda stored, batch: merge_latest(stored, batch, spec.key, spec.version, spec.ties),
-            base, schema, self.parts,
+            base, schema, self.part_bytes,
         )
 
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
@@ -209,15 +226,16 @@ class Lakehouse:
 
     def changed(self, name: str) -> DataFrame:
         """Silver rows that this batch added or replaced; only parts it wrote are read."""
-        state = load_state(self.spark, f"{self.root}/silver/{name}", self._counts)
+        state = self.state(f"silver/{name}")
         written = [part for part, version in state.parts.items() if version == self._batch]
         rows = read_parts(self.spark, f"{self.root}/silver/{name}", state, only=written)
         return rows.filter(F.col("ingestion_timestamp") == stamp(self.as_of))
 
     def before(self, name: str) -> DataFrame:
-        """Silver rows as the batch before left them."""
-        state = self._base(f"silver/{name}")
-        return read_parts(self.spark, f"{self.root}/silver/{name}", state, self.silver(name).schema)
+        """Silver rows as the batch before left them, of the parts this batch rewrote."""
+        root, base = f"{self.root}/silver/{name}", self._base(f"silver/{name}")
+        state = self.state(f"silver/{name}")
+        return read_parts(self.spark, root, base, state.schema, _replaced(base, state))
 
     def build_gold(self) -> None:
         projections = {
@@ -242,12 +260,16 @@ class Lakehouse:
         merge_parts(
             self.spark, root, self._batch, self.changed("products"), "ProductID",
             lambda stored, products: gold.dim_product(stored, products, self.as_of),
-            self._base("gold/dim_product"), schemas.DIM_PRODUCT, self.parts,
+            self._base("gold/dim_product"), schemas.DIM_PRODUCT, self.part_bytes,
         )
 
     def build_dim_customer(self) -> None:
         """Customers that changed are merged with the open versions; what that closes is
-        added to the closed ones as a part of its own."""
+        added to the closed ones as a part of its own.
+
+        Closed parts of like size are joined on the way: each is rewritten a number of
+        times that grows with the logarithm of all of them, and as few are left.
+        """
         root, name = f"{self.root}/gold/dim_customer", "gold/dim_customer"
         changed = self.changed("customer")
         merged: list[DataFrame] = []
@@ -259,24 +281,64 @@ class Lakehouse:
 
         merge_parts(
             self.spark, f"{root}/open", self._batch, changed, "CustomerID", merge,
-            self._base(f"{name}/open"), schemas.DIM_CUSTOMER, self.parts,
+            self._base(f"{name}/open"), schemas.DIM_CUSTOMER, self.part_bytes,
         )
         closed = merged[0].filter("IS_ACTIVE = 0")
-        base, part = self._base(f"{name}/closed"), [f"batch-{self._batch}"]
-        if self._compact and base is not None:
-            closed = read_parts(self.spark, f"{root}/closed", base).unionByName(closed)
-            base = None
-        write_parts(closed, f"{root}/closed", self._batch, F.lit(part[0]), base, part)
+        closed = self._stage(closed, "closed/dim_customer")
+        base, part = self._base(f"{name}/closed"), f"batch-{self._batch}"
+        if base is None or self._compact:
+            joined = list(base.parts) if base else []
+        else:
+            joined = _of_like_size(base.sizes, stored_bytes(closed))
+        if joined:
+            stored = read_parts(self.spark, f"{root}/closed", base, only=joined)
+            closed = closed.unionByName(stored)
+        write_parts(closed, f"{root}/closed", self._batch, F.lit(part), base, [*joined, part])
+
+    def build_by_order(self, name: str) -> None:
+        """The second copy of a silver table, dealt by order. Only the parts of orders
+        that changed rows belong to, now or before, are rewritten."""
+        key, order = FACT_INPUTS[name]
+        folder = f"gold/by_order/{name}"
+        base = self._base(folder)
+        if base is None:
+            source = self.silver(name).withColumn("_now", F.lit(True))
+        else:
+            now = self.changed(name)
+            before = self.before(name).join(now.select(key), key, "left_semi")
+            source = now.withColumn("_now", F.lit(True)).unionByName(
+                before.withColumn("_now", F.lit(False))
+            )
+        source = self._stage(source, f"by_order/{name}")
+
+        def exchange(stored: DataFrame, moved: DataFrame) -> DataFrame:
+            kept = stored.join(moved.select(key).distinct(), key, "left_anti")
+            now = moved.filter("_now").drop("_now")
+            return kept.select(*now.columns).unionByName(now)
+
+        merge_parts(
+            self.spark, f"{self.root}/{folder}", self._batch, source, order, exchange,
+            base, self.silver(name).schema, self.part_bytes,
+        )
+
+    def of_orders(self, name: str, touched: DataFrame) -> DataFrame:
+        """A fact input from the parts in which the given orders lie."""
+        folder = "silver/orders" if name == "orders" else f"gold/by_order/{name}"
+        state = self.state(folder)
+        only = parts_of(touched, "OrderID", state.parts)
+        return read_parts(self.spark, f"{self.root}/{folder}", state, only=only)
 
     def build_fact(self) -> None:
         """Store the fact; after the first batch only months with touched orders.
 
         Touched are the orders of changed rows, as they are now and as they were. Only
-        their rows are built anew; the other rows of their months are taken over.
+        their rows are built anew, from the parts they lie in; the other rows of their
+        months are taken over.
         """
+        run_together(self.spark, [partial(self.build_by_order, name) for name in BY_ORDER])
         root, base = f"{self.root}/gold/fact_sales", self._base("gold/fact_sales")
-        inputs = [self.silver(name) for name in FACT_INPUTS]
         if base is None:
+            inputs = [self.silver(name) for name in FACT_INPUTS]
             fact = gold.fact_sales(*inputs, as_of=self.as_of)
             write_parts(fact, root, self._batch, gold.order_month())
             return
@@ -286,26 +348,50 @@ class Lakehouse:
             earlier = self.before(name).join(rows.select(key), key, "left_semi")
             changed += [(rows, order), (earlier, order)]
         touched = self._stage(gold.touched_orders(changed), "touched_orders")
-        states = [self.silver("orders"), self.before("orders")]
+        states = [self.of_orders("orders", touched), self.before("orders")]
         months = gold.months_of(states, touched)
         if not months:
             write_parts(self.fact().limit(0), root, self._batch, gold.order_month(), base, [])
             return
+        inputs = [self.of_orders(name, touched) for name in FACT_INPUTS]
         rebuilt = gold.fact_sales(*inputs, as_of=self.as_of, only_orders=touched)
         stored = read_parts(self.spark, root, base, only=months)
         fact = gold.refreshed_months(stored, touched, rebuilt)
         write_parts(fact, root, self._batch, gold.order_month(), base, months)
 
     def build_kpis(self) -> None:
-        fact = self.fact()
+        """KPI tables; the fact is read in the months that this batch rewrote, and their
+        daily sales and sums take the place of the stored ones."""
+        state = self.state("gold/fact_sales")
+        months = _replaced(self._base("gold/fact_sales"), state)
+        run_together(
+            self.spark,
+            [partial(self._refresh, name, state, months)
+             for name in ("gold_sales_summary", *(f"sums/{name}" for name in SUMS))],
+        )
+        sums = {name: self._read(f"gold/sums/{name}") for name in SUMS}
         tables = {
-            "gold_sales_summary": kpi.daily_sales(fact),
-            "gold_product_performance": kpi.product_performance(fact, self.gold("dim_product")),
-            "gold_customer_kpi": kpi.customer_kpi(fact, self.gold("dim_customer")),
-            "gold_store_performance": kpi.store_performance(fact, self.gold("dim_store")),
+            "gold_product_performance": kpi.product_totals(sums["product"], self.gold("dim_product")),
+            "gold_customer_kpi": kpi.customer_totals(sums["customer"], self.gold("dim_customer")),
+            "gold_store_performance": kpi.store_totals(sums["store"], self.gold("dim_store")),
         }
         run_together(self.spark, self._publications(tables))
 
+    def _refresh(self, name: str, fact: State, months: list[str]) -> None:
+        """Some months of a table that is kept by month beside the fact."""
+        root, base = f"{self.root}/gold/{name}", self._base(f"gold/{name}")
+        months = list(fact.parts) if base is None else months
+        rows = read_parts(self.spark, f"{self.root}/gold/fact_sales", fact, only=months)
+        month = gold.order_month()
+        if name == "gold_sales_summary":
+            write_parts(kpi.daily_sales(rows), root, self._batch, month, base, months)
+            return
+        sums, by = name.removeprefix("sums/"), month.alias("month")
+        made = (
+            kpi.product_sums(rows, by) if sums == "product" else kpi.order_sums(rows, SUMS[sums], by)
+        )
+        write_parts(made, root, self._batch, F.col("month"), base, months)
+
     def prune(self, keep: int = 2) -> None:
         """Drop all but the newest states. Parts that those refer to stay."""
         for name in self.specs:
@@ -347,7 +433,26 @@ class Lakehouse:
         )
 
     def _read(self, folder: str) -> DataFrame:
-        state = load_state(self.spark, f"{self.root}/{folder}", self._counts)
+        state = self.state(folder)
         if state is None:
             raise ValueError(f"nothing published under {self.root}/{folder}")
         return read_parts(self.spark, f"{self.root}/{folder}", state)
+
+
+def _replaced(base: State | None, state: State) -> list[str]:
+    """Parts of either state that the other has not, or has in another version."""
+    before = base.parts if base else {}
+    names = {**before, **state.parts}
+    return [p for p in names if before.get(p) != state.parts.get(p)]
+
+
+def _of_like_size(sizes: Mapping[str, int], total: int) -> list[str]:
+    """Parts to join with a new one of ``total`` bytes, smallest first, as long as the next
+    is at most twice as large as all before it together."""
+    found = []
+    for part, size in sorted(sizes.items(), key=lambda item: item[1]):
+        if size > 2 * total:
+            break
+        found.append(part)
+        total += size
+    return found

@@ -6,7 +6,6 @@ from .tables import read_jdbc, table
 from .versions import (
     current_version,
     drop_old_states,
-    key_part,
     load_state,
     merge_parts,
     publish,
@@ -22,7 +21,6 @@ __all__ = [
     "current_version",
     "drop_old_states",
     "file_row_counts",
-    "key_part",
     "list_files",
     "load_state",
     "merge_parts",

@@ -5,14 +5,17 @@ A new state goes to its own ``version=<n>`` folder and counts once its
 repeated run of the same version replaces only its own folder.
 
 A large state is kept in parts. A version then holds the parts that a batch touched,
-and its parts list, written last, says which version each part of the state is in.
+and its parts list, written last, says which version each part of the state is in. The
+list is put in place by a rename, which is atomic on HDFS and local file systems; an
+object store needs a committer or a store with atomic puts in its place.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from collections.abc import Callable, Collection, Iterable
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,20 +102,56 @@ def drop_old_versions(spark: SparkSession, root: str, keep: int) -> None:
 # States in parts.
 
 PART = "state_part"
-# Parts of a state that is dealt by a hash of its key.
-KEY_PARTS = 16
+# A part of a state that is dealt by a hash of its key is named by the leading bits of
+# the hashes in it, ALL_KEYS alone when there is one part. A part that has grown beyond
+# PART_BYTES is split by the next bits when a batch rewrites it, so the number of parts
+# follows the size of the state, and what a batch rewrites follows the batch.
+PART_BYTES = 256 << 20
+ALL_KEYS = "p"
+NOWHERE = -1  # version of a part without rows
 
 
 @dataclass(frozen=True)
 class State:
-    """Schema of a state in parts, and the version that holds each part."""
+    """Schema of a state in parts, the version that holds each part and its bytes there,
+    and the schemas of the versions."""
 
     schema: T.StructType
     parts: dict[str, int]
+    sizes: dict[str, int] = field(default_factory=dict)
+    schemas: dict[int, T.StructType] = field(default_factory=dict)
 
 
-def key_part(key: str, parts: int = KEY_PARTS) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("string")
+def with_part(df: DataFrame, key: str, parts: Collection[str]) -> DataFrame:
+    """``df`` with the part, out of ``parts`` that cover all hashes, of each row's key."""
+    bits = F.lpad(F.bin(F.xxhash64(key)), 64, "0")
+    depths = sorted({len(p) - len(ALL_KEYS) for p in parts})
+    names = [F.concat(F.lit(ALL_KEYS), F.substring(bits, 1, d)) for d in depths]
+    if len(names) == 1:
+        return df.withColumn(PART, names[0])
+    listed = df.sparkSession.createDataFrame([(p,) for p in parts], f"{PART} string")
+    found = df.withColumn(PART, F.explode(F.array(*names))).join(listed, PART)
+    return found.select(*df.columns, PART)
+
+
+def parts_of(df: DataFrame, key: str, parts: Collection[str]) -> list[str]:
+    """The parts that the keys of ``df`` lie in."""
+    return [r[0] for r in with_part(df.select(key), key, parts).select(PART).distinct().collect()]
+
+
+def split(part: str, size: int, part_bytes: int) -> list[str]:
+    """The parts that take the place of one of ``size`` bytes."""
+    extra = max(0, -(-size // part_bytes) - 1).bit_length()
+    return [part + (f"{i:0{extra}b}" if extra else "") for i in range(1 << extra)]
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, a measure for how many parts it needs."""
+    spark, total = df.sparkSession, 0
+    for name in df.inputFiles():
+        fs, path = _folder(spark, name)
+        total += fs.getFileStatus(path).getLen()
+    return total
 
 
 def _list_path(root: str, version: int) -> str:
@@ -147,7 +186,23 @@ def _load(spark: SparkSession, root: str, version: int) -> State:
     finally:
         stream.close()
     found = json.loads(text)
-    return State(T.StructType.fromJson(found["schema"]), found["parts"])
+    kinds = [T.StructType.fromJson(kind) for kind in found["kinds"]]
+    schemas = {int(v): kinds[k] for v, k in found["schemas"].items()}
+    return State(T.StructType.fromJson(found["schema"]), found["parts"], found["sizes"], schemas)
+
+
+def _as_json(state: State) -> str:
+    kinds: list[T.StructType] = []
+    for schema in state.schemas.values():
+        if schema not in kinds:
+            kinds.append(schema)
+    return json.dumps({
+        "schema": state.schema.jsonValue(),
+        "parts": state.parts,
+        "sizes": state.sizes,
+        "kinds": [kind.jsonValue() for kind in kinds],
+        "schemas": {v: kinds.index(schema) for v, schema in state.schemas.items()},
+    })
 
 
 def read_parts(
@@ -156,49 +211,69 @@ def read_parts(
 ) -> DataFrame:
     """Rows of a state, of some of its parts if ``only`` is given; empty without a state.
 
-    With a wider ``schema`` the columns that a part was written without are NULL.
+    Parts written with a narrower schema are cast to ``schema`` (that of the state by
+    default), with NULL in the columns they were written without.
     """
     schema = schema or state.schema
     chosen = set(state.parts if state else ())
     if only is not None:
         chosen &= set(only)
-    if not chosen:
-        return spark.createDataFrame([], schema)
-    paths = [f"{version_path(root, state.parts[p])}/{PART}={p}" for p in sorted(chosen)]
-    return spark.read.schema(schema).parquet(*paths)
+    by_schema: dict[str, tuple[T.StructType, list[str]]] = {}
+    for part in sorted(chosen):
+        version = state.parts[part]
+        if version != NOWHERE:
+            own = state.schemas[version]
+            path = f"{version_path(root, version)}/{PART}={part}"
+            by_schema.setdefault(own.json(), (own, []))[1].append(path)
+    found = [
+        widened(spark.read.schema(own).parquet(*paths), schema)
+        for own, paths in by_schema.values()
+    ]
+    return reduce(DataFrame.unionAll, found) if found else spark.createDataFrame([], schema)
 
 
 def write_parts(
-    df: DataFrame, root: str, version: int, part: Column, base: State | None = None,
-    replaced: Iterable[str] | None = None,
+    df: DataFrame, root: str, version: int, part: Column | None, base: State | None = None,
+    replaced: Iterable[str] | None = None, cover: Iterable[str] = (),
 ) -> State:
     """Write ``df`` as the parts ``replaced`` of a state, taking the others from ``base``.
 
-    Without ``replaced``, ``df`` is the whole state. ``rebalance`` evens out the files: a
-    dominant part is split, small ones are packed. The list is written under another name
-    and renamed, so a reader sees the old state or the new one.
+    Without ``replaced``, ``df`` is the whole state; without ``part``, its column PART says
+    where each row goes. Parts of ``cover`` stay in the list though they have no rows.
+    ``rebalance`` evens out the files: a dominant part is split, small ones are packed. The
+    list is written under another name and renamed, so a reader sees the old state or the
+    new one.
     """
     spark, path = df.sparkSession, version_path(root, version)
+    placed = df if part is None else df.withColumn(PART, part)
     (
-        df.withColumn(PART, part)
-        .hint("rebalance", PART)
+        placed.hint("rebalance", PART)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(PART)
         .parquet(path)
     )
     fs, folder = _folder(spark, path)
-    names = [entry.getPath().getName() for entry in fs.listStatus(folder)]
-    written = [n[len(PART) + 1 :] for n in names if n.startswith(f"{PART}=")]
-    kept = {} if replaced is None or base is None else base.parts
-    parts = {p: v for p, v in kept.items() if p not in set(replaced or ())}
-    state = State(df.schema, {**parts, **dict.fromkeys(written, version)})
+    sizes = {}
+    for entry in fs.listStatus(folder):
+        name = entry.getPath().getName()
+        if name.startswith(f"{PART}="):
+            sizes[name[len(PART) + 1 :]] = fs.getContentSummary(entry.getPath()).getLength()
+    kept = State(placed.drop(PART).schema, {}) if replaced is None or base is None else base
+    gone = set(replaced or ())
+    parts = dict.fromkeys(cover, NOWHERE) | {p: v for p, v in kept.parts.items() if p not in gone}
+    parts |= dict.fromkeys(sizes, version)
+    schema = placed.drop(PART).schema
+    schemas = {**kept.schemas, version: schema}
+    state = State(
+        schema, parts,
+        {p: n for p, n in {**kept.sizes, **sizes}.items() if parts.get(p, NOWHERE) != NOWHERE},
+        {v: s for v, s in schemas.items() if v in set(parts.values())},
+    )
     _, target = _folder(spark, _list_path(root, version))
     _, draft = _folder(spark, f"{root}/_draft-{version:012d}.json")
     stream = fs.create(draft, True)
-    stream.write(
-        bytearray(json.dumps({"schema": df.schema.jsonValue(), "parts": state.parts}), "utf-8")
-    )
+    stream.write(bytearray(_as_json(state), "utf-8"))
     stream.close()
     fs.delete(target, False)
     fs.rename(draft, target)
@@ -208,36 +283,67 @@ def write_parts(
 def merge_parts(
     spark: SparkSession, root: str, version: int, source: DataFrame, key: str,
     merge: Callable[[DataFrame, DataFrame], DataFrame], base: State | None,
-    schema: T.StructType, parts: int = KEY_PARTS,
+    schema: T.StructType, part_bytes: int = PART_BYTES,
 ) -> State:
     """Merge ``source`` into the parts of a state that its keys lie in; the others stay.
 
     ``source`` should be stored, as it is read twice. ``schema`` is that of the state;
-    where it is wider than before, stored rows have NULL in the new columns.
+    where it is wider than before, stored rows are cast to it and have NULL in the new
+    columns. A batch of k keys rewrites k parts at most; those of them that have become
+    too large are split on the way.
     """
-    touched = [r[0] for r in source.select(key_part(key, parts)).distinct().collect()]
+    if base is None:
+        leaves = touched = split(ALL_KEYS, stored_bytes(source), part_bytes)
+        cover = leaves
+    else:
+        touched = parts_of(source, key, base.parts)
+        cover = [n for p in touched for n in split(p, base.sizes.get(p, 0), part_bytes)]
+        leaves = [p for p in base.parts if p not in set(touched)] + cover
     stored = read_parts(spark, root, base, schema, touched)
-    merged = merge(stored, source)
-    return write_parts(merged, root, version, key_part(key, parts), base, touched)
+    merged = with_part(merge(stored, source), key, leaves)
+    return write_parts(merged, root, version, None, base, touched, cover)
 
 
 def widened(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """``df`` with the columns of ``schema``, NULL where it has none."""
-    known = set(df.columns)
+    """``df`` with the columns of ``schema`` in its types, NULL where it has none."""
+    known = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
-        *(F.col(f.name) if f.name in known else F.lit(None).cast(f.dataType).alias(f.name)
-          for f in schema.fields)
+        *(
+            (F.col(f.name) if known.get(f.name) == f.dataType
+             else F.col(f.name).cast(f.dataType).alias(f.name) if f.name in known
+             else F.lit(None).cast(f.dataType).alias(f.name))
+            for f in schema.fields
+        )
     )
 
 
+# Types that take every value of another one without a change.
+_INTEGERS = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
+WIDER = {
+    **{small: _INTEGERS[i + 1 :] for i, small in enumerate(_INTEGERS)},
+    T.FloatType(): (T.DoubleType(),),
+    T.DateType(): (T.TimestampNTZType(), T.TimestampType()),
+}
+for _small in _INTEGERS[:3]:
+    WIDER[_small] += (T.DoubleType(),)
+
+
+def wider_type(name: str, first: T.DataType, second: T.DataType) -> T.DataType:
+    """The one of two types that takes the values of both; an error if neither does."""
+    if first == second or first in WIDER.get(second, ()):
+        return first
+    if second in WIDER.get(first, ()):
+        return second
+    raise TypeError(f"{name}: neither {first} nor {second} takes the values of both")
+
+
 def union_schema(first: T.StructType, second: T.StructType) -> T.StructType:
-    """Fields of both, those of ``first`` leading; one name must have one type."""
-    known = {f.name: f for f in first.fields}
-    for field in second.fields:
-        if field.name in known and known[field.name].dataType != field.dataType:
-            raise TypeError(f"{field.name}: {known[field.name].dataType} and {field.dataType}")
-        known.setdefault(field.name, field)
-    return T.StructType([T.StructField(f.name, f.dataType) for f in known.values()])
+    """Fields of both, those of ``first`` leading, each in the wider of its two types."""
+    known = {f.name: f.dataType for f in first.fields}
+    for field_ in second.fields:
+        own = known.setdefault(field_.name, field_.dataType)
+        known[field_.name] = wider_type(field_.name, own, field_.dataType)
+    return T.StructType([T.StructField(name, kind) for name, kind in known.items()])
 
 
 def drop_newer(spark: SparkSession, root: str, version: int) -> None:

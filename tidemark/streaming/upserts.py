@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from zlib import crc32
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +14,12 @@ from ..operators.quality import has_values
 from ..schemas import CORRUPT
 from ..session import shared_dir
 from ..sources.versions import (
-    KEY_PARTS,
+    PART_BYTES,
     drop_old_states,
     load_state,
     merge_parts,
     read_parts,
+    remove_folder,
 )
 from .drops import finish
 
@@ -46,7 +47,7 @@ def upsert_stream(
     checkpoint: str,
     timeout: float | None = None,
     quarantine: str | None = None,
-    parts: int = KEY_PARTS,
+    part_bytes: int = PART_BYTES,
 ) -> None:
     """Merge all data available now into the state under ``state_root`` and stop.
 
@@ -59,21 +60,28 @@ def upsert_stream(
     ``quarantine`` (a folder per micro-batch) if that is given.
     """
 
+    staging = f"upserts-{sha256(state_root.encode()).hexdigest()}"
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        staged = shared_dir(spark, "upserts", f"{crc32(state_root.encode())}-{batch_id}")
-        batch.write.mode("overwrite").parquet(staged)
-        rows = spark.read.schema(batch.schema).parquet(staged)
+
+        def staged(df: DataFrame, name: str) -> DataFrame:
+            path = shared_dir(spark, staging, str(batch_id), name)
+            df.write.mode("overwrite").parquet(path)
+            return spark.read.schema(df.schema).parquet(path)
+
+        rows = staged(batch, "rows")
         if CORRUPT in rows.columns:
             damaged = F.col(CORRUPT).isNotNull()
             if quarantine:
                 rejected = rows.filter(damaged).select(CORRUPT)
                 rejected.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id:012d}")
             rows = rows.filter(~damaged).drop(CORRUPT)
-        newest = keep_latest(has_values(rows, key), key, version, ties)
+        newest = staged(keep_latest(has_values(rows, key), key, version, ties), "newest")
         base = load_state(spark, state_root, lambda number: number < batch_id)
-        merge_parts(spark, state_root, batch_id, newest, key, merge, base, schema, parts)
+        merge_parts(spark, state_root, batch_id, newest, key, merge, base, schema, part_bytes)
         drop_old_states(spark, state_root, STATES_KEPT)
+        remove_folder(spark, shared_dir(spark, staging, str(batch_id)))
 
     query = (
         stream.writeStream.foreachBatch(apply)
