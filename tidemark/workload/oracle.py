@@ -464,6 +464,7 @@ def oracle_sql() -> dict[str, str]:
             FROM orders WHERE {_SHORT_LINE} OR {_LONG_LINE}""",
         "named_view_scan": "SELECT * FROM supplier",
         "catalog_scan": "SELECT * FROM supplier",
+        "schema_scan": "SELECT * FROM supplier",
         "format_scan": "SELECT * FROM supplier",
         "appended_table": _with(
             """SELECT StoreID, StoreName, City, Province, region
@@ -590,6 +591,9 @@ def oracle_sql() -> dict[str, str]:
            FROM silver_payment s LEFT JOIN first_payment f ON s.payment_id = f.payment_id""",
         "payment", extra=_first("payment", "modified_date"),
     )
+    sql["silver_wider_type"] = _with(
+        "SELECT * REPLACE (Quantity::BIGINT AS Quantity) FROM silver_lines", "lines"
+    )
     names = {"lines": "orderdetails"}
     for name in SILVER:
         sql[f"silver_{names.get(name, name)}"] = _with(

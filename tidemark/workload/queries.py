@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Callable
 from dataclasses import replace
+from hashlib import sha256
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -450,8 +452,8 @@ def drop_stream_quarantine(part: str) -> Query:
 
         path = _once(spark, sf_dir, "damaged_stream", run)
         if part == "bad":
-            return spark.read.parquet(f"{path}/bad")
-        return read_csv(spark, f"{path}/landed", schema).drop(schemas.CORRUPT)
+            return spark.read.parquet(f"{path}/bad/*")
+        return read_csv(spark, f"{path}/landed/*", schema).drop(schemas.CORRUPT)
 
     return query
 
@@ -464,26 +466,53 @@ def named_scan(prefix: str) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         source = given(spark, sf_dir, "supplier")
-        name = f"{prefix}_{uuid4().hex}"
         if prefix == "view":
+            name = f"view_{uuid4().hex}"
             source.createOrReplaceTempView(name)
             return table(spark, name)
         if prefix == "path":
             return table(spark, f"parquet.`{sf_dir}/supplier.parquet`")
-        overwrite_table(source, f"default.{name}")
+        name = _table_once(spark, sf_dir, "suppliers", lambda n: overwrite_table(source, n))
+        if prefix == "schema":
+            return table(spark, name, schema="default")
         return table(spark, f"spark_catalog.default.{name}")
 
     return query
 
 
+def _table_once(
+    spark: SparkSession, sf_dir: str, what: str, fill: Callable[[str], object]
+) -> str:
+    """Name of a catalog table that ``fill`` makes when a session first asks for it; it is
+    dropped when the session's process ends."""
+
+    def make(path: str) -> None:
+        name = _table_name(what, path)
+        fill(name)
+        atexit.register(_drop_table, spark, name)
+
+    return _table_name(what, _once(spark, sf_dir, f"table-{what}", make))
+
+
+def _table_name(what: str, path: str) -> str:
+    return f"{what}_{sha256(path.encode()).hexdigest()[:32]}"
+
+
+def _drop_table(spark: SparkSession, name: str) -> None:
+    if spark.sparkContext._jsc is not None:  # not stopped yet
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def appended_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stores created empty, once more without effect, and appended to twice."""
-    name = f"stores_{uuid4().hex}"
     stores = gold.dim_store(_stored_silver(spark, sf_dir, "stores"))
-    for _ in range(2):
-        create_table(spark, name, stores.schema)
-        append_table(stores, name)
-    return table(spark, name)
+
+    def fill(name: str) -> None:
+        for _ in range(2):
+            create_table(spark, name, stores.schema)
+            append_table(stores, name)
+
+    return table(spark, _table_once(spark, sf_dir, "stores", fill))
 
 
 def appended_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -503,6 +532,7 @@ SOURCE_TABLES = {"Customers": "customer", "Products": "products", "Stores": "sto
 # The first batch sees the rows modified by then.
 FIRST_CUT = "1998-02-01"
 LATER = "2026-02-01 00:00:00"
+SMALL_PART = 1 << 18  # bytes
 
 
 class _Interrupted(Lakehouse):
@@ -550,21 +580,26 @@ def lakehouse_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _interrupted(spark: SparkSession, sf_dir: str) -> Lakehouse:
     """Batch 1, a second one that ends before its marks move, and a third with a column
-    that payments did not have before."""
-    spec = SILVER["payment"]
+    that payments did not have before, and a wider type for the quantity of lines. The
+    parts are small, so that some stay as the first batch wrote them."""
+    spec, lines = SILVER["payment"], SILVER["orderdetails"]
     # A new schema: add() would change the one that all readers share.
     currency = T.StructField("currency", T.StringType())
     wider = replace(spec, schema=T.StructType([*spec.schema.fields, currency]))
+    quantity = T.StructField("Quantity", T.LongType())
+    fields = [quantity if f.name == "Quantity" else f for f in lines.schema.fields]
+    changed = {"payment": wider, "orderdetails": replace(lines, schema=T.StructType(fields))}
 
     def run(path: str) -> None:
-        Lakehouse(spark, path, AS_OF).run(1, *_batch_inputs(spark, sf_dir, FIRST_CUT))
+        small = {"part_bytes": SMALL_PART}
+        Lakehouse(spark, path, AS_OF, **small).run(1, *_batch_inputs(spark, sf_dir, FIRST_CUT))
         try:
-            _Interrupted(spark, path, AS_OF).run(2, *_batch_inputs(spark, sf_dir, None))
+            _Interrupted(spark, path, AS_OF, **small).run(2, *_batch_inputs(spark, sf_dir, None))
         except KeyboardInterrupt:
             pass
         tables, feeds = _batch_inputs(spark, sf_dir, None)
         given_as = F.when(F.col("payment_id") % 2 == 0, "CAD")
-        third = Lakehouse(spark, path, LATER, specs={**SILVER, "payment": wider})
+        third = Lakehouse(spark, path, LATER, specs={**SILVER, **changed}, **small)
         third.run(
             3, tables,
             lambda n: feeds(n).withColumn("currency", given_as) if n == "payment" else feeds(n),
@@ -583,6 +618,12 @@ def silver_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("ingestion_timestamp")
 
 
+def silver_wider_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with the wider quantity of the third batch, of the rows before it too."""
+    found = _plain_moments(_interrupted(spark, sf_dir).silver("orderdetails"))
+    return found.drop("ingestion_timestamp")
+
+
 def _kpi_customer(active_only: bool) -> Query:
     return lambda spark, d: kpi.customer_kpi(
         _stored_fact(spark, d), scd2_customer(spark, d), active_only
@@ -624,6 +665,7 @@ def queries() -> dict[str, Query]:
         "drop_stream_quarantine": drop_stream_quarantine("bad"),
         "named_view_scan": named_scan("view"),
         "catalog_scan": named_scan("catalog"),
+        "schema_scan": named_scan("schema"),
         "format_scan": named_scan("path"),
         "appended_table": appended_table,
         "appended_quarantine": appended_quarantine,
@@ -683,4 +725,5 @@ def queries() -> dict[str, Query]:
         "lakehouse_store_kpi": lakehouse_table("gold_store_performance"),
         "lakehouse_after_failed_batch": lakehouse_after_failed_batch,
         "silver_new_column": silver_new_column,
+        "silver_wider_type": silver_wider_type,
     }
