@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 import tiktoken
 import xxhash
+from conftest import rows
 
 from tidemark.llm import bpe, components, decontaminate, pii, rules, shards, simhash, substrings
 from tidemark.llm import langid, toxicity
@@ -58,20 +59,35 @@ def reference_encoding():
     )
 
 
-@pytest.mark.parametrize("chunk, overlap", [(64, 16), (200, 8), (bpe.CHUNK, bpe.OVERLAP)])
-def test_chunked_encoding_is_that_of_whole_texts(spark, docs, monkeypatch, chunk, overlap):
-    monkeypatch.setattr(bpe, "CHUNK", chunk)
-    monkeypatch.setattr(bpe, "OVERLAP", overlap)
-    hard = {-1: "a" * 700 + "'re" * 90 + " " * 300 + "x", -2: "é😀" * 200 + "\n" * 150 + " 12",
-            -3: "1" * 130 + "don't we'll " * 40, -4: " " * 500, -5: "字" * 333}
-    texts = {**docs, **hard}
+HARD = {-1: "a" * 700 + "'re" * 90 + " " * 300 + "x", -2: "é😀" * 200 + "\n" * 150 + " 12",
+        -3: "1" * 130 + "don't we'll " * 40, -4: " " * 500, -5: "字" * 333,
+        -6: "word 'll  \t x" * 60, -7: ("字" * 40 + "，") * 20 + " 's" * 90}
+
+
+@pytest.mark.parametrize("chunk, overlap", [(64, 16), (200, 40), (bpe.CHUNK, bpe.OVERLAP)])
+def test_chunked_encoding_is_that_of_whole_texts(spark, docs, chunk, overlap):
+    """Chunk sizes travel to the workers as arguments; all long texts are cut."""
+    repeat = 1 if chunk < bpe.CHUNK else 300
+    texts = {**docs, **{i: text * repeat for i, text in HARD.items()}}
     table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     expected = reference_encoding()
-    # Chunk sizes travel to the workers with the functions only in this process.
-    for r in bpe.decode(bpe.encode(table)).collect():
+    for r in bpe.decode(bpe.encode(table, chunk=chunk, overlap=overlap)).collect():
         ids = expected.encode_ordinary(texts[r.doc_id])
         assert bytes(r.ids) == np.array(ids, "<u4").tobytes(), r.doc_id
         assert bytes(r.decoded) == texts[r.doc_id].encode()
+    cut = bpe.pieces(table, bpe.default_pattern(), chunk, overlap).groupBy("doc_id").count()
+    several = dict(map(tuple, cut.collect()))
+    assert set(several) == {i for i, text in texts.items() if len(text) > chunk}
+    # Words with blanks between them are cut in every chunk or nearly so.
+    for i in (-3, -6):
+        assert several[i] > len(texts[i]) / chunk / 3
+
+
+def test_one_step_for_encoding_and_decoding(spark, docs):
+    texts = {**docs, **{i: text * 300 for i, text in HARD.items()}, 0: None, -9: ""}
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    both = bpe.digests(bpe.round_trip(table))
+    assert rows(both) == rows(bpe.digests(bpe.decode(bpe.encode(table))))
 
 
 def least_edits(item, words):

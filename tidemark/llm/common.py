@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import zipfile
 from collections.abc import Callable, Iterator
@@ -64,6 +65,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give memory that is free in this Python worker back to the system.
+
+    Workers outlive their tasks and serve one stage after another; without this each
+    would keep the most that any stage needed.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text", lower: bool = False) -> list[bytes]:
     """UTF-8 bytes of a text column; NULL is the empty text."""
     values = pc.fill_null(batch.column(column), "")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import blocks, read, prepare, stored, texts_of
+from .common import blocks, prepare, read, release, stored, texts_of
 
 # Edits per word of an item up to which a passage counts as a copy of it.
 EDIT_RATE = 0.2
@@ -144,6 +144,10 @@ def edit_distances(items: np.ndarray, regions: np.ndarray) -> np.ndarray:
     return row.min(1)
 
 
+# Digests (32 bytes each) of contaminated texts that are broadcast.
+BROADCAST_HITS = 500_000
+
+
 @dataclass
 class Screen:
     """For each word pair slot, a mask of the classes with an item that has the pair."""
@@ -258,6 +262,7 @@ def suspicious_windows(docs: DataFrame, screen: Screen) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(screen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             texts, ids = texts_of(batch, lower=True), batch.column("doc_id")
             for start, end in blocks(texts):
@@ -285,6 +290,7 @@ def suspicious_windows(docs: DataFrame, screen: Screen) -> DataFrame:
                         ],
                         names=["doc_id", "class", "region", "keys"],
                     )
+            release()
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
@@ -391,10 +397,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of ``docs``, with all their columns, in which no item is found. Texts are judged
     by themselves, known by their digests, so rows without doc_id or with one that others
-    have too stay or go on their own."""
-    digest = F.sha2("text", 256)
+    have too stay or go on their own.
+
+    Up to ``BROADCAST_HITS`` digests are broadcast, so that the texts stay in place; more
+    of them are joined by a shuffle."""
+    digest = F.unhex(F.sha2("text", 256))
     hits = contaminated(docs.select(digest.alias("doc_id"), "text"), benchmark)
     hits = stored(hits.select(F.col("doc_id").alias("_hit")).distinct(), "decontaminate-hits")
+    if hits.count() <= BROADCAST_HITS:
+        hits = F.broadcast(hits)
     return docs.join(hits, digest == F.col("_hit"), "left_anti")
 
 

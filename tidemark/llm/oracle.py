@@ -123,4 +123,37 @@ SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, coalesce(c.copies - 1 +
 FROM sets s LEFT JOIN classes c ON c.shingles = s.shingles LEFT JOIN component k ON k.class = c.class LEFT JOIN degree d ON d.class = c.class
 """
 
-SQL: dict[str, str] = {"op11_grouped_prefix_join": _JACCARD, "op13_scalar_repair": _REPAIR}
+# Every window of 20 words by its digest; words under a window that also starts earlier go.
+_REPEATS = """
+WITH
+words AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+),
+windows AS (
+  SELECT doc_id, w.place AS place, w.digest AS digest FROM (
+    SELECT doc_id, unnest(list_transform(range(1, len(words) - 18),
+      lambda i: {'place': i, 'digest': md5(array_to_string(words[i:i + 19], ' '))})) AS w
+    FROM words WHERE len(words) >= 20)
+),
+late AS (
+  SELECT doc_id, place FROM (
+    SELECT doc_id, place, row_number() OVER (PARTITION BY digest ORDER BY doc_id, place) AS n FROM windows)
+  WHERE n > 1
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(place, place + 20)) AS place FROM late),
+single AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM words),
+kept AS (
+  SELECT s.doc_id, string_agg(word, ' ' ORDER BY s.place) AS kept, count(*) AS n
+  FROM single s LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.place = s.place WHERE g.place IS NULL GROUP BY s.doc_id
+)
+SELECT w.doc_id, len(w.words)::BIGINT AS n_words, (len(w.words) - coalesce(k.n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id
+"""
+
+SQL: dict[str, str] = {
+    "op5_super_kmers": _REPEATS,
+    "op11_grouped_prefix_join": _JACCARD,
+    "op13_scalar_repair": _REPAIR,
+}

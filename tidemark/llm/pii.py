@@ -10,11 +10,13 @@ train a final span classifier whose accepted candidates are added to the base sp
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from .common import read, stored
 
@@ -50,11 +52,30 @@ CONTEXT_WORDS = {
 }
 CONTEXT_CHARS = 24
 
+# Matches that are laid out one after another; see _parts.
+PART = 512
+_MATCH = StructType([StructField("start", LongType()), StructField("text", StringType())])
+_SPANS = ArrayType(_MATCH)
+_GAPS = ArrayType(StructType([StructField("gap", LongType()), StructField("text", StringType())]))
+
 LABELERS = ("by_regex", "by_gazetteer", "by_context")
 EM_ROUNDS = 50
 PRIOR_STRENGTH = 2.0  # pseudo-votes that keep an unseen labeler's rates inside (0, 1)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _parts(found: Column) -> Column:
+    """Runs of ``PART`` elements of an array. A list built up element by element is copied
+    at every step, so long ones are built in parts, and from the parts."""
+    last = F.floor((F.size(found) - 1) / PART).cast("int")
+    runs = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(found, k * PART + 1, PART))
+    return F.when(F.size(found) > 0, runs).otherwise(F.array().cast(ArrayType(_GAPS)))
+
+
 def matches(text: Column, pattern: str, needs: str) -> Column:
     """(start, text) of all matches, leftmost and non-overlapping, in code points.
 
@@ -62,26 +83,28 @@ def matches(text: Column, pattern: str, needs: str) -> Column:
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    empty = F.expr("cast(array() as array<struct<start: long, text: string>>)")
+    empty = F.array().cast(_SPANS)
     pairs = F.zip_with(
         F.slice(gaps, F.lit(1), F.size(found)), found,
         lambda gap, match: F.struct(
             F.char_length(gap).cast("long").alias("gap"), match.alias("text")
         ),
     )
-    start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans"))
-    laid = F.aggregate(
-        pairs,
-        start,
-        lambda state, pair: F.struct(
-            (state["at"] + pair["gap"] + F.char_length(pair["text"])).alias("at"),
-            F.concat(
-                state["spans"],
-                F.array(F.struct((state["at"] + pair["gap"]).alias("start"), pair["text"].alias("text"))),
-            ).alias("spans"),
-        ),
-        lambda state: state["spans"],
-    )
+
+    def state(at: Column, spans: Column) -> Column:
+        return F.struct(at.alias("at"), spans.alias("spans"))
+
+    def one(so_far: Column, pair: Column) -> Column:
+        start = so_far["at"] + pair["gap"]
+        span = F.struct(start.alias("start"), pair["text"].alias("text"))
+        return state(start + F.char_length(pair["text"]), F.concat(so_far["spans"], F.array(span)))
+
+    def part(so_far: Column, run: Column) -> Column:
+        laid = F.aggregate(run, state(so_far["at"], empty), one)
+        return _let(laid, lambda d: state(d["at"], F.concat(so_far["spans"], F.array(d["spans"]))))
+
+    start = state(F.lit(0).cast("long"), F.array().cast(ArrayType(_SPANS)))
+    laid = _let(pairs, lambda p: F.flatten(F.aggregate(_parts(p), start, part)["spans"]))
     return F.when(F.regexp_like(text, F.lit(needs)), laid).otherwise(empty)
 
 

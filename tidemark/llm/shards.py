@@ -19,8 +19,7 @@ SHARDS = 8
 # Groups below 1 / BUNDLES of every total are placed in bundles, by a hash of their
 # text: at most BUNDLES bundles and 3 * BUNDLES larger groups reach the driver.
 BUNDLES = 4096
-# Groups above 1 / SPLIT_ABOVE of a total are placed in slices of 1 / SLICES of it.
-SPLIT_ABOVE = 16
+# Groups above a shard's share of a total are placed in slices of 1 / SLICES of it.
 SLICES = 64
 ROWS_PER_RANK = 20_000
 
@@ -30,6 +29,7 @@ DIMENSIONS = ("size", "tokens", "rows")
 def sized(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return docs.select(
+        F.monotonically_increasing_id().alias("row"),
         "doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("tokens"),
@@ -61,12 +61,13 @@ class Packing:
 def pack(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Every document with its size, shard and slot in the shard.
 
-    Equal texts share a shard unless they exceed a sixteenth of a total, as such a
-    group would upset the balance; then its documents are dealt in slices by a hash of
-    their ids. Slots count from 0 without a gap, in two steps: ranks in parts of a
-    shard, then the parts' offsets. A NULL text has size 1, no tokens, and is grouped
-    with the empty text; repeated rows get a slot each; an empty table gives no rows;
-    other columns are ignored.
+    Equal texts share a shard unless they exceed a shard's share of a total, as such a
+    group would upset the balance; then its rows are dealt in slices. Slots count from 0
+    without a gap, in two steps: ranks in parts of a shard, then the parts' offsets. Both
+    deal by a stored row number, so rows without doc_id or with one that others have too
+    are spread like any other. A NULL text has size 1, no tokens, and is grouped with the
+    empty text; repeated rows get a slot each; an empty table gives no rows; other columns
+    are ignored. Of a text of any length only its sizes and digests are kept.
     """
     spark = docs.sparkSession
     rows = stored(sized(docs), "shards-sized")
@@ -78,7 +79,7 @@ def pack(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         groups.withColumn("share", share).filter(F.col("share") * BUNDLES > 1), "shards-large"
     )
     slices = F.when(
-        F.col("share") * SPLIT_ABOVE > 1, F.ceil(F.col("share") * SLICES).cast("int")
+        F.col("share") * shards > 1, F.ceil(F.col("share") * SLICES).cast("int")
     ).otherwise(1)
     bundle = F.pmod(F.xxhash64("group"), F.lit(BUNDLES))
     small = groups.withColumn("share", share).filter(F.col("share") * BUNDLES <= 1)
@@ -100,21 +101,21 @@ def pack(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     dealt = (
         rows.join(F.broadcast(cut), "group", "left")
         .select(
-            "doc_id", "size", "text_crc32",
+            "row", "doc_id", "size", "text_crc32",
             F.when(F.col("slices").isNull(), F.concat(F.lit("b"), bundle.cast("string")))
             .otherwise(F.col("group")).alias("unit"),
-            F.coalesce(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("slices")), F.lit(0))
+            F.coalesce(F.pmod(F.xxhash64("row", F.lit(5)), F.col("slices")), F.lit(0))
             .cast("int").alias("slice"),
         )
         .join(F.broadcast(where), ["unit", "slice"])
-        .select("doc_id", "size", "text_crc32", "shard")
+        .select("row", "doc_id", "size", "text_crc32", "shard")
     )
     return with_slots(stored(dealt, "shards-dealt"), total["rows"] or 0)
 
 
 def with_slots(dealt: DataFrame, rows: int) -> DataFrame:
     parts = max(16, -(-rows // ROWS_PER_RANK))
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(parts)))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("row", F.lit(9)), F.lit(parts)))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -122,7 +123,7 @@ def with_slots(dealt: DataFrame, rows: int) -> DataFrame:
         dealt.groupBy("shard", "part").agg(F.count("*").alias("n"))
         .select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     )
-    inside = Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size")
+    inside = Window.partitionBy("shard", "part").orderBy("row")
     ranked = dealt.withColumn("rank", F.row_number().over(inside) - 1)
     return ranked.join(offsets, ["shard", "part"]).select(
         "doc_id",

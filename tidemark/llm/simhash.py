@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -243,20 +244,25 @@ def classes(marked: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def keep_representatives(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """One row, with all columns, of each group of near-duplicates: that with the
-    smallest doc_id. Of several such rows, as in repeated rows, one stays. A group
-    without any doc_id keeps one of its rows."""
+    smallest doc_id, and of several such rows the one with the smallest digest. Of
+    rows that agree in id and text one stays. A group without any doc_id keeps the row
+    with the smallest digest.
+
+    The fingerprint of a row is computed once; a row is found again by a digest of its id
+    and text. Names of added columns are made up, so that none can clash.
+    """
     prepare(docs.sparkSession)
-    marked = stored(docs.select("doc_id", simhash("text").alias("fp")), "simhash-prints")
-    names = ("_near_fp", "_near_root", "_near_id")
-    found = classes(marked, max_bits).toDF(*names)
-    joined = docs.withColumn("_near_print", simhash("text")).join(
-        found, F.col("_near_print") == F.col("_near_fp")
-    )
-    return (
-        joined.filter(F.col("doc_id").eqNullSafe(F.col("_near_id")))
-        .dropDuplicates(["_near_root"])
-        .drop("_near_print", *names)
-    )
+    digest = F.sha2(F.to_json(F.struct("doc_id", "text")), 256)
+    prints = docs.select("doc_id", digest.alias("digest"), simhash("text").alias("fp"))
+    marked = stored(prints, "simhash-prints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest"))
+    own = f"_digest_{uuid4().hex}"
+    chosen = (
+        marked.join(classes(marked, max_bits), "fp").groupBy("root").agg(first.alias("row"))
+        .select(F.col("row.digest").alias(own))
+    )
+    # Rows that agree in id and text meet in the join, so the last step shuffles nothing.
+    return docs.withColumn(own, digest).join(chosen, own).dropDuplicates([own]).drop(own)
 
 
 def op6_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:

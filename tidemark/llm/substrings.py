@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from . import tokens
 from .common import blocks, read, prepare, stored, texts_of
@@ -40,8 +41,17 @@ NO_ID = (1 << 63) - 1
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, doc, and a digest of the text; doc is a number in the order of the
+    ids, an integer id itself."""
+    number = F.col("doc_id").cast("long")
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        docs, number = docs.select("doc_id", "text"), F.col("number")
+        ids = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
+        ids = ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+        ids = ids.withColumn("number", F.monotonically_increasing_id())
+        docs = docs.join(stored(ids, "substrings-ids"), "doc_id", "left")
     return docs.select(
-        "doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
+        "doc_id", "text", F.coalesce(number, F.lit(NO_ID)).alias("doc"),
         F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("text_digest"),
     )
 
@@ -333,8 +343,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     or empty text, or one of fewer than 20 words, loses nothing. Rows with the same
     doc_id and text are repetitions of one document and are treated alike; different texts
     with one doc_id are documents of their own, in the order of their digests, as are those
-    without one, which come last. An empty table gives no rows; columns other than doc_id
-    and text are ignored.
+    without one, which come last. Ids may be of any type that sorts. An empty table gives
+    no rows; columns other than doc_id and text are ignored.
     """
     prepare(docs.sparkSession)
     keyed = numbered(docs)
