@@ -36,7 +36,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the number of tokens, and digests of the ids and of the decoded bytes."""
-    return bpe.digests(bpe.decode(bpe.encode(docs)))
+    return bpe.digests(bpe.round_trip(docs))
 
 
 STAGES = [
