@@ -1,4 +1,7 @@
-"""Fact and dimensions of the star schema."""
+"""Fact and dimensions of the star schema.
+
+The column lists and the names of result columns are fixed values.
+"""
 
 from __future__ import annotations
 
