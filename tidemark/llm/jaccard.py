@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,9 +38,9 @@ SLICE = 1 << 14
 # Documents and shingles of a block that meets others in one task.
 BLOCK_DOCUMENTS = 256
 BLOCK_SHINGLES = 1_000_000
-# Bits of the filter that spares most documents without a partner the shuffle of their
-# sets; it lets more of them through as it fills up and never drops one.
-FILTER_BITS = 1 << 25
+# Bits of the filters that spare most shingles and sets without a partner a shuffle; a
+# filter lets more of them through as it fills up and never drops one that is wanted.
+FILTER_BITS = 1 << 26
 COLUMNS_AT_ONCE = 4096
 
 _OTHER = np.uint64(0xA0761D6478BD642F)
@@ -204,7 +205,7 @@ def shared_shingles(placed: DataFrame, members: DataFrame) -> DataFrame:
     class has in its prefix too.
 
     A shingle in two places gives its classes straight from the counting; only those in
-    more places are looked up again.
+    more places are looked up again, by a filter that leaves few others to be shuffled.
     """
     firsts = placed.select("id", F.explode("prefix").alias("shingle"))
     counted = firsts.groupBy("shingle").agg(
@@ -213,7 +214,20 @@ def shared_shingles(placed: DataFrame, members: DataFrame) -> DataFrame:
     counted = stored(counted.filter("one < two"), "jaccard-shared")
     many = stored(counted.filter("places > 2").select("shingle"), "jaccard-many")
     pairs = counted.filter("places = 2").select("shingle", F.explode(F.array("one", "two")).alias("id"))
-    found = pairs.unionByName(firsts.join(many, "shingle").select("shingle", "id").distinct())
+    bits = filter_bits(many, F.col("shingle").bitwiseAND(F.lit(FILTER_BITS - 1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("prefix")
+            shingles = lists.flatten().to_numpy()
+            slots = shingles & (FILTER_BITS - 1)
+            kept = np.flatnonzero(bits.value[slots >> 6] >> (slots & 63) & 1)
+            of = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))[kept]
+            columns = [pa.array(shingles[kept]), batch.column("id").take(pa.array(of))]
+            yield pa.RecordBatch.from_arrays(columns, names=["shingle", "id"])
+
+    likely = placed.select("id", "prefix").mapInArrow(run, "shingle long, id long").distinct()
+    found = pairs.unionByName(likely.join(many, "shingle").select("shingle", "id"))
     return stored(found.join(members.select("id", "block", "n"), "id"), "jaccard-hits")
 
 
@@ -280,13 +294,8 @@ def _needed(largest: str, smallest: str) -> Column:
     return F.greatest(F.lit(1), shared - (F.ceil(m * PERCENT / 100) - 1))
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, classes) -> DataFrame:
-    """(key, shingles): the ordered set of every ``wanted`` key, once.
-
-    A bit filter of fixed size is broadcast, so that most of the other documents need
-    not be shuffled to find that they are not wanted.
-    """
-    slot = F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS))
+def filter_bits(wanted: DataFrame, slot: Column) -> Broadcast:
+    """A bit for each slot of ``wanted``; of fixed size, so it can be broadcast."""
     words = (
         wanted.select(slot.alias("slot"))
         .groupBy(F.shiftright("slot", 6).alias("word"))
@@ -295,7 +304,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame, classes) -> DataFrame:
     )
     bits = np.zeros(FILTER_BITS // 64, np.int64)
     bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    return wanted.sparkSession.sparkContext.broadcast(bits)
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame, classes) -> DataFrame:
+    """(key, shingles): the ordered set of every ``wanted`` key, once."""
+    shared = filter_bits(wanted, F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
