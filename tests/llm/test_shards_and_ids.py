@@ -10,7 +10,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.llm import shards, simhash, substrings
+from tidemark.llm import pii, shards, simhash, substrings
 
 
 def balance(found):
@@ -83,3 +83,15 @@ def test_a_defined_representative_whatever_the_columns(spark):
     assert rows(kept, "doc_id", "_near_id") == [(1, "y"), (5, "w")]
     nameless = spark.createDataFrame([(None, text), (None, text + "!")], "doc_id long, text string")
     assert len({tuple(r) for r in simhash.keep_representatives(nameless).collect()}) >= 1
+
+
+def test_many_matches_in_one_text_and_clashing_columns(spark):
+    """Two hundred thousand numbers: their places are laid out in parts."""
+    text = " ".join(f"{i % 100:02d}x" for i in range(200_000)) + " mail a@b.co"
+    table = [(1, text, "x"), (2, "+1 212 555 0199 and a@b.co", "y"), (3, None, "z")]
+    docs = spark.createDataFrame(table, "doc_id long, text string, _pii_base string")
+    found = {r.doc_id: r.base for r in pii.find_spans(docs).collect()}
+    assert [(s.kind, s.start, s.stop) for s in found[1]] == [("email", len(text) - 6, len(text))]
+    assert [(s.kind, s.start, s.stop) for s in found[2]] == [("phone", 0, 15), ("email", 20, 26)]
+    done = pii.redact_documents(docs.filter("doc_id > 1"))
+    assert rows(done) == [(2, "[PHONE] and [EMAIL]", "y"), (3, None, "z")]

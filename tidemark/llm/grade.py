@@ -176,7 +176,8 @@ def grade_documents(docs: DataFrame, ratings: DataFrame, accept: int = 1) -> Dat
     each grade counts alike. A text without a word has expected grade and tail
     probability 0 and is rejected. If fewer than two grades are rated, nothing can be
     learned: every text with a word gets the only grade (or 0) and is kept. Repeated
-    rows are judged alike; an empty table gives no rows; other columns are ignored.
+    rows are judged alike; an empty table gives no rows; other columns are ignored; texts
+    of any length are judged whole.
     """
     judge = fit_ratings(docs, ratings)
 

@@ -161,6 +161,7 @@ def identify(docs: DataFrame, learn_from: Column | None = None) -> DataFrame:
     hit no language, go to the first language by name; without a labelled row every
     text is ``und``. Repeated rows are judged alike; an empty table gives no rows;
     columns other than doc_id, text and lang are ignored, and lang is only learned from.
+    Texts of any length are judged whole.
     """
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     if learn_from is not None:

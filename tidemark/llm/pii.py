@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from functools import reduce
+from uuid import uuid4
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -298,7 +299,6 @@ def accepted(base: Column, candidates: Column, weights: list[float]) -> Column:
     )
 
 
-# Names that columns of the documents are not expected to have.
 _BASE, _CANDIDATES = "_pii_base", "_pii_candidates"
 
 
@@ -308,22 +308,23 @@ def find_spans(docs: DataFrame) -> DataFrame:
     Positions are code points, the stop is exclusive. A NULL or empty text has no spans;
     repeated rows are searched each; an empty table gives no rows; columns other than
     doc_id and text are ignored. Without candidates nothing is added to the base spans.
+    Texts of any length are searched whole, in a time that grows with their matches.
     """
     found = stored(with_spans(docs.select("doc_id", "text")).drop("text"), "pii-spans")
     weights = classifier(found.select(F.col(_CANDIDATES).alias("candidates")))
     return found.select("doc_id", F.col(_BASE).alias("base"), all_spans(weights).alias("spans"))
 
 
-def with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with columns of base spans and of candidates."""
+def with_spans(docs: DataFrame, made: str = "") -> DataFrame:
+    """``docs`` with columns of base spans and of candidates, ``made`` ending their names."""
     text = F.coalesce("text", F.lit(""))
     return docs.select(
-        "*", base_spans(text).alias(_BASE), candidate_spans(text).alias(_CANDIDATES)
+        "*", base_spans(text).alias(_BASE + made), candidate_spans(text).alias(_CANDIDATES + made)
     )
 
 
-def all_spans(weights: list[float]) -> Column:
-    base, candidates = F.col(_BASE), F.col(_CANDIDATES)
+def all_spans(weights: list[float], made: str = "") -> Column:
+    base, candidates = F.col(_BASE + made), F.col(_CANDIDATES + made)
     return F.array_sort(F.concat(base, accepted(base, candidates, weights)))
 
 
@@ -360,8 +361,10 @@ def redact_documents(docs: DataFrame) -> DataFrame:
     """
     candidates = docs.select(candidate_spans(F.coalesce("text", F.lit(""))).alias("candidates"))
     weights = classifier(stored(candidates.filter(F.size("candidates") > 0), "pii-candidates"))
-    found = with_spans(docs).withColumn("_pii_spans", all_spans(weights))
-    text = F.when(F.col("text").isNotNull(), redacted(F.col("text"), F.col("_pii_spans")))
+    made = uuid4().hex  # so that no column of the documents has the same name
+    spans = f"_pii_spans{made}"
+    found = with_spans(docs, made).withColumn(spans, all_spans(weights, made))
+    text = F.when(F.col("text").isNotNull(), redacted(F.col("text"), F.col(spans)))
     done = found.withColumn("text", text).select(*docs.columns)
     if "n_chars" in docs.columns:
         counted = F.char_length("text").cast(docs.schema["n_chars"].dataType)

@@ -219,7 +219,7 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     Equal fingerprints are one class from the start, so copies cost no pairs. Rows
     without doc_id take part, but name a component only if all its rows lack one (its id
     is then NULL). Repeated rows each get a row; an empty table gives none; columns
-    other than doc_id and text are ignored.
+    other than doc_id and text are ignored. Texts of any length are hashed whole.
     """
     prepare(docs.sparkSession)
     marked = stored(docs.select("doc_id", simhash("text").alias("fp")), "simhash-prints")
