@@ -70,7 +70,7 @@ def corpus(seed):
     return list(zip(ids, table))
 
 
-@pytest.mark.parametrize("seed, size", [(1, 256), (2, 4), (3, 1)])
+@pytest.mark.parametrize("seed, size", [(1, 256), (2, 3)])
 def test_against_all_pairs(spark, monkeypatch, seed, size):
     """Blocks of a few documents give what large ones give."""
     monkeypatch.setattr(jaccard, "BLOCK_DOCUMENTS", size)
@@ -95,7 +95,7 @@ def test_sql_against_all_pairs():
 def test_large_family_of_near_copies(spark):
     """Many different texts within reach of each other, in many blocks."""
     base = [f"b{i}" for i in range(150)]
-    table = [(i, " ".join([*base[: i % 147], f"x{i}", *base[i % 147 + 1 :]])) for i in range(600)]
+    table = [(i, " ".join([*base[: i % 147], f"x{i}", *base[i % 147 + 1 :]])) for i in range(400)]
     got = rows(jaccard.jaccard_join(spark.createDataFrame(table, SCHEMA)), *COLUMNS)
     assert got == expected(table)
     assert {r[3] for r in got} == {0}
