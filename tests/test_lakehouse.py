@@ -133,8 +133,10 @@ def test_prune_keeps_the_state_and_the_history(spark, root):
     assert finished_versions(spark, f"{root}/gold/gold_customer_kpi") == [2]
 
 
-def lake(spark, tmp_path, day=1):
-    return Lakehouse(spark, str(tmp_path / "lake"), f"2026-05-{day:02d} 00:00:00", part_bytes=2_000)
+def lake(spark, tmp_path, day=1, part_bytes=50_000):
+    return Lakehouse(
+        spark, str(tmp_path / "lake"), f"2026-05-{day:02d} 00:00:00", part_bytes=part_bytes
+    )
 
 
 def test_a_failed_batch_loses_nothing(spark, tmp_path, monkeypatch):
@@ -164,9 +166,9 @@ def test_a_batch_without_changes(spark, tmp_path):
 def test_a_batch_reads_and_refreshes_what_it_touches(spark, tmp_path):
     tables = {**FIRST, "Orders": [(i, 1, 1, at(5, 1 + i % 5), at(5)) for i in range(1, 300)],
               "OrderDetails": [(i * 8, i, 1, 1, 2.0, at(5)) for i in range(1, 300)]}
-    lake(spark, tmp_path).run(1, *sources(spark, tables))
+    lake(spark, tmp_path, 1, 2_000).run(1, *sources(spark, tables))
     later = {**tables, "OrderDetails": [*tables["OrderDetails"], (7 * 8, 7, 1, 1, 9.0, at(9, 3))]}
-    lake(spark, tmp_path, 2).run(2, *sources(spark, later))
+    lake(spark, tmp_path, 2, 2_000).run(2, *sources(spark, later))
     done = lake(spark, tmp_path)
     months = {"2026-01": 1, "2026-02": 1, "2026-03": 2, "2026-04": 1, "2026-05": 1}
     for name in ("fact_sales", "gold_sales_summary", "sums/store"):
@@ -204,15 +206,15 @@ def test_closed_versions_are_joined_by_size():
 
 def test_closed_versions_of_many_batches(spark, tmp_path):
     tables = FIRST
-    for batch in range(1, 6):
+    for batch in range(1, 4):
         row = (1, "Ann", "Lee", f"City {batch}", "a@x", at(batch, 2))
         tables = {**tables, "Customers": [*tables["Customers"], row]}
         lake(spark, tmp_path, batch).run(batch, *sources(spark, tables))
     done = lake(spark, tmp_path)
     assert rows(done.gold("dim_customer"), "City", "IS_ACTIVE") == [
-        ("City 1", 0), ("City 2", 0), ("City 3", 0), ("City 4", 0), ("City 5", 1)
+        ("City 1", 0), ("City 2", 0), ("City 3", 1)
     ]
-    assert len(done.state("gold/dim_customer/closed").parts) <= 2
+    assert len(done.state("gold/dim_customer/closed").parts) == 1
 
 
 def test_undated_orders_come_and_go_once(spark, tmp_path):
