@@ -42,6 +42,8 @@ BLOCK_SHINGLES = 1_000_000
 # filter lets more of them through as it fills up and never drops one that is wanted.
 FILTER_BITS = 1 << 26
 COLUMNS_AT_ONCE = 4096
+# Pairs of blocks (48 bytes each) that are broadcast; more of them are joined.
+BROADCAST_PAIRS = 300_000
 
 _OTHER = np.uint64(0xA0761D6478BD642F)
 
@@ -266,6 +268,8 @@ def meetings(hits: DataFrame) -> DataFrame:
         F.col("shared") >= _needed("most_high", "least_low")
     )
     pairs = stored(pairs.filter(enough).drop("shared"), "jaccard-pairs")
+    if pairs.count() <= BROADCAST_PAIRS:
+        pairs = F.broadcast(pairs)
     # Both sides of a meeting, each with the sizes of the other one.
     ends = met.select("shingle", "low", "high").join(pairs, ["low", "high"])
     other = {"low": "high", "high": "low"}
