@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from tidemark.operators import (
     watermark_seed,
 )
 from tidemark.plans import ingest_feeds, ingest_increments
-from tidemark.sources import read_csv, read_json
+from tidemark.sources import read_csv, read_json, sinks
 
 UTC = dt.timezone.utc
 SOURCE = schemas._schema("ProductID long, ProductName string, Category string, Price double, "
@@ -164,3 +165,22 @@ def test_a_source_is_scanned_once_and_files_are_not_read_back(spark, tmp_path):
     again = ingest_increments(spark, done.control, lambda *_: table, str(tmp_path), 2)
     assert rows(again.audit, "ROWREAD", "ROWCOPIED") == [(0, 0)] and not again.paths
     assert [p.name for p in (tmp_path / "products").iterdir()] == ["batch=000000000001"]
+
+
+def test_raw_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    """A compressed file is read by one task, so it may hold a bounded number of records."""
+    monkeypatch.setattr(sinks, "RECORDS_PER_FILE", 100)
+    records = spark.range(1, 1001, 1, 1).select(
+        F.col("id").alias("payment_id"), F.lit(2.0).alias("amount")
+    )
+    feeds = ingest_feeds(spark, lambda _: records, str(tmp_path / "feeds"), 1, ["payment"])
+    landed = read_json(spark, feeds.paths["payment"], schemas.PAYMENT)
+    assert rows(landed, F.count("payment_id"), F.sum("payment_id")) == [(1000, 500500)]
+    table = source(spark, *((i, 1 + i % 9) for i in range(1, 1001))).coalesce(1)
+    control = watermark_seed(spark).filter("TABLENAME = 'Products'")
+    tables = ingest_increments(spark, control, lambda *_: table, str(tmp_path / "raw"), 1)
+    read_back = read_csv(spark, tables.paths["Products"], SOURCE, coded_breaks=True)
+    assert rows(read_back, F.count("*"), F.sum("ProductID")) == [(1000, 500500)]
+    for folder in (feeds.paths["payment"], tables.paths["Products"]):
+        files = list(Path(folder).glob("part-*"))
+        assert len(files) == 10 and all(f.suffix == ".gz" for f in files)

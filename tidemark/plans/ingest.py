@@ -45,8 +45,8 @@ def ingest_increments(
     highest value among the rows as they are copied, so it never lies above a row that was
     not. A failed table is logged, keeps its mark, and does not stop the others. Only the
     control table (one row per source) reaches the driver; all rows move in Spark jobs.
-    Running a batch again replaces its files. The files have coded line breaks (see
-    ``write_csv``).
+    Running a batch again replaces its files. The files are compressed and have coded line
+    breaks (see ``write_csv``).
     """
 
     def copy(row: Row) -> tuple[Copy, object, str]:
@@ -119,7 +119,7 @@ def _copy(
 
 
 def write_coded_csv(df: DataFrame, path: str) -> int:
-    return write_csv(df, path, coded_breaks=True)
+    return write_csv(df, path, coded_breaks=True, compressed=True)
 
 
 class IngestFailed(RuntimeError):

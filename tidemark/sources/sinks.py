@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from ..functions.text import code_breaks
 from .files import CSV_DIALECT, MOMENTS, text_columns
 
+# Records of a compressed text file, which one task reads whole.
+RECORDS_PER_FILE = 1_000_000
+
 
 def write_csv(
     df: DataFrame,
@@ -18,25 +21,35 @@ def write_csv(
     mode: str = "overwrite",
     rows_per_file: int = 0,
     coded_breaks: bool = False,
+    compressed: bool = False,
 ) -> int:
     """CSV folder with a header per file and all text quoted; the number of rows in it.
 
     ``rows_per_file`` starts a new file after that many rows (0: never). With
     ``coded_breaks`` a record never spans lines, whatever its texts hold, so that big
-    files can be split; ``read_csv`` with the same option restores them.
+    files can be split; ``read_csv`` with the same option restores them. A ``compressed``
+    file cannot be split, so it ends after RECORDS_PER_FILE rows if not before.
     """
     if coded_breaks:
         df = df.withColumns({n: code_breaks(n) for n in text_columns(df)})
     rows, written = _counted(df)
+    if compressed:
+        rows_per_file = min(rows_per_file or RECORDS_PER_FILE, RECORDS_PER_FILE)
     writer = rows.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
-    writer.options(**CSV_DIALECT, **MOMENTS).option("quoteAll", True).csv(path)
+    writer = writer.options(**CSV_DIALECT, **MOMENTS).option("quoteAll", True)
+    writer.csv(path, compression="gzip" if compressed else "none")
     return written.get["rows"]
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> int:
-    """One JSON record per line, NULL fields left out; the number of records."""
+    """One JSON record per line, NULL fields left out; the number of records.
+
+    The files are compressed, as the names of the fields come with every record, and end
+    after RECORDS_PER_FILE records.
+    """
     rows, written = _counted(df)
-    rows.write.mode(mode).options(**MOMENTS).json(path)
+    writer = rows.write.mode(mode).option("maxRecordsPerFile", RECORDS_PER_FILE)
+    writer.options(**MOMENTS).json(path, compression="gzip")
     return written.get["rows"]
 
 
