@@ -287,3 +287,16 @@ def test_a_row_lost_on_the_way_shows_in_the_log(spark, tmp_path, monkeypatch):
         spark, control, sources(spark, FIRST)[0], str(tmp_path / "raw"), 1
     )
     assert rows(done.audit, "ROWREAD", "ROWCOPIED") == [(3, 2)]
+
+
+def test_a_first_batch_stages_each_table_once(spark, tmp_path, monkeypatch):
+    """Clean rows and the copies by order go where they stay, not through the staging folder."""
+    staged, stage = [], Lakehouse._stage
+    monkeypatch.setattr(
+        Lakehouse, "_stage", lambda self, df, name: (staged.append(name), stage(self, df, name))[1]
+    )
+    lake(spark, tmp_path).run(1, *sources(spark, FIRST))
+    assert sorted(staged) == sorted(
+        [*(f"parsed/{name}" for name in SILVER), "merged/dim_customer", "closed/dim_customer"]
+    )
+    assert rows(lake(spark, tmp_path).fact(), "OrderDetailID") == [(11,), (21,)]

@@ -75,6 +75,43 @@ def test_parts_follow_the_size_of_the_state(spark, tmp_path):
     assert rows(found.agg(F.count("*"), F.count_distinct("k"), F.min("v"))) == [(15000, 15000, 5)]
 
 
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_merge_with_nothing_stored_is_no_join(spark):
+    batch = numbers(spark, 0, 20)
+    merged_rows = merge_latest(read_parts(spark, "none", None, batch.schema), batch, "k", "v", [])
+    assert "Join" not in plan(merged_rows)
+    assert merged_rows.count() == 20
+
+
+def test_rows_are_dealt_to_uneven_parts_without_a_shuffle(spark):
+    placed = with_part(numbers(spark, 0, 2000), "k", ["p0", "p10", "p110", "p111"])
+    physical = placed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in physical and "hashpartitioning" not in physical
+
+
+def test_few_parts_are_written_where_they_were_merged(spark, tmp_path):
+    """One shuffle, that of the uniqueness check; the source is given with its keys alone."""
+    path = str(tmp_path / "keys")
+    numbers(spark, 0, 400).write.parquet(path)
+    stored = spark.read.parquet(path)
+    groups = spark.sparkContext
+    groups.setJobGroup("few", "few parts")
+    state = merge_parts(
+        spark, f"{tmp_path}/state", 1, stored.withColumn("v", F.col("v") + 1), "k",
+        lambda old, new: merge_latest(old, new, "k", "v", []), None, stored.schema,
+        1 << 20, stored.select("k"),
+    )
+    stages = {s for j in groups.statusTracker().getJobIdsForGroup("few")
+              for s in groups.statusTracker().getJobInfo(j).stageIds}
+    groups._jsc.clearJobGroup()
+    assert len(stages) <= 3 and list(state.parts) == [ALL_KEYS]
+    found = read_parts(spark, f"{tmp_path}/state", state)
+    assert rows(found.agg(F.count("*"), F.min("v"))) == [(400, 2)]
+
+
 def test_an_empty_part_stays_in_the_list(spark, tmp_path):
     root = str(tmp_path)
     cover = ["p0", "p1"]
