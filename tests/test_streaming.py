@@ -10,6 +10,7 @@ from tidemark.sources import read_csv
 from tidemark.streaming import (
     drop_stream,
     drops,
+    files_per_batch,
     land_drops,
     read_stream_state,
     upsert_stream,
@@ -184,3 +185,24 @@ def test_a_timeout_stops_the_stream_and_raises(spark, tmp_path):
     with pytest.raises(TimeoutError):
         land_drops(stream, str(tmp_path / "out"), str(tmp_path / "check"), timeout=0.001)
     assert not spark.streams.active
+
+
+def test_the_number_of_micro_batches_does_not_grow_with_the_files(spark, tmp_path):
+    schema = schemas._schema("k long, v int, t string")
+    for many, batches in ((3, 2), (24, 4)):
+        folder, root = tmp_path / f"in{many}", str(tmp_path / f"state{many}")
+        folder.mkdir()
+        for i in range(many):
+            events(folder, f"{i}.csv", f"{i % 5},{i},a")
+        (folder / "other.txt").write_text("not taken")
+        n = files_per_batch(spark, str(folder), least=2, batches=4)
+        upsert_stream(
+            drop_stream(spark, str(folder), schema, files_per_batch=n), root, schema,
+            lambda state, batch: merge_latest(state, batch, "k", "v", ["t"]),
+            key="k", version="v", ties=["t"], checkpoint=str(tmp_path / f"check{many}"),
+        )
+        done = [p.name for p in (tmp_path / f"check{many}" / "commits").glob("[0-9]*")]
+        assert len(done) == batches
+        latest = {i % 5: i for i in range(many)}
+        found = read_stream_state(spark, root, schema)
+        assert rows(found, "k", "v") == sorted(latest.items())

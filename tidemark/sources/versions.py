@@ -38,6 +38,12 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(folder)
 
 
+def count_files(spark: SparkSession, pattern: str) -> int:
+    """Files whose path matches a pattern."""
+    fs, path = _folder(spark, pattern)
+    return len(fs.globStatus(path) or ())
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, folder = _folder(spark, path)
     fs.delete(folder, True)

@@ -12,7 +12,20 @@ from pyspark.sql.streaming import StreamingQuery
 from ..schemas import CORRUPT, with_corrupt
 from ..session import shared_dir
 from ..sources.files import CSV_DIALECT, MOMENTS, check_whole_record
-from ..sources.versions import remove_folder
+from ..sources.versions import count_files, remove_folder
+
+
+def files_per_batch(
+    spark: SparkSession, folder: str, least: int, batches: int, only: str = "*.csv"
+) -> int:
+    """Files per micro-batch for what waits in a folder now: ``least``, or as many more as
+    take it all in ``batches`` micro-batches.
+
+    A micro-batch has a price of its own, and an upsert may rewrite the whole state, so
+    with a fixed number of files the price of catching up grows with the square of the
+    files. The files are listed, not opened.
+    """
+    return max(least, -(-count_files(spark, f"{folder}/{only}") // batches))
 
 
 def drop_stream(
