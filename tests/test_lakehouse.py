@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from dataclasses import replace
 
 import pytest
@@ -300,3 +301,55 @@ def test_a_first_batch_stages_each_table_once(spark, tmp_path, monkeypatch):
         [*(f"parsed/{name}" for name in SILVER), "merged/dim_customer", "closed/dim_customer"]
     )
     assert rows(lake(spark, tmp_path).fact(), "OrderDetailID") == [(11,), (21,)]
+
+
+def shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    found = disk.getAllFiles()
+    names = (found.apply(i).getName() for i in range(found.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_a_batch_leaves_no_shuffle_files(spark, tmp_path):
+    """They would be kept until the driver's next garbage collection, for all steps at once."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffle_files(spark), spark.conf.get(setting)
+    lake(spark, tmp_path).run(1, *sources(spark, FIRST))
+    lake(spark, tmp_path, 2).run(2, *sources(spark, SECOND))
+    for _ in range(50):  # files are removed in the background
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(setting) == was
+    assert state(lake(spark, tmp_path)) == AFTER_SECOND
+
+
+def test_staged_copies_go_as_soon_as_they_are_used(spark, tmp_path, monkeypatch):
+    seen, staging = [], tmp_path / "lake" / "staging"
+    build_gold = Lakehouse.build_gold
+
+    def parquet():
+        return [str(p) for p in staging.rglob("*.parquet")]
+
+    def stop(self):
+        seen.append(parquet())
+        raise ZeroDivisionError
+
+    lake(spark, tmp_path).run(1, *sources(spark, FIRST))
+    with monkeypatch.context() as patched:
+        patched.setattr(Lakehouse, "build_gold", lambda self: (seen.append(parquet()), build_gold(self)))
+        patched.setattr(Lakehouse, "build_kpis", stop)
+        with pytest.raises(ZeroDivisionError):
+            lake(spark, tmp_path, 2).run(2, *sources(spark, SECOND))
+    assert seen == [[], []]
+    # What a batch that failed has staged is gone before the next one lands its sources.
+    (staging / "parsed").mkdir(parents=True, exist_ok=True)
+    (staging / "parsed" / "left.parquet").write_bytes(b"x")
+    ingest_ = Lakehouse.ingest
+    monkeypatch.setattr(
+        Lakehouse, "ingest", lambda self, *a: (seen.append(staging.exists()), ingest_(self, *a))[1]
+    )
+    lake(spark, tmp_path, 3).run(3, *sources(spark, SECOND))
+    assert seen[2:] == [False] and not staging.exists()
+    assert state(lake(spark, tmp_path)) == AFTER_SECOND
