@@ -8,10 +8,11 @@ import re
 import duckdb
 import numpy as np
 import pytest
-from conftest import rows
+from conftest import no_more_shuffle_files, rows, shuffle_files
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard
+from tidemark.llm.common import stored
 from tidemark.llm.oracle import SQL
 
 SCHEMA = "doc_id long, text string"
@@ -134,3 +135,11 @@ def test_shared_counts(monkeypatch):
         ]
         made = jaccard.shared_counts(*sides)
         assert made.tolist() == [[len(np.intersect1d(a, b)) for b in sides[1]] for a in sides[0]]
+
+
+def test_a_stored_step_leaves_no_shuffle_files(spark):
+    """They would take disk until the driver's next garbage collection, for all steps at once."""
+    before = shuffle_files(spark)
+    found = stored(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count(), "test-step")
+    assert no_more_shuffle_files(spark, before)
+    assert rows(found) == [(k, 143 if k < 6 else 142) for k in range(7)]

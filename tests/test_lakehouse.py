@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-import time
 from dataclasses import replace
 
 import pytest
-from conftest import rows
+from conftest import no_more_shuffle_files, rows, shuffle_files
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -303,25 +302,13 @@ def test_a_first_batch_stages_each_table_once(spark, tmp_path, monkeypatch):
     assert rows(lake(spark, tmp_path).fact(), "OrderDetailID") == [(11,), (21,)]
 
 
-def shuffle_files(spark):
-    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
-    found = disk.getAllFiles()
-    names = (found.apply(i).getName() for i in range(found.size()))
-    return {name for name in names if name.startswith("shuffle_")}
-
-
 def test_a_batch_leaves_no_shuffle_files(spark, tmp_path):
     """They would be kept until the driver's next garbage collection, for all steps at once."""
     setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before, was = shuffle_files(spark), spark.conf.get(setting)
     lake(spark, tmp_path).run(1, *sources(spark, FIRST))
     lake(spark, tmp_path, 2).run(2, *sources(spark, SECOND))
-    for _ in range(50):  # files are removed in the background
-        left = shuffle_files(spark) - before
-        if not left:
-            break
-        time.sleep(0.2)
-    assert not left and spark.conf.get(setting) == was
+    assert no_more_shuffle_files(spark, before) and spark.conf.get(setting) == was
     assert state(lake(spark, tmp_path)) == AFTER_SECOND
 
 

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import shared_dir, shuffles_dropped
 
 # Text handed to one vectorised step at a time, in bytes; a longer text goes alone.
 BLOCK_BYTES = 1_000_000
@@ -58,10 +58,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared work folder and read again.
 
     Later steps start from the files, so that a lost executor costs one step and
-    nothing is computed twice.
+    nothing is computed twice. The shuffle files of the step go when it is stored.
     """
     path = shared_dir(df.sparkSession, "llm", f"{name}-{uuid4().hex}")
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
