@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from dataclasses import replace
 
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.operators import watermark_seed
-from tidemark.plans import SILVER, IngestFailed, Lakehouse, ingest
+from tidemark.plans import SILVER, IngestFailed, Lakehouse, gold, ingest
 from tidemark.plans.lakehouse import _of_like_size
 from tidemark.sources import current_version
 from tidemark.sources.versions import finished_versions, state_versions
@@ -340,3 +341,42 @@ def test_staged_copies_go_as_soon_as_they_are_used(spark, tmp_path, monkeypatch)
     lake(spark, tmp_path, 3).run(3, *sources(spark, SECOND))
     assert seen[2:] == [False] and not staging.exists()
     assert state(lake(spark, tmp_path)) == AFTER_SECOND
+
+
+def test_the_copy_by_order_has_the_columns_of_the_fact_only(spark, tmp_path, monkeypatch):
+    """Also where an earlier batch stored more columns of the silver table."""
+    with monkeypatch.context() as patched:
+        wide = (*gold.FACT_COLUMNS["payment"], "payment_method")
+        patched.setitem(gold.FACT_COLUMNS, "payment", wide)
+        lake(spark, tmp_path).run(1, *sources(spark, FIRST))
+    first = lake(spark, tmp_path)
+    assert "payment_method" in first.state("gold/by_order/payment").schema.names
+    lake(spark, tmp_path, 2).run(2, *sources(spark, SECOND))
+    done = lake(spark, tmp_path)
+    assert state(done) == AFTER_SECOND
+    for name, columns in gold.FACT_COLUMNS.items():
+        assert done.state(f"gold/by_order/{name}").schema.names == list(columns)
+
+
+def test_few_tables_are_shuffled_at_a_time(spark, tmp_path, monkeypatch):
+    running, seen, lock = [], [], threading.Lock()
+
+    def watched(name):
+        step = getattr(Lakehouse, name)
+
+        def run(self, *args):
+            with lock:
+                running.append(name)
+                seen.append(running.count(name))
+            try:
+                return step(self, *args)
+            finally:
+                with lock:
+                    running.remove(name)
+
+        monkeypatch.setattr(Lakehouse, name, run)
+
+    for name in ("refine_table", "build_by_order", "_refresh"):
+        watched(name)
+    lake(spark, tmp_path).run(1, *sources(spark, FIRST))
+    assert len(seen) == len(SILVER) + 3 + 4 and max(seen) <= 2

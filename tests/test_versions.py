@@ -157,3 +157,18 @@ def test_types_without_a_common_one(spark):
                           (T.DateType(), T.StringType()), (T.FloatType(), T.LongType())]:
         with pytest.raises(TypeError, match="neither"):
             wider_type("n", first, second)
+
+
+def test_rows_lie_in_their_file_by_order(spark, tmp_path):
+    """Near values compress better: the same rows take less space than scattered ones."""
+    scattered = numbers(spark, 0, 40_000).repartition(4, "k").orderBy(F.xxhash64("k"))
+    part = F.when(F.col("k") % 2 == 0, "even").otherwise("odd")
+    plain = write_parts(scattered, f"{tmp_path}/plain", 1, part)
+    state = write_parts(scattered, f"{tmp_path}/state", 1, part, order=["k"])
+    files = sorted((tmp_path / "state").rglob("*.parquet"))
+    for file in files:
+        keys = [r.k for r in spark.read.parquet(str(file)).collect()]
+        assert keys and keys == sorted(keys)
+    assert sum(state.sizes.values()) < 0.8 * sum(plain.sizes.values())
+    found = read_parts(spark, f"{tmp_path}/state", state)
+    assert rows(found.agg(F.count("*"), F.count_distinct("k"))) == [(40_000, 40_000)]

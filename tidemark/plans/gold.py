@@ -16,6 +16,13 @@ from ..functions import stamp
 from ..operators.scd import scd1_upsert, scd2_upsert
 from ..operators.skew import ROWS_PER_TASK, Side, heavy_keys, join_all
 
+# What the fact takes from its inputs other than orders, by silver table.
+FACT_COLUMNS = {
+    "orderdetails": ("OrderDetailID", "OrderID", "ProductID", "Quantity", "TotalAmount"),
+    "payment": ("order_id", "amount", "is_success", "payment_id"),
+    "shipping": ("order_id", "is_delivered", "shipment_id", "delivery_days"),
+}
+
 # Month of orders without a date.
 UNDATED = "undated"
 
@@ -37,12 +44,10 @@ def fact_sales(
     ``only_orders`` (OrderID, distinct) limits the fact to these orders: every input is
     reduced to them before it is joined.
     """
-    lines = lines.select("OrderDetailID", "OrderID", "ProductID", "Quantity", "TotalAmount")
+    lines = lines.select(*FACT_COLUMNS["orderdetails"])
     orders = orders.select(F.col("OrderID").alias("o_id"), "CustomerID", "StoreID", "OrderDate")
-    payment = payment.select(F.col("order_id").alias("p_order"), "amount", "is_success",
-                             "payment_id")
-    shipping = shipping.select(F.col("order_id").alias("s_order"), "is_delivered", "shipment_id",
-                               "delivery_days")
+    payment = payment.select(*FACT_COLUMNS["payment"]).withColumnRenamed("order_id", "p_order")
+    shipping = shipping.select(*FACT_COLUMNS["shipping"]).withColumnRenamed("order_id", "s_order")
     sides = [
         Side(lines, "OrderID", ("OrderDetailID",)),
         Side(orders, "o_id", ("o_id",), unique=True),

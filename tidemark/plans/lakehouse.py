@@ -9,6 +9,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import stamp
@@ -60,9 +61,16 @@ FACT_INPUTS = {
     "shipping": ("shipment_id", "order_id"),
 }
 
-# Silver tables kept a second time by order, so that the rows of touched orders are found
-# in a few parts. Orders are dealt by their key, which is the order, as it is.
-BY_ORDER = ("orderdetails", "payment", "shipping")
+# Silver tables whose columns of the fact are kept a second time by order, so that the rows
+# of touched orders are found in a few parts. Orders are dealt by their key, which is the
+# order, as it is.
+BY_ORDER = tuple(gold.FACT_COLUMNS)
+
+# Steps at a time that shuffle whole tables: each keeps its shuffle files until it is stored.
+SHUFFLING_AT_ONCE = 2
+
+# Order of the rows in a file of the fact: what an order's rows share lies together.
+FACT_ORDER = ("OrderID", "OrderDetailID")
 
 # Sums of the fact by month that KPIs add up, with their key.
 SUMS = {"product": "ProductID", "customer": "CustomerID", "store": "StoreID"}
@@ -146,6 +154,7 @@ class Lakehouse:
                 run_together(
                     self.spark,
                     [partial(self.refine_table, s, paths.get(name)) for name, s in self.specs.items()],
+                    SHUFFLING_AT_ONCE,
                 )
                 self.build_gold()
                 self.build_kpis()
@@ -305,16 +314,18 @@ class Lakehouse:
         self._unstage("merged/dim_customer", "closed/dim_customer")
 
     def build_by_order(self, name: str) -> None:
-        """The second copy of a silver table, dealt by order. Only the parts of orders
-        that changed rows belong to, now or before, are rewritten."""
-        key, order = FACT_INPUTS[name]
+        """The second copy of a silver table, dealt by order, of the columns that the fact
+        takes. Only the parts of orders that changed rows belong to, now or before, are
+        rewritten."""
+        (key, order), columns = FACT_INPUTS[name], gold.FACT_COLUMNS[name]
+        stored_as = self.silver(name).schema
         folder = f"gold/by_order/{name}"
         base = self._base(folder)
         if base is None:
-            source = self.silver(name).withColumn("_now", F.lit(True))
+            source = self.silver(name).select(*columns).withColumn("_now", F.lit(True))
         else:
-            now = self.changed(name)
-            before = self.before(name).join(now.select(key), key, "left_semi")
+            now = self.changed(name).select(*columns)
+            before = self.before(name).select(*columns).join(now.select(key), key, "left_semi")
             source = now.withColumn("_now", F.lit(True)).unionByName(
                 before.withColumn("_now", F.lit(False))
             )
@@ -327,7 +338,7 @@ class Lakehouse:
 
         merge_parts(
             self.spark, f"{self.root}/{folder}", self._batch, source, order, exchange,
-            base, self.silver(name).schema, self.part_bytes,
+            base, T.StructType([stored_as[c] for c in columns]), self.part_bytes, order=[key],
         )
         self._unstage(f"by_order/{name}")
 
@@ -345,12 +356,13 @@ class Lakehouse:
         their rows are built anew, from the parts they lie in; the other rows of their
         months are taken over.
         """
-        run_together(self.spark, [partial(self.build_by_order, name) for name in BY_ORDER])
+        copies = [partial(self.build_by_order, name) for name in BY_ORDER]
+        run_together(self.spark, copies, SHUFFLING_AT_ONCE)
         root, base = f"{self.root}/gold/fact_sales", self._base("gold/fact_sales")
         if base is None:
             inputs = [self.silver(name) for name in FACT_INPUTS]
             fact = gold.fact_sales(*inputs, as_of=self.as_of)
-            write_parts(fact, root, self._batch, gold.order_month())
+            write_parts(fact, root, self._batch, gold.order_month(), order=FACT_ORDER)
             return
         changed = []
         for name, (key, order) in FACT_INPUTS.items():
@@ -367,7 +379,7 @@ class Lakehouse:
         rebuilt = gold.fact_sales(*inputs, as_of=self.as_of, only_orders=touched)
         stored = read_parts(self.spark, root, base, only=months)
         fact = gold.refreshed_months(stored, touched, rebuilt)
-        write_parts(fact, root, self._batch, gold.order_month(), base, months)
+        write_parts(fact, root, self._batch, gold.order_month(), base, months, order=FACT_ORDER)
         self._unstage("touched_orders")
 
     def build_kpis(self) -> None:
@@ -379,6 +391,7 @@ class Lakehouse:
             self.spark,
             [partial(self._refresh, name, state, months)
              for name in ("gold_sales_summary", *(f"sums/{name}" for name in SUMS))],
+            SHUFFLING_AT_ONCE,
         )
         sums = {name: self._read(f"gold/sums/{name}") for name in SUMS}
         tables = {
@@ -401,7 +414,7 @@ class Lakehouse:
         made = (
             kpi.product_sums(rows, by) if sums == "product" else kpi.order_sums(rows, SUMS[sums], by)
         )
-        write_parts(made, root, self._batch, F.col("month"), base, months)
+        write_parts(made, root, self._batch, F.col("month"), base, months, order=[SUMS[sums]])
 
     def prune(self, keep: int = 2) -> None:
         """Drop all but the newest states. Parts that those refer to stay."""
