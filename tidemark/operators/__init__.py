@@ -2,7 +2,7 @@
 
 from .control import Copy, advance_watermarks, copy_log, failure_messages, watermark_seed
 from .increment import high_water_mark, pull_increment
-from .latest import keep_latest, merge_latest
+from .latest import keep_latest, merge_latest, merge_versions
 from .quality import has_values, split_corrupt, valid_key
 from .scd import scd1_upsert, scd2_changed_keys, scd2_upsert
 from .skew import Side, heavy_keys, join_all
@@ -19,6 +19,7 @@ __all__ = [
     "join_all",
     "keep_latest",
     "merge_latest",
+    "merge_versions",
     "pull_increment",
     "scd1_upsert",
     "scd2_changed_keys",
